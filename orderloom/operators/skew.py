@@ -11,6 +11,8 @@ HOT_SHARE = 200
 TOP = 200
 TRACKED = 8192
 SALTS = 64
+# Lookup sides are narrow: this many rows are a few dozen megabytes.
+BROADCAST_ROWS = 250_000
 
 
 def key_hash(columns: Sequence[str]) -> Column:
@@ -29,17 +31,26 @@ def hot_keys(df: DataFrame, columns: Sequence[str]) -> Column:
         f"transform(filter(top, x -> x.count * {HOT_SHARE} >= n), x -> x.item) AS hot")).scalar()
 
 
-def lookup_join(many: DataFrame, one: DataFrame, on: Sequence[str], spread: Sequence[str], how: str = "inner",
-                hot: Column | None = None) -> DataFrame:
-    """Join ``many`` to ``one``, which has at most one row per key, with hot keys split over ``SALTS`` tasks.
+def fits_broadcast(df: DataFrame, rows: int | None = None) -> bool:
+    """Whether ``df`` has at most ``rows`` (``BROADCAST_ROWS``) rows. Reads no columns and stops one row further."""
+    limit = BROADCAST_ROWS if rows is None else rows
+    return not df.select(F.lit(1)).offset(limit).head(1)
+
 
-    ``spread`` names columns of ``many`` that tell its rows apart. Rows of a hot key (NULL counts as a key)
-    get a salt from them; the one matching row is repeated per salt; all other keys keep salt 0 on both
-    sides. ``hot`` may be given when it is cheaper to find the hot keys further upstream, in the base table.
+def lookup_join(many: DataFrame, one: DataFrame, on: Sequence[str], spread: Sequence[str], how: str = "inner",
+                hot_in: DataFrame | None = None, bound: DataFrame | None = None) -> DataFrame:
+    """Join ``many`` to ``one``, which has at most one row per key, however the keys of ``many`` are spread.
+
+    A small ``one``, as counted, is broadcast. Otherwise both sides are shuffled, with hot keys split over
+    ``SALTS`` tasks: rows of a hot key (NULL counts as a key) get a salt from ``spread``, columns of ``many``
+    that tell its rows apart; the one matching row is repeated per salt; all other keys keep salt 0 on both
+    sides. ``hot_in`` names the base table to find the hot keys in, and ``bound`` one with no fewer rows than
+    ``one`` to count, where ``many`` and ``one`` are costly to compute.
     """
     on = list(on)
-    if hot is None:
-        hot = hot_keys(many, on)
+    if fits_broadcast(one if bound is None else bound):
+        return many.join(F.broadcast(one), on, how)
+    hot = hot_keys(many if hot_in is None else hot_in, on)
     is_hot = F.array_contains(hot, key_hash(on))
     salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(SALTS)).cast("int"))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))

@@ -11,7 +11,7 @@ from orderloom.operators.checks import check_foreign_key
 from orderloom.operators.columns import with_days_to_refund
 from orderloom.operators.keys import highest, offset_keys
 from orderloom.operators.merge import merge_upsert
-from orderloom.operators.skew import hot_keys, lookup_join
+from orderloom.operators.skew import lookup_join
 
 SALES_MONTH = "SalesMonth"
 
@@ -35,7 +35,7 @@ def order_dimension_keys(orders: DataFrame, addresses: DataFrame, dim_customer:
             (located.select("AddressID", "GeographyKey"), "AddressID", "inner"),
             (dim_customer.where("IsCurrent").select("CustomerID", "CustomerKey"), "CustomerID", "inner"),
             (dim_employee.select("EmployeeID", "EmployeeKey"), "EmployeeID", "left")):
-        keyed = lookup_join(keyed, side, [key], ["OrderID"], how, hot=hot_keys(orders, [key]))
+        keyed = lookup_join(keyed, side, [key], ["OrderID"], how, hot_in=orders)
     return keyed.select("OrderID", "DateKey", "CustomerKey", "EmployeeKey", "GeographyKey")
 
 
@@ -43,9 +43,9 @@ def sales_source(lines: DataFrame, orders: DataFrame, addresses: DataFrame, dim_
                  dim_product: DataFrame, dim_employee: DataFrame, dim_geography: DataFrame) -> DataFrame:
     """One fact row per order line, cancelled orders included, amounts in cents."""
     keys = order_dimension_keys(orders, addresses, dim_customer, dim_employee, dim_geography)
-    with_order = lookup_join(lines, keys, ["OrderID"], ["OrderDetailID"])
+    with_order = lookup_join(lines, keys, ["OrderID"], ["OrderDetailID"], bound=orders)
     with_product = lookup_join(with_order, dim_product.select("ProductID", "ProductKey"), ["ProductID"],
-                               ["OrderDetailID"], hot=hot_keys(lines, ["ProductID"]))
+                               ["OrderDetailID"], hot_in=lines)
     return with_product.select(
         "OrderDetailID", "DateKey", "CustomerKey", "ProductKey", "EmployeeKey", "GeographyKey", "Quantity",
         "UnitPrice", "Discount", F.col("LineTotal").cast("decimal(12,2)").alias("LineTotal"))
@@ -95,11 +95,11 @@ def returns_source(returns: DataFrame, lines: DataFrame, orders: DataFrame, dim_
     out = returns.select("ReturnID", "OrderDetailID", date_key(F.col("ReturnDate")).alias("ReturnDateKey"),
                          "QuantityReturned", "RefundAmount")
     out = lookup_join(out, line_cols, ["OrderDetailID"], spread)
-    out = lookup_join(out, order_cols, ["OrderID"], spread, hot=hot_keys(lines, ["OrderID"]))
+    out = lookup_join(out, order_cols, ["OrderID"], spread, hot_in=lines, bound=orders)
     out = lookup_join(out, dim_customer.where("IsCurrent").select("CustomerID", "CustomerKey"), ["CustomerID"],
-                      spread, hot=hot_keys(orders, ["CustomerID"]))
+                      spread, hot_in=orders)
     out = lookup_join(out, dim_product.select("ProductID", "ProductKey"), ["ProductID"], spread,
-                      hot=hot_keys(lines, ["ProductID"]))
+                      hot_in=lines)
     if refunds is None:
         out = out.withColumn("RefundDateKey", F.lit(None).cast("int"))
     else:

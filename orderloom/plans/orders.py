@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -16,7 +15,7 @@ from orderloom.functions.text import concat_blank_null
 from orderloom.model import PAYMENT_METHODS
 from orderloom.operators.keys import highest
 from orderloom.operators.merge import update_from
-from orderloom.operators.skew import SALTS, hot_keys, lookup_join
+from orderloom.operators.skew import SALTS, lookup_join
 from orderloom.plans.audit import audit_new_lines
 from orderloom.session import materialize
 
@@ -48,24 +47,6 @@ class PlacedOrders:
     inventory: DataFrame
 
 
-def _take_in_turn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by product and turn; keep the stock of the product at hand between rows and batches."""
-    product, stock = None, 0
-    for batch in batches:
-        left = []
-        for key, on_hand, quantity in zip(batch["ProductID"].tolist(), batch["OnHand"].tolist(),
-                                          batch["Quantity"].tolist()):
-            if key != product:
-                product, stock = key, on_hand
-            if quantity <= stock:
-                stock -= quantity
-                left.append(stock)
-            else:
-                left.append(None)
-        yield pd.DataFrame({"seq": batch["seq"], "ProductID": batch["ProductID"],
-                            "Quantity": batch["Quantity"], "StockAfter": pd.array(left, dtype="Int64")})
-
-
 def _contested(sound: DataFrame) -> DataFrame:
     """Which of the requests for contested products are served: (seq, ProductID, Quantity, StockAfter).
 
@@ -76,6 +57,23 @@ def _contested(sound: DataFrame) -> DataFrame:
     on-hand x (1 + ln on-hand) of them, however many requests it gets. The rest is turned away before the
     requests of a product meet: once per salt, then once per product.
     """
+    def take_in_turn(batches):
+        """Rows come sorted by product and turn; the stock of the product at hand is kept between batches."""
+        product, stock = None, 0
+        for batch in batches:
+            left = []
+            for key, on_hand, quantity in zip(batch["ProductID"].tolist(), batch["OnHand"].tolist(),
+                                              batch["Quantity"].tolist()):
+                if key != product:
+                    product, stock = key, on_hand
+                if quantity <= stock:
+                    stock -= quantity
+                    left.append(stock)
+                else:
+                    left.append(None)
+            yield pd.DataFrame({"seq": batch["seq"], "ProductID": batch["ProductID"],
+                                "Quantity": batch["Quantity"], "StockAfter": pd.array(left, dtype="Int64")})
+
     enough = F.floor(F.col("OnHand") / F.col("Quantity"))
     salted = Window.partitionBy("ProductID", "Quantity", F.pmod("seq", F.lit(SALTS))).orderBy("seq")
     whole = Window.partitionBy("ProductID", "Quantity").orderBy("seq")
@@ -86,7 +84,7 @@ def _contested(sound: DataFrame) -> DataFrame:
                .withColumn("_n", F.row_number().over(whole)).where(F.col("_n") <= enough))
     return (chances.select("seq", "ProductID", "Quantity", "OnHand")
             .sortWithinPartitions("ProductID", "seq")
-            .mapInPandas(_take_in_turn, "seq BIGINT, ProductID BIGINT, Quantity INT, StockAfter BIGINT"))
+            .mapInPandas(take_in_turn, "seq BIGINT, ProductID BIGINT, Quantity INT, StockAfter BIGINT"))
 
 
 def decide(requests: DataFrame, inventory: DataFrame, products: DataFrame, customers: DataFrame,
@@ -100,11 +98,12 @@ def decide(requests: DataFrame, inventory: DataFrame, products: DataFrame, custo
     stocked = (inventory.select("ProductID", F.col("QuantityOnHand").cast("long").alias("OnHand"))
                .join(products.select("ProductID", "UnitPrice"), "ProductID"))
     method = F.substring("PaymentMethod", 1, 20)
-    known = lookup_join(requests.withColumn("PaymentMethod", method), stocked, ["ProductID"], spread, "left")
+    known = lookup_join(requests.withColumn("PaymentMethod", method), stocked, ["ProductID"], spread, "left",
+                        bound=inventory)
     for flag, table, column in (("_customer", customers, "CustomerID"), ("_employee", employees, "EmployeeID"),
                                 ("_address", addresses, "AddressID")):
         known = lookup_join(known, table.select(column, F.lit(True).alias(flag)), [column], spread, "left",
-                            hot=hot_keys(requests, [column]))
+                            hot_in=requests)
     # The order header is written first, then the line, then the payment.
     fault = (F.when(F.col("CustomerID").isNull() | F.col("AddressID").isNull() | F.col("Quantity").isNull(),
                     F.lit(errors.NULL_VALUE))
@@ -122,7 +121,7 @@ def decide(requests: DataFrame, inventory: DataFrame, products: DataFrame, custo
     demand = (checked.where("_sound").groupBy("ProductID").agg(F.sum("Quantity").alias("_demand"))
               .join(stocked.select("ProductID", "OnHand"), "ProductID")
               .where(F.col("_demand") > F.col("OnHand")).select("ProductID", F.lit(True).alias("_contested")))
-    marked = lookup_join(checked, demand, ["ProductID"], spread, "left", hot=hot_keys(checked, ["ProductID"]))
+    marked = lookup_join(checked, demand, ["ProductID"], spread, "left", bound=inventory)
     marked = materialize(marked.withColumn("_contested", F.coalesce("_contested", F.lit(False))), "contested")
     turns = materialize(_contested(marked.where("_sound AND _contested")), "turns")
 

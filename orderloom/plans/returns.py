@@ -12,7 +12,7 @@ from orderloom.functions.money import amount
 from orderloom.functions.picks import pick
 from orderloom.operators.keys import highest
 from orderloom.operators.sampling import sample_rows
-from orderloom.operators.skew import hot_keys, lookup_join
+from orderloom.operators.skew import lookup_join
 from orderloom.session import materialize
 
 
@@ -48,7 +48,7 @@ def process_returns(requests: DataFrame, lines: DataFrame, payments: DataFrame,
              .when(F.col("QuantityReturned") <= 0, F.lit(errors.CONSTRAINT))
              .when(F.col("_paid").isNull(), F.lit(errors.NO_PAYMENT)))
     decided = materialize(
-        lookup_join(priced, paid, ["OrderID"], ["seq"], "left", hot=hot_keys(priced, ["OrderID"]))
+        lookup_join(priced, paid, ["OrderID"], ["seq"], "left", hot_in=priced)
         .select("seq", "OrderDetailID", "OrderID", "QuantityReturned", "Reason", sound.alias("Accepted"),
                 F.when(sound, amount(F.col("UnitPrice") * F.col("QuantityReturned"))).alias("RefundAmount"),
                 fault.cast("int").alias("ErrorNumber")), "returns")

@@ -85,8 +85,10 @@ class TableStore:
     def publish(self, versions: Mapping[str, int], at: datetime) -> None:
         """Make the given versions current, all at once."""
         current = self.versions()
-        rows = [(name, version, at) for name, version in versions.items()]
-        self.spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").json(self._log_path())
+        rows = F.array(*[F.struct(F.lit(name).alias("table"), F.lit(version).alias("version"),
+                                  F.lit(at).cast("timestamp_ntz").alias("at")) for name, version in versions.items()])
+        # One task, hence one file: the log gains all rows or none.
+        self.spark.range(0, 1, 1, 1).select(F.inline(rows)).write.mode("append").json(self._log_path())
         self._current = {**current, **versions}
 
     def write(self, name: str, df: DataFrame, at: datetime, partition_by: Sequence[str] = ()) -> None:

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from threading import RLock
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from orderloom.model import OLTP
 from orderloom.plans import orders as order_jobs
 from orderloom.plans import returns as return_jobs
 from orderloom.plans.full_load import load_returns, run_full_load
-from orderloom.session import scratch_path
+from orderloom.session import materialize, scratch_path
 from orderloom.sources import adapter
 from orderloom.sources.tables import TableStore
 
 # The moments of the first and the second load; both lie after every order and inside the calendar.
 FIRST_LOAD = datetime(2001, 12, 1)
 SECOND_LOAD = datetime(2001, 12, 2)
+T = TypeVar("T")
 _opened: dict[tuple[str, str], "Workspace"] = {}
 _lock = RLock()
 
@@ -27,16 +32,22 @@ class Workspace:
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory.rstrip("/")
-        self.store = TableStore(spark, scratch_path(spark, "workspace"))
-        self._lines: DataFrame | None = None
-        self._star_loaded = False
+        self.store = TableStore(spark, scratch_path(spark, "star"))
+        self._made: dict[str, object] = {}
+        self._turns: dict[str, RLock] = {}
+
+    def once(self, name: str, make: Callable[[], T]) -> T:
+        """The result of ``make``, which runs on the first call for ``name`` only."""
+        with _lock:
+            turn = self._turns.setdefault(name, RLock())
+        with turn:
+            if name not in self._made:
+                self._made[name] = make()
+            return self._made[name]
 
     def order_lines(self) -> DataFrame:
         """Order lines with their return flag."""
-        with _lock:
-            if self._lines is None:
-                self._lines = adapter.order_lines(self.spark, self.directory)
-            return self._lines
+        return self.once("order lines", lambda: adapter.order_lines(self.spark, self.directory))
 
     def _make(self, name: str) -> DataFrame:
         spark, directory = self.spark, self.directory
@@ -57,17 +68,18 @@ class Workspace:
         return makers[name](spark, directory)
 
     def table(self, name: str) -> DataFrame:
+        """A retail table; written when first asked for."""
         if name == "OrderDetails":
             return self.order_lines().drop("ReturnFlag")
-        with _lock:
-            if not self.store.exists(name):
-                self.store.write(name, self._make(name), FIRST_LOAD)
-            return self.store.read(name)
+        columns = [f.name for f in OLTP[name].schema.fields]
+        return self.once(name, lambda: materialize(self._make(name).select(*columns), name))
 
     def oltp(self) -> dict[str, DataFrame]:
-        names = ["Categories", "Suppliers", "Employees", "Customers", "ShippingAddresses", "Products", "Inventory",
-                 "OrderDetails", "Orders"]
-        return {name: self.table(name) for name in names}
+        """The tables the star schema is loaded from. Tables that do not need each other are made side by side."""
+        names = ["OrderDetails", "Categories", "Customers", "ShippingAddresses", "Employees", "Suppliers", "Inventory",
+                 "Products", "Orders"]
+        with ThreadPoolExecutor(4) as pool:
+            return dict(zip(names, pool.map(self.table, names)))
 
     def calendar(self) -> tuple[date, date]:
         """Whole years around all orders and loads."""
@@ -77,12 +89,10 @@ class Workspace:
 
     def star(self, name: str) -> DataFrame:
         """A table of the star schema after the first full load."""
-        with _lock:
-            if not self._star_loaded:
-                run_full_load(self.store, self.oltp(), FIRST_LOAD, self.calendar())
-                self._star_loaded = True
-            if name == "FactReturns" and not self.store.exists(name):
-                load_returns(self.store, {**self.oltp(), "Returns": self.table("Returns")}, None, FIRST_LOAD)
+        self.once("star", lambda: run_full_load(self.store, self.oltp(), FIRST_LOAD, self.calendar()))
+        if name == "FactReturns":
+            sources = {**self.oltp(), "Returns": self.table("Returns")}
+            self.once("return facts", lambda: load_returns(self.store, sources, None, FIRST_LOAD))
         return self.store.read(name)
 
 
