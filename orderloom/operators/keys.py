@@ -42,8 +42,9 @@ def rank_keys(df: DataFrame, key: str, order: Sequence[str], start: Column | int
         .withColumn("_at", F.monotonically_increasing_id()), label)
     part = F.shiftright("_at", _ROW_BITS)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (written.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
-              .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift")))
+    shifts = materialize(
+        written.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift")), label + "-shifts")
     first = start if isinstance(start, Column) else F.lit(start)
     local = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (written.withColumn("_part", part).join(F.broadcast(shifts), "_part")

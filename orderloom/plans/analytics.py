@@ -43,7 +43,8 @@ def top_customers_by_region(fact: DataFrame, dim_customer: DataFrame, dim_employ
     """
     sold = (fact.where(F.col("EmployeeKey").isNotNull()).groupBy("CustomerKey", "EmployeeKey")
             .agg(F.sum("LineTotal").alias("_sales")))
-    regional = (sold.join(dim_employee.select("EmployeeKey", "Region"), "EmployeeKey")
+    staff = dim_employee.select("EmployeeKey", "Region")
+    regional = (lookup_join(sold, staff, ["EmployeeKey"], ["CustomerKey"], hot_in=fact)
                 .groupBy("CustomerKey", "Region").agg(F.sum("_sales").alias("_sales")))
     revenue = (regional.join(dim_customer.select("CustomerKey", "FullName"), "CustomerKey")
                .groupBy("Region", "FullName").agg(F.sum("_sales").cast(AMOUNT).alias("Revenue")))

@@ -74,7 +74,7 @@ def _contested(sound: DataFrame) -> DataFrame:
             yield pd.DataFrame({"seq": batch["seq"], "ProductID": batch["ProductID"],
                                 "Quantity": batch["Quantity"], "StockAfter": pd.array(left, dtype="Int64")})
 
-    enough = F.floor(F.col("OnHand") / F.col("Quantity"))
+    enough = F.expr("OnHand DIV Quantity")
     salted = Window.partitionBy("ProductID", "Quantity", F.pmod("seq", F.lit(SALTS))).orderBy("seq")
     whole = Window.partitionBy("ProductID", "Quantity").orderBy("seq")
     chances = (sound.where(F.col("Quantity") <= F.col("OnHand"))

@@ -14,7 +14,7 @@ from orderloom.operators.columns import with_defaults
 from orderloom.operators.keys import highest, offset_keys, rank_keys
 from orderloom.plans import analytics, audit, dimensions, facts, reports, returns, stock
 from orderloom.plans import full_load, orders as order_jobs
-from orderloom.session import scratch_path
+from orderloom.session import materialize, scratch_path
 from orderloom.sources import adapter, generator
 from orderloom.sources.tables import TableStore
 from orderloom.sources.workspace import FIRST_LOAD, SECOND_LOAD, Workspace, workspace
@@ -98,8 +98,8 @@ def dim_date(w: Workspace) -> DataFrame:
 
 def _customers_twice(w: Workspace) -> tuple[DataFrame, DataFrame]:
     customers = w.table("Customers")
-    first = dimensions.load_dim_customer(_empty(w, "DimCustomer"), scenario.first_customers(customers),
-                                         FIRST_LOAD.date())
+    first = materialize(dimensions.load_dim_customer(
+        _empty(w, "DimCustomer"), scenario.first_customers(customers), FIRST_LOAD.date()), "first-customers")
     return first, dimensions.load_dim_customer(first, scenario.later_customers(customers), SECOND_LOAD.date())
 
 
@@ -119,8 +119,8 @@ def dim_customer_scd2_rerun(w: Workspace) -> DataFrame:
 
 def _products_twice(w: Workspace) -> tuple[DataFrame, DataFrame]:
     products, categories, suppliers = w.table("Products"), w.table("Categories"), w.table("Suppliers")
-    first = dimensions.load_dim_product(_empty(w, "DimProduct"), scenario.first_products(products), categories,
-                                        suppliers)
+    first = materialize(dimensions.load_dim_product(
+        _empty(w, "DimProduct"), scenario.first_products(products), categories, suppliers), "first-products")
     return first, dimensions.load_dim_product(first, scenario.later_products(products), categories, suppliers)
 
 
@@ -160,7 +160,7 @@ def fact_sales_merge(w: Workspace) -> DataFrame:
                                   products[turn], w.star("DimEmployee"), w.star("DimGeography"))
 
     lines = w.table("OrderDetails")
-    first = facts.first_sales(source(0, lines), FIRST_LOAD)
+    first = materialize(facts.first_sales(source(0, lines), FIRST_LOAD), "first-sales")
     return facts.merge_sales(first, source(1, scenario.later_lines(lines)), SECOND_LOAD)
 
 
