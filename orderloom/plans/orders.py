@@ -55,7 +55,7 @@ def _contested(sound: DataFrame) -> DataFrame:
     is served, every earlier one for the same product and quantity was served too. Hence only the first
     on-hand / quantity requests of each quantity can be served, and a product has at most
     on-hand x (1 + ln on-hand) of them, however many requests it gets. The rest is turned away before the
-    requests of a product meet: once per salt, then once per product.
+    requests of a product meet: first per salt, then per quantity.
     """
     def take_in_turn(batches):
         """Rows come sorted by product and turn; the stock of the product at hand is kept between batches."""
@@ -80,9 +80,8 @@ def _contested(sound: DataFrame) -> DataFrame:
     chances = (sound.where(F.col("Quantity") <= F.col("OnHand"))
                .select("seq", "ProductID", "Quantity", "OnHand")
                .withColumn("_n", F.row_number().over(salted)).where(F.col("_n") <= enough)
-               .repartition("ProductID")
                .withColumn("_n", F.row_number().over(whole)).where(F.col("_n") <= enough))
-    return (chances.select("seq", "ProductID", "Quantity", "OnHand")
+    return (chances.select("seq", "ProductID", "Quantity", "OnHand").repartition("ProductID")
             .sortWithinPartitions("ProductID", "seq")
             .mapInPandas(take_in_turn, "seq BIGINT, ProductID BIGINT, Quantity INT, StockAfter BIGINT"))
 
@@ -136,7 +135,7 @@ def decide(requests: DataFrame, inventory: DataFrame, products: DataFrame, custo
     # Faulty requests take nothing, but short stock at their turn is reported before the fault. As stock
     # only falls, it is short for a quantity from one certain turn on.
     faulty = marked.where("NOT _sound")
-    short = _short_from(faulty, marked.where("_sound AND NOT _contested"), turns)
+    short = materialize(_short_from(faulty, marked.where("_sound AND NOT _contested"), turns), "short-stock")
     number = (F.when(F.col("OnHand").isNull(), F.lit(errors.UNKNOWN_PRODUCT))
               .when(F.col("_short_from") < F.col("seq"), F.lit(errors.INSUFFICIENT_STOCK))
               .otherwise(F.col("_fault")))

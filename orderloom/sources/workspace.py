@@ -45,6 +45,11 @@ class Workspace:
                 self._made[name] = make()
             return self._made[name]
 
+    def forget(self, name: str) -> None:
+        """Let the next call of ``once`` for ``name`` run again."""
+        with _lock:
+            self._made.pop(name, None)
+
     def order_lines(self) -> DataFrame:
         """Order lines with their return flag."""
         return self.once("order lines", lambda: adapter.order_lines(self.spark, self.directory))
