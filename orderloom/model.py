@@ -6,6 +6,7 @@ neither overflows on very large tables. Everything else has the width of the ret
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql.types import StructType
@@ -39,7 +40,8 @@ class Table:
 
     @property
     def required(self) -> list[str]:
-        return [f.name for f in self.schema.fields if not f.nullable]
+        """Columns that must not be NULL, read from the text so that no session is needed."""
+        return re.findall(r"(\w+) \w+(?:\([\d,]+\))? NOT NULL", self.columns)
 
 
 def _fk(column: str, parent: str, parent_column: str | None = None) -> ForeignKey:

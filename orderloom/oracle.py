@@ -8,28 +8,33 @@ from __future__ import annotations
 
 import re
 
+from orderloom.model import OLTP
+
 FIRST = "TIMESTAMP '2001-12-01 00:00:00'"
 FIRST_DAY = "DATE '2001-12-01'"
 SECOND = "TIMESTAMP '2001-12-02 00:00:00'"
 SECOND_DAY = "DATE '2001-12-02'"
 
 _tables: dict[str, str] = {
-    "m_Categories": """SELECT row_number() OVER (ORDER BY p_type) AS CategoryID, p_type AS CategoryName
-        FROM (SELECT DISTINCT p_type FROM part) t""",
-    "m_Suppliers": """SELECT s_suppkey AS SupplierID, s_name AS SupplierName, n_name AS Country
-        FROM supplier JOIN nation ON n_nationkey = s_nationkey""",
+    "m_Categories": """SELECT row_number() OVER (ORDER BY p_type) AS CategoryID, p_type AS CategoryName,
+            CAST(NULL AS VARCHAR) AS Description FROM (SELECT DISTINCT p_type FROM part) t""",
+    "m_Suppliers": """SELECT s_suppkey AS SupplierID, s_name AS SupplierName, n_name AS Country,
+            CAST(NULL AS VARCHAR) AS ContactEmail, CAST(NULL AS VARCHAR) AS Phone,
+            TIMESTAMP '2001-12-01 00:00:00' AS CreatedAt FROM supplier JOIN nation ON n_nationkey = s_nationkey""",
     "m_Employees": """SELECT s_suppkey AS EmployeeID, 'Emp' AS FirstName, s_name AS LastName,
             CASE WHEN s_suppkey = 0 THEN NULL ELSE CAST(floor((s_suppkey - 1) / 3) AS BIGINT) END AS ManagerID,
             CASE WHEN s_suppkey = 0 THEN 'Sales Director' WHEN s_suppkey <= 3 THEN 'Sales Manager'
-                 ELSE 'Sales Executive' END AS Title, r_name AS Region
+                 ELSE 'Sales Executive' END AS Title, DATE '1995-01-01' AS HireDate, r_name AS Region
         FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "m_Customers": """SELECT c_custkey AS CustomerID, 'Cust' AS FirstName, c_name AS LastName,
             concat('customer', CAST(c_custkey AS VARCHAR), '@example.com') AS Email,
-            DATE '1995-01-01' AS SignupDate,
+            CAST(NULL AS VARCHAR) AS Phone, DATE '1995-01-01' AS SignupDate,
             CASE WHEN c_custkey % 20 = 0 THEN 'VIP' WHEN c_custkey % 5 = 0 THEN 'Premium'
                  ELSE 'Standard' END AS CustomerSegment, c_custkey % 37 <> 0 AS IsActive FROM customer""",
     "m_Addresses": """SELECT c_custkey AS AddressID, c_custkey AS CustomerID,
-            concat('CITY_', CAST(c_custkey % 10 AS VARCHAR)) AS City, n_name AS State, r_name AS Country
+            concat('CITY_', CAST(c_custkey % 10 AS VARCHAR)) AS City, n_name AS State, r_name AS Country,
+            concat(CAST(c_custkey % 999 AS VARCHAR), ' Main Street') AS AddressLine1,
+            CAST(100000 + c_custkey % 899999 AS VARCHAR) AS PostalCode, TRUE AS IsDefault
         FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "m_Products": """SELECT p_partkey AS ProductID, p_name AS ProductName, CategoryID,
             p_partkey % (SELECT count(*) FROM supplier) AS SupplierID,
@@ -493,9 +498,10 @@ _selects: dict[str, str] = {
             CAST({FIRST_DAY} - CAST({_pick('d.i', 'day', 730)} AS INT) AS TIMESTAMP) AS OrderDate,
             CASE {_pick('d.i', 'status', 20)} WHEN 0 THEN 'Cancelled' WHEN 1 THEN 'Pending' ELSE 'Delivered' END
                 AS OrderStatus, CAST(0 AS {_AMOUNT}) AS TotalAmount
-        FROM (SELECT unnest(generate_series(1, 12 * (SELECT count(*) FROM customer))) AS i) d
-        JOIN m_NumberedCustomers c ON c.n = {_pick('d.i', 'customer', '(SELECT count(*) FROM customer)')}
-        JOIN m_NumberedEmployees e ON e.n = {_pick('d.i', 'employee', '(SELECT count(*) FROM supplier)')}""",
+        FROM (SELECT i, {_pick('i', 'customer', 'customers')} AS buyer, {_pick('i', 'employee', 'employees')} AS seller
+              FROM (SELECT count(*) AS customers, (SELECT count(*) FROM supplier) AS employees,
+                        unnest(generate_series(1, 12 * count(*))) AS i FROM customer) k) d
+        JOIN m_NumberedCustomers c ON c.n = d.buyer JOIN m_NumberedEmployees e ON e.n = d.seller""",
     "generated_lines": f"""SELECT t.OrderDetailID, t.OrderID, p.ProductID,
             CAST(1 + {_pick('t.OrderDetailID', 'quantity', 5)} AS INT) AS Quantity, p.UnitPrice, Discount,
             CAST((1 + {_pick('t.OrderDetailID', 'quantity', 5)}) * p.UnitPrice * (1 - Discount) AS DECIMAL(18,4))
@@ -518,5 +524,44 @@ _selects: dict[str, str] = {
 _selects["segment_one_pass"] = _selects["segment_set_ops"]
 
 
+# The rules of the contracts, counted one by one. Unchecked order lines stand in for the order lines.
+_CHECKED = {"Categories": "m_Categories", "Suppliers": "m_Suppliers", "Employees": "m_Employees",
+            "Customers": "m_Customers", "ShippingAddresses": "m_Addresses", "Products": "m_Products",
+            "Inventory": "m_Inventory", "OrderDetails": "m_Unchecked", "Orders": "m_Orders",
+            "Payments": "m_Payments", "Returns": "m_Returns"}
+
+
+def _rule_counts() -> str:
+    counts = []
+
+    def count(rule: str, source: str, broken: str = "TRUE") -> None:
+        counts.append(f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE {broken}) AS violations FROM {source}")
+
+    for name, view in _CHECKED.items():
+        table = OLTP[name]
+        for column in table.required:
+            count(f"{name}.{column} not null", view, f"{column} IS NULL")
+        for column, allowed in table.domains.items():
+            count(f"{name}.{column} domain", view, f"{column} NOT IN {allowed}")
+        for column, condition in table.ranges.items():
+            count(f"{name}.{column} range", view, f"NOT ({condition})")
+        for column, limit in table.lengths.items():
+            count(f"{name}.{column} length", view, f"length({column}) > {limit}")
+        for columns in (table.key, *table.unique):
+            text = ",".join(columns)
+            count(f"{name}.{text} unique", f"(SELECT {text} FROM {view} GROUP BY {text} HAVING count(*) > 1) t")
+        for fk in table.foreign:
+            parent = "m_Lines" if fk.parent == "OrderDetails" else _CHECKED[fk.parent]
+            child = fk.columns[0]
+            count(f"{name}.{child} references {fk.parent}",
+                  f"(SELECT DISTINCT {child} AS k FROM {view}) c "
+                  f"LEFT JOIN (SELECT {fk.parent_columns[0]} AS p FROM {parent}) q ON q.p = c.k",
+                  "k IS NOT NULL AND p IS NULL")
+    return "\nUNION ALL ".join(counts)
+
+
+_selects["constraint_violations"] = _rule_counts()
+
+
 def all_oracles() -> dict[str, str]:
     return {name: with_tables(select) for name, select in _selects.items()}
