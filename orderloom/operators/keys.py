@@ -17,20 +17,24 @@ def highest(df: DataFrame, column: str) -> Column:
     return df.agg(F.coalesce(F.max(column), F.lit(0)).cast("long").alias("top")).scalar()
 
 
-def offset_keys(df: DataFrame, key: str, natural: str, start: Column | int = 0) -> DataFrame:
+def offset_keys(df: DataFrame, key: str, natural: str, start: Column | int = 0,
+                base: DataFrame | None = None) -> DataFrame:
     """Keys after ``start`` that follow a unique whole-number column, with its gaps.
 
-    Needs no shuffle and no second look at the rows: only the smallest natural value is looked up.
+    Needs no shuffle: only the smallest natural value is looked up, in ``base``, the stored table ``df`` takes
+    the values from, so that ``df`` itself is computed once.
     """
-    least = df.agg(F.min(natural).alias("least")).scalar()
+    least = (df if base is None else base).agg(F.min(natural).alias("least")).scalar()
     first = start if isinstance(start, Column) else F.lit(start)
     return df.withColumn(key, (first + 1 + F.col(natural) - least).cast("long"))
 
 
 def rank_keys(df: DataFrame, key: str, order: Sequence[str], start: Column | int = 0,
-              label: str = "ranked") -> DataFrame:
+              label: str = "ranked", keep: Sequence[str] | None = None) -> DataFrame:
     """Keys start+1, start+2, ... without gaps in the order of ``order``, which must tell all rows apart.
 
+    The result has the columns ``keep`` (all by default) and the key.
+
     The rows are range-partitioned on the whole order, so one frequent leading value is split over tasks,
     numbered inside their partition while they are written to the shared folder, and shifted by the number
     of rows in the partitions before. The only data brought to one place is one count per partition. As the
@@ -39,7 +43,7 @@ def rank_keys(df: DataFrame, key: str, order: Sequence[str], start: Column | int
     order = list(order)
     written = materialize(
         df.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id()), label)
+        .select(*(df.columns if keep is None else keep), F.monotonically_increasing_id().alias("_at")), label)
     part = F.shiftright("_at", _ROW_BITS)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = materialize(

@@ -89,7 +89,7 @@ _tables: dict[str, str] = {
     "m_ProductSource": """SELECT ProductID, ProductName, CategoryName, SupplierName, UnitPrice, Discontinued
         FROM m_Products p JOIN m_Categories c ON c.CategoryID = p.CategoryID
         JOIN m_Suppliers s ON s.SupplierID = p.SupplierID""",
-    "m_DimProduct": """SELECT 1 + ProductID - (SELECT min(ProductID) FROM m_ProductSource) AS ProductKey, *
+    "m_DimProduct": """SELECT 1 + ProductID - (SELECT min(ProductID) FROM m_Products) AS ProductKey, *
         FROM m_ProductSource""",
     "m_DimEmployee": """SELECT 1 + EmployeeID - (SELECT min(EmployeeID) FROM m_Employees) AS EmployeeKey, EmployeeID,
             concat(FirstName, ' ', LastName) AS FullName, Title, Region FROM m_Employees""",
@@ -104,7 +104,7 @@ _tables: dict[str, str] = {
         JOIN m_DimProduct dp ON dp.ProductID = l.ProductID
         LEFT JOIN m_DimEmployee de ON de.EmployeeID = o.EmployeeID
         JOIN m_DimGeography dg ON dg.City = a.City AND dg.State = a.State AND dg.Country = a.Country""",
-    "m_FactSales": f"""SELECT 1 + OrderDetailID - (SELECT min(OrderDetailID) FROM m_SalesSource) AS SalesKey, *,
+    "m_FactSales": f"""SELECT 1 + OrderDetailID - (SELECT min(OrderDetailID) FROM m_Lines) AS SalesKey, *,
             {FIRST} AS LoadedAt FROM m_SalesSource""",
 
     # Customers and products over two loads.
@@ -131,7 +131,7 @@ _tables: dict[str, str] = {
             CAST(CASE WHEN p.ProductID % 11 = 0 THEN p.UnitPrice + 5 ELSE p.UnitPrice END AS DECIMAL(10,2)) AS UnitPrice,
             p.ProductID % 29 = 0 OR p.Discontinued AS Discontinued
         FROM m_Products p JOIN m_ProductSource s ON s.ProductID = p.ProductID""",
-    "m_DimProduct1": """SELECT 1 + ProductID - (SELECT min(ProductID) FROM m_ProductSource WHERE NOT Discontinued)
+    "m_DimProduct1": """SELECT 1 + ProductID - (SELECT min(ProductID) FROM m_Products WHERE NOT Discontinued)
             AS ProductKey, * FROM m_ProductSource WHERE NOT Discontinued""",
     "m_DimProduct2": """SELECT d.ProductKey, d.ProductID,
             CASE WHEN x THEN s.ProductName ELSE d.ProductName END AS ProductName,
@@ -149,7 +149,7 @@ _tables: dict[str, str] = {
             CAST(Pieces * UnitPrice * (1 - Discount) AS DECIMAL(18,4)) AS LineTotal
         FROM (SELECT *, CAST(CASE WHEN Discount >= 0.05 THEN Quantity + 1 ELSE Quantity END AS INT) AS Pieces
               FROM m_Lines) t""",
-    "m_Sales1": f"""SELECT 1 + OrderDetailID - min(OrderDetailID) OVER () AS SalesKey, * FROM (
+    "m_Sales1": f"""SELECT 1 + OrderDetailID - (SELECT min(OrderDetailID) FROM m_Lines) AS SalesKey, * FROM (
             SELECT l.OrderDetailID, CAST(strftime(o.OrderDate, '%Y%m%d') AS INT) AS DateKey, dc.CustomerKey,
                 dp.ProductKey, de.EmployeeKey, dg.GeographyKey, l.Quantity, l.UnitPrice, l.Discount,
                 CAST(l.LineTotal AS DECIMAL(12,2)) AS LineTotal, {FIRST} AS LoadedAt
@@ -356,7 +356,7 @@ _selects: dict[str, str] = {
             f.GeographyKey, s.Quantity, s.UnitPrice, s.Discount, s.LineTotal, f.LoadedAt
         FROM m_Sales1 f JOIN m_Sales2 s ON s.OrderDetailID = f.OrderDetailID
         UNION ALL
-        SELECT (SELECT max(SalesKey) FROM m_Sales1) + 1 + s.OrderDetailID - (SELECT min(OrderDetailID) FROM m_Sales2),
+        SELECT (SELECT max(SalesKey) FROM m_Sales1) + 1 + s.OrderDetailID - (SELECT min(OrderDetailID) FROM m_Lines),
             s.* FROM m_Sales2 s WHERE s.OrderDetailID NOT IN (SELECT OrderDetailID FROM m_Sales1)""",
     "fact_sales_outside_calendar": """SELECT 'sales day known' AS rule, CAST(DateKey AS VARCHAR) AS key,
             concat(CAST(count(*) AS VARCHAR), ' rows') AS detail

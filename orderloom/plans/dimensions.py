@@ -48,7 +48,7 @@ def load_dim_product(dim: DataFrame, products: DataFrame, categories: DataFrame,
                      suppliers: DataFrame) -> DataFrame:
     """Products, overwritten as a whole when price, sale state or category changed, and only then."""
     source = product_source(products, categories, suppliers)
-    fresh = offset_keys(source, "ProductKey", "ProductID", highest(dim, "ProductKey"))
+    fresh = offset_keys(source, "ProductKey", "ProductID", highest(dim, "ProductKey"), products)
     changed = ("t.UnitPrice <> s.UnitPrice OR t.Discontinued <> s.Discontinued "
                "OR t.CategoryName <> s.CategoryName")
     return merge_upsert(dim, fresh, ["ProductID"],

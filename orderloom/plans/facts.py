@@ -51,19 +51,21 @@ def sales_source(lines: DataFrame, orders: DataFrame, addresses: DataFrame, dim_
         "UnitPrice", "Discount", F.col("LineTotal").cast("decimal(12,2)").alias("LineTotal"))
 
 
-def first_sales(source: DataFrame, as_of: datetime, start: Column | int = 0) -> DataFrame:
-    """The rows of a first load, or of lines that are all new."""
-    return offset_keys(source, "SalesKey", "OrderDetailID", start).withColumn(
+def first_sales(source: DataFrame, lines: DataFrame, as_of: datetime, start: Column | int = 0) -> DataFrame:
+    """The rows of a first load, or of lines that are all new. ``lines`` are the order lines in the source."""
+    return offset_keys(source, "SalesKey", "OrderDetailID", start, lines).withColumn(
         "LoadedAt", F.lit(as_of).cast("timestamp_ntz"))
 
 
-def merge_sales(fact: DataFrame, source: DataFrame, as_of: datetime) -> DataFrame:
+def merge_sales(fact: DataFrame, source: DataFrame, lines: DataFrame, as_of: datetime,
+                start: Column | None = None) -> DataFrame:
     """The sales fact after an upsert by order line.
 
     Known lines take quantity, price, discount and total, and keep all their keys: a sale stays with the
-    customer version it was first loaded for.
+    customer version it was first loaded for. ``fact`` may be cut to the months that hold or get lines of
+    ``source``, ``start`` is then the highest key of the whole table.
     """
-    fresh = first_sales(source, as_of, highest(fact, "SalesKey"))
+    fresh = first_sales(source, lines, as_of, highest(fact, "SalesKey") if start is None else start)
     return merge_upsert(fact, fresh, ["OrderDetailID"], ["Quantity", "UnitPrice", "Discount", "LineTotal"])
 
 
@@ -75,10 +77,11 @@ def snapshot_source(inventory: DataFrame, products: DataFrame, dim_product: Data
             .select(F.lit(today).alias("DateKey"), "ProductKey", "QuantityOnHand", "ReorderLevel"))
 
 
-def merge_snapshot(fact: DataFrame, source: DataFrame, as_of: datetime, start: Column) -> DataFrame:
+def merge_snapshot(fact: DataFrame, source: DataFrame, dim_product: DataFrame, as_of: datetime,
+                   start: Column) -> DataFrame:
     """Snapshot rows after an upsert by day and product. ``fact`` may be cut to the days of ``source``,
-    ``start`` is then the highest key of the whole table."""
-    fresh = offset_keys(source, "SnapshotKey", "ProductKey", start).withColumn(
+    ``start`` is the highest key of the whole table."""
+    fresh = offset_keys(source, "SnapshotKey", "ProductKey", start, dim_product).withColumn(
         "LoadedAt", F.lit(as_of).cast("timestamp_ntz"))
     return merge_upsert(fact, fresh, ["DateKey", "ProductKey"], ["QuantityOnHand", "ReorderLevel"])
 
@@ -110,9 +113,9 @@ def returns_source(returns: DataFrame, lines: DataFrame, orders: DataFrame, dim_
         "QuantityReturned", "RefundAmount"))
 
 
-def merge_returns(fact: DataFrame, source: DataFrame) -> DataFrame:
+def merge_returns(fact: DataFrame, source: DataFrame, returns: DataFrame) -> DataFrame:
     """Return facts after an upsert by return: the refund day and the amounts move on, the keys stay."""
-    fresh = offset_keys(source, "ReturnKey", "ReturnID", highest(fact, "ReturnKey"))
+    fresh = offset_keys(source, "ReturnKey", "ReturnID", highest(fact, "ReturnKey"), returns)
     return merge_upsert(fact, fresh, ["ReturnID"],
                         ["RefundDateKey", "QuantityReturned", "RefundAmount", "DaysToRefund"])
 

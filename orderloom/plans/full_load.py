@@ -61,7 +61,8 @@ def _load_sales(store: TableStore, oltp: Sources, as_of: datetime) -> None:
         store.read("DimProduct"), store.read("DimEmployee"), store.read("DimGeography"))
     calendar = store.read("DimDate")
     if not store.exists("FactSales"):
-        version = store.stage("FactSales", _by_month(facts.first_sales(source, as_of)), [facts.SALES_MONTH])
+        version = store.stage("FactSales", _by_month(
+            facts.first_sales(source, oltp["OrderDetails"], as_of)), [facts.SALES_MONTH])
         facts.require_dates(store.staged("FactSales", version), calendar)
         store.publish({"FactSales": version}, as_of)
         return
@@ -78,20 +79,19 @@ def _load_sales(store: TableStore, oltp: Sources, as_of: datetime) -> None:
     arriving = facts.with_month(source).select(facts.SALES_MONTH)
     months = sorted(r[0] for r in held.union(arriving).distinct().collect())  # at most the calendar's months
     touched = fact.where(F.col(facts.SALES_MONTH).isin(months))
-    fresh = facts.first_sales(source, as_of, highest(fact, "SalesKey"))
-    merged = facts.merge_upsert(touched.drop(facts.SALES_MONTH), fresh, ["OrderDetailID"],
-                                ["Quantity", "UnitPrice", "Discount", "LineTotal"])
+    merged = facts.merge_sales(touched.drop(facts.SALES_MONTH), source, source, as_of, highest(fact, "SalesKey"))
     ready = materialize(facts.with_month(merged), "sales-merged")
     store.replace_partitions("FactSales", ready.hint("rebalance", facts.SALES_MONTH), [facts.SALES_MONTH])
 
 
 def _load_snapshot(store: TableStore, oltp: Sources, as_of: datetime) -> None:
     day = as_of.date()
-    source = facts.snapshot_source(oltp["Inventory"], oltp["Products"], store.read("DimProduct"), day)
+    dim = store.read("DimProduct")
+    source = facts.snapshot_source(oltp["Inventory"], oltp["Products"], dim, day)
     facts.require_dates(source, store.read("DimDate"))
     fact = store.read("FactInventorySnapshot")
     today = fact.where(F.col("DateKey") == day.year * 10000 + day.month * 100 + day.day)
-    merged = materialize(facts.merge_snapshot(today, source, as_of, highest(fact, "SnapshotKey")), "snapshot")
+    merged = materialize(facts.merge_snapshot(today, source, dim, as_of, highest(fact, "SnapshotKey")), "snapshot")
     if store.exists("FactInventorySnapshot"):
         store.replace_partitions("FactInventorySnapshot", merged, ["DateKey"])
     else:
@@ -149,7 +149,7 @@ def load_returns(store: TableStore, oltp: Sources, refunds: DataFrame | None, as
     """Load the return facts from the returns recorded so far."""
     source = facts.returns_source(oltp["Returns"], oltp["OrderDetails"], oltp["Orders"],
                                   store.read("DimCustomer"), store.read("DimProduct"), refunds)
-    fact = facts.merge_returns(store.read("FactReturns"), source)
+    fact = facts.merge_returns(store.read("FactReturns"), source, oltp["Returns"])
     version = store.stage("FactReturns", fact)
     for column in ("OrderDateKey", "ReturnDateKey", "RefundDateKey"):
         facts.require_dates(store.staged("FactReturns", version), store.read("DimDate"), column)

@@ -160,8 +160,8 @@ def fact_sales_merge(w: Workspace) -> DataFrame:
                                   products[turn], w.star("DimEmployee"), w.star("DimGeography"))
 
     lines = w.table("OrderDetails")
-    first = materialize(facts.first_sales(source(0, lines), FIRST_LOAD), "first-sales")
-    return facts.merge_sales(first, source(1, scenario.later_lines(lines)), SECOND_LOAD)
+    first = materialize(facts.first_sales(source(0, lines), lines, FIRST_LOAD), "first-sales")
+    return facts.merge_sales(first, source(1, scenario.later_lines(lines)), lines, SECOND_LOAD)
 
 
 @query
@@ -180,7 +180,7 @@ def inventory_snapshot_merge(w: Workspace) -> DataFrame:
     fact = _empty(w, "FactInventorySnapshot")
     for rows, as_of in ((inventory, FIRST_LOAD), (restocked, FIRST_LOAD), (restocked, SECOND_LOAD)):
         source = facts.snapshot_source(rows, products, dim, as_of.date())
-        fact = facts.merge_snapshot(fact, source, as_of, highest(fact, "SnapshotKey"))
+        fact = facts.merge_snapshot(fact, source, dim, as_of, highest(fact, "SnapshotKey"))
     return fact
 
 
@@ -195,7 +195,7 @@ def fact_returns_refunded(w: Workspace) -> DataFrame:
     made = w.table("Returns")
     source = facts.returns_source(made, w.table("OrderDetails"), w.table("Orders"), w.star("DimCustomer"),
                                   w.star("DimProduct"), scenario.refunds_paid(made))
-    return facts.merge_returns(w.star("FactReturns"), source)
+    return facts.merge_returns(w.star("FactReturns"), source, made)
 
 
 @query

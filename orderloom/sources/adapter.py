@@ -117,7 +117,8 @@ def order_lines(spark: SparkSession, directory: str) -> DataFrame:
         F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").cast(PRICE).alias("UnitPrice"))
     lines = raw(spark, directory, "lineitem")
     priced = lookup_join(lines, prices, ["l_partkey"], LINE_ORDER)
-    ranked = rank_keys(priced, "OrderDetailID", LINE_ORDER, label="order-lines")
+    ranked = rank_keys(priced, "OrderDetailID", LINE_ORDER, label="order-lines", keep=[
+        "l_orderkey", "l_partkey", "l_quantity", "UnitPrice", "l_discount", "l_returnflag"])
     return with_line_total(ranked.select(
         "OrderDetailID", F.col("l_orderkey").alias("OrderID"), F.col("l_partkey").alias("ProductID"),
         F.col("l_quantity").cast("int").alias("Quantity"), "UnitPrice",

@@ -30,9 +30,10 @@ def numbers(spark: SparkSession, n: int) -> DataFrame:
 class TableStore:
     """Tables as parquet below ``root``.
 
-    Each write makes a new version folder, so nothing that is being read is ever overwritten. A version
-    becomes current when it is named in the publish log; one append to the log can publish many tables, and
-    readers see all of them or none.
+    ``write`` makes a new version folder, which becomes current when it is named in the publish log; one
+    append to the log can publish many tables, and readers see all of them or none. Large facts are not
+    rewritten as a whole: ``append`` and ``replace_partitions`` work on the current version, and a query that
+    is reading the swapped partitions meanwhile has to be run again.
     """
 
     def __init__(self, spark: SparkSession, root: str):
