@@ -11,6 +11,7 @@ from orderloom.functions.text import concat_blank_null
 from orderloom.operators.keys import highest, offset_keys, rank_keys
 from orderloom.operators.merge import insert_absent, merge_upsert
 from orderloom.operators.scd2 import scd2_merge
+from orderloom.operators.skew import lookup_join
 
 # The calendar loaded when no range is given.
 CALENDAR_START = date(2023, 1, 1)
@@ -39,9 +40,10 @@ def load_dim_customer(dim: DataFrame, customers: DataFrame, as_of: date) -> Data
 
 
 def product_source(products: DataFrame, categories: DataFrame, suppliers: DataFrame) -> DataFrame:
-    return (products.join(categories.select("CategoryID", "CategoryName"), "CategoryID")
-            .join(suppliers.select("SupplierID", "SupplierName"), "SupplierID")
-            .select("ProductID", "ProductName", "CategoryName", "SupplierName", "UnitPrice", "Discontinued"))
+    named = lookup_join(products, categories.select("CategoryID", "CategoryName"), ["CategoryID"], ["ProductID"])
+    supplied = lookup_join(named, suppliers.select("SupplierID", "SupplierName"), ["SupplierID"], ["ProductID"],
+                           hot_in=products)
+    return supplied.select("ProductID", "ProductName", "CategoryName", "SupplierName", "UnitPrice", "Discontinued")
 
 
 def load_dim_product(dim: DataFrame, products: DataFrame, categories: DataFrame,

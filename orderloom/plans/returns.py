@@ -41,7 +41,7 @@ def process_returns(requests: DataFrame, lines: DataFrame, payments: DataFrame,
     sound = (F.col("UnitPrice").isNotNull() & F.coalesce(F.col("QuantityReturned") > 0, F.lit(False)))
     # One row per order on both sides, so neither a much-returned nor a much-paid order weighs more.
     returned_orders = materialize(priced.where(sound).select("OrderID").distinct(), "returned-orders")
-    paid = materialize(payments.join(returned_orders, "OrderID", "left_semi").select("OrderID").distinct()
+    paid = materialize(payments.select("OrderID").distinct().join(returned_orders, "OrderID", "left_semi")
                        .withColumn("_paid", F.lit(True)), "paid-orders")
     fault = (F.when(F.col("UnitPrice").isNull(), F.lit(errors.UNKNOWN_LINE))
              .when(F.col("QuantityReturned").isNull(), F.lit(errors.NULL_VALUE))

@@ -94,8 +94,8 @@ def addresses(spark: SparkSession, directory: str) -> DataFrame:
 def products(spark: SparkSession, directory: str, known_categories: DataFrame) -> DataFrame:
     key = F.col("p_partkey")
     n_suppliers = raw(spark, directory, "supplier").agg(F.count("*").alias("n")).scalar()
-    return (raw(spark, directory, "part").withColumnRenamed("p_type", "CategoryName")
-            .join(known_categories.select("CategoryID", "CategoryName"), "CategoryName")
+    parts = raw(spark, directory, "part").withColumnRenamed("p_type", "CategoryName")
+    return (lookup_join(parts, known_categories.select("CategoryID", "CategoryName"), ["CategoryName"], ["p_partkey"])
             .select(key.alias("ProductID"), F.col("p_name").alias("ProductName"), "CategoryID",
                     (key % n_suppliers).alias("SupplierID"),
                     F.col("p_retailprice").cast(PRICE).alias("UnitPrice"),

@@ -10,6 +10,7 @@ from orderloom.functions.picks import pick
 from orderloom.functions.text import concat_blank_null, left_pad_digits
 from orderloom.operators.columns import with_line_total
 from orderloom.operators.keys import rank_keys
+from orderloom.operators.skew import lookup_join
 from orderloom.sources.seed import CITIES
 from orderloom.sources.tables import numbers
 
@@ -89,9 +90,11 @@ def generate_orders(customers: DataFrame, addresses: DataFrame, employees: DataF
         F.when(bucket == 0, "Cancelled").when(bucket == 1, "Pending").otherwise("Delivered")
         .alias("OrderStatus"))
     known = buyers.join(home, "CustomerID").withColumnRenamed("_index", "_buyer")
-    return (drawn.join(known, "_buyer").join(sellers.withColumnRenamed("_index", "_seller"), "_seller")
-            .select("OrderID", "CustomerID", "EmployeeID", "AddressID", "OrderDate", "OrderStatus",
-                    F.lit(0).cast("decimal(28,2)").alias("TotalAmount")))
+    # There may be few sellers, with many orders each.
+    sold = lookup_join(drawn, sellers.withColumnRenamed("_index", "_seller"), ["_seller"], ["OrderID"])
+    return sold.join(known, "_buyer").select(
+        "OrderID", "CustomerID", "EmployeeID", "AddressID", "OrderDate", "OrderStatus",
+        F.lit(0).cast("decimal(28,2)").alias("TotalAmount"))
 
 
 def generate_lines(orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -109,7 +112,8 @@ def generate_lines(orders: DataFrame, products: DataFrame) -> DataFrame:
               .withColumn("OrderDetailID", key * 4 + F.col("_line"))
               .withColumn("_index", (F.col("_first") + F.col("_line") * F.col("_step")) % n))
     line = F.col("OrderDetailID")
-    return with_line_total(picked.join(priced, "_index").select(
+    priced_lines = lookup_join(picked, priced, ["_index"], ["OrderDetailID"])
+    return with_line_total(priced_lines.select(
         "OrderDetailID", "OrderID", "ProductID", (1 + pick(line, "quantity", 5)).cast("int").alias("Quantity"),
         "UnitPrice",
         F.when(pick(line, "discount", 10) == 0, 0.10).otherwise(0).cast("decimal(4,2)").alias("Discount")))
