@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, functions as F
 
 
+def moment(at: datetime) -> Column:
+    """A point in time as a literal without a zone. Goes by text, which no time-zone setting changes."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def date_key(day: Column) -> Column:
     """yyyymmdd as an integer, by arithmetic: no text formatting and no time-zone cast."""
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")

@@ -6,6 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, functions as F
 
+from orderloom.functions.dates import moment
+
 # Numbers and texts that callers of the order and return jobs match on.
 UNKNOWN_PRODUCT = 51000
 INSUFFICIENT_STOCK = 51001
@@ -40,5 +42,5 @@ def error_columns(procedure: Column | str, number: Column, at: datetime) -> list
         name.alias("ErrorProcedure"),
         number.cast("int").alias("ErrorNumber"),
         message_of(number).alias("ErrorMessage"),
-        F.lit(at).cast("timestamp_ntz").alias("ErrorAt"),
+        moment(at).alias("ErrorAt"),
     ]

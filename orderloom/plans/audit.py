@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from orderloom.functions.dates import moment
 from orderloom.functions.text import concat_blank_null
 
 
@@ -14,4 +15,4 @@ def audit_new_lines(lines: DataFrame, as_of: datetime) -> DataFrame:
     detail = concat_blank_null("ProductID=", F.col("ProductID"), ", Qty=", F.col("Quantity"),
                                ", LineTotal=", F.col("LineTotal"))
     return lines.select("OrderID", F.lit("LINE_ADDED").alias("Action"), detail.alias("ActionDetail"),
-                        F.lit(as_of).cast("timestamp_ntz").alias("ActionAt"))
+                        moment(as_of).alias("ActionAt"))

@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderloom.functions.dates import date_key, month_key
+from orderloom.functions.dates import date_key, moment, month_key
 from orderloom.operators.checks import check_foreign_key
 from orderloom.operators.columns import with_days_to_refund
 from orderloom.operators.keys import highest, offset_keys
@@ -54,7 +54,7 @@ def sales_source(lines: DataFrame, orders: DataFrame, addresses: DataFrame, dim_
 def first_sales(source: DataFrame, lines: DataFrame, as_of: datetime, start: Column | int = 0) -> DataFrame:
     """The rows of a first load, or of lines that are all new. ``lines`` are the order lines in the source."""
     return offset_keys(source, "SalesKey", "OrderDetailID", start, lines).withColumn(
-        "LoadedAt", F.lit(as_of).cast("timestamp_ntz"))
+        "LoadedAt", moment(as_of))
 
 
 def merge_sales(fact: DataFrame, source: DataFrame, lines: DataFrame, as_of: datetime,
@@ -82,7 +82,7 @@ def merge_snapshot(fact: DataFrame, source: DataFrame, dim_product: DataFrame, a
     """Snapshot rows after an upsert by day and product. ``fact`` may be cut to the days of ``source``,
     ``start`` is the highest key of the whole table."""
     fresh = offset_keys(source, "SnapshotKey", "ProductKey", start, dim_product).withColumn(
-        "LoadedAt", F.lit(as_of).cast("timestamp_ntz"))
+        "LoadedAt", moment(as_of))
     return merge_upsert(fact, fresh, ["DateKey", "ProductKey"], ["QuantityOnHand", "ReorderLevel"])
 
 

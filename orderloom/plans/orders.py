@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderloom.functions import errors
-from orderloom.functions.dates import add_minutes
+from orderloom.functions.dates import add_minutes, moment
 from orderloom.functions.money import amount, line_total
 from orderloom.functions.text import concat_blank_null
 from orderloom.model import PAYMENT_METHODS
@@ -154,8 +154,13 @@ def _short_from(faulty: DataFrame, served: DataFrame, turns: DataFrame) -> DataF
     """
     asked = (faulty.where("OnHand IS NOT NULL AND Quantity > 0")
              .groupBy("ProductID", "Quantity").agg(F.max("OnHand").alias("OnHand")))
+    # Where the stock left at the end is enough for any of them, turns do not matter.
+    tight = (served.groupBy("ProductID").agg(F.sum("Quantity").alias("_sold"))
+             .join(asked.where("Quantity <= OnHand").groupBy("ProductID").agg(
+                 F.max("OnHand").alias("_stock"), F.max("Quantity").alias("_most")), "ProductID")
+             .where(F.col("_stock") - F.col("_sold") < F.col("_most")).select("ProductID", F.lit(True).alias("_tight")))
     in_turn = Window.partitionBy("ProductID").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    free = (served.join(asked.select("ProductID").distinct(), "ProductID", "left_semi")
+    free = (lookup_join(served, tight, ["ProductID"], ["seq"], bound=asked)
             .select("ProductID", "seq", (F.col("OnHand") - F.sum("Quantity").over(in_turn)).alias("_level")))
     held = turns.where("StockAfter IS NOT NULL").select("ProductID", "seq", F.col("StockAfter").alias("_level"))
     levels = free.unionByName(held).select("ProductID", "_level", "seq", F.lit(None).cast("int").alias("Quantity"))
@@ -183,7 +188,7 @@ def place_orders(requests: DataFrame, orders: DataFrame, inventory: DataFrame, p
         decide(requests, inventory, products, customers, employees, addresses), "decided")
     taken = decided.where("Accepted")
     least = decided.agg(F.min("seq").alias("least")).scalar()
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = moment(as_of)
     order_id = (highest(orders, "OrderID") + 1 + F.col("seq") - least).alias("OrderID")
     line_id = (highest(lines, "OrderDetailID") + 1 + F.col("seq") - least).alias("OrderDetailID")
     price = amount(F.col("UnitPrice") * F.col("Quantity"))

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from orderloom.functions import errors
+from orderloom.functions.dates import moment
 from orderloom.functions.money import amount
 from orderloom.functions.picks import pick
 from orderloom.operators.keys import highest
@@ -55,7 +56,7 @@ def process_returns(requests: DataFrame, lines: DataFrame, payments: DataFrame,
     least = decided.agg(F.min("seq").alias("least")).scalar()
     new_returns = decided.where("Accepted").select(
         (highest(returns, "ReturnID") + 1 + F.col("seq") - least).alias("ReturnID"), "OrderDetailID",
-        F.lit(as_of).cast("timestamp_ntz").alias("ReturnDate"), "QuantityReturned", "Reason", "RefundAmount")
+        moment(as_of).alias("ReturnDate"), "QuantityReturned", "Reason", "RefundAmount")
     step = F.when(F.col("ErrorNumber") == errors.NO_PAYMENT, "usp_ProcessReturn (refund step)").otherwise(
         "usp_ProcessReturn")
     failed = decided.where("ErrorNumber IS NOT NULL").select(

@@ -10,6 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from orderloom.functions.dates import moment
 from orderloom.functions.money import PRICE
 from orderloom.operators.columns import with_line_total
 from orderloom.operators.keys import rank_keys
@@ -54,7 +55,7 @@ def suppliers(spark: SparkSession, directory: str, created: datetime) -> DataFra
             .select(F.col("s_suppkey").alias("SupplierID"), F.col("s_name").alias("SupplierName"),
                     F.lit(None).cast("string").alias("ContactEmail"),
                     F.lit(None).cast("string").alias("Phone"), F.col("n_name").alias("Country"),
-                    F.lit(created).cast("timestamp_ntz").alias("CreatedAt")))
+                    moment(created).alias("CreatedAt")))
 
 
 def employees(spark: SparkSession, directory: str) -> DataFrame:

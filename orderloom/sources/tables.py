@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from orderloom.functions.dates import moment
 from orderloom.model import TABLES
 
 _LOG = "table STRING, version INT, at TIMESTAMP_NTZ"
@@ -87,7 +88,7 @@ class TableStore:
         """Make the given versions current, all at once."""
         current = self.versions()
         rows = F.array(*[F.struct(F.lit(name).alias("table"), F.lit(version).alias("version"),
-                                  F.lit(at).cast("timestamp_ntz").alias("at")) for name, version in versions.items()])
+                                  moment(at).alias("at")) for name, version in versions.items()])
         # One task, hence one file: the log gains all rows or none.
         self.spark.range(0, 1, 1, 1).select(F.inline(rows)).write.mode("append").json(self._log_path())
         self._current = {**current, **versions}
