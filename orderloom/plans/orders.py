@@ -19,6 +19,9 @@ from orderloom.operators.skew import SALTS, lookup_join
 from orderloom.plans.audit import audit_new_lines
 from orderloom.session import materialize
 
+# Requests are summed up by spans of this many sequence numbers to find where stock runs short.
+SPAN = 100_000
+
 
 def recompute_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Orders with TotalAmount set to the sum of their lines; orders without lines keep what they had."""
@@ -48,13 +51,13 @@ class PlacedOrders:
 
 
 def _contested(sound: DataFrame) -> DataFrame:
-    """Which of the requests for contested products are served: (seq, ProductID, Quantity, StockAfter).
+    """Which of the requests that compete for ``_left`` are served: (seq, ProductID, Quantity, StockAfter).
 
     A request is served if the stock left at its turn is enough; one that is not takes nothing. That has to
     be decided in turn, product by product, but not for every request: stock only falls, so when a request
     is served, every earlier one for the same product and quantity was served too. Hence only the first
-    on-hand / quantity requests of each quantity can be served, and a product has at most
-    on-hand x (1 + ln on-hand) of them, however many requests it gets. The rest is turned away before the
+    left / quantity requests of each quantity can be served, and a product has at most
+    left x (1 + ln left) of them, however many requests it gets. The rest is turned away before the
     requests of a product meet: first per salt, then per quantity.
     """
     def take_in_turn(batches):
@@ -62,10 +65,10 @@ def _contested(sound: DataFrame) -> DataFrame:
         product, stock = None, 0
         for batch in batches:
             left = []
-            for key, on_hand, quantity in zip(batch["ProductID"].tolist(), batch["OnHand"].tolist(),
-                                              batch["Quantity"].tolist()):
+            rows = zip(batch["ProductID"].tolist(), batch["_left"].tolist(), batch["Quantity"].tolist())
+            for key, in_stock, quantity in rows:
                 if key != product:
-                    product, stock = key, on_hand
+                    product, stock = key, in_stock
                 if quantity <= stock:
                     stock -= quantity
                     left.append(stock)
@@ -74,18 +77,42 @@ def _contested(sound: DataFrame) -> DataFrame:
             yield pd.DataFrame({"seq": batch["seq"], "ProductID": batch["ProductID"],
                                 "Quantity": batch["Quantity"], "StockAfter": pd.array(left, dtype="Int64")})
 
-    enough = F.expr("OnHand DIV Quantity")
+    enough = F.expr("_left DIV Quantity")
     salted = Window.partitionBy("ProductID", "Quantity", F.pmod("seq", F.lit(SALTS))).orderBy("seq")
     whole = Window.partitionBy("ProductID", "Quantity").orderBy("seq")
-    chances = (sound.where(F.col("Quantity") <= F.col("OnHand"))
-               .select("seq", "ProductID", "Quantity", "OnHand")
+    chances = (sound.where(F.col("Quantity") <= F.col("_left"))
+               .select("seq", "ProductID", "Quantity", "_left")
                .withColumn("_n", F.row_number().over(salted)).where(F.col("_n") <= enough)
                .withColumn("_n", F.row_number().over(whole)).where(F.col("_n") <= enough))
-    return (chances.select("seq", "ProductID", "Quantity", "OnHand").repartition("ProductID")
+    return (chances.select("seq", "ProductID", "Quantity", "_left").repartition("ProductID")
             .sortWithinPartitions("ProductID", "seq")
             .mapInPandas(take_in_turn, "seq BIGINT, ProductID BIGINT, Quantity INT, StockAfter BIGINT"))
 
 
+def _span() -> Column:
+    return F.floor(F.col("seq") / SPAN)
+
+
+def _scarce(sound: DataFrame, stock: DataFrame) -> DataFrame:
+    """Products whose requests exceed their stock: (ProductID, _until, _left).
+
+    For a product with many requests, those of all spans up to ``_until`` fit the stock together, and
+    ``_left`` of it is left after them. For the others ``_until`` is NULL and ``_left`` the whole stock.
+    """
+    demand = (sound.groupBy("ProductID").agg(F.sum("Quantity").alias("_demand"), F.count("*").alias("_requests"))
+              .join(stock, "ProductID").where(F.col("_demand") > F.col("OnHand")))
+    # At most one product for every SPAN requests.
+    busy = materialize(demand.where(F.col("_requests") > SPAN).select("ProductID", "OnHand"), "busy")
+    spans = (lookup_join(sound.select("ProductID", "seq", "Quantity"), busy, ["ProductID"], ["seq"])
+             .groupBy("ProductID", "OnHand", _span().alias("_span")).agg(F.sum("Quantity").alias("_demand")))
+    running = F.sum("_demand").over(Window.partitionBy("ProductID").orderBy("_span").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    fitting = (spans.withColumn("_sum", running).where(F.col("_sum") <= F.col("OnHand"))
+               .groupBy("ProductID").agg(F.max("_span").alias("_until"), F.max("_sum").alias("_sum")))
+    left = F.col("OnHand") - F.coalesce(F.col("_sum"), F.lit(0))
+    return demand.join(fitting, "ProductID", "left").select("ProductID", "_until", left.alias("_left"))
+
+
 def decide(requests: DataFrame, inventory: DataFrame, products: DataFrame, customers: DataFrame,
            employees: DataFrame, addresses: DataFrame) -> DataFrame:
     """Each request with its price, its error number (NULL when served) and whether it was served.
@@ -116,12 +143,11 @@ def decide(requests: DataFrame, inventory: DataFrame, products: DataFrame, custo
                           .drop("_customer", "_employee", "_address")
                           .withColumn("_sound", sound), "requests")
 
-    # Where all sound requests together fit the stock, nobody has to wait for a turn.
-    demand = (checked.where("_sound").groupBy("ProductID").agg(F.sum("Quantity").alias("_demand"))
-              .join(stocked.select("ProductID", "OnHand"), "ProductID")
-              .where(F.col("_demand") > F.col("OnHand")).select("ProductID", F.lit(True).alias("_contested")))
-    marked = lookup_join(checked, demand, ["ProductID"], spread, "left", bound=inventory)
-    marked = materialize(marked.withColumn("_contested", F.coalesce("_contested", F.lit(False))), "contested")
+    # Where all requests up to a point together fit the stock, none of them has to wait for its turn.
+    scarce = materialize(_scarce(checked.where("_sound"), stocked.select("ProductID", "OnHand")), "scarce")
+    marked = lookup_join(checked, scarce, ["ProductID"], spread, "left")
+    late = F.col("_left").isNotNull() & F.coalesce(_span() > F.col("_until"), F.lit(True))
+    marked = materialize(marked.withColumn("_contested", late).drop("_until"), "contested")
     turns = materialize(_contested(marked.where("_sound AND _contested")), "turns")
 
     # Sound requests: served when uncontested, or when their turn says so.
@@ -149,8 +175,8 @@ def decide(requests: DataFrame, inventory: DataFrame, products: DataFrame, custo
 def _short_from(faulty: DataFrame, served: DataFrame, turns: DataFrame) -> DataFrame:
     """(ProductID, Quantity, _short_from): the turn after which the stock was below a faulty request's quantity.
 
-    Rows per product are its distinct faulty quantities and its served requests, and the latter cannot be
-    more than its stock.
+    Rows per product are its distinct faulty quantities and, only if their turns matter, its served requests;
+    the latter cannot be more than its stock.
     """
     asked = (faulty.where("OnHand IS NOT NULL AND Quantity > 0")
              .groupBy("ProductID", "Quantity").agg(F.max("OnHand").alias("OnHand")))

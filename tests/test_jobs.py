@@ -78,12 +78,14 @@ def brute_force(requests, stock_of, bad):
     return out, left
 
 
-@pytest.mark.parametrize("salted", [False, True])
-def test_turns_equal_brute_force_with_one_hot_product(spark, shop, monkeypatch, salted):
+@pytest.mark.parametrize("salted, span", [(False, 100_000), (True, 100_000), (False, 7), (True, 40)])
+def test_turns_equal_brute_force_with_one_hot_product(spark, shop, monkeypatch, salted, span):
     if salted:
         monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
-    draw = random.Random(4)
+    monkeypatch.setattr(order_jobs, "SPAN", span)
+    draw = random.Random(span)
     stock_of = {p: draw.choice([0, 1, 3, 40, 300, 2000]) for p in range(100, 160)}
+    stock_of[100] = 12000  # for some 2400 requests of 15 pieces on average
     requests, bad = [], set()
     for seq in range(6000):
         product = 100 if draw.random() < 0.4 else draw.randrange(100, 162)
