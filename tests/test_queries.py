@@ -5,9 +5,11 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry_point
+from orderloom.oracle import all_oracles
+from orderloom.registry import all_queries
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "string": "VARCHAR", "boolean": "BOOLEAN",
          "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
@@ -28,6 +30,8 @@ def by_name(columns, data):
 
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
