@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import exact_dedup, mixing, pii
+from orderloom.llm import chat, exact_dedup, mixing, pii, topk, warc
 from orderloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +23,8 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op6_exact_dedup": exact_dedup.ORACLE, "op8_source_mix": mixing.ORACLE, "op10_pii": pii.ORACLE}
+    return {"op2_chat": chat.ORACLE, "op4_warc": warc.ORACLE, "op5_top_k": topk.ORACLE,
+            "op6_exact_dedup": exact_dedup.ORACLE, "op8_source_mix": mixing.ORACLE, "op10_pii": pii.ORACLE}
 
 
 @query
@@ -39,3 +40,19 @@ def op8_source_mix(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op10_pii(spark: SparkSession, directory: str) -> DataFrame:
     return pii.pii_digest(read_table(spark, directory, "documents"))
+
+
+@query
+def op2_chat(spark: SparkSession, directory: str) -> DataFrame:
+    turns = chat.with_hostile(read_table(spark, directory, "conversations"))
+    return chat.read_back(chat.format_conversations(turns))
+
+
+@query
+def op4_warc(spark: SparkSession, directory: str) -> DataFrame:
+    return warc.archive_digest(read_table(spark, directory, "pages"))
+
+
+@query
+def op5_top_k(spark: SparkSession, directory: str) -> DataFrame:
+    return topk.top_k(read_table(spark, directory, "embeddings"))
