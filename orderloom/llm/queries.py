@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import chat, exact_dedup, mixing, pii, topk, warc
+from orderloom.llm import chat, exact_dedup, mixing, pii, topk, toxicity, warc
 from orderloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,8 @@ def op4_warc(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op5_top_k(spark: SparkSession, directory: str) -> DataFrame:
     return topk.top_k(read_table(spark, directory, "embeddings"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, directory, "documents"), read_table(spark, directory, "labels"))
