@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from orderloom.session import materialize
+
 # ASCII white space as the operators understand it; all else belongs to words.
 WORD = r"[^\x20\x09-\x0D]+"
 # Up to so many rows of two BIGINT columns (some 16 MB) are sent to every executor; beyond, both sides are shuffled.
@@ -37,3 +39,24 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     ``df`` must be a table already written, so that the count reads no column, and narrow.
     """
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def text_key(column: str = "text") -> Column:
+    return F.xxhash64(whole_text(column))
+
+
+def kept_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``decided`` (doc_id, text_key, kept) keeps, with all their columns.
+
+    Rows are told apart by doc_id and text. Where several rows share both and some are kept, one of them stays.
+    """
+    verdicts = materialize(decided.groupBy("doc_id", "text_key").agg(
+        F.max("kept").alias("kept"), F.min("kept").alias("all_kept")), "verdicts")
+    key, gone_id, gone_key = fresh(docs, "text_key", "gone_id", "gone_key")
+    gone = materialize(verdicts.where("NOT kept").select(
+        F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key)), "dropped")
+    kept = docs.withColumn(key, text_key()).join(
+        sized(gone), F.col("doc_id").eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key)), "left_anti")
+    if not verdicts.where("kept AND NOT all_kept").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", key])
+    return kept.drop(key)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from orderloom.llm.common import fresh, whole_text
+from orderloom.llm.common import kept_rows, text_key, whole_text
 from orderloom.session import materialize
 
 # Chunks have at least LEAST characters where the text goes on, end after a white space that follows one of a few
@@ -30,35 +30,26 @@ def _with_ordinals(rows: DataFrame, contents: DataFrame, shared: DataFrame, dige
     """Recipes where some digests stand for several contents: those contents are numbered, and the number counts."""
     numbered = materialize(contents.join(shared, "digest").withColumn(
         "ordinal", F.row_number().over(Window.partitionBy("digest").orderBy("chunk")).cast("bigint")), "chunk-ordinals")
-    places = rows.select("row", "doc_id", "sha", F.posexplode_outer(chunks(F.col("text"))).alias("pos", "chunk"))
+    places = rows.select("row", "doc_id", "sha", "text_key", F.posexplode_outer(chunks(F.col("text"))).alias("pos", "chunk"))
     places = places.withColumn("digest", digest(F.col("chunk")))
     found = places.join(numbered, ["digest", "chunk"], "left").withColumn(
         "part", F.when(F.col("pos").isNotNull(), F.struct("pos", "digest", F.coalesce("ordinal", F.lit(0)).alias("n"))))
-    gathered = found.groupBy("row", "doc_id", "sha").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    return gathered.select("row", "doc_id", "sha", F.flatten(F.transform(
+    gathered = found.groupBy("row", "doc_id", "sha", "text_key").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    return gathered.select("row", "doc_id", "sha", "text_key", F.flatten(F.transform(
         "parts", lambda p: F.array(p["digest"], p["n"]))).alias("recipe"))
 
 
-def exact_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
-
-    Texts are equal if they are the same bytes; a null text counts as empty, and empty texts equal each other. Of
-    equal texts the row with the largest doc_id stays; a null doc_id comes before all others, and of rows that also
-    share the doc_id just one stays. An empty table gives no rows; other columns are not looked at.
-
-    ``digest`` gives a chunk's identifier. It need not be free of collisions: chunks are compared as a whole, and
-    contents that share a digest are told apart by a number.
-    """
+def _decided(docs: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     source = docs.select("doc_id", whole_text().alias("text"))
     contents = source.select(F.explode(chunks(F.col("text"))).alias("chunk")).select(
         digest(F.col("chunk")).alias("digest"), "chunk").distinct()
     rows = source.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text",
-                         F.sha2("text", 256).alias("sha"))
+                         F.sha2("text", 256).alias("sha"), text_key().alias("text_key"))
     shared = materialize(contents.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"),
                          "shared-digests")
     if shared.isEmpty():
         recipe = F.transform(chunks(F.col("text")), lambda c: digest(c))
-        recipes = rows.select("row", "doc_id", "sha", recipe.alias("recipe"))
+        recipes = rows.select("row", "doc_id", "sha", "text_key", recipe.alias("recipe"))
     else:
         recipes = _with_ordinals(rows, contents, shared, digest)
     recipes = materialize(recipes, "recipes")
@@ -66,26 +57,26 @@ def exact_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = F.xxh
         F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size"))
     return recipes.join(groups, "recipe").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256"))
+        (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256"), "text_key")
 
 
-def without_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns.
+def exact_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
+
+    Texts are equal if they are the same bytes; a null text counts as empty, and empty texts equal each other. Of
+    equal texts the row with the largest doc_id stays; a null doc_id comes before all others, and of rows that also
+    share the doc_id just one stays. An empty table gives no rows; other columns are not looked at.
 
-    Rows are dropped by doc_id and text. Only where rows repeat both is one of them picked.
+    ``digest`` gives a chunk's identifier. It need not be free of collisions: chunks are compared as a whole, and
+    contents that share a digest are told apart by a number.
     """
-    decided = materialize(exact_duplicates(docs, digest), "duplicates")
-    gone = decided.where("NOT kept AND NOT (doc_id <=> keep_id)")
-    again = decided.where("NOT kept AND doc_id <=> keep_id")
-    sha, = fresh(docs, "sha")
-    gone_id, gone_sha = fresh(docs.withColumn(sha, F.lit("")), "gone_id", "gone_sha")
-    gone = materialize(gone.select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_sha)).distinct(),
-                       "dropped")
-    kept = docs.withColumn(sha, F.sha2(whole_text(), 256))
-    kept = kept.join(gone, F.col("doc_id").eqNullSafe(F.col(gone_id)) & (F.col(sha) == F.col(gone_sha)), "left_anti")
-    if not again.isEmpty():
-        kept = kept.dropDuplicates(["doc_id", sha])
-    return kept.drop(sha)
+    return _decided(docs, digest).drop("text_key")
+
+
+def without_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns."""
+    decided = _decided(docs, digest)
+    return kept_rows(docs, decided.select("doc_id", "text_key", "kept"))
 
 
 ORACLE = """
