@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from orderloom.llm.common import kept_rows, sized, text_key, whole_text
+from orderloom.llm.hashing import mixed, random_words, running_sums, stretch_hashes
 from orderloom.session import materialize
 
 SHINGLE = 5
@@ -33,30 +34,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _MASK = (1 << 64) - 1
 _SLICE = 1 << 20
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """64 bits well spread (a finalizer of shifts and odd factors)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _random(seed: int, n: int) -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 64, n, np.uint64, endpoint=False)
-
-
-_BYTES = _random(11, 256)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_FACTOR = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_FACTOR, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out, out=out)
 
 
 def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,23 +56,11 @@ def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(starts or [np.zeros(0, np.int64)]), np.concatenate(hashes or [np.zeros(0, np.uint64)])
 
 
-_powers_of: dict[int, np.ndarray] = {}
-
-
-def _cached(base: int, n: int) -> np.ndarray:
-    if base not in _powers_of or len(_powers_of[base]) < n:
-        _powers_of[base] = _powers(base, max(n, _SLICE + 1))
-    return _powers_of[base][:n]
-
-
 def _piece_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data = _LOWER[data]
     edge = np.diff(np.concatenate(([False], ~_SPACE[data], [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * _cached(_FACTOR, len(data)), out=sums[1:])
-    own = (sums[ends] - sums[starts]) * _cached(_INVERSE, len(data) + 1)[starts]
-    return starts, _mixed(own + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return starts, stretch_hashes(running_sums(data), starts, ends)
 
 
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -119,7 +86,7 @@ def _sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     many = np.maximum(len(words) - size + 1, 0)
     runs = np.zeros(many, np.uint64)
     for i in range(size):
-        runs = _mixed(runs * np.uint64(0x2545F4914F6CDD1D) + words[i:i + many])
+        runs = mixed(runs * np.uint64(0x2545F4914F6CDD1D) + words[i:i + many])
     out = []
     for a, b in zip(at[:-1], at[1:]):
         if b - a >= size:
@@ -127,8 +94,8 @@ def _sets(texts: list[bytes], size: int) -> list[np.ndarray]:
         elif b > a:
             value = np.zeros(1, np.uint64)
             for w in words[a:b]:
-                value = _mixed(value * np.uint64(0x2545F4914F6CDD1D) + w)
-            out.append(_mixed(value + np.uint64(b - a)))
+                value = mixed(value * np.uint64(0x2545F4914F6CDD1D) + w)
+            out.append(mixed(value + np.uint64(b - a)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -137,14 +104,14 @@ def _sets(texts: list[bytes], size: int) -> list[np.ndarray]:
 def band_values(found: np.ndarray, bands: int, width: int) -> np.ndarray:
     """2 * bands values, each of ``width`` MinHashes of a set that is not empty."""
     n = 2 * bands * width
-    factors, shifts = _random(23, n) | np.uint64(1), _random(29, n)
+    factors, shifts = random_words(23, n) | np.uint64(1), random_words(29, n)
     least = np.full(n, _MASK, np.uint64)
     for first in range(0, len(found), 4096):
         part = found[first:first + 4096]
         np.minimum(least, _mixed_short(part[None, :] * factors[:, None] + shifts[:, None]).min(1), out=least)
     out = np.arange(2 * bands, dtype=np.uint64)
     for i in range(width):
-        out = _mixed(out * np.uint64(0x2545F4914F6CDD1D) + least[i::width])
+        out = mixed(out * np.uint64(0x2545F4914F6CDD1D) + least[i::width])
     return out
 
 
@@ -156,7 +123,7 @@ def _digests(found: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set."""
     if not len(found):
         return 0, 0
-    return int(np.bitwise_xor.reduce(_mixed(found)).view(np.int64)), int(found.sum(dtype=np.uint64).view(np.int64))
+    return int(np.bitwise_xor.reduce(mixed(found)).view(np.int64)), int(found.sum(dtype=np.uint64).view(np.int64))
 
 
 def _signatures(texts: DataFrame, size: int, bands: int, width: int) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import chat, exact_dedup, mixing, pii, topk, toxicity, warc
+from orderloom.llm import chat, exact_dedup, mixing, near_dedup, pii, topk, toxicity, warc
 from orderloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,11 @@ def op10_pii(spark: SparkSession, directory: str) -> DataFrame:
     return pii.pii_digest(read_table(spark, directory, "documents"))
 
 
+@query
+def op1_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, directory, "documents"), size=2)
+
+
 @query
 def op2_chat(spark: SparkSession, directory: str) -> DataFrame:
     turns = chat.with_hostile(read_table(spark, directory, "conversations"))
