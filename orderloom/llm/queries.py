@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import chat, exact_dedup, mixing, near_dedup, pii, topk, toxicity, warc
+from orderloom.llm import chat, exact_dedup, mixing, near_dedup, pii, suffix_dedup, topk, toxicity, warc
 from orderloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,8 @@ def op5_top_k(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op7_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, directory, "documents"), read_table(spark, directory, "labels"))
+
+
+@query
+def op9_repeated_passages(spark: SparkSession, directory: str) -> DataFrame:
+    return suffix_dedup.passage_digest(read_table(spark, directory, "documents"))
