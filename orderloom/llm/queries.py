@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import chat, exact_dedup, mixing, near_dedup, pii, suffix_dedup, topk, toxicity, warc
+from orderloom.llm import chat, exact_dedup, mixing, near_dedup, pieces, pii, suffix_dedup, topk, toxicity, warc
 from orderloom.llm.common import read_table
 
+# The public vocabularies lie here; only the driver reads them.
+TOKENIZERS = "/opt/tokenizers"
+PIECES = "piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 
@@ -53,6 +57,12 @@ def op2_chat(spark: SparkSession, directory: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns))
 
 
+@query
+def op3_pieces(spark: SparkSession, directory: str) -> DataFrame:
+    vocabulary = pieces.load_vocabulary(f"{TOKENIZERS}/{PIECES}")
+    return pieces.encoding_digest(read_table(spark, directory, "documents"), vocabulary)
+
+
 @query
 def op4_warc(spark: SparkSession, directory: str) -> DataFrame:
     return warc.archive_digest(read_table(spark, directory, "pages"))

@@ -14,11 +14,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,20 +26,27 @@ from orderloom.session import materialize
 # At most about so many labelled rows are learned from, picked by a hash of their id.
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.3
+# Words on each side of a hit that are searched for one that addresses the reader.
+NEAR = 6
 # Words, and stems of these lengths, that at least LEAST toxic texts hold, and that are RATIO times as frequent there.
 LEAST, RATIO, STEMS, WORDS = 6, 10.0, (4, 5, 6, 7, 8), 1000
-NEAR = 40
 # Words that address the reader in the languages of the corpus.
 SECOND = frozenset("you your yours yourself youre u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre "
                    "vos usted ustedes ti tuyo vosotros".split())
 FEATURES = ["words", "hits", "hit_rate", "stem_hits", "stem_rate", "kinds", "near_second", "near_rate", "second_rate",
-            "hidden_hits", "hidden_rate", "capitals", "capital_words", "punctuation", "marks", "repeats"]
-_WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
+            "hidden_hits", "hidden_rate", "capitals", "capital_runs", "punctuation", "marks", "repeats"]
+_WORD = re.compile(r"[^\W\d_]+")
 # Characters that stand for letters in words that hide from lists (fixed values).
 _HIDING = str.maketrans("013457@$!|", "oieastasil")
-_HIDDEN = re.compile(r"(?<!\S)(?=\S*[^\W\d_])(?=\S*[0-9@$!|*.\-_])\S{3,40}(?!\S)")
-_CAPITALS, _MARKS = re.compile(r"(?<!\S)[A-ZÄÖÜÉÈÊÀÇÑ]{3,}"), re.compile(r"[!?]{2,}")
-_REPEATS = re.compile(r"([^\W\d_])\1{2,}")
+_HIDDEN = re.compile(r"[^\W\d_][0-9@$!|*.\-_]+[^\W\d_]|(?<!\S)[0-9@$]+[^\W\d_]")
+_BARE = re.compile(r"[\W_]")
+_LETTER, _UPPER, _MARK, _ASKING = (np.zeros(256, bool) for _ in range(4))
+_UPPER[65:91] = True
+_LETTER[65:91] = _LETTER[97:123] = True
+_MARK[33:127] = ~_LETTER[33:127]
+_MARK[48:58] = False
+_ASKING[[33, 63]] = True
+_CLEAN, _HIT, _STEM, _SECOND = range(4)
 
 
 @dataclass(frozen=True)
@@ -55,8 +60,24 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _words(text: str) -> Iterator[str]:
-    return (m[0].lower() for m in _WORD.finditer(text))
+class _Kinds(dict):
+    """What a word is: one of the lexicon, one with a stem of it, one that addresses the reader, or neither. Words are
+    looked at once; the memory is emptied when it is full."""
+
+    def __init__(self, lexicon: Lexicon):
+        self.lexicon = lexicon
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        if word in self.lexicon.words:
+            kind = _HIT
+        elif word in SECOND:
+            kind = _SECOND
+        else:
+            kind = _STEM if any(word[:n] in self.lexicon.stems for n in STEMS) else _CLEAN
+        self[word] = kind
+        return kind
 
 
 def learn_lexicon(labelled: DataFrame) -> Lexicon:
@@ -69,7 +90,7 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
         for batch in batches:
             counts: dict[str, list[int]] = {}
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = set(_words(text))
+                found = set(_WORD.findall(text.lower()))
                 found |= {f"{w[:n]}*" for w in found for n in STEMS if len(w) > n}
                 for term in found:
                     counts.setdefault(term, [0, 0])[toxic] += 1
@@ -87,52 +108,42 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
     return Lexicon(frozenset(t for t in top if not t.endswith("*")), frozenset(t[:-1] for t in top if t.endswith("*")))
 
 
-def features_of(text: str, lexicon: Lexicon) -> list[float]:
+def features_of(text: str, kinds: _Kinds) -> list[float]:
     """The features of one text; all 0 for an empty one."""
-    hits, stems, seconds, kinds, words, capital = [], 0, [], set(), 0, len(_CAPITALS.findall(text))
-    for m in _WORD.finditer(text):
-        word = m[0].lower()
-        words += 1
-        if word in lexicon.words:
-            hits.append(m.start())
-            kinds.add(word)
-        elif any(word[:n] in lexicon.stems for n in STEMS):
-            stems += 1
-            hits.append(m.start())
-        if word in SECOND:
-            seconds.append(m.start())
+    words = _WORD.findall(text.lower())
+    codes = np.fromiter(map(kinds.__getitem__, words), np.int8, len(words))
+    hits, stems, seconds = (np.flatnonzero(codes == k) for k in (_HIT, _STEM, _SECOND))
     hidden = 0
-    for m in _HIDDEN.finditer(text):
-        bare = re.sub(r"[^\w]|_", "", m[0].lower().translate(_HIDING))
-        if bare in lexicon.words and not any(w in lexicon.words for w in _words(m[0])):
-            hidden += 1
-            hits.append(m.start())
+    if _HIDDEN.search(text):
+        for token in text.lower().split():
+            if _HIDDEN.search(token):
+                bare = _BARE.sub("", token.translate(_HIDING)), _BARE.sub("", token)
+                hidden += (any(b in kinds.lexicon.words for b in bare)
+                           and not any(w in kinds.lexicon.words for w in _WORD.findall(token)))
     near = 0
-    if hits and seconds:
-        at, places = np.array(seconds), np.array(sorted(hits))
-        left = np.searchsorted(at, places - NEAR)
-        near = int((np.searchsorted(at, places + NEAR, "right") > left).sum())
-    counts = np.bincount(np.frombuffer(text.encode("utf-8", "replace"), np.uint8), minlength=256)
-    n, per = max(1, len(text)), 1000 / max(1, words)
-    letters = max(1, int(counts[65:91].sum() + counts[97:123].sum()))
-    marks = int(counts[33:48].sum() + counts[58:65].sum() + counts[91:97].sum() + counts[123:127].sum())
-    exact = len(hits) - stems - hidden
-    return [math.log1p(words), float(exact), exact * per, float(stems), stems * per, float(len(kinds)), float(near),
-            near * per, len(seconds) * per, float(hidden), hidden * per, int(counts[65:91].sum()) / letters,
-            capital * per, marks / n, len(_MARKS.findall(text)) * per, len(_REPEATS.findall(text)) * per]
-
-
-def with_features(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """doc_id and the features of each row."""
-    names = ["doc_id", *FEATURES]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [features_of(t.as_py(), lexicon) for t in batch.column(1)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *map(pa.array, zip(*rows))], names)
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(
-        run, "doc_id bigint, " + ", ".join(f"{f} double" for f in FEATURES))
+    if len(seconds):
+        at = np.sort(np.concatenate((hits, stems)))
+        near = int((np.searchsorted(seconds, at + NEAR, "right") > np.searchsorted(seconds, at - NEAR)).sum())
+    data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+    upper, letters, asking = _UPPER[data], _LETTER[data], _ASKING[data]
+    triple = upper[:-2] & upper[1:-1] & upper[2:]
+    capital = int(triple[:1].sum() + (triple[1:] & ~upper[:-3]).sum()) if len(data) > 2 else 0
+    repeats = int((letters[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])).sum()) if len(data) > 2 else 0
+    n, per = max(1, len(text)), 1000 / max(1, len(words))
+    return [math.log1p(len(words)), float(len(hits)), len(hits) * per, float(len(stems)), len(stems) * per,
+            float(len({words[i] for i in hits.tolist()})), float(near), near * per, len(seconds) * per, float(hidden),
+            hidden * per, int(upper.sum()) / max(1, int(letters.sum())), capital * per, int(_MARK[data].sum()) / n,
+            int((asking[1:] & asking[:-1]).sum()) * per, repeats * per]
+
+
+def feature_column(lexicon: Lexicon, text: Column) -> Column:
+    """The features of a text, as a vector."""
+    @F.arrow_udf("array<double>")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kinds = _Kinds(lexicon)
+        for batch in texts:
+            yield pa.array([features_of(t.as_py(), kinds) for t in batch], pa.list_(pa.float64()))
+    return array_to_vector(run(text))
 
 
 def _sample(labels: DataFrame, rows: int) -> DataFrame:
@@ -155,19 +166,18 @@ class Toxicity:
     values: list[float]
     rate: float
 
-    def score(self, docs: DataFrame) -> DataFrame:
-        """doc_id and the probability of each row."""
-        rows = with_features(docs, self.lexicon)
+    def scored(self, docs: DataFrame) -> DataFrame:
+        """The columns of ``docs`` as one column "all", and the probability of each row as "score"."""
+        rows = docs.select(F.struct(*docs.columns).alias("all"), whole_text().alias("text"))
         if self.trees is None:
-            return rows.select("doc_id", F.lit(self.rate).alias("score"))
-        rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
+            return rows.select("all", F.lit(self.rate).alias("score"))
         bounds, values = np.array(self.bounds), np.array(self.values)
 
-        @F.pandas_udf("double")
-        def calibrated(raw: pd.Series) -> pd.Series:  # straight lines between the steps, as few as they are
-            return pd.Series(np.interp(raw.to_numpy(), bounds, values))
-        scored = self.trees.transform(rows).select("doc_id", vector_to_array("rawPrediction")[1].alias("raw"))
-        return scored.select("doc_id", calibrated("raw").alias("score"))
+        @F.arrow_udf("double")
+        def calibrated(raw: pa.Array) -> pa.Array:  # straight lines between the steps, as few as they are
+            return pa.array(np.interp(raw.to_numpy(zero_copy_only=False), bounds, values))
+        rows = rows.select("all", feature_column(self.lexicon, F.col("text")).alias("features"))
+        return self.trees.transform(rows).select("all", calibrated(vector_to_array("rawPrediction")[1]).alias("score"))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Toxicity:
@@ -188,11 +198,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Toxicit
     if len(seen) < 4:
         return Toxicity(Lexicon(frozenset(), frozenset()), None, [], [], toxic / max(1, sum(seen.values())))
     lexicon = learn_lexicon(texts.where("NOT calibrate"))
-    marked = texts.select("doc_id", "toxic", "calibrate").dropDuplicates(["doc_id"]).withColumnsRenamed(
-        {"doc_id": "label_id"})
-    table = with_features(texts, lexicon).join(marked, F.col("doc_id") == F.col("label_id"))
-    table = materialize(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table).select(
-        "features", "toxic", "calibrate"), "toxic-features")
+    table = materialize(texts.select(
+        feature_column(lexicon, F.col("text")).alias("features"), "toxic", "calibrate"), "toxic-features")
     trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=20, maxDepth=4, stepSize=0.2, seed=7,
                           subsamplingRate=1.0).fit(table.where("NOT calibrate"))
     raw = trees.transform(table.where("calibrate")).select(
@@ -209,6 +216,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, thresho
     held out; rows that repeat give rows that repeat; an empty table gives none. Columns other than the text are not
     looked at for a score.
     """
-    scored = train(docs, labels, rows).score(docs)
-    return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score",
+    scored = train(docs, labels, rows).scored(docs.select("doc_id", "text"))
+    return scored.select("all.doc_id", is_held_out(F.col("all.doc_id")).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
+                  threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` with a score below the threshold, with all their columns."""
+    return train(docs, labels, rows).scored(docs).where(F.col("score") < threshold).select("all.*")
