@@ -6,10 +6,10 @@ from pyspark.sql import Column, functions as F
 
 
 def pick(key: Column, salt: str, n: Column | int) -> Column:
-    """A whole number in 0 .. n-1, spread evenly over keys."""
+    """A whole number in 0 .. n-1, spread evenly over keys: 60 bits of a hash, far more than any table has rows."""
     digest = F.md5(F.concat(key.cast("string"), F.lit("|" + salt)))
     size = n if isinstance(n, Column) else F.lit(n)
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % size
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % size
 
 
 def shuffle_order(key: Column, salt: str) -> Column:

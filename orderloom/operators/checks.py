@@ -114,10 +114,11 @@ def rule_names(name: str, table: Table, present: Sequence[str], parents: Sequenc
 
 def split_valid(name: str, table: Table, df: DataFrame,
                 parents: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """``df`` as (rows that keep every single-row and reference rule, rows that do not).
+    """``df`` as (rows that keep every rule, rows that do not).
 
     Rejected rows carry the names of the rules they break in ``broken_rules``. Missing parents are found by
-    joins that split hot keys; a parent table holds one row per key.
+    joins that split hot keys; a parent table holds one row per key. All rows of a key that occurs more than once
+    are rejected, as none of them is the right one; a key with a NULL in it breaks the rules on NULL instead.
     """
     marked = df
     missing: list[Column] = []
@@ -130,6 +131,13 @@ def split_valid(name: str, table: Table, df: DataFrame,
         marked = lookup_join(marked, known, fk.columns, table.key, "left")
         used = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fk.columns])
         missing.append(F.when(used & F.col(flag).isNull(), F.lit(_reference_rule(name, fk))))
+    for at, columns in enumerate((table.key, *table.unique)):
+        if set(columns) <= set(df.columns):
+            flag = f"_again_{at}"
+            again = df.groupBy(*columns).agg(F.count("*").alias("_n")).where("_n > 1").select(
+                *columns, F.lit(True).alias(flag))
+            marked = lookup_join(marked, again, list(columns), table.key, "left")
+            missing.append(F.when(F.col(flag), F.lit(f"{name}.{','.join(columns)} unique")))
     rules = [F.when(cond, F.lit(rule)) for rule, cond in row_rules(name, table, df.columns).items()]
     marked = marked.select(*df.columns, F.array_compact(F.array(*rules, *missing)).alias("broken_rules"))
     good = marked.where(F.size("broken_rules") == 0).select(*df.columns)

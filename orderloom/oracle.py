@@ -95,17 +95,16 @@ _tables: dict[str, str] = {
             concat(FirstName, ' ', LastName) AS FullName, Title, Region FROM m_Employees""",
     "m_DimGeography": """SELECT row_number() OVER (ORDER BY City, State, Country) AS GeographyKey, City, State, Country
         FROM (SELECT DISTINCT City, State, Country FROM m_Addresses) t""",
-    "m_SalesSource": """SELECT l.OrderDetailID, CAST(strftime(o.OrderDate, '%Y%m%d') AS INT) AS DateKey,
-            dc.CustomerKey, dp.ProductKey, de.EmployeeKey, dg.GeographyKey, l.Quantity, l.UnitPrice, l.Discount,
-            CAST(l.LineTotal AS DECIMAL(12,2)) AS LineTotal
-        FROM m_Lines l JOIN m_Orders o ON o.OrderID = l.OrderID
-        JOIN m_Addresses a ON a.AddressID = o.AddressID
-        JOIN m_DimCustomer dc ON dc.CustomerID = o.CustomerID
-        JOIN m_DimProduct dp ON dp.ProductID = l.ProductID
-        LEFT JOIN m_DimEmployee de ON de.EmployeeID = o.EmployeeID
-        JOIN m_DimGeography dg ON dg.City = a.City AND dg.State = a.State AND dg.Country = a.Country""",
-    "m_FactSales": f"""SELECT 1 + OrderDetailID - (SELECT min(OrderDetailID) FROM m_Lines) AS SalesKey, *,
-            {FIRST} AS LoadedAt FROM m_SalesSource""",
+    # What an order has in common for all its lines, worked out once per order.
+    "m_Places": """SELECT AddressID, GeographyKey FROM m_Addresses JOIN m_DimGeography USING (City, State, Country)""",
+    "m_OrderKeys": """SELECT OrderID, CustomerID, GeographyKey, EmployeeKey,
+            CAST(year(OrderDate) * 10000 + month(OrderDate) * 100 + day(OrderDate) AS INT) AS DateKey
+        FROM m_Headers JOIN m_Places USING (AddressID) LEFT JOIN m_DimEmployee USING (EmployeeID)""",
+    "m_FactSales": f"""SELECT 1 + OrderDetailID - (SELECT min(OrderDetailID) FROM m_Lines) AS SalesKey, OrderDetailID,
+            DateKey, CustomerKey, ProductKey, EmployeeKey, GeographyKey, Quantity, m_Lines.UnitPrice, Discount,
+            CAST(LineTotal AS DECIMAL(12,2)) AS LineTotal, {FIRST} AS LoadedAt
+        FROM m_OrderKeys JOIN (SELECT CustomerID, CustomerKey FROM m_DimCustomer) USING (CustomerID)
+        JOIN m_Lines USING (OrderID) JOIN (SELECT ProductID, ProductKey FROM m_DimProduct) USING (ProductID)""",
 
     # Customers and products over two loads.
     "m_Customers2": """SELECT CustomerID, concat(FirstName, ' ', LastName) AS FullName,
@@ -149,36 +148,27 @@ _tables: dict[str, str] = {
             CAST(Pieces * UnitPrice * (1 - Discount) AS DECIMAL(18,4)) AS LineTotal
         FROM (SELECT *, CAST(CASE WHEN Discount >= 0.05 THEN Quantity + 1 ELSE Quantity END AS INT) AS Pieces
               FROM m_Lines) t""",
-    "m_Sales1": f"""SELECT 1 + OrderDetailID - (SELECT min(OrderDetailID) FROM m_Lines) AS SalesKey, * FROM (
-            SELECT l.OrderDetailID, CAST(strftime(o.OrderDate, '%Y%m%d') AS INT) AS DateKey, dc.CustomerKey,
-                dp.ProductKey, de.EmployeeKey, dg.GeographyKey, l.Quantity, l.UnitPrice, l.Discount,
-                CAST(l.LineTotal AS DECIMAL(12,2)) AS LineTotal, {FIRST} AS LoadedAt
-            FROM m_Lines l JOIN m_Orders o ON o.OrderID = l.OrderID
-            JOIN m_Addresses a ON a.AddressID = o.AddressID
-            JOIN m_DimCustomer1 dc ON dc.CustomerID = o.CustomerID
-            JOIN m_DimProduct1 dp ON dp.ProductID = l.ProductID
-            LEFT JOIN m_DimEmployee de ON de.EmployeeID = o.EmployeeID
-            JOIN m_DimGeography dg ON dg.City = a.City AND dg.State = a.State AND dg.Country = a.Country) t""",
-    "m_Sales2": f"""SELECT l.OrderDetailID, CAST(strftime(o.OrderDate, '%Y%m%d') AS INT) AS DateKey, dc.CustomerKey,
-                dp.ProductKey, de.EmployeeKey, dg.GeographyKey, l.Quantity, l.UnitPrice, l.Discount,
-                CAST(l.LineTotal AS DECIMAL(12,2)) AS LineTotal, {SECOND} AS LoadedAt
-            FROM m_Lines2 l JOIN m_Orders o ON o.OrderID = l.OrderID
-            JOIN m_Addresses a ON a.AddressID = o.AddressID
-            JOIN m_DimCustomer2 dc ON dc.CustomerID = o.CustomerID AND dc.IsCurrent
-            JOIN m_DimProduct2 dp ON dp.ProductID = l.ProductID
-            LEFT JOIN m_DimEmployee de ON de.EmployeeID = o.EmployeeID
-            JOIN m_DimGeography dg ON dg.City = a.City AND dg.State = a.State AND dg.Country = a.Country""",
+    "m_Orders1": """SELECT * FROM m_OrderKeys JOIN (SELECT CustomerID, CustomerKey FROM m_DimCustomer1)
+        USING (CustomerID)""",
+    "m_Orders2": """SELECT * FROM m_OrderKeys JOIN (SELECT CustomerID, CustomerKey FROM m_DimCustomer2 WHERE IsCurrent)
+        USING (CustomerID)""",
+    "m_Sales1": """SELECT OrderDetailID, DateKey, CustomerKey, ProductKey, EmployeeKey, GeographyKey,
+            1 + OrderDetailID - (SELECT min(OrderDetailID) FROM m_Lines) AS SalesKey
+        FROM m_Orders1 JOIN m_Lines USING (OrderID)
+        JOIN (SELECT ProductID, ProductKey FROM m_DimProduct1) USING (ProductID)""",
+    "m_Sales2": """SELECT OrderDetailID, DateKey, CustomerKey, ProductKey, EmployeeKey, GeographyKey, Quantity,
+            m_Lines2.UnitPrice, Discount, CAST(LineTotal AS DECIMAL(12,2)) AS LineTotal
+        FROM m_Orders2 JOIN m_Lines2 USING (OrderID)
+        JOIN (SELECT ProductID, ProductKey FROM m_DimProduct2) USING (ProductID)""",
 
     # Analytics.
-    "m_OrderDays": "SELECT DISTINCT CustomerID, CAST(OrderDate AS DATE) AS OrderDay FROM m_Headers",
-    "m_Islands": """SELECT CustomerID, min(OrderDay) AS IslandStart, max(OrderDay) AS IslandEnd
-        FROM (SELECT CustomerID, OrderDay, OrderDay - CAST(row_number() OVER (PARTITION BY CustomerID
-                     ORDER BY OrderDay) AS INT) AS Island FROM m_OrderDays) t
-        GROUP BY CustomerID, Island""",
-    "m_WantedBuyers": """SELECT DISTINCT f.CustomerKey FROM m_FactSales f
-        JOIN m_DimProduct p ON p.ProductKey = f.ProductKey WHERE p.CategoryName = 'ECONOMY'""",
-    "m_OtherBuyers": """SELECT DISTINCT f.CustomerKey FROM m_FactSales f
-        JOIN m_DimProduct p ON p.ProductKey = f.ProductKey WHERE p.CategoryName = 'PROMO'""",
+    "m_OrderDays": "SELECT CustomerID, list_sort(list(DISTINCT CAST(OrderDate AS DATE))) AS days FROM m_Headers GROUP BY ALL",
+    # A day starts an island if the day before has no order, and ends one if the day after has none.
+    "m_Islands": """SELECT CustomerID, unnest(list_filter(days, lambda d: NOT list_contains(days, d - 1))) AS IslandStart,
+            unnest(list_filter(days, lambda d: NOT list_contains(days, d + 1))) AS IslandEnd FROM m_OrderDays""",
+    "m_Bought": """SELECT CustomerKey, bool_or(CategoryName = 'ECONOMY') AS wanted, bool_or(CategoryName = 'PROMO') AS other
+        FROM (SELECT DISTINCT CustomerKey, ProductKey FROM m_FactSales) JOIN m_DimProduct USING (ProductKey)
+        GROUP BY CustomerKey""",
 
     # Placing orders: each request of a product in its turn.
     "m_Requests": """SELECT l.OrderDetailID AS seq,
@@ -234,9 +224,11 @@ _tables: dict[str, str] = {
                  ELSE ProductID END AS ProductID,
             CAST(CASE WHEN OrderDetailID % 73 = 0 THEN 0 ELSE Quantity END AS INT) AS Quantity,
             CASE WHEN OrderDetailID % 59 = 0 THEN -UnitPrice ELSE UnitPrice END AS UnitPrice,
-            CASE WHEN OrderDetailID % 53 = 0 THEN 1.5 ELSE Discount END AS Discount FROM m_Lines""",
+            CASE WHEN OrderDetailID % 53 = 0 THEN 1.5 ELSE Discount END AS Discount
+        FROM (SELECT * FROM m_Lines UNION ALL SELECT * FROM m_Lines WHERE OrderDetailID % 47 = 0)""",
     "m_UncheckedRules": """SELECT u.*, concat_ws('; ',
             CASE WHEN NOT (Discount BETWEEN 0 AND 1) THEN 'OrderDetails.Discount range' END,
+            CASE WHEN count(*) OVER (PARTITION BY u.OrderDetailID) > 1 THEN 'OrderDetails.OrderDetailID unique' END,
             CASE WHEN o.OrderID IS NULL THEN 'OrderDetails.OrderID references Orders' END,
             CASE WHEN u.ProductID IS NULL THEN 'OrderDetails.ProductID not null' END,
             CASE WHEN u.ProductID IS NOT NULL AND p.ProductID IS NULL
@@ -249,7 +241,7 @@ _tables: dict[str, str] = {
 
 
 def _pick(key: str, salt: str, n: str | int) -> str:
-    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{salt}'), 1, 8))::BIGINT % {n})"
+    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{salt}'), 1, 15))::BIGINT % {n})"
 
 
 _tables["m_DimEmployee1"] = """SELECT 1 + EmployeeID - min(EmployeeID) OVER () AS EmployeeKey, EmployeeID
@@ -268,6 +260,17 @@ _tables["m_NumberedCustomers"] = """SELECT n, CustomerID FROM (SELECT row_number
 _tables["m_NumberedEmployees"] = """SELECT row_number() OVER (ORDER BY EmployeeID) - 1 AS n, EmployeeID FROM m_Employees"""
 _tables["m_NumberedProducts"] = """SELECT row_number() OVER (ORDER BY ProductID) - 1 AS n, ProductID, UnitPrice
         FROM m_Products"""
+# Four products drawn one after the other: the place among those still there, counted up past those taken.
+_tables["m_Drawn"] = f"""SELECT OrderID, d0, d1, d2,
+            r3 + (r3 >= l[1])::INT + (r3 + 1 >= l[2])::INT + (r3 + 2 >= l[3])::INT AS d3
+        FROM (SELECT *, list_sort([d0, d1, d2]) AS l
+        FROM (SELECT *, r2 + (r2 >= least(d0, d1))::INT + (r2 + 1 >= greatest(d0, d1))::INT AS d2
+        FROM (SELECT *, r1 + (r1 >= d0)::INT AS d1
+        FROM (SELECT OrderID, {_pick('OrderID * 4', 'product', 'n')} AS d0,
+                {_pick('OrderID * 4 + 1', 'product', '(n - 1)')} AS r1,
+                {_pick('OrderID * 4 + 2', 'product', '(n - 2)')} AS r2,
+                {_pick('OrderID * 4 + 3', 'product', '(n - 3)')} AS r3
+              FROM m_Headers, (SELECT count(*) AS n FROM part)))))"""
 _tables["m_Made"] = """SELECT unnest(generate_series(1, (SELECT count(*) FROM customer))) AS i"""
 
 _RECURSIVE = {"m_Turns", "m_ManagedBelow"}
@@ -290,6 +293,8 @@ def with_tables(select: str) -> str:
         add(name)
     if not needed:
         return select
+    if select.startswith("WITH"):
+        select = f"SELECT * FROM ({select}) q"
     word = "WITH RECURSIVE" if _RECURSIVE & set(needed) else "WITH"
     # Each definition is computed once; a reader gets its rows, not its text.
     plain = "{} AS ({})"
@@ -301,19 +306,23 @@ def with_tables(select: str) -> str:
 _AMOUNT = "DECIMAL(28,2)"
 
 _selects: dict[str, str] = {
-    "monthly_sales": f"""SELECT Year, MonthNumber, MonthName, MonthlySales,
-            CAST(sum(MonthlySales) OVER (ORDER BY Year, MonthNumber ROWS UNBOUNDED PRECEDING) AS {_AMOUNT})
-                AS RunningTotal,
-            lag(MonthlySales) OVER (ORDER BY Year, MonthNumber) AS PrevMonthSales,
-            CAST(MonthlySales - lag(MonthlySales) OVER (ORDER BY Year, MonthNumber) AS {_AMOUNT}) AS MoMChange
-        FROM (SELECT Year, MonthNumber, MonthName, CAST(sum(LineTotal) AS {_AMOUNT}) AS MonthlySales
-              FROM m_FactSales f JOIN m_DimDate d ON d.DateKey = f.DateKey GROUP BY Year, MonthNumber, MonthName) t""",
-    "top_customers_by_region": f"""SELECT * FROM (
-            SELECT e.Region, c.FullName, CAST(sum(f.LineTotal) AS {_AMOUNT}) AS Revenue,
-                CAST(rank() OVER (PARTITION BY e.Region ORDER BY sum(f.LineTotal) DESC) AS INT) AS RegionRank
-            FROM m_FactSales f JOIN m_DimCustomer c ON c.CustomerKey = f.CustomerKey
-            JOIN m_DimEmployee e ON e.EmployeeKey = f.EmployeeKey GROUP BY e.Region, c.FullName) t
-        WHERE RegionRank <= 5""",
+    "monthly_sales": f"""WITH days AS (SELECT DateKey, sum(LineTotal) AS sold FROM m_FactSales GROUP BY DateKey),
+        months AS (SELECT Year, MonthNumber, min(MonthName) AS MonthName, CAST(sum(sold) AS {_AMOUNT}) AS MonthlySales,
+                Year * 12 + MonthNumber AS place FROM days JOIN m_DimDate USING (DateKey) GROUP BY Year, MonthNumber)
+        SELECT m.Year, m.MonthNumber, m.MonthName, m.MonthlySales,
+            (SELECT CAST(sum(u.MonthlySales) AS {_AMOUNT}) FROM months u WHERE u.place <= m.place) AS RunningTotal,
+            p.MonthlySales AS PrevMonthSales, CAST(m.MonthlySales - p.MonthlySales AS {_AMOUNT}) AS MoMChange
+        FROM months m LEFT JOIN months p
+          ON p.place = (SELECT max(b.place) FROM months b WHERE b.place < m.place)""",
+    "top_customers_by_region": f"""WITH sold AS (SELECT CustomerKey, EmployeeKey, sum(LineTotal) AS part FROM m_FactSales
+            GROUP BY ALL),
+        named AS (SELECT Region, FullName, CAST(sum(part) AS {_AMOUNT}) AS Revenue
+            FROM sold JOIN (SELECT CustomerKey, FullName FROM m_DimCustomer) USING (CustomerKey)
+            JOIN (SELECT EmployeeKey, Region FROM m_DimEmployee) USING (EmployeeKey) GROUP BY Region, FullName),
+        amounts AS (SELECT Region, list(Revenue) AS amounts FROM named GROUP BY Region)
+        SELECT Region, FullName, Revenue, place AS RegionRank
+        FROM (SELECT *, CAST(1 + len(list_filter(amounts, lambda a: a > Revenue)) AS INT) AS place
+              FROM named JOIN amounts USING (Region)) WHERE place <= 5""",
     "org_hierarchy": """SELECT repeat('    ', Level) || FirstName || ' ' || LastName AS OrgChart, Title,
             CAST(Level AS INT) AS HierarchyLevel FROM m_ManagedBelow""",
     "category_quarter_pivot": "SELECT CategoryName, " + ", ".join(
@@ -321,21 +330,17 @@ _selects: dict[str, str] = {
         + """ FROM m_FactSales f JOIN m_DimProduct p ON p.ProductKey = f.ProductKey
         JOIN m_DimDate d ON d.DateKey = f.DateKey WHERE d.Year = 1997 GROUP BY CategoryName""",
     "order_islands": "SELECT CustomerID, IslandStart, IslandEnd FROM m_Islands",
-    "churn_gaps_all_pairs": """SELECT g1.CustomerID, g1.IslandEnd AS LastOrderInIsland,
-            g2.IslandStart AS NextOrderAfterGap,
-            CAST(date_diff('day', g1.IslandEnd, g2.IslandStart) AS INT) AS GapDays
-        FROM m_Islands g1 JOIN m_Islands g2 ON g2.CustomerID = g1.CustomerID AND g2.IslandStart > g1.IslandEnd
-        WHERE date_diff('day', g1.IslandEnd, g2.IslandStart) >= 60""",
-    "churn_gaps_adjacent": """SELECT CustomerID, IslandEnd AS LastOrderInIsland, Following AS NextOrderAfterGap,
-            CAST(date_diff('day', IslandEnd, Following) AS INT) AS GapDays
-        FROM (SELECT *, lead(IslandStart) OVER (PARTITION BY CustomerID ORDER BY IslandStart) AS Following
-              FROM m_Islands) t
-        WHERE date_diff('day', IslandEnd, Following) >= 60""",
-    "segment_set_ops": """(SELECT CustomerKey, 'ECONOMY only' AS Segment FROM m_WantedBuyers
-            EXCEPT SELECT CustomerKey, 'ECONOMY only' FROM m_OtherBuyers)
-        UNION ALL
-        (SELECT CustomerKey, 'Bought both' FROM m_WantedBuyers
-            INTERSECT SELECT CustomerKey, 'Bought both' FROM m_OtherBuyers)""",
+    "churn_gaps_all_pairs": """WITH starts AS (SELECT CustomerID, list(IslandStart) AS starts FROM m_Islands GROUP BY CustomerID),
+        later AS (SELECT CustomerID, IslandEnd AS LastOrderInIsland,
+                unnest(list_filter(starts, lambda s: s >= IslandEnd + 60)) AS NextOrderAfterGap
+            FROM m_Islands JOIN starts USING (CustomerID))
+        SELECT *, CAST(NextOrderAfterGap - LastOrderInIsland AS INT) AS GapDays FROM later""",
+    "churn_gaps_adjacent": """WITH pairs AS (SELECT CustomerID,
+                unnest(list_zip(days[1:len(days) - 1], days[2:])) AS pair FROM m_OrderDays)
+        SELECT CustomerID, pair[1] AS LastOrderInIsland, pair[2] AS NextOrderAfterGap,
+            CAST(pair[2] - pair[1] AS INT) AS GapDays FROM pairs WHERE pair[2] - pair[1] >= 60""",
+    "segment_set_ops": """SELECT CustomerKey, CASE WHEN other THEN 'Bought both' ELSE 'ECONOMY only' END AS Segment
+        FROM m_Bought WHERE wanted""",
 
     "dim_date": "SELECT * FROM m_DimDate",
     "dim_customer_scd2": "SELECT * FROM m_DimCustomer2",
@@ -352,12 +357,14 @@ _selects: dict[str, str] = {
             City, State, Country FROM (SELECT DISTINCT City, State, Country FROM m_Addresses) t""",
 
     "fact_sales_initial": "SELECT * FROM m_FactSales",
-    "fact_sales_merge": """SELECT f.SalesKey, f.OrderDetailID, f.DateKey, f.CustomerKey, f.ProductKey, f.EmployeeKey,
-            f.GeographyKey, s.Quantity, s.UnitPrice, s.Discount, s.LineTotal, f.LoadedAt
-        FROM m_Sales1 f JOIN m_Sales2 s ON s.OrderDetailID = f.OrderDetailID
-        UNION ALL
-        SELECT (SELECT max(SalesKey) FROM m_Sales1) + 1 + s.OrderDetailID - (SELECT min(OrderDetailID) FROM m_Lines),
-            s.* FROM m_Sales2 s WHERE s.OrderDetailID NOT IN (SELECT OrderDetailID FROM m_Sales1)""",
+    "fact_sales_merge": f"""WITH known AS (SELECT max(SalesKey) AS top FROM m_Sales1)
+        SELECT coalesce(f.SalesKey, top + 1 + s.OrderDetailID - (SELECT min(OrderDetailID) FROM m_Lines)) AS SalesKey,
+            s.OrderDetailID, coalesce(f.DateKey, s.DateKey) AS DateKey,
+            coalesce(f.CustomerKey, s.CustomerKey) AS CustomerKey, coalesce(f.ProductKey, s.ProductKey) AS ProductKey,
+            CASE WHEN f.SalesKey IS NULL THEN s.EmployeeKey ELSE f.EmployeeKey END AS EmployeeKey,
+            coalesce(f.GeographyKey, s.GeographyKey) AS GeographyKey, s.Quantity, s.UnitPrice, s.Discount, s.LineTotal,
+            CASE WHEN f.SalesKey IS NULL THEN {SECOND} ELSE {FIRST} END AS LoadedAt
+        FROM m_Sales2 s LEFT JOIN m_Sales1 f ON f.OrderDetailID = s.OrderDetailID, known""",
     "fact_sales_outside_calendar": """SELECT 'sales day known' AS rule, CAST(DateKey AS VARCHAR) AS key,
             concat(CAST(count(*) AS VARCHAR), ' rows') AS detail
         FROM m_FactSales WHERE DateKey > (SELECT (year(min(o_orderdate)) + 5) * 10000 + 101 FROM orders)
@@ -463,10 +470,9 @@ _selects: dict[str, str] = {
     "customer_ltv": f"""SELECT c.CustomerID, CAST(coalesce(sum(o.TotalAmount), 0) AS {_AMOUNT}) AS LifetimeValue
         FROM m_Customers c LEFT JOIN m_Orders o ON o.CustomerID = c.CustomerID AND o.OrderStatus <> 'Cancelled'
         GROUP BY c.CustomerID""",
-    "order_history": """SELECT o.CustomerID, o.OrderID, o.OrderDate, o.OrderStatus, o.TotalAmount,
-            count(l.OrderDetailID) AS LineCount
-        FROM m_Orders o JOIN m_Lines l ON l.OrderID = o.OrderID
-        GROUP BY o.CustomerID, o.OrderID, o.OrderDate, o.OrderStatus, o.TotalAmount""",
+    "order_history": """WITH counted AS (SELECT OrderID, count(*) AS LineCount FROM m_Lines GROUP BY OrderID)
+        SELECT CustomerID, OrderID, OrderDate, OrderStatus, TotalAmount, LineCount
+        FROM counted JOIN m_Orders USING (OrderID)""",
     "orders_by_status": """SELECT OrderID, CustomerID, OrderDate, TotalAmount FROM m_Orders
         WHERE OrderStatus = 'Delivered' ORDER BY OrderDate DESC""",
     "load_summary": """SELECT (SELECT count(*) FROM m_Customers) AS customers, (SELECT count(*) FROM m_Orders) AS orders,
@@ -509,10 +515,8 @@ _selects: dict[str, str] = {
         FROM (SELECT OrderID, OrderID * 4 + k AS OrderDetailID,
                 CAST(CASE WHEN {_pick('OrderID * 4 + k', 'discount', 10)} = 0 THEN 0.10 ELSE 0 END AS DECIMAL(4,2))
                     AS Discount,
-                ({_pick('OrderID', 'first', '(SELECT count(*) FROM part)')}
-                 + k * (1 + {_pick('OrderID', 'step', '(((SELECT count(*) FROM part) - 1) // 4)')}))
-                 % (SELECT count(*) FROM part) AS n
-              FROM m_Headers, LATERAL (SELECT unnest(generate_series(0, {_pick('OrderID', 'lines', 4)})) AS k) s) t
+                CASE k WHEN 0 THEN d0 WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END AS n
+              FROM m_Drawn, LATERAL (SELECT unnest(generate_series(0, {_pick('OrderID', 'lines', 4)})) AS k) s) t
         JOIN m_NumberedProducts p ON p.n = t.n""",
     "generated_payments": f"""SELECT OrderID AS PaymentID, OrderID, OrderDate + INTERVAL '5' MINUTE AS PaymentDate,
             TotalAmount AS Amount,

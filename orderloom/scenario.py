@@ -109,8 +109,10 @@ def wrong_stock_count(inventory: DataFrame) -> DataFrame:
 
 
 def unchecked_lines(lines: DataFrame) -> DataFrame:
-    """Order lines as a careless sender would give them: every rule of the table is broken somewhere."""
+    """Order lines as a careless sender would give them: every rule of the table is broken somewhere, and some lines
+    are sent twice."""
     seq = F.col("OrderDetailID")
+    lines = lines.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(seq % 47 == 0, 2).otherwise(1))))
     return lines.select(
         "OrderDetailID", F.when(seq % 61 == 0, -F.col("OrderID") - 1).otherwise(F.col("OrderID")).alias("OrderID"),
         F.when(seq % 67 == 0, F.lit(None)).when(seq % 71 == 0, -F.col("ProductID") - 1)

@@ -100,17 +100,20 @@ def generate_orders(customers: DataFrame, addresses: DataFrame, employees: DataF
 def generate_lines(orders: DataFrame, products: DataFrame) -> DataFrame:
     """One to four lines with different products for every order. OrderDetailID = 4 x OrderID + line number.
 
-    The products of an order stand at equal steps in the product list; the step is short enough that
-    four of them never meet again.
+    The products of an order are drawn one by one from those it has not got yet: a draw is a place among the
+    remaining ones, moved up by one for each product taken before that stands at or below it.
     """
     priced, n = _indexed(products.select("ProductID", "UnitPrice"), "ProductID", "assortment")
     key = F.col("OrderID")
     count = F.least(1 + pick(key, "lines", 4), F.lit(n))
-    step = 1 + pick(key, "step", max(1, (n - 1) // 4))
-    picked = (orders.select(key, F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("_line"),
-                            pick(key, "first", n).alias("_first"), step.alias("_step"))
-              .withColumn("OrderDetailID", key * 4 + F.col("_line"))
-              .withColumn("_index", (F.col("_first") + F.col("_line") * F.col("_step")) % n))
+
+    def drawn(taken: Column, line: Column) -> Column:
+        place = pick(key * 4 + line, "product", F.lit(n) - line)
+        free = F.aggregate(F.array_sort(taken), place, lambda at, t: F.when(at >= t, at + 1).otherwise(at))
+        return F.concat(taken, F.array(free))
+    draws = F.aggregate(F.sequence(F.lit(0).cast("long"), count - 1), F.array().cast("array<bigint>"), drawn)
+    picked = (orders.select(key, F.posexplode(draws).alias("_line", "_index"))
+              .withColumn("OrderDetailID", key * 4 + F.col("_line")))
     line = F.col("OrderDetailID")
     priced_lines = lookup_join(picked, priced, ["_index"], ["OrderDetailID"])
     return with_line_total(priced_lines.select(
