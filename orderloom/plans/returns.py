@@ -33,7 +33,7 @@ def process_returns(requests: DataFrame, lines: DataFrame, payments: DataFrame,
 
     ``requests`` has (seq, OrderDetailID, QuantityReturned, Reason). The refund is list price times quantity.
     An unknown line, or a quantity that is not positive, leaves nothing but an error. A known line whose order
-    has no payment keeps its return and logs the failed refund. All payments of a refunded order are marked,
+    has no payment keeps its return and logs the failed refund. A reason is cut to its 200 characters. All payments of a refunded order are marked,
     whatever their status.
     """
     known = lookup_join(requests, lines.select("OrderDetailID", "OrderID", "UnitPrice"), ["OrderDetailID"],
@@ -50,7 +50,8 @@ def process_returns(requests: DataFrame, lines: DataFrame, payments: DataFrame,
              .when(F.col("_paid").isNull(), F.lit(errors.NO_PAYMENT)))
     decided = materialize(
         lookup_join(priced, paid, ["OrderID"], ["seq"], "left", hot_in=priced)
-        .select("seq", "OrderDetailID", "OrderID", "QuantityReturned", "Reason", sound.alias("Accepted"),
+        .select("seq", "OrderDetailID", "OrderID", "QuantityReturned", F.substring("Reason", 1, 200).alias("Reason"),
+                sound.alias("Accepted"),
                 F.when(sound, amount(F.col("UnitPrice") * F.col("QuantityReturned"))).alias("RefundAmount"),
                 fault.cast("int").alias("ErrorNumber")), "returns")
     least = decided.agg(F.min("seq").alias("least")).scalar()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from orderloom.functions.errors import NEGATIVE_STOCK, NOTHING_TO_RESTOCK
 from orderloom.operators.merge import require_unique, update_from
@@ -37,21 +37,25 @@ def restock_notice(restocked: Observation) -> str | None:
     return None if restocked.get["rows"] else NOTHING_TO_RESTOCK
 
 
+def _sound() -> Column:
+    return F.coalesce(F.col("QuantityOnHand") >= 0, F.lit(False))
+
+
 def apply_inventory_update(inventory: DataFrame, updates: DataFrame) -> DataFrame:
-    """Inventory after a batch of replacement rows; unchanged if any of them has negative stock.
+    """Inventory after a batch of replacement rows; unchanged if any of them has negative or unknown stock.
 
     Updates for unknown products have no effect.
     """
-    accepted = ~updates.where(F.col("QuantityOnHand") < 0).select(F.lit(1)).exists()
+    accepted = ~updates.where(~_sound()).select(F.lit(1)).exists()
     batch = require_unique(updates, ["ProductID"], "inventory update").where(accepted)
     columns = ("QuantityOnHand", "WarehouseLocation", "LastRestockDate")
     return update_from(inventory, batch, ["ProductID"], {c: F.col(f"v.{c}") for c in columns})
 
 
 def update_verdict(updates: DataFrame) -> DataFrame:
-    """One row about a batch: its size, how many of its rows go negative, and the error if any does."""
+    """One row about a batch: its size, how many of its rows go negative or have no number, and the error if any."""
     return updates.agg(
         F.count("*").alias("BatchRows"),
-        F.count_if(F.col("QuantityOnHand") < 0).alias("NegativeRows")).select(
+        F.count_if(~_sound()).alias("NegativeRows")).select(
         "BatchRows", "NegativeRows",
         F.when(F.col("NegativeRows") > 0, F.lit(NEGATIVE_STOCK)).alias("ErrorMessage"))

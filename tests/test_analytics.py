@@ -41,7 +41,7 @@ def test_months_skip_gaps_and_run_over_years(spark, calendar):
 @pytest.mark.parametrize("salted", [False, True])
 def test_rank_ties_and_versions_of_a_customer(spark, monkeypatch, salted):
     if salted:
-        monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
     customers = spark.createDataFrame([(n, f"C{n}") for n in range(1, 8)] + [(8, "C1")],
                                       "CustomerKey BIGINT, FullName STRING")
     staff = spark.createDataFrame([(1, "North"), (2, "South")], "EmployeeKey BIGINT, Region STRING")
@@ -88,7 +88,7 @@ def test_depth_limit(spark):
 
 
 def test_hierarchy_below_one_hot_manager(spark, monkeypatch):
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
     wide = [(i, "F", f"L{i}", None if i == 0 else 0 if i <= 400 else i - 400, "T") for i in range(900)]
     got = analytics.org_hierarchy(spark.createDataFrame(wide, STAFF)).groupBy("HierarchyLevel").count()
     assert rows(got) == [(0, 1), (1, 400), (2, 400), (3, 99)]

@@ -81,7 +81,7 @@ def brute_force(requests, stock_of, bad):
 @pytest.mark.parametrize("salted, span", [(False, 100_000), (True, 100_000), (False, 7), (True, 40)])
 def test_turns_equal_brute_force_with_one_hot_product(spark, shop, monkeypatch, salted, span):
     if salted:
-        monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(order_jobs, "SPAN", span)
     draw = random.Random(span)
     stock_of = {p: draw.choice([0, 1, 3, 40, 300, 2000]) for p in range(100, 160)}

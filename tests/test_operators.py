@@ -127,7 +127,7 @@ def test_offset_keys_follow_the_last_one(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_lookup_join_by_salt_equals_plain_join(spark, monkeypatch, how):
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 8)
     # A third of the rows has key 1, a third has no key.
     many = spark.range(30000).select(
         "id", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.col("id")).alias("k"))
@@ -143,13 +143,32 @@ def test_lookup_join_by_salt_equals_plain_join(spark, monkeypatch, how):
 
 def test_hot_keys_are_found_and_few(spark):
     df = spark.range(100000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    hot = spark.range(1).select(skew.hot_keys(df, ["k"])).collect()[0][0]
-    assert hot == [spark.range(1).select(F.xxhash64(F.lit(-1).cast("long"))).collect()[0][0]]
+    hot = [tuple(r) for r in skew.hot_keys(df, ["k"]).collect()]
+    assert hot == [(spark.range(1).select(F.xxhash64(F.lit(-1).cast("long"))).collect()[0][0], 3)]
+
+
+def test_no_task_of_a_lookup_join_gets_far_more_rows_than_others(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+    n = F.col("id")
+    many = spark.range(1000000).select("id", F.when(n % 3 == 0, 1).when(n % 250 == 1, 2).otherwise(n).alias("k"))
+    one = spark.range(1000000).select(n.alias("k"))
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        parts = skew.lookup_join(many, one, ["k"], ["id"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in parts) == 1000000
+    assert max(r["count"] for r in parts) <= 4 * 1000000 / 64
 
 
 def test_broadcast_check_counts_rows(spark):
-    assert skew.fits_broadcast(spark.range(100), 100)
-    assert not skew.fits_broadcast(spark.range(101), 100)
+    assert skew.fits_broadcast(spark.range(100), 800)
+    assert not skew.fits_broadcast(spark.range(101), 800)
     assert skew.fits_broadcast(spark.range(0), 0)
 
 
