@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.llm.common import kept_rows, sized, text_key, whole_text
 from orderloom.llm.hashing import mixed, random_words, running_sums, stretch_hashes
@@ -221,13 +221,46 @@ def _tables(values: DataFrame, bands: int) -> DataFrame:
     return materialize(keys.join(chosen, "key", "left_semi").select("key", "node"), "tables")
 
 
-def _fitting(pairs: DataFrame, sizes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose set sizes alone do not rule the similarity out."""
+def _can_link(r_a: Column, r_b: Column, n_a: Column, n_b: Column, similarity: float) -> Column:
+    """Whether sets of these sizes n, with at most r elements in common with anything, can be similar enough."""
     least = round(100 * similarity)
-    a = sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a"))
-    b = sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b"))
-    return pairs.join(a, "a").join(b, "b").where(
-        100 * F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b")).select("a", "b")
+    return (100 + least) * F.least(r_a, r_b) >= least * (n_a + n_b)
+
+
+def _fitting(pairs: DataFrame, facts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs that the sizes n and the shared parts r of their sets do not rule out."""
+    a = facts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("r").alias("r_a"))
+    b = facts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("r").alias("r_b"))
+    return pairs.join(a, "a").join(b, "b").where(_can_link(
+        F.col("r_a"), F.col("r_b"), F.col("n_a"), F.col("n_b"), similarity)).select("a", "b")
+
+
+def _shared_parts(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, r) for the nodes that have a shingle to themselves: how many such shingles.
+
+    What one node has alone cannot be in any intersection, so it bounds every similarity of that node exactly.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), batch.column(0)[i].as_py(), np.int64)),
+                                                  pa.array(found)], ["node", "shingle"])
+    rows = sets.join(nodes, "node", "left_semi").mapInArrow(run, "node bigint, shingle bigint")
+    own = rows.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low = high")
+    return own.groupBy(F.col("low").alias("node")).agg(F.count("*").alias("alone"))
+
+
+def _possible(groups: DataFrame, facts: DataFrame, similarity: float) -> DataFrame:
+    """Members of groups that could be linked with a member of their group at all, where several components are left."""
+    known = groups.join(facts, "node")
+    small = materialize(known.groupBy("key").agg(F.min("n").alias("least_n")), "least-sizes")
+    n, r = F.col("n"), F.col("r")
+    alive = materialize(known.join(small, "key").where(_can_link(r, r, n, F.col("least_n"), similarity)).drop("least_n"),
+                        "possible")
+    split = alive.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
+        "low < high").select("key")
+    return materialize(alive.join(materialize(split, "split-keys"), "key", "left_semi"), "possible-groups")
 
 
 def _split_groups(tables: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -253,11 +286,14 @@ def _with_leaders(groups: DataFrame, turn: int) -> DataFrame:
     return pairs.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
 
 
-def _across(groups: DataFrame) -> DataFrame:
-    """(a, b): all members of a group that are in different components, a in the component with the smaller name."""
-    a = groups.select("key", F.col("node").alias("a"), F.col("component").alias("of_a"))
-    b = groups.select("key", F.col("node").alias("b"), F.col("component").alias("of_b"))
-    pairs = a.join(b, "key").where("of_a < of_b").select("a", "b")
+def _across(groups: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): members of a group that are in different components and can be linked."""
+    a = groups.select("key", F.col("node").alias("a"), F.col("component").alias("of_a"), F.col("n").alias("n_a"),
+                      F.col("r").alias("r_a"))
+    b = groups.select("key", F.col("node").alias("b"), F.col("component").alias("of_b"), F.col("n").alias("n_b"),
+                      F.col("r").alias("r_b"))
+    able = _can_link(F.col("r_a"), F.col("r_b"), F.col("n_a"), F.col("n_b"), similarity)
+    pairs = a.alias("x").join(b.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("of_a") < F.col("of_b")) & able)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -279,11 +315,22 @@ def _linked(docs: DataFrame, size: int, similarity: float, bands: int, width: in
     sets = materialize(sets.join(wanted.select("node", "own", "other"), ["own", "other"]).select("node", "shingles"),
                        "sets")
     links, labels = None, None
+    facts = wanted.select("node", "n", F.col("n").alias("r"))
     for turn in range(ROUNDS + 1):
         groups = _split_groups(tables, labels)
-        pairs = _with_leaders(groups, turn) if turn < ROUNDS else _across(groups)
-        new = materialize(_confirmed(_fitting(pairs, wanted, similarity), sets, similarity), "links")
-        if new.isEmpty() and turn < ROUNDS:
+        if turn == 1:
+            alone = materialize(_shared_parts(groups.select("node").distinct(), sets), "alone")
+            facts = materialize(facts.join(alone, "node", "left").select(
+                "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("r")), "facts")
+        if turn:
+            groups = _possible(groups, facts, similarity)
+            if groups.isEmpty():
+                break
+        elif ROUNDS == 0:
+            groups = groups.join(facts, "node")
+        pairs = _with_leaders(groups, turn) if turn < ROUNDS else _across(groups, similarity)
+        new = materialize(_confirmed(_fitting(pairs, facts, similarity), sets, similarity), "links")
+        if turn and new.isEmpty():
             continue
         links = new if links is None else links.union(new)
         labels = components(links)
