@@ -35,8 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_ids, ids and the digest of the text that the ids decode to, for each document of the mixture."""
     vocabulary = pieces.load_vocabulary(f"{TOKENIZERS}/{PIECES}")
-    decoded = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
-    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids",
+    return pieces.encode(docs, vocabulary, decoded=True).select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids",
                           F.sha2("text", 256).alias("decoded_sha256"))
 
 

@@ -26,7 +26,9 @@ from orderloom.llm.common import whole_text
 
 SPACE = "▁"
 # Characters of text that share a list of units.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 12 << 20
+# Partitions (as bits) whose places of a unit are listed together.
+_SHARD_BITS = 14
 # Units of more characters than a fold has bits for are encoded one by one.
 FOLD_CHARS = 60
 _UNKNOWN = (1 << 21) - 1
@@ -165,7 +167,7 @@ class _Words:
     """The words of a block's texts, numbered as they come, and in the end the units that each is made of."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.find = re.compile(vocabulary.unit_pattern()).findall
+        self.vocabulary, self.find = vocabulary, re.compile(vocabulary.unit_pattern()).findall
         self.prefix = SPACE if vocabulary.dummy_prefix else ""
         count = itertools.count().__next__
         self.between, self.units = defaultdict(count), defaultdict(count)
@@ -182,15 +184,20 @@ class _Words:
         return np.fromiter(map(held.__getitem__, found), np.int64, len(found))
 
     def listed(self) -> tuple[list[str], bytes]:
-        """The distinct units, and for each word, packed, how many units it has and their numbers."""
+        """The distinct units that a fold can take, and packed: how many words, units and longer units there are, for
+        each word how many units it has, the units' numbers, and for each longer unit its ids, counted and listed."""
         words: list[list[str]] = [[]] * (len(self.between) + len(self.units))
         for word, n in self.between.items():
             words[n] = self.find(SPACE + word)
         for unit, n in self.units.items():
             words[n] = [unit]
-        numbers = defaultdict(itertools.count().__next__)
-        flat = [numbers[u] for w in words for u in w]
-        return list(numbers), _packed(np.array([len(words), *map(len, words), *flat], np.int64))
+        numbers, longer = defaultdict(itertools.count().__next__), defaultdict(itertools.count(1).__next__)
+        flat = np.array([numbers[u] if len(u) <= FOLD_CHARS else -longer[u] for w in words for u in w], np.int64)
+        flat[flat < 0] = len(numbers) - 1 - flat[flat < 0]
+        ids = [encode_unit(u, self.vocabulary) for u in longer]
+        return list(numbers), _packed(np.concatenate((
+            [len(words), len(numbers), len(ids)], np.fromiter(map(len, words), np.int64, len(words)), flat,
+            np.fromiter(map(len, ids), np.int64, len(ids)), np.array([i for x in ids for i in x], np.int64))))
 
 
 def _blocks(docs: DataFrame, vocabulary: Vocabulary, block_chars: int) -> DataFrame:
@@ -259,16 +266,18 @@ def _id(edge: Column) -> Column:
 
 
 def _lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(unit, edges) for distinct units: all matches of pieces as numbers, sorted, and characters that are no piece.
+    """(unit, places, edges) for distinct (unit, places): all matches of pieces as numbers, sorted, and characters that
+    are no piece. ``places`` is handed on as it is; units that have a "shard" are distinct with it.
 
     For a unigram model an edge is (number, score). Rows stay with their unit from the distinct on, so grouping the
     edges again moves nothing; a hash leads the grouping key, as numbers are sorted faster than texts.
     """
     if len(vocabulary.texts) >= _UNKNOWN:
         raise ValueError("the vocabulary has too many pieces")
-    n = F.char_length("unit")
-    starts = units.select("unit", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
-    spans = starts.select("unit", "s", F.explode(F.sequence(F.col("s") + 1, F.least(
+    n, shard = F.char_length("unit"), [c for c in units.columns if c == "shard"]
+    first = F.when((F.col("s") == 0) & (F.col("e") == 1), F.col("places"))
+    starts = units.select("unit", *shard, "places", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
+    spans = starts.select("unit", *shard, "places", "s", F.explode(F.sequence(F.col("s") + 1, F.least(
         F.col("s") + vocabulary.longest, n))).alias("e"))
     spans = spans.withColumn("sub", F.substring("unit", F.col("s") + 1, F.col("e") - F.col("s")))
     table = F.broadcast(_piece_table(units.sparkSession, vocabulary))  # bounded by the vocabulary
@@ -280,12 +289,14 @@ def _lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     if vocabulary.kind == "unigram":
         lowest = min(s for _, s in vocabulary.pieces.values()) - 10
         edge = F.struct(edge.alias("edge"), F.coalesce("score", F.lit(float(lowest))).alias("score"))
-    return found.select(F.xxhash64("unit").alias("hash"), "unit", edge.alias("edge")).groupBy("hash", "unit").agg(
-        F.sort_array(F.collect_list("edge")).alias("edges")).drop("hash")
+    keys = [F.xxhash64("unit").alias("hash"), "unit", *shard]
+    edges = found.select(*keys, edge.alias("edge"), first.alias("places"))
+    return edges.groupBy("hash", "unit", *shard).agg(
+        F.sort_array(F.collect_list("edge")).alias("edges"), F.first("places", True).alias("places")).drop("hash")
 
 
 def _fold_merges(lattice: DataFrame) -> DataFrame:
-    """(unit, path): the edges that are left when pairs have been merged in the order of their places.
+    """(unit, places, path): the edges that are left when pairs have been merged in the order of their places.
 
     The state is the set of boundaries as bits. In each step, the first edge that spans just two parts takes out the
     boundary between them. ``ends`` and ``inner`` are the boundaries at and inside an edge.
@@ -294,8 +305,8 @@ def _fold_merges(lattice: DataFrame) -> DataFrame:
         return F.struct((_bit(_start(x)) + _bit(_end(x))).alias("ends"),
                         (_bit(_end(x)) - _bit(_start(x) + 1)).alias("inner"), x.alias("edge"))
     n, left = F.char_length("unit"), F.col("left")
-    lattice = lattice.select("unit", F.transform("edges", with_bits).alias("edges"))
-    lattice = lattice.select("unit", "edges", F.filter("edges", lambda x: x["inner"] != 0).alias("longer"))
+    lattice = lattice.select("unit", "places", F.transform("edges", with_bits).alias("edges"))
+    lattice = lattice.select("unit", "places", "edges", F.filter("edges", lambda x: x["inner"] != 0).alias("longer"))
 
     def step(state: Column, _: Column) -> Column:
         fits = F.filter("longer", lambda x: (state.bitwiseAND(x["ends"]) == x["ends"])
@@ -303,14 +314,14 @@ def _fold_merges(lattice: DataFrame) -> DataFrame:
         return state - state.bitwiseAND(F.coalesce(F.get(fits, F.lit(0))["inner"], F.lit(0).cast("bigint")))
     rounds = F.when(F.size("longer") == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), n - 1))
     # Columns of their own, so that no step works them out again for each edge.
-    merged = lattice.select("unit", "edges", F.aggregate(rounds, _bit(n + 1) - 1, step).alias("left"))
+    merged = lattice.select("unit", "places", "edges", F.aggregate(rounds, _bit(n + 1) - 1, step).alias("left"))
     chosen = F.filter("edges", lambda x: (left.bitwiseAND(x["ends"]) == x["ends"])
                       & (left.bitwiseAND(x["inner"]) == 0))
-    return merged.select("unit", F.transform(chosen, lambda x: x["edge"]).alias("path"))
+    return merged.select("unit", "places", F.transform(chosen, lambda x: x["edge"]).alias("path"))
 
 
 def _fold_best_path(lattice: DataFrame) -> DataFrame:
-    """(unit, path): the edges of the path with the highest sum of scores (Viterbi): forward over the ends, then back.
+    """(unit, places, path): the edges of the path with the highest sum of scores (Viterbi): forward over the ends, then back.
     """
     none, best = F.lit(float("-inf")), F.col("best")
     first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("from"),
@@ -323,7 +334,7 @@ def _fold_best_path(lattice: DataFrame) -> DataFrame:
             (-_start(x["edge"])).alias("from"), x["edge"].alias("edge")))
         return F.concat(state, F.array(F.array_max(reached)))
     n = F.char_length("unit")
-    lattice = lattice.select("unit", F.aggregate(F.sequence(F.lit(1), n), first, forward).alias("best"))
+    lattice = lattice.select("unit", "places", F.aggregate(F.sequence(F.lit(1), n), first, forward).alias("best"))
 
     def backward(state: Column, _: Column) -> Column:
         here, more = F.get(best, state["at"])["edge"], state["at"] > 0
@@ -331,15 +342,14 @@ def _fold_best_path(lattice: DataFrame) -> DataFrame:
             F.when(more, _start(here)).otherwise(F.lit(0)).alias("at"),
             F.when(more, F.concat(F.array(here), state["path"])).otherwise(state["path"]).alias("path"))
     start = F.struct(n.alias("at"), F.array().cast("array<bigint>").alias("path"))
-    return lattice.select("unit", F.aggregate(F.sequence(F.lit(1), n), start, backward)["path"].alias("path"))
+    return lattice.select("unit", "places", F.aggregate(F.sequence(F.lit(1), n), start, backward)["path"].alias("path"))
 
 
-def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(unit, ids) for a table of distinct units."""
+def _folded(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(unit, places, ids) for units that a fold can take."""
     fold = _fold_best_path if vocabulary.kind == "unigram" else _fold_merges
-    lattice = _lattice(units.where(F.char_length("unit").between(1, FOLD_CHARS)), vocabulary)
-    path = fold(lattice).select("unit", F.array_sort(F.transform("path", lambda x: F.struct(
-        _start(x).alias("s"), _id(x).alias("id")))).alias("path"))
+    path = fold(_lattice(units, vocabulary)).select("unit", "places", F.array_sort(F.transform(
+        "path", lambda x: F.struct(_start(x).alias("s"), _id(x).alias("id")))).alias("path"))
     if len(vocabulary.byte_ids) == 256:
         byte_ids = F.array(*[F.lit(i) for i in vocabulary.byte_ids])
 
@@ -350,22 +360,51 @@ def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     else:
         def missing(s: Column) -> Column:
             return F.array(F.lit(vocabulary.unknown_id))
-    folded = path.select("unit", F.when(
+    return path.select("unit", "places", F.when(
         F.exists("path", lambda x: x["id"] == _UNKNOWN), F.flatten(F.transform("path", lambda x: F.when(
             x["id"] == _UNKNOWN, missing(x["s"])).otherwise(F.array(x["id"]))))).otherwise(
                 F.transform("path", lambda x: x["id"])).alias("ids"))
 
-    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(unit, ids) for a table of distinct units of at most ``FOLD_CHARS`` characters."""
+    return _folded(units.select("unit", F.lit(0).alias("places")), vocabulary).select("unit", "ids")
+
+
+def _list_rows(encoded: DataFrame) -> DataFrame:
+    """(of, packed): for rows (of, number, ids), many of a block together, to be moved in a small form."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+
+        def packed() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            of, number = table.column("of").to_numpy(), table.column("number").to_numpy()
+            lists = table.column("ids").chunk(0)
+            flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+            order = np.argsort(of, kind="stable")
+            cuts = np.flatnonzero(np.diff(of[order])) + 1
+            blocks, out = [], []
+            for at in np.split(order, cuts):
+                ids, sizes = _gathered(flat, ends, at)
+                blocks.append(int(of[at[0]]))
+                out.append(_packed(np.concatenate(([len(at)], number[at], sizes, ids))))
+            return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(out, pa.binary())],
+                                              ["of", "packed"])
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([encode_unit(u, vocabulary) for u in batch.column(0).to_pylist()],
-                                           pa.list_(pa.int32()))], ["unit", "ids"])
-    long = units.where(F.char_length("unit") > FOLD_CHARS).mapInArrow(alone, "unit string, ids array<int>")
-    return folded.unionByName(long)
+            if batch.num_rows:
+                held.append(batch)
+                rows += batch.num_rows
+            if rows >= 200_000:
+                yield packed()
+                held, rows = [], 0
+        if held:
+            yield packed()
+    return encoded.mapInArrow(run, "of bigint, packed binary")
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): row, doc_id, ids.
+def encode(docs: DataFrame, vocabulary: Vocabulary, block_chars: int = BLOCK_CHARS,
+           decoded: bool = False) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): row, doc_id, ids, and with ``decoded`` the text the ids stand for.
 
     ``docs`` is gone through twice and has to give the same rows in the same partitions, as stored tables do.
     ``row`` is a number of its own for each row. A null text counts as empty, and an empty text has no ids; rows that
@@ -375,33 +414,54 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_chars: int = BLOCK_CHA
     blocks = _blocks(docs, vocabulary, block_chars)
     listed = blocks.where("units IS NOT NULL").select(
         F.col("block").alias("of"), F.posexplode("units").alias("number", "unit"))
-    units = listed.select("unit").distinct()
-    lists = listed.join(encode_units(units, vocabulary), "unit").select("of", "number", "ids")
+    # One exchange brings a unit's places together; a shard holds so few blocks that the list stays short.
+    shard = F.shiftright("of", 32 + _SHARD_BITS).cast("int")
+    places = listed.withColumn("shard", shard).repartition("unit", "shard").groupBy("unit", "shard").agg(F.collect_list(F.struct("of", "number")).alias("places"))
+    encoded = _folded(places, vocabulary).select("ids", F.explode("places").alias("place")).select(
+        "place.of", "place.number", "ids")
     texts = blocks.select("block", "row", "doc_id", "seq")
+    pieces, prefix = vocabulary.texts, vocabulary.dummy_prefix
 
     def put_together(texts_: pa.Table, lists_: pa.Table) -> pa.Table:
-        lists_ = lists_.sort_by("number").combine_chunks()
-        flat, ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
-        if lists_.num_rows:
-            column = lists_.column("ids").chunk(0)
-            flat, ends = column.values.to_numpy(), column.offsets.to_numpy().astype(np.int64)
         rows = texts_.column("row").to_pylist()
-        made = [_unpacked(texts_.column("seq")[i].as_py()) for i, r in enumerate(rows) if r is None]
-        if made:  # from ids of units to ids of words
-            n = int(made[0][0])
-            counts, numbers = made[0][1:n + 1].astype(np.int64), made[0][n + 1:]
-            flat, sizes = _gathered(flat, ends, numbers)
-            word_ends = np.concatenate(([0], np.cumsum(counts)))
-            unit_ends = np.concatenate(([0], np.cumsum(sizes)))
-            ends = unit_ends[word_ends]
         at = [i for i, r in enumerate(rows) if r is not None]
-        found = [_gathered(flat, ends, _unpacked(texts_.column("seq")[i].as_py()))[0] for i in at]
+        made = [_unpacked(texts_.column("seq")[i].as_py()) for i, r in enumerate(rows) if r is None]
+        flat, ends = _word_lists(made[0], lists_) if made else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+        found = [_gathered(flat, ends, _unpacked(texts_.column("seq")[i].as_py()))[0].astype(np.int32) for i in at]
         offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([flat[:0], *found]), pa.int32()))
-        return pa.table({"row": pa.array([rows[i] for i in at], pa.int64()),
-                         "doc_id": texts_.column("doc_id").take(pa.array(at, pa.int64())), "ids": ids})
-    return texts.groupBy("block").cogroup(lists.groupBy("of")).applyInArrow(
-        put_together, "row bigint, doc_id bigint, ids array<int>")
+        out = {"row": pa.array([rows[i] for i in at], pa.int64()),
+               "doc_id": texts_.column("doc_id").take(pa.array(at, pa.int64())),
+               "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(
+                   np.concatenate([np.zeros(0, np.int32), *found]), pa.int32()))}
+        if decoded:
+            out["text"] = pa.array([_text(f.tolist(), pieces, prefix) for f in found], pa.string())
+        return pa.table(out)
+    return texts.groupBy("block").cogroup(_list_rows(encoded).groupBy("of")).applyInArrow(
+        put_together, "row bigint, doc_id bigint, ids array<int>" + (", text string" if decoded else ""))
+
+
+def _word_lists(made: np.ndarray, lists: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a block's words one after the other and where each begins, from those of its units."""
+    n, short, long = (int(x) for x in made[:3])
+    counts, rest = made[3:3 + n].astype(np.int64), made[3 + n:].astype(np.int64)
+    numbers, rest = rest[:counts.sum()], rest[counts.sum():]
+    sizes, parts, order = np.zeros(short + long, np.int64), [], []
+    for packed in lists.column("packed"):
+        row = _unpacked(packed.as_py()).astype(np.int64)
+        k = int(row[0])
+        order.append(row[1:k + 1])
+        sizes[row[1:k + 1]] = row[k + 1:2 * k + 1]
+        parts.append(row[2 * k + 1:])
+    order.append(np.arange(short, short + long))
+    sizes[short:], parts = rest[:long], [*parts, rest[long:]]
+    # From the order in which the lists came to the order of the units' numbers.
+    came = np.concatenate(order)
+    came_ends = np.concatenate(([0], np.cumsum(sizes[came])))
+    back = np.empty_like(came)
+    back[came] = np.arange(len(came))
+    flat, _ = _gathered(np.concatenate(parts), came_ends, back[numbers])
+    word_ends = np.concatenate(([0], np.cumsum(counts)))
+    return flat, np.concatenate(([0], np.cumsum(sizes[numbers])))[word_ends]
 
 
 def _gathered(flat: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -412,30 +472,25 @@ def _gathered(flat: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[
     return flat[at], sizes
 
 
+def _text(ids: list[int], pieces: tuple[bytes, ...], prefix: bool) -> str:
+    whole = b"".join([pieces[i] for i in ids if 0 <= i < len(pieces)]).decode("utf-8", "replace").replace(SPACE, " ")
+    return whole[1:] if prefix and whole.startswith(" ") else whole
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "text") -> DataFrame:
     """``encoded`` with the text its ids stand for; bytes that are no UTF-8 become replacement characters, ids out of
     range nothing. A null list gives a null text."""
-    texts, prefix = vocabulary.texts, vocabulary.dummy_prefix
+    pieces, prefix = vocabulary.texts, vocabulary.dummy_prefix
 
     @F.arrow_udf("string")
     def put_together(lists: pa.Array) -> pa.Array:
-        out = []
-        for found in lists:
-            if not found.is_valid:
-                out.append(None)
-                continue
-            whole = b"".join([texts[i] for i in found.values.to_numpy(zero_copy_only=False).tolist()
-                              if 0 <= i < len(texts)]).decode("utf-8", "replace").replace(SPACE, " ")
-            out.append(whole[1:] if prefix and whole.startswith(" ") else whole)
-        return pa.array(out, pa.string())
+        return pa.array([_text(x, pieces, prefix) if x is not None else None for x in lists.to_pylist()], pa.string())
     return encoded.withColumn(text, put_together(ids))
 
 
 def encoding_digest(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Per document the number of its ids, a digest of them, and a digest of the text they decode to."""
-    encoded = encode(docs, vocabulary)
-    decoded = decode(encoded, vocabulary)
-    return decoded.select(
+    return encode(docs, vocabulary, decoded=True).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_ids"),
         F.sha2(F.concat_ws(" ", F.transform("ids", lambda i: i.cast("string"))), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"))
