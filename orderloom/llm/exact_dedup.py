@@ -53,9 +53,10 @@ def _decided(docs: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     else:
         recipes = _with_ordinals(rows, contents, shared, digest)
     recipes = materialize(recipes, "recipes")
-    groups = recipes.groupBy("recipe").agg(
-        F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size"))
-    return recipes.join(groups, "recipe").select(
+    # Written, so that the join shuffles both sides itself and a group with very many rows can be split.
+    groups = materialize(recipes.groupBy(F.col("recipe").alias("same")).agg(
+        F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size")), "groups")
+    return recipes.join(groups, F.col("recipe") == F.col("same")).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256"), "text_key")
 
