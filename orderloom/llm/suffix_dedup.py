@@ -108,9 +108,24 @@ def _contents(texts: DataFrame, length: int) -> DataFrame:
                                  "again boolean, content binary")
 
 
+def _first(changed: np.ndarray) -> np.ndarray:
+    """For each place the last one up to it where something changed."""
+    return np.maximum.accumulate(np.where(changed, np.arange(len(changed)), 0))
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    out = np.ones(len(values), bool)
+    out[1:] = values[1:] != values[:-1]
+    return out
+
+
 def suffix_order(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """All places in the order of the strings that start there, by their first ``length`` bytes, and each place's
-    rank, equal for equal strings. Ranks by 8 bytes are doubled until they cover the length."""
+    rank, equal for equal strings.
+
+    A rank is how many strings come before, by the bytes covered so far. Strings that are still equal are told apart
+    by the ranks of what follows, which doubles the bytes covered; those already alone keep their rank.
+    """
     n = len(data)
     padded = np.zeros(n + 8, np.uint64)
     padded[:n] = data.astype(np.uint64) + np.uint64(1)  # what lies behind the end comes first
@@ -118,12 +133,18 @@ def suffix_order(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]
     covered = min(7, length)
     for i in range(covered):  # 9 bits each
         key = (key << np.uint64(9)) | padded[i:i + n]
-    rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
-    while covered < length:
+    rank, active = np.zeros(n, np.int64), np.arange(n)
+    while len(active):
+        order = np.argsort(key)
+        at, new = active[order], _changes(key[order])
+        held = rank[at]
+        rank[at] = held + _first(new) - _first(_changes(held))
+        active = at[~(new & np.append(new[1:], True))]
+        if covered >= length:
+            break
         step = min(covered, length - covered)
-        behind = np.zeros(n, np.int64)
-        behind[:max(n - step, 0)] = rank[step:] + 1
-        rank = np.unique(rank * (n + 1) + behind, return_inverse=True)[1].astype(np.int64)
+        behind = np.where(active + step < n, rank[np.minimum(active + step, n - 1)] + 1, 0)
+        key = rank[active] * (n + 1) + behind
         covered += step
     return np.argsort(rank, kind="stable"), rank
 
