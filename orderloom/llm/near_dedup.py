@@ -5,10 +5,11 @@ from the first with a value from the second is the key of a table, so the tables
 collections while the hashing grows with their sum. Documents that share a key are candidates, and every link is
 confirmed on the full shingle sets.
 
-In a table, members are not paired with each other. Each is compared with one leader of its group, in several rounds
-with other leaders; what is linked is put into one component, and groups that hold one component only need no more
-looking at. Only members of groups that still hold several components are then paired across those components, so
-that no link between components is lost.
+In a table, members are not paired with each other. Each is compared with leaders of its groups, in several rounds;
+what is linked is put into one component, and groups that hold one component only need no more looking at. Members of
+groups that still hold several components are then looked at across those components, so that no link between
+components is lost, but not as all pairs: members whose set has too much to itself cannot be linked to any, and
+members far from the middle of their group can only be linked to one that shares some of what they have outside it.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from orderloom.llm.common import kept_rows, sized, text_key, whole_text
 from orderloom.llm.hashing import mixed, random_words, running_sums, stretch_hashes
@@ -235,18 +237,23 @@ def _fitting(pairs: DataFrame, facts: DataFrame, similarity: float) -> DataFrame
         F.col("r_a"), F.col("r_b"), F.col("n_a"), F.col("n_b"), similarity)).select("a", "b")
 
 
-def _shared_parts(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, r) for the nodes that have a shingle to themselves: how many such shingles.
-
-    What one node has alone cannot be in any intersection, so it bounds every similarity of that node exactly.
-    """
+def _shingle_rows(sets: DataFrame) -> DataFrame:
+    """(node, shingle) for all members of the sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 found = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), batch.column(0)[i].as_py(), np.int64)),
                                                   pa.array(found)], ["node", "shingle"])
-    rows = sets.join(nodes, "node", "left_semi").mapInArrow(run, "node bigint, shingle bigint")
+    return sets.select("node", "shingles").mapInArrow(run, "node bigint, shingle bigint")
+
+
+def _shared_parts(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, alone): for the nodes that have shingles to themselves, how many.
+
+    What one node has alone cannot be in any intersection, so it bounds every similarity of that node exactly.
+    """
+    rows = _shingle_rows(sets.join(nodes, "node", "left_semi"))
     own = rows.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low = high")
     return own.groupBy(F.col("low").alias("node")).agg(F.count("*").alias("alone"))
 
@@ -275,9 +282,15 @@ def _split_groups(tables: DataFrame, labels: DataFrame | None) -> DataFrame:
     return materialize(named.join(materialize(split, "split-keys"), "key", "left_semi"), "split-groups")
 
 
-def _with_leaders(groups: DataFrame, turn: int) -> DataFrame:
-    """(a, b): members with leaders of their groups in other components, each with LEADERS of them at most."""
-    by = F.col("node") if turn == 0 else F.xxhash64(F.lit(turn), "node")
+def _with_leaders(groups: DataFrame, weights: DataFrame, turn: int) -> DataFrame:
+    """(a, b): members with leaders of their groups in other components, each with LEADERS of them at most.
+
+    First the members of most groups lead: they are in the middle of what resembles each other.
+    """
+    if turn == 0:
+        groups, by = groups.join(weights, "node"), -F.col("weight")
+    else:
+        by = F.xxhash64(F.lit(turn), "node")
     lead = groups.groupBy("key").agg(F.min(F.struct(by.alias("by"), "node", "component")).alias("lead"))
     led = groups.join(materialize(lead, "leaders"), "key").where("component <> lead.component")
     some = led.groupBy("node").agg(F.slice(F.array_sort(F.collect_set(F.struct("lead.by", "lead.node"))), 1,
@@ -297,6 +310,65 @@ def _across(groups: DataFrame, similarity: float) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _from_centers(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, shared, outside) for (node, center): how much the two sets share, and what only the node's has."""
+    own = sets.select(F.col("node").alias("own"), "shingles")
+    middle = sets.select(F.col("node").alias("center"), F.col("shingles").alias("middle"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shared, outside = [], []
+            for i in range(batch.num_rows):
+                x, c = (np.frombuffer(batch.column(k)[i].as_buffer(), np.uint64) for k in (1, 2))
+                rest = np.setdiff1d(x, c, assume_unique=True)
+                shared.append(len(x) - len(rest))
+                outside.append(rest.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(shared, pa.int64()), pa.array(outside, pa.list_(pa.int64()))],
+                ["node", "shared", "outside"])
+    joined = nodes.select("node", "center").join(own, F.col("node") == F.col("own")).join(middle, "center")
+    return joined.select("node", "shingles", "middle").mapInArrow(
+        run, "node bigint, shared bigint, outside array<bigint>")
+
+
+def _left_over(groups: DataFrame, weights: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of members of a group that are in different components and may be linked.
+
+    A node that shares too little with its group's center for a link to any member has to share the rest with that
+    member outside the center. Such links are looked up by the shingles outside, the rarest first and only as many as
+    one of them has to be among; the other nodes of a group, close to its center, are paired directly.
+    """
+    least = round(100 * similarity)
+    heavy = groups.join(weights, "node")
+    lead = materialize(heavy.groupBy("key").agg(
+        F.min(F.struct((-F.col("weight")).alias("by"), F.col("node").alias("node"))).alias("lead"),
+        F.min("n").alias("least_n")), "centers")
+    nodes = materialize(groups.join(lead, "key").groupBy("node", "component", "n", "r").agg(
+        F.min(F.when(F.col("lead.node") != F.col("node"), F.col("lead")))["node"].alias("center"),
+        F.min("least_n").alias("least_n")), "left-over")
+    compared = _from_centers(nodes.where("center IS NOT NULL"), sets)
+    lacking = F.ceil(least * (F.col("n") + F.col("least_n")) / (100 + least)) - F.col("shared")
+    far = materialize(compared.join(nodes, "node").withColumn("lacking", lacking).where("lacking >= 1").select(
+        "node", "component", "n", "r", "outside", "lacking"), "far")
+    near = groups.join(far.select("node"), "node", "left_anti")
+    rows = materialize(_shingle_rows(sets.join(nodes.select("node"), "node", "left_semi")), "left-over-shingles")
+    outside = far.withColumn("size", F.size("outside")).select(
+        F.col("node").alias("x"), F.col("component").alias("of_x"), F.col("n").alias("n_x"), F.col("r").alias("r_x"),
+        "size", "lacking", F.explode("outside").alias("shingle"))
+    counts = rows.groupBy("shingle").agg(F.count("*").alias("times"))
+    place = F.row_number().over(Window.partitionBy("x").orderBy("times", "shingle"))
+    rare = outside.join(counts, "shingle").withColumn("place", place).where(
+        F.col("place") <= F.col("size") - F.col("lacking") + 1)
+    y = nodes.select(F.col("node").alias("y"), F.col("component").alias("of_y"), F.col("n").alias("n_y"),
+                     F.col("r").alias("r_y"))
+    met = rare.select("x", "of_x", "n_x", "r_x", "shingle").join(
+        rows.withColumnRenamed("node", "y"), "shingle").where("x <> y").drop("shingle").distinct().join(y, "y").where(
+            (F.col("of_x") != F.col("of_y"))
+            & _can_link(F.col("r_x"), F.col("r_y"), F.col("n_x"), F.col("n_y"), similarity))
+    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return pairs.unionByName(_across(near, similarity)).distinct()
+
+
 def _linked(docs: DataFrame, size: int, similarity: float, bands: int, width: int) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, kept."""
     texts = docs.select("doc_id", text_key().alias("text_key"), whole_text().alias("text"))
@@ -316,6 +388,7 @@ def _linked(docs: DataFrame, size: int, similarity: float, bands: int, width: in
                        "sets")
     links, labels = None, None
     facts = wanted.select("node", "n", F.col("n").alias("r"))
+    weights = materialize(tables.groupBy("node").agg(F.count("*").alias("weight")), "weights")
     for turn in range(ROUNDS + 1):
         groups = _split_groups(tables, labels)
         if turn == 1:
@@ -328,7 +401,8 @@ def _linked(docs: DataFrame, size: int, similarity: float, bands: int, width: in
                 break
         elif ROUNDS == 0:
             groups = groups.join(facts, "node")
-        pairs = _with_leaders(groups, turn) if turn < ROUNDS else _across(groups, similarity)
+        pairs = _with_leaders(groups, weights, turn) if turn < ROUNDS else _left_over(
+            groups, weights, sets, similarity)
         new = materialize(_confirmed(_fitting(pairs, facts, similarity), sets, similarity), "links")
         if turn and new.isEmpty():
             continue
