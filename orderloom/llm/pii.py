@@ -19,6 +19,8 @@ from orderloom.llm.common import whole_text
 NEAR = 48
 # Spans with this score or more are reported.
 THRESHOLD = 0.5
+# No match of a kind that words speak for is shorter.
+_SHORTEST = 10
 _BLOCK = 256
 
 
@@ -122,24 +124,46 @@ def _starts(gaps: Column, found: Column) -> Column:
     return F.flatten(F.zip_with(blocks, firsts, lambda b, first: running(b, first)["at"]))
 
 
+def _around(gaps: Column, found: Column) -> Column:
+    """For each match the NEAR characters of the text before it and after it, other matches included, with a space
+    between. They are put together from the few pieces that can lie so near, so that no step goes through the text."""
+    reach = -(-NEAR // _SHORTEST)
+    pieces = F.array(F.struct(
+        found.alias("found"), F.transform(gaps, lambda g: F.right(g, F.lit(NEAR))).alias("ends"),
+        F.transform(gaps, lambda g: F.left(g, F.lit(NEAR))).alias("begins")))
+
+    def joined(one: Column, two: Column) -> Column:
+        return F.array_join(F.zip_with(one, two, lambda a, b: F.concat(a, b)), "")
+
+    def beside(p: Column, i: Column) -> Column:
+        first, after = F.greatest(i - reach, F.lit(0)), F.least(F.size(p["found"]) - 1 - i, F.lit(reach))
+        before = F.concat(joined(F.slice(p["ends"], first + 1, i - first), F.slice(p["found"], first + 1, i - first)),
+                          F.element_at(p["ends"], i + 1))
+        behind = F.concat(F.element_at(p["begins"], i + 2),
+                          joined(F.slice(p["found"], i + 2, after), F.slice(p["begins"], i + 3, after)))
+        return F.concat_ws(" ", F.right(before, F.lit(NEAR)), F.left(behind, F.lit(NEAR)))
+    return F.transform(pieces, lambda p: F.transform(p["found"], lambda _, i: beside(p, i)))[0]
+
+
 def kind_spans(text: Column, kind: Kind) -> Column:
     """The spans of one kind in order: array of (kind, start, end, text, score); offsets are code points."""
     pattern = F.lit(kind.pattern)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.split(text, pattern, -1)
     none = F.array().cast("array<struct<kind:string,start:int,end:int,text:string,score:double>>")
+    columns = [found.alias("m"), _starts(gaps, found).alias("at")]
+    if kind.near is not None:
+        columns.append(_around(gaps, found).alias("around"))
 
-    def score(i: Column) -> Column:
+    def score(z: Column) -> Column:
         base = F.lit(kind.score)
         if kind.near is None:
             return base
-        around = F.concat_ws(" ", F.right(F.element_at(gaps, i + 1), F.lit(NEAR)),
-                             F.left(F.element_at(gaps, i + 2), F.lit(NEAR)))
-        return base + F.when(F.lower(around).rlike(kind.near), kind.boost).otherwise(0.0)
-    # Each match with its place among the matches, kept if it passes; only then the offsets are taken up.
-    spans = F.transform(F.arrays_zip(found.alias("m"), _starts(gaps, found).alias("at")), lambda z, i: F.struct(
+        return base + F.when(F.lower(z["around"]).rlike(kind.near), kind.boost).otherwise(0.0)
+    # Each match with its offsets and score, kept if it passes.
+    spans = F.transform(F.arrays_zip(*columns), lambda z: F.struct(
         F.lit(kind.name).alias("kind"), z["at"].alias("start"), (z["at"] + F.length(z["m"])).alias("end"),
-        z["m"].alias("text"), score(i).alias("score")))
+        z["m"].alias("text"), score(z).alias("score")))
     spans = F.filter(spans, lambda s: (s["score"] >= THRESHOLD) & _check(kind.check, s["text"]))
     return F.when(text.rlike(kind.needs) & (F.size(found) > 0), spans).otherwise(none)
 

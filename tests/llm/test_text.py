@@ -204,6 +204,38 @@ def test_added_spans_need_their_checksum_or_words_nearby(docs):
     assert found == {1: ["iban"], 2: [], 3: ["short_card"], 4: [], 5: ["ssn"], 6: [], 7: ["local_phone"], 8: []}
 
 
+def brute_near(text):
+    """Spans of the added kinds that words nearby speak for."""
+    out = []
+    for kind in pii.ADDED:
+        if kind.near:
+            for m in re.finditer(kind.pattern, text):
+                digits = re.sub("[^0-9]", "", m[0])
+                good = {"short_card": 13 <= len(digits) <= 15 and luhn(digits), "local_phone": True,
+                        "ssn": digits[:3] not in ("000", "666") and digits[0] != "9" and digits[3:5] != "00"
+                        and digits[5:] != "0000"}[kind.name]
+                near = text[max(0, m.start() - 48):m.start()] + " " + text[m.end():m.end() + 48]
+                if good and kind.score + (kind.boost if re.search(kind.near, near.lower()) else 0) >= 0.5:
+                    out.append((kind.name, m.start(), m.end(), m[0]))
+    return out
+
+
+def test_lists_of_numbers_are_brute_force(docs):
+    rng = random.Random(8)
+    parts = ["378282246310005", "371449635398431", "3782 822463 10005", "4222222222222", "378282246310006", "078-05-1120",
+             "666-05-1120", "219-09-9999", "415-555-0100", "(415) 555-0101", "415.555.0102", "Phones: ", "tel", "cards",
+             " SSN ", "tax id", "é🎉", " ", "\n", ", ", "; ", " and ", "x" * 20, "-"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(24))) for _ in range(600)]
+    texts += ["Phones: 415-555-0100, 415-555-0101, 415-555-0102.", "cards 378282246310005, 371449635398431",
+              "SSN 078-05-1120, 219-09-9999, 078-05-1121", "415-555-0100, 415-555-0101 are her phones",
+              "phone" + " 415-555-0100" * 5000, "(415)555-0100" * 9 + "(415)-555-0100" * 9 + " call", ""]
+    rows = [*enumerate(texts), (9001, None)]
+    found = {r.doc_id: [(s.kind, s.start, s.end, s.text) for s in r.spans] for r in pii.find_pii(
+        docs(*rows), tuple(k for k in pii.ADDED if k.near)).collect()}
+    assert found == {i: brute_near(t or "") for i, t in rows}
+    assert [len(found[i]) for i in range(600, 604)] == [3, 2, 3, 2]
+
+
 def test_pii_of_empty_tables_and_rows_that_repeat(docs):
     assert pii.pii_digest(docs((1, "a")).where("doc_id = 2")).count() == 0
     row = pii.pii_digest(docs((None, "a@b.c"), (None, "a@b.c"))).collect()
