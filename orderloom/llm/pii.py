@@ -32,7 +32,9 @@ def _runs(inside: str, rest: str) -> str:
 @dataclass(frozen=True)
 class Kind:
     """A kind of personal data. ``check`` of a match must hold; ``score`` alone has to reach the threshold, or with
-    ``boost`` if ``near`` (lower case) is found beside the span. ``needs`` is a cheap test a text has to pass."""
+    ``boost`` if ``near`` (lower case) is found beside the span. ``needs`` is a cheap test a text has to pass. With
+    ``ahead`` the pattern takes up only the beginning of a match and has all of it as its first group, so that a match
+    which fails its check hides none that begins inside it."""
 
     name: str
     pattern: str
@@ -41,6 +43,7 @@ class Kind:
     score: float = 1.0
     near: str | None = None
     boost: float = 0.0
+    ahead: bool = False
 
 
 _LOCAL = r"A-Za-z0-9._%+-"
@@ -51,9 +54,17 @@ BASE = (
     Kind("card", _runs("0-9", r"[0-9](?:[\x20-]?[0-9])++"), "[0-9]", "card"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", "phone"),
 )
+# How many characters the account numbers of a country have: those registered, and those in use without that.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+_IBAN = "|".join(rf"(?:{'|'.join(names.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, names in IBAN_LENGTHS.items())
 ADDED = (
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]){11,30}(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}",
-         "iban", 0.9),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=((?:{_IBAN})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}", "[A-Z]{2}[0-9]{2}",
+         "iban", 0.9, ahead=True),
     Kind("short_card", r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){12,14}(?![\x20-]?[0-9])", "[0-9]{2}", "short_card", 0.3,
          "card|visa|amex|credit|debit|karte|carte|tarjeta", 0.4),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]{2}-", "ssn", 0.3,
@@ -145,13 +156,24 @@ def _around(gaps: Column, found: Column) -> Column:
     return F.transform(pieces, lambda p: F.transform(p["found"], lambda _, i: beside(p, i)))[0]
 
 
+def _apart(spans: Column) -> Column:
+    """The leftmost of ``spans`` that do not overlap. They rarely do, so lists are mostly left as they are."""
+    ends = F.transform(spans, lambda s: s["end"])
+    mixed = F.exists(F.zip_with(F.slice(spans, F.lit(2), F.size(spans)), ends, lambda s, end: s["start"] < end), lambda x: x)
+    chosen = F.aggregate(spans, F.slice(spans, 1, 0), lambda kept, s: F.when(
+        F.coalesce(F.try_element_at(kept, F.lit(-1))["end"] > s["start"], F.lit(False)), kept).otherwise(
+        F.concat(kept, F.array(s))))
+    return F.when(mixed, chosen).otherwise(spans)
+
+
 def kind_spans(text: Column, kind: Kind) -> Column:
     """The spans of one kind in order: array of (kind, start, end, text, score); offsets are code points."""
     pattern = F.lit(kind.pattern)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.split(text, pattern, -1)
     none = F.array().cast("array<struct<kind:string,start:int,end:int,text:string,score:double>>")
-    columns = [found.alias("m"), _starts(gaps, found).alias("at")]
+    whole = F.regexp_extract_all(text, pattern, F.lit(1)) if kind.ahead else found
+    columns = [whole.alias("m"), _starts(gaps, found).alias("at")]
     if kind.near is not None:
         columns.append(_around(gaps, found).alias("around"))
 
@@ -165,6 +187,8 @@ def kind_spans(text: Column, kind: Kind) -> Column:
         F.lit(kind.name).alias("kind"), z["at"].alias("start"), (z["at"] + F.length(z["m"])).alias("end"),
         z["m"].alias("text"), score(z).alias("score")))
     spans = F.filter(spans, lambda s: (s["score"] >= THRESHOLD) & _check(kind.check, s["text"]))
+    if kind.ahead:
+        spans = F.transform(F.array(spans), _apart)[0]
     return F.when(text.rlike(kind.needs) & (F.size(found) > 0), spans).otherwise(none)
 
 
@@ -172,7 +196,7 @@ def find_pii(docs: DataFrame, kinds: tuple[Kind, ...] = BASE + ADDED) -> DataFra
     """One row per row of ``docs`` (doc_id, text): doc_id and spans, ordered by kind as listed, then start.
 
     Matches of a kind are the leftmost ones that do not overlap; matches of different kinds may. A match that fails
-    its check is dropped, and its characters are not tried again. A null text counts as empty and has no spans; a
+    its check is dropped, and its characters are not tried again, except for account numbers. A null text counts as empty and has no spans; a
     text of any length is searched as a whole. Rows that repeat give rows that repeat; an empty table gives none;
     other columns are not looked at.
     """

@@ -236,6 +236,42 @@ def test_lists_of_numbers_are_brute_force(docs):
     assert [len(found[i]) for i in range(600, 604)] == [3, 2, 3, 2]
 
 
+def brute_ibans(text):
+    lengths = {c: n for n, names in pii.IBAN_LENGTHS.items() for c in names.split()}
+    out, end = [], 0
+    for at in range(len(text)):
+        n = lengths.get(text[at:at + 2])
+        if n is None or at < end or (at and re.match("[A-Za-z0-9]", text[at - 1])):
+            continue
+        m = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){%d}(?![A-Za-z0-9])" % (n - 4)).match(text, at)
+        plain = m[0].replace(" ", "") if m else ""
+        if m and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+            end = m.end()
+            out.append(("iban", at, end, m[0]))
+    return out
+
+
+def test_account_numbers_are_brute_force(docs):
+    rng = random.Random(9)
+    good = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO9386011117947",
+            "FR14 2004 1010 0505 0001 3M02 606", "MT84MALT011000012345MTLCAST001S", "AT61 1904 3002 3457 3201"]
+    parts = good + ["AT12 3456", "ES91 2100 0418", "DE89 3704 0044 0532 0130 01", "BIC COBADEFF", "EUR 50", "IBAN", " ",
+                    " ", " ", "\n", ", ", ".", "é🎉", "x", "7"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randrange(12))) for _ in range(600)]
+    texts += ["IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFF", "DE89370400440532013000 EUR 50",
+              "DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32", "AT12 3456 GB82 WEST 1234 5698 7654 32",
+              "DE89370400440532013000 " * 2000, "AT61" * 9, ""]
+    # Two numbers that are both right and share characters: the one further left counts.
+    inner = next(f"NO{k:02} 7947 {i:07}" for i in range(100) for k in range(100)
+                 if brute_ibans(f"NO{k:02} 7947 {i:07}"))
+    texts.append(next(x for k in range(100) if brute_ibans(x := f"BE{k:02} 0000 {inner}")[0][1] == 0))
+    rows = [*enumerate(texts), (9001, None)]
+    found = {r.doc_id: [(s.kind, s.start, s.end, s.text) for s in r.spans] for r in pii.find_pii(
+        docs(*rows), tuple(k for k in pii.ADDED if k.name == "iban")).collect()}
+    assert found == {i: brute_ibans(t or "") for i, t in rows}
+    assert [len(found[i]) for i in range(600, 605)] == [1, 1, 2, 1, 2000]
+
+
 def test_pii_of_empty_tables_and_rows_that_repeat(docs):
     assert pii.pii_digest(docs((1, "a")).where("doc_id = 2")).count() == 0
     row = pii.pii_digest(docs((None, "a@b.c"), (None, "a@b.c"))).collect()
