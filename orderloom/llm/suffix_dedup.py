@@ -1,11 +1,12 @@
-"""Repeated passages by suffix arrays and longest previous factors.
+"""Repeated passages by suffix arrays of truncated suffixes.
 
 A window is a string of ``length`` bytes. Equal windows have equal smallest hashes among the short strings inside
 them, so that hash deals the windows out: neighbouring windows with the same one form a segment, and windows can be
 equal only if their segments have the same hash. A hash seen in one place only has nothing to compare. Of the others, equal
 segments are counted as one, and the different ones are brought together, a few megabytes at a time, into one suffix
-array. There, previous and next smaller positions in suffix order tell how long an earlier match each place has (its
-longest previous factor) and, with the order turned round, how long a later one.
+array. It sorts places by their first ``length`` bytes only, and equal windows get equal ranks. How long the longest
+previous factor of a place is does not matter, only whether it reaches ``length``: it does unless the place is the
+smallest of its rank. So no array of factors and no previous or next smaller positions are worked out.
 
 A hash that very many different segments share, as at the edges of a passage quoted everywhere, is not brought
 together: its windows are compared one by one, dealt out by the hash of the whole window.
@@ -154,9 +155,8 @@ def longest_factors(data: np.ndarray, position: np.ndarray, counts: np.ndarray,
     """For each place that counts, whether a string of ``length`` bytes that starts there also starts at a smaller
     position, and whether it starts at a larger one.
 
-    Places that share so long a prefix stand together in suffix order. In such a stretch a place has a previous or a
-    next smaller position unless it is the smallest of the stretch, and then its longest previous factor reaches the
-    length; with the order turned round the same holds for later matches.
+    Places that share so long a prefix have equal ranks and stand together in suffix order, here from the smallest
+    position on. All of a stretch but the first have an earlier match, all but the last a later one.
     """
     order, rank = suffix_order(data, length)
     order = order[counts[order]]
