@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,16 +21,18 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderloom.llm.common import whole_text
+from orderloom.llm.common import sized, whole_text
 from orderloom.session import materialize
 
-# At most about so many labelled rows are learned from, picked by a hash of their id.
+# At most about so many labelled rows train the trees, picked by a hash of their id; words are counted in all of them.
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.3
 # Words on each side of a hit that are searched for one that addresses the reader.
 NEAR = 6
 # Words, and stems of these lengths, that at least LEAST toxic texts hold, and that are RATIO times as frequent there.
-LEAST, RATIO, STEMS, WORDS = 6, 10.0, (4, 5, 6, 7, 8), 1000
+LEAST, RATIO, STEMS = 6, 10.0, (4, 5, 6, 7, 8)
+# Counts of so many words and stems are held before they are handed on.
+_HELD = 300_000
 # Words that address the reader in the languages of the corpus.
 SECOND = frozenset("you your yours yourself youre u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre "
                    "vos usted ustedes ti tuyo vosotros".split())
@@ -84,27 +87,32 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
     """Words and stems that tell toxic texts from others, from rows (text, toxic).
 
     Per word, the texts of either kind that hold it are counted over the whole input; only those that stand out are
-    brought together, the strongest WORDS of them.
+    brought together.
     """
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts: dict[str, list[int]] = {}
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        counts = Counter(), Counter()
+
+        def batch() -> pa.RecordBatch:
+            held = list(counts[0].keys() | counts[1].keys())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(held, pa.string()), *(pa.array([c[t] for t in held], pa.int64()) for c in counts)],
+                ["term", "clean", "toxic"])
+        for part in batches:
+            for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 found = set(_WORD.findall(text.lower()))
-                found |= {f"{w[:n]}*" for w in found for n in STEMS if len(w) > n}
-                for term in found:
-                    counts.setdefault(term, [0, 0])[toxic] += 1
-            if counts:
-                clean, toxic = zip(*counts.values())
-                yield pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array(clean, pa.int64()),
-                                                  pa.array(toxic, pa.int64())], ["term", "clean", "toxic"])
+                found.update([f"{w[:n]}*" for w in found for n in STEMS if len(w) > n])
+                counts[toxic].update(found)
+                if len(counts[0]) + len(counts[1]) > _HELD:
+                    yield batch()
+                    counts = Counter(), Counter()
+        yield batch()
     totals = labelled.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean")).first()
     share = totals["toxic"] / max(1, totals["clean"])
     counted = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(
         terms, "term string, clean bigint, toxic bigint").groupBy("term").agg(
             F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     strong = counted.where((F.col("toxic") >= LEAST) & (F.col("toxic") > RATIO * (F.col("clean") + 0.5) * share))
-    top = [r["term"] for r in strong.orderBy(F.desc("toxic"), "term").limit(WORDS).collect()]
+    top = [r["term"] for r in strong.select("term").collect()]
     return Lexicon(frozenset(t for t in top if not t.endswith("*")), frozenset(t[:-1] for t in top if t.endswith("*")))
 
 
@@ -146,14 +154,47 @@ def feature_column(lexicon: Lexicon, text: Column) -> Column:
     return array_to_vector(run(text))
 
 
-def _sample(labels: DataFrame, rows: int) -> DataFrame:
-    """About ``rows`` of the labelled rows that may be learned from, the same on every run."""
+def _usable(labels: DataFrame) -> DataFrame:
+    """(label_id, toxic) of the documents that may be learned from."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~is_held_out(F.col("doc_id")))
-    usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    n = usable.count()
-    if n > rows:
-        usable = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * rows / n))
-    return usable
+    return materialize(usable.groupBy(F.col("doc_id").alias("label_id")).agg(
+        F.max("toxic").cast("int").alias("toxic")), "toxic-labels")
+
+
+def _sample(usable: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` of the labelled rows, the same on every run, with how many rows each stands for as "weight".
+
+    Each kind of label is drawn by itself and gets a quarter of the rows at least, or all it has, so that many toxic
+    texts are seen even where they are rare.
+    """
+    found = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
+    n = sum(found.values())
+    if n <= rows:
+        return usable.withColumn("weight", F.lit(1.0))
+    rare = min(found, key=lambda y: (found[y], y))
+    wanted = {rare: min(found[rare], max(rows * found[rare] / n, rows / 4))}
+    wanted |= {y: rows - wanted[rare] for y in found if y != rare}
+    share = {y: min(1.0, wanted[y] / found[y]) for y in found}
+
+    def of_kind(values: dict[int, float]) -> Column:
+        return F.when(F.col("toxic") == 1, F.lit(values.get(1, 0.0))).otherwise(F.lit(values.get(0, 0.0)))
+    bound = of_kind({y: float(int((1 << 30) * x)) for y, x in share.items()})
+    return usable.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) < bound).withColumn(
+        "weight", of_kind({y: 1 / x for y, x in share.items()}))
+
+
+def _split(texts: DataFrame) -> DataFrame:
+    """``texts`` with "fit" and "calibrate": three quarters and a quarter of the rows. If a kind of label would be
+    missing from one of them, its row with the smallest hash is in both."""
+    turn = F.xxhash64(F.lit("calibrate"), "doc_id")
+    texts = texts.withColumn("turn", turn).withColumn("last", F.pmod("turn", F.lit(4)) == 0)
+    kinds = {r["toxic"]: r for r in texts.groupBy("toxic").agg(
+        F.min("turn").alias("least"), F.bool_and("last").alias("all"), F.bool_or("last").alias("some")).collect()}
+    fit, calibrate = ~F.col("last"), F.col("last")
+    for toxic, r in kinds.items():
+        least = (F.col("toxic") == toxic) & (F.col("turn") == F.lit(r["least"]))
+        fit, calibrate = fit | least if r["all"] else fit, calibrate if r["some"] else calibrate | least
+    return texts.withColumns({"fit": fit, "calibrate": calibrate}).drop("turn", "last")
 
 
 @dataclass(frozen=True)
@@ -181,32 +222,34 @@ class Toxicity:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Toxicity:
-    """Learn from at most about ``rows`` labelled documents that are not held out.
+    """Learn from the labelled documents that are not held out: the words from all of them, the trees and the
+    calibration from at most about ``rows``.
 
     Labels other than 0 and 1 and rows without doc_id are left out; a document with several labels is toxic if one
-    says so. Three quarters of the rows train the lexicon and the trees, the rest the calibration. Without both kinds
-    of label every text gets the share of toxic ones, 0 if there are none.
+    says so. Three quarters of the rows train the trees, the rest the calibration; both weigh each kind of label as it
+    is found in all rows. Without both kinds of label no trees are made, and every text gets the share of toxic ones,
+    0 if there are none.
     """
-    sample = _sample(labels, rows).withColumnsRenamed({"doc_id": "label_id"})
-    sample = materialize(sample, "toxic-sample")
-    texts = docs.select("doc_id", whole_text().alias("text")).join(
-        F.broadcast(sample), F.col("doc_id") == F.col("label_id"))  # as many rows as the bound says
-    texts = materialize(texts.select("doc_id", "text", F.col("toxic").cast("double").alias("toxic"), (
-        F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(4)) == 0).alias("calibrate")), "toxic-texts")
-    seen = {(r["toxic"], r["calibrate"]): r["count"] for r in texts.groupBy("toxic", "calibrate").count().collect()}
-    toxic = sum(n for (y, _), n in seen.items() if y == 1)
-    if len(seen) < 4:
-        return Toxicity(Lexicon(frozenset(), frozenset()), None, [], [], toxic / max(1, sum(seen.values())))
-    lexicon = learn_lexicon(texts.where("NOT calibrate"))
-    table = materialize(texts.select(
-        feature_column(lexicon, F.col("text")).alias("features"), "toxic", "calibrate"), "toxic-features")
-    trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=20, maxDepth=4, stepSize=0.2, seed=7,
-                          subsamplingRate=1.0).fit(table.where("NOT calibrate"))
+    usable = _usable(labels)
+    sample = materialize(_sample(usable, rows), "toxic-sample")
+    texts = docs.select("doc_id", whole_text().alias("text"))
+    # As many rows as the bound says.
+    drawn = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
+    drawn = materialize(drawn.select("doc_id", "text", F.col("toxic").cast("double").alias("toxic"), "weight"), "toxic-texts")
+    seen = {r["toxic"]: r["weight"] for r in drawn.groupBy("toxic").agg(F.sum("weight").alias("weight")).collect()}
+    rate = seen.get(1.0, 0.0) / (sum(seen.values()) or 1.0)
+    if len(seen) < 2:
+        return Toxicity(Lexicon(frozenset(), frozenset()), None, [], [], rate)
+    lexicon = learn_lexicon(texts.join(sized(usable), F.col("doc_id") == F.col("label_id")).select("text", "toxic"))
+    table = materialize(_split(drawn).select(
+        feature_column(lexicon, F.col("text")).alias("features"), "toxic", "weight", "fit", "calibrate"), "toxic-features")
+    trees = GBTClassifier(labelCol="toxic", featuresCol="features", weightCol="weight", maxIter=20, maxDepth=4,
+                          stepSize=0.2, seed=7, subsamplingRate=1.0).fit(table.where("fit"))
     raw = trees.transform(table.where("calibrate")).select(
-        vector_to_array("rawPrediction")[1].alias("raw"), "toxic")
-    fitted = IsotonicRegression(featuresCol="raw", labelCol="toxic").fit(raw)
+        vector_to_array("rawPrediction")[1].alias("raw"), "toxic", "weight")
+    fitted = IsotonicRegression(featuresCol="raw", labelCol="toxic", weightCol="weight").fit(raw)
     bounds, values = fitted.boundaries.toArray().tolist(), fitted.predictions.toArray().tolist()
-    return Toxicity(lexicon, trees, bounds, values, toxic / sum(seen.values()))
+    return Toxicity(lexicon, trees, bounds, values, rate)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
@@ -223,5 +266,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, thresho
 
 def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
                   threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` with a score below the threshold, with all their columns."""
-    return train(docs, labels, rows).scored(docs).where(F.col("score") < threshold).select("all.*")
+    """The rows of ``docs`` with a score below the threshold, with all their columns; all rows if there are not both
+    kinds of label, as then nothing tells the rows apart."""
+    learned = train(docs, labels, rows)
+    if learned.trees is None:
+        return docs
+    return learned.scored(docs).where(F.col("score") < threshold).select("all.*")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -312,6 +313,45 @@ def test_toxicity_on_held_out_rows(spark, docs, marked):
     assert kept.columns == table.columns and kept.where("doc_id = 10001").isEmpty()
 
 
+def test_toxic_words_are_counted_in_all_labelled_rows(spark, docs, marked):
+    # Only the calm rows are many; each of 60 further words is in seven toxic rows, some of them outside any sample.
+    rows = [(i, t, y) for i, t, y in marked if not y]
+    rows += [(1000 + 7 * k + j, f"river stone zq{chr(97 + k // 26)}{chr(97 + k % 26)}", 1) for k in range(60) for j in range(7)]
+    table = docs(*[(i, t) for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    import zlib
+    per = Counter(t.split()[-1] for i, t, y in rows if y and zlib.crc32(str(i).encode()) % 4 != 2)
+    learned = toxicity.train(table, labels, rows=100)
+    assert learned.lexicon.words == {w for w, n in per.items() if n >= toxicity.LEAST} and len(learned.lexicon.words) > 15
+
+
+def test_every_strong_term_is_kept(spark):
+    texts = [(f"same {chr(97 + k // 676)}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}", 1) for k in range(1200)] * 6
+    found = toxicity.learn_lexicon(spark.createDataFrame(texts + [("same", 0)] * 9000, "text string, toxic int"))
+    assert found.words == {t.split()[1] for t, _ in texts}
+
+
+def test_samples_are_drawn_per_kind_of_label(spark):
+    usable = spark.range(100_000).selectExpr("id AS label_id", "int(id % 100 = 0) AS toxic")
+    drawn = {r["toxic"]: r for r in toxicity._sample(usable, 2000).groupBy("toxic").agg(
+        F.count("*").alias("n"), F.sum("weight").alias("weight")).collect()}
+    assert 400 < drawn[1]["n"] < 600 and 1350 < drawn[0]["n"] < 1650
+    assert 800 < drawn[1]["weight"] < 1200 and 89_000 < drawn[0]["weight"] < 109_000
+
+
+def test_few_labels_of_a_kind_are_in_both_parts(spark, docs, marked):
+    toxic = [(i, t, y) for i, t, y in marked if y]
+    calm = [(i, t, y) for i, t, y in marked if not y]
+    import zlib
+    one = next(x for x in toxic if zlib.crc32(str(x[0]).encode()) % 4 != 2)
+    for rows in (calm + [one], toxic):
+        table = docs(*[(i, t) for i, t, _ in rows])
+        labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+        learned = toxicity.train(table, labels)
+        assert (learned.trees is None) == (rows is toxic)
+    assert toxicity.without_toxic(table, labels).count() == len(toxic)  # only toxic labels: nothing to tell apart by
+
+
 def test_toxicity_without_labels(spark, docs):
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert [r.score for r in toxicity.toxicity(docs((1, "a"), (1, "a")), labels).collect()] == [0.0, 0.0]
