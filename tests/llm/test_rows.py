@@ -8,11 +8,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ROOT
+from corpus import DATA, ROOT
 from orderloom.llm import mixing, topk, warc
 from orderloom.llm.queries import llm_oracles, llm_queries
 
-DATA = "/root/testdata/sf0.001"
 TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
