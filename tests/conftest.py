@@ -7,11 +7,9 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
-from orderloom.model import OLTP  # noqa: E402
 from orderloom.operators.columns import with_line_total  # noqa: E402
 from orderloom.session import build_session  # noqa: E402
-
-DATA = "/root/testdata/sf0.001"
+from shop import make  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -23,16 +21,6 @@ def spark():
     session.stop()
 
 
-def rows(df):
-    """The rows of ``df`` as sorted tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
-def make(spark, name, *values):
-    """A retail table from literal rows."""
-    return spark.createDataFrame(list(values), OLTP[name].schema)
-
-
 @pytest.fixture
 def shop(spark):
     """Hand-made retail tables: three customers, three products, five orders."""

@@ -2,7 +2,7 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal as D
 
 import pytest
-from conftest import rows
+from shop import rows
 
 from orderloom.model import STAR
 from orderloom.operators import skew

@@ -2,7 +2,7 @@ from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
-from conftest import rows
+from shop import rows
 from pyspark.sql import functions as F
 
 from orderloom.model import STAR

@@ -3,7 +3,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import make, rows
+from shop import make, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import Observation, functions as F
 

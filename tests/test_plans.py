@@ -4,7 +4,7 @@ import io
 from contextlib import redirect_stdout
 
 import pytest
-from conftest import DATA
+from shop import DATA
 
 from orderloom.plans import analytics
 from orderloom.registry import all_queries

@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import DATA
+from shop import DATA
 
 import __spark_entry__ as entry_point
 from orderloom.oracle import all_oracles

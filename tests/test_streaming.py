@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import rows
+from shop import rows
 
 from orderloom.plans.audit import audit_new_lines
 from orderloom.session import scratch_path
