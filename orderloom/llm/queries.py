@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import chat, exact_dedup, mixing, near_dedup, pieces, pii, suffix_dedup, topk, toxicity, warc
+from orderloom.llm import (
+    chat, decontaminate, exact_dedup, hard_negatives, importance, mixing, near_dedup, pieces, pii, suffix_dedup, topk,
+    toxicity, warc)
 from orderloom.llm.common import read_table
 
 # The public vocabularies lie here; only the driver reads them.
@@ -28,7 +30,9 @@ def llm_queries() -> dict[str, Query]:
 
 def llm_oracles() -> dict[str, str]:
     return {"op2_chat": chat.ORACLE, "op4_warc": warc.ORACLE, "op5_top_k": topk.ORACLE,
-            "op6_exact_dedup": exact_dedup.ORACLE, "op8_source_mix": mixing.ORACLE, "op10_pii": pii.ORACLE}
+            "op6_exact_dedup": exact_dedup.ORACLE, "op8_source_mix": mixing.ORACLE, "op10_pii": pii.ORACLE,
+            "op11_importance": importance.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE,
+            "op13_decontamination": decontaminate.ORACLE}
 
 
 @query
@@ -81,3 +85,20 @@ def op7_toxicity(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op9_repeated_passages(spark: SparkSession, directory: str) -> DataFrame:
     return suffix_dedup.passage_digest(read_table(spark, directory, "documents"))
+
+
+@query
+def op11_importance(spark: SparkSession, directory: str) -> DataFrame:
+    target = read_table(spark, directory, "benchmark")
+    return importance.importance(read_table(spark, directory, "documents"), target).drop("n_words")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, directory: str) -> DataFrame:
+    return hard_negatives.hard_negatives(read_table(spark, directory, "embeddings"))
+
+
+@query
+def op13_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    return decontaminate.hit_digest(decontaminate.benchmark_hits(
+        read_table(spark, directory, "documents"), read_table(spark, directory, "benchmark")))
