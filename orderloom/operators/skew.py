@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 HOT_TASKS = 2
 # Hot keys that are told apart at least, and keys that the sketch follows for each of them.
 TOP, TRACKED = 200, 40
-# Salts of the windows in order placing.
-SALTS = 64
 # Lookup sides up to this size, by the width of their columns, are sent to every executor.
 BROADCAST_BYTES = 64 << 20
 

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.functions import errors
 from orderloom.functions.dates import add_minutes, moment
@@ -15,12 +15,13 @@ from orderloom.functions.text import concat_blank_null
 from orderloom.model import PAYMENT_METHODS
 from orderloom.operators.keys import highest
 from orderloom.operators.merge import update_from
-from orderloom.operators.skew import SALTS, lookup_join
+from orderloom.operators.prefix import crossings
+from orderloom.operators.skew import lookup_join
 from orderloom.plans.audit import audit_new_lines
 from orderloom.session import materialize
 
-# Requests are summed up by spans of this many sequence numbers to find where stock runs short.
-SPAN = 100_000
+# Stock of a product, once it runs short, that is shared out in turn by one task.
+TURNS = 100_000
 
 
 def recompute_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -50,15 +51,50 @@ class PlacedOrders:
     inventory: DataFrame
 
 
-def _contested(sound: DataFrame) -> DataFrame:
+def _served_at_once(sound: DataFrame, stock: DataFrame) -> DataFrame:
+    """For products whose requests exceed their stock, what their stock looks like from which turn on: (ProductID,
+    _phases), an array of (since, left) in the order of turns.
+
+    Up to the first request that the stock left cannot serve, all are served. That one is refused, and as stock only
+    falls, so are all later ones for more than what is left; among the others the same holds again. One such step
+    leaves less stock than the largest quantity asked for, so a second one is needed only where single requests ask
+    for more than ``TURNS``; each further step rules out at least one more quantity. What is left then is shared out
+    in turn.
+    """
+    asked = sound.select("ProductID", "seq", "Quantity")
+    bounds = stock.select("ProductID", F.greatest("OnHand", F.lit(0)).alias("bound"))
+    phases, rest = None, asked
+    while True:
+        found = crossings(rest, ["ProductID"], "seq", F.col("Quantity"), bounds)
+        phase = materialize(found.select("ProductID", F.col("at").alias("since"),
+                                         (F.col("bound") - F.col("before")).alias("left")), "stock-phase")
+        phases = phase if phases is None else phases.unionByName(phase)
+        plenty = phase.where(F.col("left") > TURNS)
+        if plenty.isEmpty():
+            break
+        rest = lookup_join(asked, plenty, ["ProductID"], ["seq"], bound=stock).where(
+            "seq > since AND Quantity <= left").select("ProductID", "seq", "Quantity")
+        bounds = plenty.select("ProductID", F.col("left").alias("bound"))
+    return phases.groupBy("ProductID").agg(F.array_sort(F.collect_list(F.struct("since", "left"))).alias("_phases"))
+
+
+def _state() -> Column:
+    """What becomes of a sound request, by its product's phases: free, short, or turn where it has to be decided in
+    turn. ``_phase`` is the last phase that began before the request or with it."""
+    phase = F.col("_phase")
+    return (F.when(phase.isNull(), F.lit("free"))
+            .when((phase["since"] == F.col("seq")) | (F.col("Quantity") > phase["left"]), F.lit("short"))
+            .when(phase["left"] > TURNS, F.lit("free")).otherwise(F.lit("turn")))
+
+
+def _in_turn(contested: DataFrame) -> DataFrame:
     """Which of the requests that compete for ``_left`` are served: (seq, ProductID, Quantity, StockAfter).
 
     A request is served if the stock left at its turn is enough; one that is not takes nothing. That has to
     be decided in turn, product by product, but not for every request: stock only falls, so when a request
     is served, every earlier one for the same product and quantity was served too. Hence only the first
     left / quantity requests of each quantity can be served, and a product has at most
-    left x (1 + ln left) of them, however many requests it gets. The rest is turned away before the
-    requests of a product meet: first per salt, then per quantity.
+    left x (1 + ln left) of them, however many requests it gets; ``left`` is ``TURNS`` at most.
     """
     def take_in_turn(batches):
         """Rows come sorted by product and turn; the stock of the product at hand is kept between batches."""
@@ -77,42 +113,17 @@ def _contested(sound: DataFrame) -> DataFrame:
             yield pd.DataFrame({"seq": batch["seq"], "ProductID": batch["ProductID"],
                                 "Quantity": batch["Quantity"], "StockAfter": pd.array(left, dtype="Int64")})
 
-    enough = F.expr("_left DIV Quantity")
-    salted = Window.partitionBy("ProductID", "Quantity", F.pmod("seq", F.lit(SALTS))).orderBy("seq")
-    whole = Window.partitionBy("ProductID", "Quantity").orderBy("seq")
-    chances = (sound.where(F.col("Quantity") <= F.col("_left"))
-               .select("seq", "ProductID", "Quantity", "_left")
-               .withColumn("_n", F.row_number().over(salted)).where(F.col("_n") <= enough)
-               .withColumn("_n", F.row_number().over(whole)).where(F.col("_n") <= enough))
+    pair = ["ProductID", "Quantity"]
+    enough = contested.groupBy(*pair).agg(F.max("_left").alias("_left")).select(
+        *pair, F.expr("_left DIV Quantity").alias("bound"))
+    too_late = materialize(crossings(contested, pair, "seq", F.lit(1), enough).select(
+        *pair, F.col("at").alias("_from")), "too-late")
+    chances = lookup_join(contested, too_late, pair, ["seq"], "left").where("_from IS NULL OR seq < _from")
     return (chances.select("seq", "ProductID", "Quantity", "_left").repartition("ProductID")
             .sortWithinPartitions("ProductID", "seq")
             .mapInPandas(take_in_turn, "seq BIGINT, ProductID BIGINT, Quantity INT, StockAfter BIGINT"))
 
 
-def _span() -> Column:
-    return F.floor(F.col("seq") / SPAN)
-
-
-def _scarce(sound: DataFrame, stock: DataFrame) -> DataFrame:
-    """Products whose requests exceed their stock: (ProductID, _until, _left).
-
-    For a product with many requests, those of all spans up to ``_until`` fit the stock together, and
-    ``_left`` of it is left after them. For the others ``_until`` is NULL and ``_left`` the whole stock.
-    """
-    demand = (sound.groupBy("ProductID").agg(F.sum("Quantity").alias("_demand"), F.count("*").alias("_requests"))
-              .join(stock, "ProductID").where(F.col("_demand") > F.col("OnHand")))
-    # At most one product for every SPAN requests.
-    busy = materialize(demand.where(F.col("_requests") > SPAN).select("ProductID", "OnHand"), "busy")
-    spans = (lookup_join(sound.select("ProductID", "seq", "Quantity"), busy, ["ProductID"], ["seq"])
-             .groupBy("ProductID", "OnHand", _span().alias("_span")).agg(F.sum("Quantity").alias("_demand")))
-    running = F.sum("_demand").over(Window.partitionBy("ProductID").orderBy("_span").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow))
-    fitting = (spans.withColumn("_sum", running).where(F.col("_sum") <= F.col("OnHand"))
-               .groupBy("ProductID").agg(F.max("_span").alias("_until"), F.max("_sum").alias("_sum")))
-    left = F.col("OnHand") - F.coalesce(F.col("_sum"), F.lit(0))
-    return demand.join(fitting, "ProductID", "left").select("ProductID", "_until", left.alias("_left"))
-
-
 def decide(requests: DataFrame, inventory: DataFrame, products: DataFrame, customers: DataFrame,
            employees: DataFrame, addresses: DataFrame) -> DataFrame:
     """Each request with its price, its error number (NULL when served) and whether it was served.
@@ -144,62 +155,50 @@ def decide(requests: DataFrame, inventory: DataFrame, products: DataFrame, custo
                           .withColumn("_sound", sound), "requests")
 
     # Where all requests up to a point together fit the stock, none of them has to wait for its turn.
-    scarce = materialize(_scarce(checked.where("_sound"), stocked.select("ProductID", "OnHand")), "scarce")
-    marked = lookup_join(checked, scarce, ["ProductID"], spread, "left")
-    late = F.col("_left").isNotNull() & F.coalesce(_span() > F.col("_until"), F.lit(True))
-    marked = materialize(marked.withColumn("_contested", late).drop("_until"), "contested")
-    turns = materialize(_contested(marked.where("_sound AND _contested")), "turns")
-
-    # Sound requests: served when uncontested, or when their turn says so.
-    free = (marked.where("_sound AND NOT _contested")
-            .withColumn("_served", F.lit(True)).withColumn("ErrorNumber", F.lit(None).cast("int")))
-    turned = (marked.where("_sound AND _contested").join(turns.select("seq", "StockAfter"), "seq", "left")
-              .withColumn("_served", F.col("StockAfter").isNotNull())
-              .withColumn("ErrorNumber", F.when(~F.col("_served"), F.lit(errors.INSUFFICIENT_STOCK)))
-              .drop("StockAfter"))
+    phases = materialize(_served_at_once(checked.where("_sound"), stocked.select("ProductID", "OnHand")), "phases")
+    begun = F.filter("_phases", lambda p: p["since"] <= F.col("seq"))
+    marked = (lookup_join(checked, phases, ["ProductID"], spread, "left")
+              .withColumn("_phase", F.try_element_at(begun, F.lit(-1)))
+              .withColumn("_state", F.when(F.col("_sound"), _state())).withColumn("_left", F.col("_phase.left"))
+              .drop("_phases", "_phase"))
+    marked = materialize(marked, "contested")
+    turns = materialize(_in_turn(marked.where("_state = 'turn'").select("seq", "ProductID", "Quantity", "_left")),
+                        "turns")
+
+    # Sound requests: served at once, refused at once, or as their turn says.
+    settled = marked.where("_state IN ('free', 'short')").withColumn("_served", F.col("_state") == "free")
+    turned = (marked.where("_state = 'turn'").join(turns.select("seq", "StockAfter"), "seq", "left")
+              .withColumn("_served", F.col("StockAfter").isNotNull()).drop("StockAfter"))
+    short = F.when(~F.col("_served"), F.lit(errors.INSUFFICIENT_STOCK))
+    decided = settled.unionByName(turned).withColumn("ErrorNumber", short)
 
     # Faulty requests take nothing, but short stock at their turn is reported before the fault. As stock
     # only falls, it is short for a quantity from one certain turn on.
     faulty = marked.where("NOT _sound")
-    short = materialize(_short_from(faulty, marked.where("_sound AND NOT _contested"), turns), "short-stock")
+    taken = marked.where("_state = 'free'").select("ProductID", "seq", "Quantity").unionByName(
+        turns.where("StockAfter IS NOT NULL").select("ProductID", "seq", "Quantity"))
+    short_from = materialize(_short_from(faulty, taken), "short-stock")
     number = (F.when(F.col("OnHand").isNull(), F.lit(errors.UNKNOWN_PRODUCT))
               .when(F.col("_short_from") < F.col("seq"), F.lit(errors.INSUFFICIENT_STOCK))
               .otherwise(F.col("_fault")))
-    refused = (lookup_join(faulty, short, ["ProductID", "Quantity"], spread, "left")
+    refused = (lookup_join(faulty, short_from, ["ProductID", "Quantity"], spread, "left")
                .withColumn("_served", F.lit(False)).withColumn("ErrorNumber", number).drop("_short_from"))
-    return free.unionByName(turned).unionByName(refused).select(
+    return decided.unionByName(refused).select(
         "seq", "CustomerID", "EmployeeID", "AddressID", "ProductID", "Quantity", "PaymentMethod", "UnitPrice",
         F.col("_served").alias("Accepted"), F.col("ErrorNumber").cast("int").alias("ErrorNumber"))
 
 
-def _short_from(faulty: DataFrame, served: DataFrame, turns: DataFrame) -> DataFrame:
-    """(ProductID, Quantity, _short_from): the turn after which the stock was below a faulty request's quantity.
-
-    Rows per product are its distinct faulty quantities and, only if their turns matter, its served requests;
-    the latter cannot be more than its stock.
-    """
+def _short_from(faulty: DataFrame, taken: DataFrame) -> DataFrame:
+    """(ProductID, Quantity, _short_from): the turn after which the stock was below a faulty request's quantity, -1 if
+    it was so from the start. That is the turn at which more than the rest of the stock had been taken."""
     asked = (faulty.where("OnHand IS NOT NULL AND Quantity > 0")
              .groupBy("ProductID", "Quantity").agg(F.max("OnHand").alias("OnHand")))
-    # Where the stock left at the end is enough for any of them, turns do not matter.
-    tight = (served.groupBy("ProductID").agg(F.sum("Quantity").alias("_sold"))
-             .join(asked.where("Quantity <= OnHand").groupBy("ProductID").agg(
-                 F.max("OnHand").alias("_stock"), F.max("Quantity").alias("_most")), "ProductID")
-             .where(F.col("_stock") - F.col("_sold") < F.col("_most")).select("ProductID", F.lit(True).alias("_tight")))
-    in_turn = Window.partitionBy("ProductID").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    free = (lookup_join(served, tight, ["ProductID"], ["seq"], bound=asked)
-            .select("ProductID", "seq", (F.col("OnHand") - F.sum("Quantity").over(in_turn)).alias("_level")))
-    held = turns.where("StockAfter IS NOT NULL").select("ProductID", "seq", F.col("StockAfter").alias("_level"))
-    levels = free.unionByName(held).select("ProductID", "_level", "seq", F.lit(None).cast("int").alias("Quantity"))
-    questions = asked.select("ProductID", F.col("Quantity").cast("long").alias("_level"),
-                             F.lit(None).cast("long").alias("seq"), "Quantity", "OnHand")
-    lower = (Window.partitionBy("ProductID").orderBy("_level")
-             .rangeBetween(Window.unboundedPreceding, -1))
-    first = F.min("seq").over(lower)
-    both = levels.withColumn("OnHand", F.lit(None).cast("long")).unionByName(questions)
-    # -1: the stock was too low from the start.
-    start = F.when(F.col("OnHand") < F.col("Quantity"), F.lit(-1).cast("long")).otherwise(F.col("_first"))
-    return (both.withColumn("_first", first).where("Quantity IS NOT NULL")
-            .select("ProductID", "Quantity", start.alias("_short_from")))
+    spare = asked.where("OnHand >= Quantity").select("ProductID", (F.col("OnHand") - F.col("Quantity")).alias("bound"),
+                                                    "Quantity")
+    passed = crossings(taken, ["ProductID"], "seq", F.col("Quantity"), spare.select("ProductID", "bound"))
+    later = spare.join(passed, ["ProductID", "bound"]).select("ProductID", "Quantity", F.col("at").alias("_short_from"))
+    return later.unionByName(asked.where("OnHand < Quantity").select(
+        "ProductID", "Quantity", F.lit(-1).cast("long").alias("_short_from")))
 
 
 def place_orders(requests: DataFrame, orders: DataFrame, inventory: DataFrame, products: DataFrame,

@@ -1,4 +1,7 @@
+import io
 import random
+import re
+from contextlib import redirect_stdout
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -7,10 +10,11 @@ from shop import make, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import Observation, functions as F
 
-from orderloom.operators import skew
+from orderloom.operators import prefix, skew
 from orderloom.plans import orders as order_jobs
 from orderloom.plans import reports, returns, stock
 from orderloom.plans.audit import audit_new_lines
+from orderloom.session import materialize
 
 NOW = datetime(2024, 6, 1)
 REQUEST = ("seq BIGINT, CustomerID BIGINT, EmployeeID BIGINT, AddressID BIGINT, ProductID BIGINT, Quantity INT, "
@@ -78,11 +82,13 @@ def brute_force(requests, stock_of, bad):
     return out, left
 
 
-@pytest.mark.parametrize("salted, span", [(False, 100_000), (True, 100_000), (False, 7), (True, 40)])
-def test_turns_equal_brute_force_with_one_hot_product(spark, shop, monkeypatch, salted, span):
+@pytest.mark.parametrize("salted, span, turns", [
+    (False, 100_000, 100_000), (True, 100_000, 3), (False, 7, 100_000), (True, 40, 10)])
+def test_turns_equal_brute_force_with_one_hot_product(spark, shop, monkeypatch, salted, span, turns):
     if salted:
         monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(order_jobs, "SPAN", span)
+    monkeypatch.setattr(prefix, "SPAN", span)
+    monkeypatch.setattr(order_jobs, "TURNS", turns)
     draw = random.Random(span)
     stock_of = {p: draw.choice([0, 1, 3, 40, 300, 2000]) for p in range(100, 160)}
     stock_of[100] = 12000  # for some 2400 requests of 15 pieces on average
@@ -102,6 +108,35 @@ def test_turns_equal_brute_force_with_one_hot_product(spark, shop, monkeypatch,
     assert {r["ProductID"]: r["QuantityOnHand"] for r in placed.inventory.collect()} == left
 
 
+def test_all_requests_for_one_product_over_several_spans(spark, shop, monkeypatch):
+    monkeypatch.setattr(prefix, "SPAN", 50)
+    draw = random.Random(2)
+    bad = {seq for seq in range(4000) if draw.random() < 0.2}
+    requests = [(seq, 77 if seq in bad else 1, 1, 1, 10, draw.choice([1, 1, 2, 7, 30]), "UPI") for seq in range(4000)]
+    tables = {**shop, "Inventory": make(spark, "Inventory", (10, 9000, "MAIN", None))}
+    placed = place(spark, tables, requests)
+    assert verdicts(placed) == brute_force(requests, {10: 9000}, bad)[0]
+
+
+def test_no_window_holds_all_requests_of_a_product(spark, shop, monkeypatch):
+    """Windows of the decision are over one span of a key, whatever tables are written on the way."""
+    plans = []
+
+    def seen(df, label):
+        text = io.StringIO()
+        with redirect_stdout(text):
+            df.explain("extended")
+        plans.append(text.getvalue())
+        return materialize(df, label)
+    for module in (order_jobs, prefix):
+        monkeypatch.setattr(module, "materialize", seen)
+    monkeypatch.setattr(prefix, "SPAN", 2)
+    place(spark, shop, [(i, 1, 1, 1, 10, 1 + i % 3, "UPI") for i in range(20)])
+    logical = [line for text in plans for line in text.split("== Physical Plan ==")[0].split("\n") if "+- Window [" in line]
+    parts = [re.findall(r"\], \[([^\]]*)\], \[", line)[-1].split(", ") for line in logical]
+    assert parts and all(re.match(r"(_unit|_parent)#", names[-1]) and len(names) > 1 for names in parts)
+
+
 def test_totals_round_and_keep_orders_without_lines(spark, shop):
     got = {r["OrderID"]: r["TotalAmount"]
            for r in order_jobs.recompute_totals(shop["Orders"].withColumn("TotalAmount", F.lit(7).cast(

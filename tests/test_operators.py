@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -7,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from orderloom.model import OLTP, STAR, TABLES
-from orderloom.operators import checks, skew
+from orderloom.operators import checks, prefix, skew
 from orderloom.operators.columns import with_days_to_refund, with_defaults
 from orderloom.operators.keys import highest, offset_keys, rank_keys
 from orderloom.operators.merge import insert_absent, merge_upsert, update_from
@@ -247,3 +248,27 @@ def test_sample_is_repeatable_and_exact_in_size(spark):
     first, again = sample_rows(df, 50, "id", "s"), sample_rows(df.repartition(5), 50, "id", "s")
     assert rows(first) == rows(again) and first.distinct().count() == 50
     assert rows(sample_rows(df, 50, "id", "t")) != rows(first)
+
+
+@pytest.mark.parametrize("span, fan", [(100_000, 1000), (3, 2), (10, 3), (1, 2)])
+def test_crossings_equal_brute_force(spark, monkeypatch, span, fan):
+    """Several bounds per key, a hot key, rows that add nothing, positions below zero, bounds nobody passes."""
+    if span < 100:
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+    draw = random.Random(span)
+    held = {"hot": sorted(draw.sample(range(-500, 2000), 600)), "few": [5, 9, 70], "one": [-3], "none": []}
+    values = {(k, at): draw.randrange(4) for k, places in held.items() for at in places}
+    bounds = [(k, b) for k in (*held, "unknown") for b in (0, 1, 2, 5, 50, 400, 10_000)]
+    expected = []
+    for key, bound in bounds:
+        total = 0
+        for at in held.get(key, []):
+            total += values[key, at]
+            if total > bound:
+                expected.append((key, bound, at, total - values[key, at]))
+                break
+    rows_of = spark.createDataFrame([(k, at, v) for (k, at), v in values.items()], "name string, place long, v int")
+    asked = spark.createDataFrame(bounds, "name string, bound long")
+    found = prefix.crossings(rows_of.repartition(5), ["name"], "place", F.col("v"), asked, span, fan)
+    assert found.columns == ["name", "bound", "at", "before"]
+    assert rows(found) == sorted(expected, key=repr)
