@@ -7,11 +7,13 @@ part of the table costs no more than any other.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from orderloom.functions import errors
+from orderloom.functions.errors import LoadRefused
 from orderloom.model import ForeignKey, Table
 from orderloom.operators.skew import lookup_join
 
@@ -112,6 +114,47 @@ def rule_names(name: str, table: Table, present: Sequence[str], parents: Sequenc
     return names
 
 
+class ContractBroken(LoadRefused):
+    """Rows break rules of their table's contract: how many per rule."""
+
+    def __init__(self, counts: Mapping[str, int]):
+        self.counts = dict(sorted(counts.items()))
+        first = next(iter(self.counts))
+        kinds = {"not null": errors.NULL_VALUE, "unique": errors.REPEATED_KEY, "length": errors.TEXT_TOO_LONG}
+        number = next((n for kind, n in kinds.items() if first.endswith(kind)), errors.CONSTRAINT)
+        super().__init__("; ".join(f"{rule}: {n}" for rule, n in self.counts.items()), number)
+
+
+def watched(name: str, table: Table, df: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` with its single-row rules counted while it is written, and a function that gives the counts above zero
+    once it is."""
+    rules = row_rules(name, table, df.columns)
+    if not rules:
+        return df, dict
+    seen = Observation()
+    counted = df.observe(seen, *[F.count_if(broken).alias(f"r{at}") for at, broken in enumerate(rules.values())])
+    return counted, lambda: {rule: seen.get[f"r{at}"] for at, rule in enumerate(rules) if seen.get[f"r{at}"]}
+
+
+def require_contract(name: str, table: Table, df: DataFrame, parents: Mapping[str, DataFrame],
+                     broken: Mapping[str, int] | None = None) -> None:
+    """Fail with the counts per rule unless the keys of a stored table are unique and all its references are known.
+
+    ``broken`` holds counts of single-row rules, as gathered by ``watched``. References to tables not in ``parents``
+    are not checked. Every rule reads its own columns only, and what comes back is one row per broken rule.
+    """
+    found = [check_unique(df, columns, f"{name}.{','.join(columns)} unique") for columns in (table.key, *table.unique)]
+    for fk in table.foreign:
+        if fk.parent in parents:
+            found.append(check_foreign_key(df, fk.columns, parents[fk.parent], fk.parent_columns,
+                                           _reference_rule(name, fk)))
+    counts = {r["rule"]: r["n"] for r in reduce(DataFrame.unionByName, found).groupBy("rule").agg(
+        F.count("*").alias("n")).collect()}
+    counts |= broken or {}
+    if counts:
+        raise ContractBroken(counts)
+
+
 def split_valid(name: str, table: Table, df: DataFrame,
                 parents: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """``df`` as (rows that keep every rule, rows that do not).

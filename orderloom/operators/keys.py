@@ -17,6 +17,11 @@ def highest(df: DataFrame, column: str) -> Column:
     return df.agg(F.coalesce(F.max(column), F.lit(0)).cast("long").alias("top")).scalar()
 
 
+def last_key(df: DataFrame | None, column: str) -> Column:
+    """The largest key of a table that new rows go on from; 0 where there is no table."""
+    return F.lit(0).cast("long") if df is None else highest(df, column)
+
+
 def offset_keys(df: DataFrame, key: str, natural: str, start: Column | int = 0,
                 base: DataFrame | None = None) -> DataFrame:
     """Keys after ``start`` that follow a unique whole-number column, with its gaps.

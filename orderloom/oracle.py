@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from orderloom.model import OLTP
+from orderloom.model import OLTP, STAR, Table
 
 FIRST = "TIMESTAMP '2001-12-01 00:00:00'"
 FIRST_DAY = "DATE '2001-12-01'"
@@ -106,6 +106,38 @@ _tables: dict[str, str] = {
         FROM m_OrderKeys JOIN (SELECT CustomerID, CustomerKey FROM m_DimCustomer) USING (CustomerID)
         JOIN m_Lines USING (OrderID) JOIN (SELECT ProductID, ProductKey FROM m_DimProduct) USING (ProductID)""",
 
+    "m_FactReturns": """SELECT 1 + r.ReturnID - (SELECT min(ReturnID) FROM m_Returns) AS ReturnKey, r.ReturnID,
+            CAST(strftime(o.OrderDate, '%Y%m%d') AS INT) AS OrderDateKey,
+            CAST(strftime(r.ReturnDate, '%Y%m%d') AS INT) AS ReturnDateKey, CAST(NULL AS INT) AS RefundDateKey,
+            c.CustomerKey, p.ProductKey, r.QuantityReturned, r.RefundAmount, CAST(NULL AS INT) AS DaysToRefund
+        FROM m_Returns r JOIN m_Lines l ON l.OrderDetailID = r.OrderDetailID JOIN m_Orders o ON o.OrderID = l.OrderID
+        JOIN m_DimCustomer c ON c.CustomerID = o.CustomerID JOIN m_DimProduct p ON p.ProductID = l.ProductID""",
+    "m_FactSnapshot": f"""SELECT 1 + ProductKey - min(ProductKey) OVER () AS SnapshotKey, 20011201 AS DateKey, ProductKey,
+            QuantityOnHand, ReorderLevel, {FIRST} AS LoadedAt
+        FROM m_Inventory JOIN (SELECT ProductID, ReorderLevel FROM m_Products) USING (ProductID)
+        JOIN (SELECT ProductID, ProductKey FROM m_DimProduct) USING (ProductID)""",
+
+    # The star schema with planted faults.
+    "m_BadCustomers": f"""SELECT CustomerKey, CustomerID, Email, CustomerSegment, SignupDate, NULL AS ExpiryDate, TRUE AS IsCurrent,
+            CASE WHEN CustomerKey % 43 = 0 THEN repeat(FullName, 20) ELSE FullName END AS FullName,
+            CASE WHEN CustomerKey % 41 <> 0 THEN {FIRST_DAY} END AS EffectiveDate FROM m_DimCustomer""",
+    "m_BadGeography": """SELECT * FROM m_DimGeography UNION ALL
+        SELECT GeographyKey + 1000000000, City, State, Country FROM m_DimGeography WHERE GeographyKey % 3 = 0""",
+    "m_BadSalesOnce": """SELECT SalesKey, OrderDetailID, UnitPrice, Discount, LineTotal, LoadedAt,
+            CASE WHEN SalesKey % 61 = 0 THEN 19000101 ELSE DateKey END AS DateKey,
+            CASE WHEN SalesKey % 67 = 0 THEN -1 ELSE CustomerKey END AS CustomerKey,
+            CASE WHEN SalesKey % 71 = 0 THEN -1 ELSE ProductKey END AS ProductKey,
+            CASE WHEN SalesKey % 73 = 0 THEN -1 ELSE EmployeeKey END AS EmployeeKey,
+            CASE WHEN SalesKey % 79 = 0 THEN -1 ELSE GeographyKey END AS GeographyKey,
+            CASE WHEN SalesKey % 83 <> 0 THEN Quantity END AS Quantity FROM m_FactSales""",
+    "m_BadSales": "SELECT * FROM m_BadSalesOnce UNION ALL SELECT * FROM m_BadSalesOnce WHERE SalesKey % 89 = 0",
+    "m_BadSnapshot": """SELECT * FROM m_FactSnapshot UNION ALL SELECT SnapshotKey + 1000000000, DateKey, ProductKey,
+            QuantityOnHand, ReorderLevel, LoadedAt FROM m_FactSnapshot WHERE ProductKey % 47 = 0""",
+    "m_BadReturns": """SELECT ReturnKey, ReturnID, CustomerKey, ProductKey, QuantityReturned, RefundAmount, DaysToRefund,
+            CASE WHEN ReturnKey % 53 = 0 THEN 19000101 ELSE OrderDateKey END AS OrderDateKey,
+            CASE WHEN ReturnKey % 59 = 0 THEN 19000101 ELSE ReturnDateKey END AS ReturnDateKey,
+            CASE WHEN ReturnKey % 61 = 0 THEN 19000101 ELSE RefundDateKey END AS RefundDateKey FROM m_FactReturns""",
+
     # Customers and products over two loads.
     "m_Customers2": """SELECT CustomerID, concat(FirstName, ' ', LastName) AS FullName,
             CASE WHEN CustomerID % 11 = 0 THEN concat('new_', Email) ELSE Email END AS Email,
@@ -205,8 +237,26 @@ _tables: dict[str, str] = {
                 WHEN Available < Quantity THEN 51001 ELSE 547 END AS INT) AS ErrorNumber FROM m_Stocked""",
     "m_Taken": """SELECT *, (SELECT max(OrderID) FROM m_Headers) + 1 + seq - (SELECT min(seq) FROM m_Requests) AS NewOrderID,
             (SELECT max(OrderDetailID) FROM m_Lines) + 1 + seq - (SELECT min(seq) FROM m_Requests) AS NewLineID,
+            seq - (SELECT min(seq) FROM m_Requests) AS place,
+            (SELECT max(PaymentID) FROM m_Payments) + 1 + seq - (SELECT min(seq) FROM m_Requests) AS NewPaymentID,
             CAST(UnitPrice * Quantity AS DECIMAL(28,2)) AS Price
         FROM m_Decided WHERE Accepted""",
+    "m_PlacedAudit": f"""SELECT 2 + 2 * place AS AuditID, NewOrderID AS OrderID, 'PLACED' AS Action,
+            concat('Qty=', Quantity, ', Product=', ProductID) AS ActionDetail, {FIRST} AS ActionAt FROM m_Taken
+        UNION ALL
+        SELECT 1 + 2 * place, NewOrderID, 'LINE_ADDED', concat('ProductID=', ProductID, ', Qty=', Quantity,
+            ', LineTotal=', CAST(CAST(Price AS DECIMAL(18,4)) AS VARCHAR)), {FIRST} FROM m_Taken""",
+    "m_PlacedErrors": f"""SELECT seq, 1 + seq - (SELECT min(seq) FROM m_Requests) AS ErrorLogID,
+            'usp_PlaceOrder' AS ErrorProcedure, ErrorNumber,
+            CASE ErrorNumber WHEN 51000 THEN 'Product does not exist.'
+                WHEN 51001 THEN 'Insufficient stock to fulfil this order.'
+                ELSE 'The statement conflicted with a table constraint.' END AS ErrorMessage, {FIRST} AS ErrorAt
+        FROM m_Decided WHERE NOT Accepted""",
+    "m_StockAfter": """SELECT i.ProductID,
+            CAST(i.QuantityOnHand - coalesce(t.Sold, 0) AS INT) AS QuantityOnHand, i.WarehouseLocation,
+            i.LastRestockDate
+        FROM m_Inventory i LEFT JOIN (SELECT ProductID, sum(Quantity) AS Sold FROM m_Taken GROUP BY ProductID) t
+          ON t.ProductID = i.ProductID""",
 
     # Taking returns.
     "m_ReturnRequests": """SELECT OrderDetailID AS seq,
@@ -271,7 +321,7 @@ _tables["m_Drawn"] = f"""SELECT OrderID, d0, d1, d2,
                 {_pick('OrderID * 4 + 2', 'product', '(n - 2)')} AS r2,
                 {_pick('OrderID * 4 + 3', 'product', '(n - 3)')} AS r3
               FROM m_Headers, (SELECT count(*) AS n FROM part)))))"""
-_tables["m_Made"] = """SELECT unnest(generate_series(1, (SELECT count(*) FROM customer))) AS i"""
+_tables["m_Made"] = """SELECT CustomerID AS i FROM m_Customers"""
 
 _RECURSIVE = {"m_Turns", "m_ManagedBelow"}
 _NAME = re.compile(r"\bm_\w+")
@@ -335,6 +385,11 @@ _selects: dict[str, str] = {
                 unnest(list_filter(starts, lambda s: s >= IslandEnd + 60)) AS NextOrderAfterGap
             FROM m_Islands JOIN starts USING (CustomerID))
         SELECT *, CAST(NextOrderAfterGap - LastOrderInIsland AS INT) AS GapDays FROM later""",
+    "churn_gap_counts": """WITH starts AS (SELECT CustomerID, list(IslandStart) AS starts FROM m_Islands GROUP BY CustomerID),
+        later AS (SELECT CustomerID, IslandEnd, list_filter(starts, lambda s: s >= IslandEnd + 60) AS later
+            FROM m_Islands JOIN starts USING (CustomerID))
+        SELECT CustomerID, IslandEnd AS LastOrderInIsland, CAST(len(later) AS BIGINT) AS LaterIslands,
+            list_min(later) AS NextOrderAfterGap, CAST(list_max(later) - IslandEnd AS INT) AS LongestGapDays FROM later""",
     "churn_gaps_adjacent": """WITH pairs AS (SELECT CustomerID,
                 unnest(list_zip(days[1:len(days) - 1], days[2:])) AS pair FROM m_OrderDays)
         SELECT CustomerID, pair[1] AS LastOrderInIsland, pair[2] AS NextOrderAfterGap,
@@ -374,12 +429,7 @@ _selects: dict[str, str] = {
         UNION ALL
         SELECT (1 + max(ProductKey) OVER () - min(ProductKey) OVER ()) + 1 + ProductKey - min(ProductKey) OVER (),
             20011202, ProductKey, QuantityOnHand, ReorderLevel, {SECOND} FROM m_Restocked""",
-    "fact_returns": """SELECT 1 + r.ReturnID - (SELECT min(ReturnID) FROM m_Returns) AS ReturnKey, r.ReturnID,
-            CAST(strftime(o.OrderDate, '%Y%m%d') AS INT) AS OrderDateKey,
-            CAST(strftime(r.ReturnDate, '%Y%m%d') AS INT) AS ReturnDateKey, CAST(NULL AS INT) AS RefundDateKey,
-            c.CustomerKey, p.ProductKey, r.QuantityReturned, r.RefundAmount, CAST(NULL AS INT) AS DaysToRefund
-        FROM m_Returns r JOIN m_Lines l ON l.OrderDetailID = r.OrderDetailID JOIN m_Orders o ON o.OrderID = l.OrderID
-        JOIN m_DimCustomer c ON c.CustomerID = o.CustomerID JOIN m_DimProduct p ON p.ProductID = l.ProductID""",
+    "fact_returns": "SELECT * FROM m_FactReturns",
     "fact_returns_refunded": """SELECT 1 + r.ReturnID - (SELECT min(ReturnID) FROM m_Returns) AS ReturnKey, r.ReturnID,
             CAST(strftime(o.OrderDate, '%Y%m%d') AS INT) AS OrderDateKey,
             CAST(strftime(r.ReturnDate, '%Y%m%d') AS INT) AS ReturnDateKey,
@@ -398,6 +448,32 @@ _selects: dict[str, str] = {
         UNION ALL SELECT 'FactInventorySnapshot', (SELECT count(*) FROM m_DimProduct1)
             + (SELECT count(*) FROM m_DimProduct2)""",
 
+    "load_failures": f"""SELECT CAST(1 AS BIGINT) AS ErrorLogID,
+            'usp_ETL_RunFullLoad - failed at step: DimCustomer' AS ErrorProcedure, 8672 AS ErrorNumber,
+            'SparkRuntimeException: [USER_RAISED_EXCEPTION] dimension source: more than one row' AS ErrorMessage,
+            {FIRST} AS ErrorAt
+        FROM (SELECT count(*) AS n FROM m_Customers WHERE CustomerID % 10 = 0) t WHERE n > 0
+        UNION ALL
+        SELECT 2, 'usp_ETL_RunFullLoad - failed at step: DimProduct', 515,
+            'ContractBroken: DimProduct.ProductName not null: ' || count(*), {FIRST}
+        FROM m_Products WHERE ProductID % 7 = 0
+        UNION ALL
+        SELECT 3, 'usp_ETL_RunFullLoad - failed at step: FactSales', 547,
+            'DateOutsideCalendar: ' || string_agg(day || ' (' || n || ' rows)', ', ' ORDER BY day), {FIRST}
+        FROM (SELECT CAST(DateKey + 200000 AS VARCHAR) AS day, count(*) AS n FROM m_FactSales GROUP BY DateKey
+              ORDER BY DateKey LIMIT 5) t""",
+    "merge_refusals": """SELECT OrderDetailID, concat(count(*), ' rows') AS detail FROM m_Unchecked
+        GROUP BY OrderDetailID HAVING count(*) > 1""",
+    "seeded_categories": """SELECT CAST(i AS BIGINT) AS CategoryID, CategoryName,
+            (SELECT count(*) FROM m_Products p JOIN m_Categories c ON c.CategoryID = p.CategoryID
+             WHERE left(c.CategoryName, 1) = left(s.CategoryName, 1)) AS ProductsAtHand
+        FROM (VALUES (1, 'Electronics'), (2, 'Home & Kitchen'), (3, 'Apparel'), (4, 'Sports & Outdoors'), (5, 'Books'),
+            (6, 'Beauty & Personal Care'), (7, 'Toys & Games'), (8, 'Office Supplies')) s(i, CategoryName)""",
+    "restock_notice": """SELECT 1 AS Run, count(*) AS RowsChanged,
+            CASE WHEN count(*) = 0 THEN 'No products currently below reorder level.' END AS Notice
+        FROM m_Inventory i JOIN m_Products p ON p.ProductID = i.ProductID
+        WHERE i.QuantityOnHand < p.ReorderLevel AND NOT p.Discontinued
+        UNION ALL SELECT 2, 0, 'No products currently below reorder level.'""",
     "rejected_lines": "SELECT OrderDetailID, broken_rules FROM m_UncheckedRules WHERE broken_rules <> ''",
     "accepted_lines": """SELECT OrderDetailID, OrderID, ProductID, Quantity FROM m_UncheckedRules
         WHERE broken_rules = ''""",
@@ -410,7 +486,8 @@ _selects: dict[str, str] = {
 
     "order_totals": "SELECT OrderID, TotalAmount FROM m_Orders",
     "payments_derived": "SELECT * FROM m_Payments",
-    "returns_sampled": f"""SELECT OrderDetailID, OrderDate + to_days(CAST(5 + {_pick('OrderDetailID', 'returns-day', 20)} AS INT))
+    "returns_sampled": f"""SELECT 1 + OrderDetailID - (SELECT min(OrderDetailID) FROM m_Lines) AS ReturnID, OrderDetailID,
+            OrderDate + to_days(CAST(5 + {_pick('OrderDetailID', 'returns-day', 20)} AS INT))
             AS ReturnDate, 1 AS QuantityReturned, 'Customer changed mind' AS Reason,
             CAST(UnitPrice AS {_AMOUNT}) AS RefundAmount
         FROM m_Lines l JOIN m_Headers o ON o.OrderID = l.OrderID WHERE o.OrderStatus = 'Delivered'
@@ -420,23 +497,27 @@ _selects: dict[str, str] = {
             'Confirmed' AS OrderStatus, Price AS TotalAmount FROM m_Taken""",
     "place_orders_lines": """SELECT NewLineID AS OrderDetailID, NewOrderID AS OrderID, ProductID, Quantity, UnitPrice,
             CAST(0 AS DECIMAL(4,2)) AS Discount, CAST(Price AS DECIMAL(18,4)) AS LineTotal FROM m_Taken""",
-    "place_orders_payments": f"""SELECT NewOrderID AS OrderID, {FIRST} AS PaymentDate, Price AS Amount, PaymentMethod,
+    "place_orders_payments": f"""SELECT NewPaymentID AS PaymentID, NewOrderID AS OrderID, {FIRST} AS PaymentDate, Price AS Amount, PaymentMethod,
             'Success' AS PaymentStatus FROM m_Taken""",
-    "place_orders_audit": f"""SELECT NewOrderID AS OrderID, 'PLACED' AS Action,
-            concat('Qty=', Quantity, ', Product=', ProductID) AS ActionDetail, {FIRST} AS ActionAt FROM m_Taken
-        UNION ALL
-        SELECT NewOrderID, 'LINE_ADDED', concat('ProductID=', ProductID, ', Qty=', Quantity, ', LineTotal=',
-            CAST(CAST(Price AS DECIMAL(18,4)) AS VARCHAR)), {FIRST} FROM m_Taken""",
-    "place_orders_errors": f"""SELECT seq, 'usp_PlaceOrder' AS ErrorProcedure, ErrorNumber,
-            CASE ErrorNumber WHEN 51000 THEN 'Product does not exist.'
-                WHEN 51001 THEN 'Insufficient stock to fulfil this order.'
-                ELSE 'The statement conflicted with a table constraint.' END AS ErrorMessage, {FIRST} AS ErrorAt
-        FROM m_Decided WHERE NOT Accepted""",
-    "place_orders_inventory": """SELECT i.ProductID,
-            CAST(i.QuantityOnHand - coalesce(t.Sold, 0) AS INT) AS QuantityOnHand, i.WarehouseLocation,
-            i.LastRestockDate
-        FROM m_Inventory i LEFT JOIN (SELECT ProductID, sum(Quantity) AS Sold FROM m_Taken GROUP BY ProductID) t
-          ON t.ProductID = i.ProductID""",
+    "place_orders_audit": "SELECT * FROM m_PlacedAudit",
+    "place_orders_errors": "SELECT * FROM m_PlacedErrors",
+    "place_orders_inventory": "SELECT * FROM m_StockAfter",
+    "place_orders_stored": """SELECT TableName, CAST(RowID AS BIGINT) AS RowID, CAST(OrderID AS BIGINT) AS OrderID,
+            CAST(ProductID AS BIGINT) AS ProductID, CAST(Amount AS DECIMAL(28,4)) AS Amount, Detail FROM (
+        SELECT 'Orders' AS TableName, OrderID AS RowID, OrderID, NULL AS ProductID, CAST(TotalAmount AS DECIMAL(28,4))
+            AS Amount, OrderStatus AS Detail FROM m_Orders
+        UNION ALL SELECT 'Orders', NewOrderID, NewOrderID, NULL, Price, 'Confirmed' FROM m_Taken
+        UNION ALL SELECT 'OrderDetails', OrderDetailID, OrderID, ProductID, LineTotal, CAST(Quantity AS VARCHAR)
+            FROM m_Lines
+        UNION ALL SELECT 'OrderDetails', NewLineID, NewOrderID, ProductID, Price, CAST(Quantity AS VARCHAR) FROM m_Taken
+        UNION ALL SELECT 'Payments', PaymentID, OrderID, NULL, Amount, PaymentMethod || ' ' || PaymentStatus
+            FROM m_Payments
+        UNION ALL SELECT 'Payments', NewPaymentID, NewOrderID, NULL, Price, PaymentMethod || ' Success' FROM m_Taken
+        UNION ALL SELECT 'OrderAuditLog', AuditID, OrderID, NULL, NULL, Action || ': ' || ActionDetail
+            FROM m_PlacedAudit
+        UNION ALL SELECT 'ErrorLog', ErrorLogID, NULL, NULL, ErrorNumber, ErrorMessage FROM m_PlacedErrors
+        UNION ALL SELECT 'Inventory', ProductID, NULL, ProductID, QuantityOnHand, WarehouseLocation
+            FROM m_StockAfter) t""",
     "process_returns": f"""SELECT (SELECT max(ReturnID) FROM m_Returns) + 1 + seq - (SELECT min(seq) FROM m_ReturnRequests)
                 AS ReturnID, OrderDetailID, {FIRST} AS ReturnDate, QuantityReturned,
             'Customer changed mind' AS Reason, CAST(UnitPrice * QuantityReturned AS {_AMOUNT}) AS RefundAmount
@@ -445,7 +526,7 @@ _selects: dict[str, str] = {
             CASE WHEN OrderID IN (SELECT OrderID FROM m_ReturnsDecided WHERE UnitPrice IS NOT NULL
                                   AND QuantityReturned > 0) THEN 'Refunded' ELSE PaymentStatus END AS PaymentStatus
         FROM m_Payments""",
-    "process_returns_errors": f"""SELECT seq, CASE ErrorNumber WHEN 51003 THEN 'usp_ProcessReturn (refund step)'
+    "process_returns_errors": f"""SELECT seq, 1 + seq - (SELECT min(seq) FROM m_ReturnRequests) AS ErrorLogID, CASE ErrorNumber WHEN 51003 THEN 'usp_ProcessReturn (refund step)'
                 ELSE 'usp_ProcessReturn' END AS ErrorProcedure, ErrorNumber,
             CASE ErrorNumber WHEN 51002 THEN 'Order line not found.'
                 WHEN 51003 THEN 'No matching payment found to refund.'
@@ -456,7 +537,7 @@ _selects: dict[str, str] = {
             CASE WHEN low THEN {FIRST_DAY} ELSE LastRestockDate END AS LastRestockDate
         FROM m_Inventory i JOIN (SELECT x.ProductID, x.QuantityOnHand < p.ReorderLevel AND NOT p.Discontinued AS low
             FROM m_Inventory x JOIN m_Products p ON p.ProductID = x.ProductID) l ON l.ProductID = i.ProductID""",
-    "line_audit": f"""SELECT OrderID, 'LINE_ADDED' AS Action, concat('ProductID=', ProductID, ', Qty=', Quantity,
+    "line_audit": f"""SELECT 1 + OrderDetailID - min(OrderDetailID) OVER () AS AuditID, OrderID, 'LINE_ADDED' AS Action, concat('ProductID=', ProductID, ', Qty=', Quantity,
             ', LineTotal=', CAST(LineTotal AS VARCHAR)) AS ActionDetail, {FIRST} AS ActionAt FROM m_Lines""",
     "inventory_update_accepted": """SELECT ProductID, CAST(QuantityOnHand - QuantityOnHand // 10 AS INT) AS QuantityOnHand,
             'MAIN' AS WarehouseLocation, LastRestockDate FROM m_Inventory""",
@@ -473,6 +554,14 @@ _selects: dict[str, str] = {
     "order_history": """WITH counted AS (SELECT OrderID, count(*) AS LineCount FROM m_Lines GROUP BY OrderID)
         SELECT CustomerID, OrderID, OrderDate, OrderStatus, TotalAmount, LineCount
         FROM counted JOIN m_Orders USING (OrderID)""",
+    "customer_functions": f"""WITH asked AS (SELECT CustomerID FROM m_Customers UNION ALL SELECT -1 - CustomerID FROM m_Customers),
+        counted AS (SELECT OrderID, count(*) AS LineCount FROM m_Lines GROUP BY OrderID),
+        history AS (SELECT CustomerID, OrderID, OrderDate, OrderStatus, TotalAmount, LineCount
+            FROM m_Orders JOIN counted USING (OrderID))
+        SELECT CustomerID, (SELECT CAST(coalesce(sum(o.TotalAmount), 0) AS {_AMOUNT}) FROM m_Orders o
+                WHERE o.CustomerID = a.CustomerID AND o.OrderStatus <> 'Cancelled') AS LifetimeValue,
+            OrderID, OrderDate, OrderStatus, TotalAmount, LineCount
+        FROM asked a LEFT JOIN history USING (CustomerID)""",
     "orders_by_status": """SELECT OrderID, CustomerID, OrderDate, TotalAmount FROM m_Orders
         WHERE OrderStatus = 'Delivered' ORDER BY OrderDate DESC""",
     "load_summary": """SELECT (SELECT count(*) FROM m_Customers) AS customers, (SELECT count(*) FROM m_Orders) AS orders,
@@ -492,11 +581,11 @@ _selects: dict[str, str] = {
             (6, 'Kolkata', 'West Bengal'), (7, 'Ahmedabad', 'Gujarat')) c(n, City, State)
           ON c.n = {_pick('i', 'city', 8)}""",
     "generated_products": f"""SELECT i AS ProductID, concat('Product ', i) AS ProductName,
-            (i - 1) % (SELECT count(*) FROM m_Categories) + 1 AS CategoryID,
-            (i - 1) % (SELECT count(*) FROM supplier) + 1 AS SupplierID,
+            (i - 1 + c) % c + 1 AS CategoryID, (i - 1 + s) % s + 1 AS SupplierID,
             CAST(50 + CAST({_pick('i', 'price', 95000)} AS DECIMAL(18,2)) / 100 AS DECIMAL(10,2)) AS UnitPrice,
             CAST(10 + i % 5 * 5 AS INT) AS ReorderLevel, i % 17 = 0 AS Discontinued
-        FROM (SELECT unnest(generate_series(1, (SELECT count(*) FROM part))) AS i) t""",
+        FROM (SELECT ProductID AS i, (SELECT count(*) FROM m_Categories) AS c, (SELECT count(*) FROM supplier) AS s
+              FROM m_Products) t""",
     "generated_inventory": f"""SELECT ProductID, CAST(20 + {_pick('ProductID', 'stock', 500)} AS INT) AS QuantityOnHand,
             CASE WHEN ProductID % 2 = 0 THEN 'MAIN' ELSE 'NORTH-DC' END AS WarehouseLocation,
             {FIRST_DAY} - CAST({_pick('ProductID', 'restock', 60)} AS INT) AS LastRestockDate FROM m_Products""",
@@ -528,21 +617,26 @@ _selects: dict[str, str] = {
 _selects["segment_one_pass"] = _selects["segment_set_ops"]
 
 
-# The rules of the contracts, counted one by one. Unchecked order lines stand in for the order lines.
+# The rules of the contracts, counted one by one, and the tables they are counted in: with planted faults, where there
+# are such; references are looked up in the tables without.
 _CHECKED = {"Categories": "m_Categories", "Suppliers": "m_Suppliers", "Employees": "m_Employees",
             "Customers": "m_Customers", "ShippingAddresses": "m_Addresses", "Products": "m_Products",
             "Inventory": "m_Inventory", "OrderDetails": "m_Unchecked", "Orders": "m_Orders",
             "Payments": "m_Payments", "Returns": "m_Returns"}
+_CHECKED_STAR = {"DimDate": "m_DimDate", "DimCustomer": "m_BadCustomers", "DimProduct": "m_DimProduct",
+                 "DimEmployee": "m_DimEmployee", "DimGeography": "m_BadGeography", "FactSales": "m_BadSales",
+                 "FactInventorySnapshot": "m_BadSnapshot", "FactReturns": "m_BadReturns"}
+_SOUND = {"OrderDetails": "m_Lines", "DimCustomer": "m_DimCustomer", "DimGeography": "m_DimGeography"}
 
 
-def _rule_counts() -> str:
+def _rule_counts(tables: dict[str, Table], views: dict[str, str]) -> str:
     counts = []
 
     def count(rule: str, source: str, broken: str = "TRUE") -> None:
         counts.append(f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE {broken}) AS violations FROM {source}")
 
-    for name, view in _CHECKED.items():
-        table = OLTP[name]
+    for name, view in views.items():
+        table = tables[name]
         for column in table.required:
             count(f"{name}.{column} not null", view, f"{column} IS NULL")
         for column, allowed in table.domains.items():
@@ -555,7 +649,7 @@ def _rule_counts() -> str:
             text = ",".join(columns)
             count(f"{name}.{text} unique", f"(SELECT {text} FROM {view} GROUP BY {text} HAVING count(*) > 1) t")
         for fk in table.foreign:
-            parent = "m_Lines" if fk.parent == "OrderDetails" else _CHECKED[fk.parent]
+            parent = _SOUND.get(fk.parent) or views[fk.parent]
             child = fk.columns[0]
             count(f"{name}.{child} references {fk.parent}",
                   f"(SELECT DISTINCT {child} AS k FROM {view}) c "
@@ -564,7 +658,8 @@ def _rule_counts() -> str:
     return "\nUNION ALL ".join(counts)
 
 
-_selects["constraint_violations"] = _rule_counts()
+_selects["constraint_violations"] = _rule_counts(OLTP, _CHECKED)
+_selects["star_constraint_violations"] = _rule_counts(STAR, _CHECKED_STAR)
 
 
 def all_oracles() -> dict[str, str]:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from orderloom.functions.dates import days_between
 from orderloom.functions.money import AMOUNT
 from orderloom.functions.text import concat_null, indent
-from orderloom.operators.skew import lookup_join
+from orderloom.operators.skew import fits_broadcast, lookup_join
 from orderloom.session import materialize
 
 # Levels below a root that a hierarchy may have before the query fails.
@@ -130,6 +130,27 @@ def gaps_all_pairs(orders: DataFrame, min_days: int = 60) -> DataFrame:
             .orderBy(F.desc("GapDays"), "CustomerID", "LastOrderInIsland"))
 
 
+def gaps_counted(orders: DataFrame, min_days: int = 60) -> DataFrame:
+    """For every island, how many later islands of the customer start ``min_days`` or more after its end, the first of
+    them and the longest such gap.
+
+    What ``gaps_all_pairs`` lists, counted: islands and questions are ordered by day, the latest first, and each
+    question looks at the islands up to its day. So there is one row per island, and no island meets another.
+    """
+    islands = order_islands(orders)
+    start = F.unix_date("IslandStart")
+    none = F.lit(None)
+    events = islands.select("CustomerID", "IslandEnd", none.cast("int").alias("_start"),
+                            (F.unix_date("IslandEnd") + max(min_days, 1)).alias("_day")).unionByName(
+        islands.select("CustomerID", none.cast("date").alias("IslandEnd"), start.alias("_start"), start.alias("_day")))
+    later = Window.partitionBy("CustomerID").orderBy("_falling").rangeBetween(Window.unboundedPreceding, 0)
+    end = F.unix_date("IslandEnd")
+    return (events.withColumn("_falling", -F.col("_day")).select(
+        "CustomerID", F.col("IslandEnd").alias("LastOrderInIsland"), F.count("_start").over(later).alias("LaterIslands"),
+        F.date_from_unix_date(F.min("_start").over(later)).alias("NextOrderAfterGap"),
+        (F.max("_start").over(later) - end).alias("LongestGapDays")).where(F.col("LastOrderInIsland").isNotNull()))
+
+
 def gaps_adjacent(orders: DataFrame, min_days: int = 60) -> DataFrame:
     """Real pauses: from each island to the next one, if ``min_days`` or more apart."""
     following = F.lead("IslandStart").over(Window.partitionBy("CustomerID").orderBy("IslandStart"))
@@ -141,8 +162,11 @@ def gaps_adjacent(orders: DataFrame, min_days: int = 60) -> DataFrame:
 def _category_buyers(fact: DataFrame, dim_product: DataFrame, categories: list[str]) -> DataFrame:
     """(CustomerKey, CategoryName), distinct, for sales in the given categories."""
     chosen = dim_product.where(F.col("CategoryName").isin(categories)).select("ProductKey", "CategoryName")
-    bought = fact.select("SalesKey", "CustomerKey", "ProductKey")
-    return (lookup_join(bought, chosen, ["ProductKey"], ["SalesKey"])
+    bought = fact.select("CustomerKey", "ProductKey")
+    if not fits_broadcast(chosen):
+        # The products are joined by a shuffle; what a task has seen a customer buy before does not take part in it.
+        bought = bought.distinct()
+    return (lookup_join(bought, chosen, ["ProductKey"], ["CustomerKey"], hot_in=fact)
             .select("CustomerKey", "CategoryName").distinct())
 
 

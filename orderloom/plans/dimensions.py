@@ -10,7 +10,7 @@ from orderloom.functions.dates import calendar_columns
 from orderloom.functions.text import concat_blank_null
 from orderloom.operators.keys import highest, offset_keys, rank_keys
 from orderloom.operators.merge import insert_absent, merge_upsert
-from orderloom.operators.scd2 import scd2_merge
+from orderloom.operators.scd2 import scd2_merge, scd2_step
 from orderloom.operators.skew import lookup_join
 
 # The calendar loaded when no range is given.
@@ -33,10 +33,18 @@ def load_dim_date(dim: DataFrame, start: date = CALENDAR_START, end: date = CALE
 
 def load_dim_customer(dim: DataFrame, customers: DataFrame, as_of: date) -> DataFrame:
     """Customers by version; a change of segment opens a new one."""
-    source = customers.select(
+    return scd2_merge(dim, customer_source(customers), "CustomerID", "CustomerKey", ["CustomerSegment"], as_of)
+
+
+def customer_versions(current: DataFrame, customers: DataFrame, as_of: date) -> DataFrame:
+    """The versions of customers that are current after a load, and those that the load closes."""
+    return scd2_step(current, customer_source(customers), "CustomerID", "CustomerKey", ["CustomerSegment"], as_of)
+
+
+def customer_source(customers: DataFrame) -> DataFrame:
+    return customers.select(
         "CustomerID", concat_blank_null(F.col("FirstName"), " ", F.col("LastName")).alias("FullName"), "Email",
         "CustomerSegment", "SignupDate")
-    return scd2_merge(dim, source, "CustomerID", "CustomerKey", ["CustomerSegment"], as_of)
 
 
 def product_source(products: DataFrame, categories: DataFrame, suppliers: DataFrame) -> DataFrame:

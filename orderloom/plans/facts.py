@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from orderloom.functions import errors
 from orderloom.functions.dates import date_key, moment, month_key
 from orderloom.operators.checks import check_foreign_key
 from orderloom.operators.columns import with_days_to_refund
@@ -16,7 +17,7 @@ from orderloom.operators.skew import lookup_join
 SALES_MONTH = "SalesMonth"
 
 
-class DateOutsideCalendar(ValueError):
+class DateOutsideCalendar(errors.LoadRefused):
     """A fact has a date that the date dimension lacks."""
 
 
@@ -122,9 +123,10 @@ def merge_returns(fact: DataFrame, source: DataFrame, returns: DataFrame) -> Dat
 
 def require_dates(fact: DataFrame, dim_date: DataFrame, column: str = "DateKey") -> None:
     """Fail unless every date of ``fact`` is in the calendar. Reads one column, reduced to distinct days."""
-    bad = check_foreign_key(fact, [column], dim_date, ["DateKey"], f"{column} in calendar").limit(5).collect()
+    bad = check_foreign_key(fact, [column], dim_date, ["DateKey"], f"{column} in calendar").orderBy(
+        "key").limit(5).collect()
     if bad:
-        raise DateOutsideCalendar(", ".join(f"{r['key']} ({r['detail']})" for r in bad))
+        raise DateOutsideCalendar(", ".join(f"{r['key']} ({r['detail']})" for r in bad), errors.CONSTRAINT)
 
 
 def with_month(fact: DataFrame) -> DataFrame:

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
+from orderloom.functions import errors
 from orderloom.functions.text import concat_blank_null
+from orderloom.operators import checks
 from orderloom.operators.columns import with_defaults
 from orderloom.operators.keys import highest
-from orderloom.model import AUDIT
+from orderloom.model import AUDIT, STAR
 from orderloom.plans import dimensions, facts
 from orderloom.session import materialize
-from orderloom.sources.tables import TableStore
+from orderloom.sources.tables import Entry, TableStore
 
 Sources = dict[str, DataFrame]
 
@@ -26,27 +28,60 @@ class LoadStep:
     run: Callable[[], None]
 
 
+def _stage(store: TableStore, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
+    """Write a version that nobody sees yet, with the rows that break a rule counted as they are written; refused if
+    there are any, or if a key is not unique or a reference unknown."""
+    counted, broken = checks.watched(name, STAR[name], df)
+    version = store.stage(name, counted, partition_by)
+    checks.require_contract(name, STAR[name], store.staged(name, version), _parents(store, name), broken())
+    return version
+
+
+def _kept(store: TableStore, name: str, df: DataFrame) -> DataFrame:
+    """``df`` written apart under the same rules, for loads that then swap some partitions of a table."""
+    counted, broken = checks.watched(name, STAR[name], df)
+    ready = materialize(counted, name)
+    checks.require_contract(name, STAR[name], ready, _parents(store, name), broken())
+    return ready
+
+
+def _parents(store: TableStore, name: str) -> Sources:
+    return {fk.parent: store.read(fk.parent) for fk in STAR[name].foreign}
+
+
+def _write(store: TableStore, name: str, df: DataFrame, as_of: datetime, partition_by: Sequence[str] = ()) -> None:
+    store.publish({name: _stage(store, name, df, partition_by)}, as_of)
+
+
 def _load_date(store: TableStore, as_of: datetime, start: date, end: date) -> None:
-    store.write("DimDate", dimensions.load_dim_date(store.read("DimDate"), start, end).coalesce(1), as_of)
+    _write(store, "DimDate", dimensions.load_dim_date(store.read("DimDate"), start, end).coalesce(1), as_of)
 
 
 def _load_customer(store: TableStore, oltp: Sources, as_of: datetime) -> None:
-    dim = dimensions.load_dim_customer(store.read("DimCustomer"), oltp["Customers"], as_of.date())
-    # Lookups read current versions only, so those lie apart.
-    store.write("DimCustomer", dim, as_of, ["IsCurrent"])
+    """The current versions are one part of the table, which a load replaces; the versions it closes become a part of
+    their own, and are never written again."""
+    name = "DimCustomer"
+    versions = _kept(store, name, dimensions.customer_versions(
+        store.read(name, "current"), oltp["Customers"], as_of.date()))
+    entries = [Entry(name, store.stage(name, versions.where("IsCurrent")), "current")]
+    closed = versions.where("NOT IsCurrent")
+    if not closed.isEmpty():
+        version = store.stage(name, closed, ahead=2)
+        entries.append(Entry(name, version, f"closed-{version}"))
+    store.enter(entries, as_of)
 
 
 def _load_product(store: TableStore, oltp: Sources, as_of: datetime) -> None:
-    store.write("DimProduct", dimensions.load_dim_product(
+    _write(store, "DimProduct", dimensions.load_dim_product(
         store.read("DimProduct"), oltp["Products"], oltp["Categories"], oltp["Suppliers"]), as_of)
 
 
 def _load_employee(store: TableStore, oltp: Sources, as_of: datetime) -> None:
-    store.write("DimEmployee", dimensions.load_dim_employee(store.read("DimEmployee"), oltp["Employees"]), as_of)
+    _write(store, "DimEmployee", dimensions.load_dim_employee(store.read("DimEmployee"), oltp["Employees"]), as_of)
 
 
 def _load_geography(store: TableStore, oltp: Sources, as_of: datetime) -> None:
-    store.write("DimGeography", dimensions.load_dim_geography(
+    _write(store, "DimGeography", dimensions.load_dim_geography(
         store.read("DimGeography"), oltp["ShippingAddresses"]), as_of)
 
 
@@ -57,13 +92,16 @@ def _by_month(fact: DataFrame) -> DataFrame:
 
 def _load_sales(store: TableStore, oltp: Sources, as_of: datetime) -> None:
     source = facts.sales_source(
-        oltp["OrderDetails"], oltp["Orders"], oltp["ShippingAddresses"], store.read("DimCustomer"),
+        oltp["OrderDetails"], oltp["Orders"], oltp["ShippingAddresses"], store.read("DimCustomer", "current"),
         store.read("DimProduct"), store.read("DimEmployee"), store.read("DimGeography"))
     calendar = store.read("DimDate")
     if not store.exists("FactSales"):
-        version = store.stage("FactSales", _by_month(
-            facts.first_sales(source, oltp["OrderDetails"], as_of)), [facts.SALES_MONTH])
-        facts.require_dates(store.staged("FactSales", version), calendar)
+        fresh = facts.first_sales(source, oltp["OrderDetails"], as_of)
+        counted, broken = checks.watched("FactSales", STAR["FactSales"], fresh)
+        version = store.stage("FactSales", _by_month(counted), [facts.SALES_MONTH])
+        written = store.staged("FactSales", version)
+        facts.require_dates(written, calendar)
+        checks.require_contract("FactSales", STAR["FactSales"], written, _parents(store, "FactSales"), broken())
         store.publish({"FactSales": version}, as_of)
         return
     source = materialize(source, "sales-source")
@@ -80,22 +118,22 @@ def _load_sales(store: TableStore, oltp: Sources, as_of: datetime) -> None:
     months = sorted(r[0] for r in held.union(arriving).distinct().collect())  # at most the calendar's months
     touched = fact.where(F.col(facts.SALES_MONTH).isin(months))
     merged = facts.merge_sales(touched.drop(facts.SALES_MONTH), source, source, as_of, highest(fact, "SalesKey"))
-    ready = materialize(facts.with_month(merged), "sales-merged")
+    ready = _kept(store, "FactSales", facts.with_month(merged))
     store.replace_partitions("FactSales", ready.hint("rebalance", facts.SALES_MONTH), [facts.SALES_MONTH])
 
 
 def _load_snapshot(store: TableStore, oltp: Sources, as_of: datetime) -> None:
     day = as_of.date()
-    dim = store.read("DimProduct")
+    name, dim = "FactInventorySnapshot", store.read("DimProduct")
     source = facts.snapshot_source(oltp["Inventory"], oltp["Products"], dim, day)
     facts.require_dates(source, store.read("DimDate"))
-    fact = store.read("FactInventorySnapshot")
+    fact = store.read(name)
     today = fact.where(F.col("DateKey") == day.year * 10000 + day.month * 100 + day.day)
-    merged = materialize(facts.merge_snapshot(today, source, dim, as_of, highest(fact, "SnapshotKey")), "snapshot")
-    if store.exists("FactInventorySnapshot"):
-        store.replace_partitions("FactInventorySnapshot", merged, ["DateKey"])
+    merged = _kept(store, name, facts.merge_snapshot(today, source, dim, as_of, highest(fact, "SnapshotKey")))
+    if store.exists(name):
+        store.replace_partitions(name, merged, ["DateKey"])
     else:
-        store.write("FactInventorySnapshot", merged, as_of, ["DateKey"])
+        store.write(name, merged, as_of, ["DateKey"])
 
 
 def load_steps(store: TableStore, oltp: Sources, as_of: datetime, calendar: tuple[date, date]) -> list[LoadStep]:
@@ -117,7 +155,7 @@ def log_failure(store: TableStore, procedure: str, error: Exception, as_of: date
     row = store.spark.range(1).select(
         (highest(log, "ErrorLogID") + 1).alias("ErrorLogID"),
         concat_blank_null(procedure).alias("ErrorProcedure"),
-        F.lit(50000).cast("int").alias("ErrorNumber"),
+        F.lit(errors.number_of(error)).cast("int").alias("ErrorNumber"),
         F.substring(F.lit(_reason(error)), 1, 2000).alias("ErrorMessage"))
     row = materialize(with_defaults(row, AUDIT["ErrorLog"], as_of), "error")
     if store.exists("ErrorLog"):
@@ -135,25 +173,26 @@ def run_full_load(store: TableStore, oltp: Sources, as_of: datetime, calendar: t
     """Load all dimensions and facts from ``oltp`` (tables by name).
 
     Each step is published when it is done, and stays when a later one fails; the failure is logged with the
-    name of its step and raised again.
+    name of its step and the number of what went wrong, and raised again. A step whose rows break the contract of
+    their table is not published.
     """
     for step in load_steps(store, oltp, as_of, calendar):
         try:
             step.run()
         except Exception as error:
-            log_failure(store, f"usp_ETL_RunFullLoad - failed at step: {step.name}", error, as_of)
+            try:
+                log_failure(store, f"usp_ETL_RunFullLoad - failed at step: {step.name}", error, as_of)
+            except Exception as unlogged:  # the first error is the one to be seen
+                error.add_note(f"not logged: {unlogged}")
             raise
 
 
 def load_returns(store: TableStore, oltp: Sources, refunds: DataFrame | None, as_of: datetime) -> None:
     """Load the return facts from the returns recorded so far."""
     source = facts.returns_source(oltp["Returns"], oltp["OrderDetails"], oltp["Orders"],
-                                  store.read("DimCustomer"), store.read("DimProduct"), refunds)
+                                  store.read("DimCustomer", "current"), store.read("DimProduct"), refunds)
     fact = facts.merge_returns(store.read("FactReturns"), source, oltp["Returns"])
-    version = store.stage("FactReturns", fact)
-    for column in ("OrderDateKey", "ReturnDateKey", "RefundDateKey"):
-        facts.require_dates(store.staged("FactReturns", version), store.read("DimDate"), column)
-    store.publish({"FactReturns": version}, as_of)
+    _write(store, "FactReturns", fact, as_of)
 
 
 def table_counts(store: TableStore, names: list[str]) -> DataFrame:

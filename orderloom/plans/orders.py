@@ -13,12 +13,13 @@ from orderloom.functions.dates import add_minutes, moment
 from orderloom.functions.money import amount, line_total
 from orderloom.functions.text import concat_blank_null
 from orderloom.model import PAYMENT_METHODS
-from orderloom.operators.keys import highest
+from orderloom.operators.keys import highest, last_key
 from orderloom.operators.merge import update_from
 from orderloom.operators.prefix import crossings
 from orderloom.operators.skew import lookup_join
-from orderloom.plans.audit import audit_new_lines
+from orderloom.plans.audit import line_entries
 from orderloom.session import materialize
+from orderloom.sources.tables import TableStore
 
 # Stock of a product, once it runs short, that is shared out in turn by one task.
 TURNS = 100_000
@@ -203,38 +204,52 @@ def _short_from(faulty: DataFrame, taken: DataFrame) -> DataFrame:
 
 def place_orders(requests: DataFrame, orders: DataFrame, inventory: DataFrame, products: DataFrame,
                  customers: DataFrame, employees: DataFrame, addresses: DataFrame, lines: DataFrame,
-                 as_of: datetime) -> PlacedOrders:
+                 as_of: datetime, payments: DataFrame | None = None, audit_log: DataFrame | None = None,
+                 error_log: DataFrame | None = None) -> PlacedOrders:
     """Place a batch of one-line order requests, each one wholly or not at all.
 
     ``requests`` has (seq, CustomerID, EmployeeID, AddressID, ProductID, Quantity, PaymentMethod); ``seq`` is
-    the order in which they came and tells them apart. New OrderIDs and OrderDetailIDs follow the existing ones.
+    the order in which they came and tells them apart. All new keys follow the existing ones of their table; where
+    ``payments``, ``audit_log`` or ``error_log`` is left out, they start at 1. A request that is served has two audit
+    rows, first that of its line.
     """
     decided = materialize(
         decide(requests, inventory, products, customers, employees, addresses), "decided")
     taken = decided.where("Accepted")
     least = decided.agg(F.min("seq").alias("least")).scalar()
+    place = F.col("seq") - least  # from 0
     now = moment(as_of)
-    order_id = (highest(orders, "OrderID") + 1 + F.col("seq") - least).alias("OrderID")
-    line_id = (highest(lines, "OrderDetailID") + 1 + F.col("seq") - least).alias("OrderDetailID")
+    order_id = (highest(orders, "OrderID") + 1 + place).alias("OrderID")
     price = amount(F.col("UnitPrice") * F.col("Quantity"))
     new_orders = taken.select(
         order_id, "CustomerID", "EmployeeID", "AddressID", now.alias("OrderDate"),
         F.lit("Confirmed").alias("OrderStatus"), price.alias("TotalAmount"))
     no_discount = F.lit(0).cast("decimal(4,2)")
-    new_lines = taken.select(
-        line_id, order_id, "ProductID", "Quantity", "UnitPrice", no_discount.alias("Discount"),
-        line_total(F.col("Quantity"), F.col("UnitPrice"), no_discount).alias("LineTotal"))
+    first_audit = (last_key(audit_log, "AuditID") + 1 + 2 * place).alias("_audit")
+    with_audit = taken.select(
+        (highest(lines, "OrderDetailID") + 1 + place).alias("OrderDetailID"), order_id, "ProductID", "Quantity",
+        "UnitPrice", no_discount.alias("Discount"),
+        line_total(F.col("Quantity"), F.col("UnitPrice"), no_discount).alias("LineTotal"), first_audit)
     new_payments = taken.select(
-        order_id, now.alias("PaymentDate"), price.alias("Amount"), "PaymentMethod",
-        F.lit("Success").alias("PaymentStatus"))
+        (last_key(payments, "PaymentID") + 1 + place).alias("PaymentID"), order_id, now.alias("PaymentDate"),
+        price.alias("Amount"), "PaymentMethod", F.lit("Success").alias("PaymentStatus"))
     placed = taken.select(
-        order_id, F.lit("PLACED").alias("Action"),
+        (first_audit + 1).alias("AuditID"), order_id, F.lit("PLACED").alias("Action"),
         concat_blank_null("Qty=", F.col("Quantity"), ", Product=", F.col("ProductID")).alias("ActionDetail"),
         now.alias("ActionAt"))
     failed = decided.where("NOT Accepted").select(
-        "seq", *errors.error_columns("usp_PlaceOrder", F.col("ErrorNumber"), as_of))
+        "seq", (last_key(error_log, "ErrorLogID") + 1 + place).alias("ErrorLogID"),
+        *errors.error_columns("usp_PlaceOrder", F.col("ErrorNumber"), as_of))
     sold = taken.groupBy("ProductID").agg(F.sum("Quantity").alias("_sold"))
     stock = update_from(inventory, sold, ["ProductID"],
                         {"QuantityOnHand": F.col("t.QuantityOnHand") - F.col("v._sold")})
-    return PlacedOrders(decided, new_orders, new_lines, new_payments,
-                        placed.unionByName(audit_new_lines(new_lines, as_of)), failed, stock)
+    return PlacedOrders(decided, new_orders, with_audit.drop("_audit"), new_payments,
+                        placed.unionByName(line_entries(with_audit, F.col("_audit"), as_of)), failed, stock)
+
+
+def store_placed(store: TableStore, batch: str, placed: PlacedOrders, as_of: datetime) -> bool:
+    """Add what a batch of requests led to to the stored tables, all of it at once; nothing if ``batch`` is stored."""
+    return store.store_batch(
+        batch, as_of, added={"Orders": placed.orders, "OrderDetails": placed.lines, "Payments": placed.payments,
+                             "OrderAuditLog": placed.audit, "ErrorLog": placed.errors},
+        replaced={"Inventory": placed.inventory})

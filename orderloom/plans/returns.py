@@ -5,16 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.functions import errors
 from orderloom.functions.dates import moment
 from orderloom.functions.money import amount
 from orderloom.functions.picks import pick
-from orderloom.operators.keys import highest
+from orderloom.operators.keys import highest, last_key, offset_keys
 from orderloom.operators.sampling import sample_rows
 from orderloom.operators.skew import lookup_join
 from orderloom.session import materialize
+from orderloom.sources.tables import TableStore
 
 
 @dataclass(frozen=True)
@@ -28,13 +29,14 @@ class ProcessedReturns:
 
 
 def process_returns(requests: DataFrame, lines: DataFrame, payments: DataFrame, returns: DataFrame,
-                    as_of: datetime) -> ProcessedReturns:
+                    as_of: datetime, error_log: DataFrame | None = None) -> ProcessedReturns:
     """Record a batch of returns and mark the payments of their orders as refunded.
 
     ``requests`` has (seq, OrderDetailID, QuantityReturned, Reason). The refund is list price times quantity.
     An unknown line, or a quantity that is not positive, leaves nothing but an error. A known line whose order
-    has no payment keeps its return and logs the failed refund. A reason is cut to its 200 characters. All payments of a refunded order are marked,
-    whatever their status.
+    has no payment keeps its return and logs the failed refund. A reason is cut to its 200 characters. All payments of
+    a refunded order are marked, whatever their status. ReturnIDs follow those in ``returns``, ErrorLogIDs those in
+    ``error_log``, or start at 1.
     """
     known = lookup_join(requests, lines.select("OrderDetailID", "OrderID", "UnitPrice"), ["OrderDetailID"],
                         ["seq"], "left")
@@ -61,10 +63,17 @@ def process_returns(requests: DataFrame, lines: DataFrame, payments: DataFrame,
     step = F.when(F.col("ErrorNumber") == errors.NO_PAYMENT, "usp_ProcessReturn (refund step)").otherwise(
         "usp_ProcessReturn")
     failed = decided.where("ErrorNumber IS NOT NULL").select(
-        "seq", *errors.error_columns(step, F.col("ErrorNumber"), as_of))
+        "seq", (last_key(error_log, "ErrorLogID") + 1 + F.col("seq") - least).alias("ErrorLogID"),
+        *errors.error_columns(step, F.col("ErrorNumber"), as_of))
     return ProcessedReturns(decided, new_returns, refund_payments(payments, returned_orders), failed)
 
 
+def store_processed(store: TableStore, batch: str, processed: ProcessedReturns, as_of: datetime) -> bool:
+    """Add what a batch of returns led to to the stored tables, all of it at once; nothing if ``batch`` is stored."""
+    return store.store_batch(batch, as_of, added={"Returns": processed.returns, "ErrorLog": processed.errors},
+                             replaced={"Payments": processed.payments})
+
+
 def refund_payments(payments: DataFrame, refunded_orders: DataFrame) -> DataFrame:
     """``payments`` with every payment of the given orders (one row per OrderID) marked as refunded."""
     hit = refunded_orders.select("OrderID", F.lit(True).alias("_hit"))
@@ -73,14 +82,17 @@ def refund_payments(payments: DataFrame, refunded_orders: DataFrame) -> DataFram
     return marked.withColumn("PaymentStatus", status).select(*payments.columns)
 
 
-def sample_returns(lines: DataFrame, orders: DataFrame, n: int, salt: str = "returns") -> DataFrame:
-    """``n`` delivered lines drawn at random, each returned as one piece 5 to 24 days after its order."""
+def sample_returns(lines: DataFrame, orders: DataFrame, n: int, salt: str = "returns",
+                   start: Column | int = 0) -> DataFrame:
+    """``n`` delivered lines drawn at random, each returned as one piece 5 to 24 days after its order. ReturnIDs follow
+    ``start`` in the order of the lines, with their gaps."""
     delivered = orders.where(F.col("OrderStatus") == "Delivered").select("OrderID", "OrderDate")
     candidates = lookup_join(lines.select("OrderDetailID", "OrderID", "UnitPrice"), delivered, ["OrderID"],
                              ["OrderDetailID"])
     days = 5 + pick(F.col("OrderDetailID"), salt + "-day", 20)
-    return sample_rows(candidates, n, "OrderDetailID", salt).select(
-        "OrderDetailID", F.timestamp_add("DAY", days.cast("int"), F.col("OrderDate")).alias("ReturnDate"),
+    drawn = sample_rows(candidates, n, "OrderDetailID", salt)
+    return offset_keys(drawn, "ReturnID", "OrderDetailID", start, lines).select(
+        "ReturnID", "OrderDetailID", F.timestamp_add("DAY", days.cast("int"), F.col("OrderDate")).alias("ReturnDate"),
         F.lit(1).alias("QuantityReturned"), F.lit("Customer changed mind").alias("Reason"),
         amount(F.col("UnitPrice")).alias("RefundAmount"))
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from orderloom import scenario
+from orderloom.functions.errors import LoadRefused
 from orderloom.model import OLTP, STAR
 from orderloom.operators import checks
 from orderloom.operators.columns import with_defaults
@@ -15,7 +18,7 @@ from orderloom.operators.keys import highest, offset_keys, rank_keys
 from orderloom.plans import analytics, audit, dimensions, facts, reports, returns, stock
 from orderloom.plans import full_load, orders as order_jobs
 from orderloom.session import materialize, scratch_path
-from orderloom.sources import adapter, generator
+from orderloom.sources import adapter, generator, seed
 from orderloom.sources.tables import TableStore
 from orderloom.sources.workspace import FIRST_LOAD, SECOND_LOAD, Workspace, workspace
 
@@ -70,6 +73,12 @@ def churn_gaps_all_pairs(w: Workspace) -> DataFrame:
     return analytics.gaps_all_pairs(w.table("Orders"))
 
 
+@query
+def churn_gap_counts(w: Workspace) -> DataFrame:
+    """The same, counted: one row per island."""
+    return analytics.gaps_counted(w.table("Orders"))
+
+
 @query
 def churn_gaps_adjacent(w: Workspace) -> DataFrame:
     return analytics.gaps_adjacent(w.table("Orders"))
@@ -235,6 +244,61 @@ def constraint_violations(w: Workspace) -> DataFrame:
         "rule", F.coalesce("violations", F.lit(0)).cast("long").alias("violations"))
 
 
+_STAR_TABLES = ["DimDate", "DimCustomer", "DimProduct", "DimEmployee", "DimGeography", "FactSales",
+                "FactInventorySnapshot", "FactReturns"]
+
+
+@query
+def star_constraint_violations(w: Workspace) -> DataFrame:
+    """How often each rule of the star schema is broken by tables with planted faults, 0 included."""
+    parents = {name: w.star(name).select(*[f.name for f in STAR[name].schema.fields]) for name in _STAR_TABLES}
+    tables = scenario.unchecked_star(parents)
+    found = [checks.table_violations(name, STAR[name], df, parents) for name, df in tables.items()]
+    rules = [rule for name, df in tables.items() for rule in checks.rule_names(name, STAR[name], df.columns, _STAR_TABLES)]
+    counted = reduce(DataFrame.unionByName, found).groupBy("rule").agg(F.count("*").alias("violations"))
+    known = w.spark.createDataFrame([(rule,) for rule in rules], "rule STRING")
+    return known.join(counted, "rule", "left").select(
+        "rule", F.coalesce("violations", F.lit(0)).cast("long").alias("violations"))
+
+
+@query
+def load_failures(w: Workspace) -> DataFrame:
+    """The error log after three loads that fail: customers given twice, products without a name, orders beyond the
+    calendar. Which customer is met first is left to chance, so the message about it is cut."""
+    store = TableStore(w.spark, scratch_path(w.spark, "failing-loads"))
+    oltp = w.oltp()
+    named = F.when(F.col("ProductID") % 7 != 0, F.col("ProductName"))
+    later = F.col("OrderDate") + F.expr("INTERVAL 20 YEAR")
+    for changed in ({"Customers": scenario.twice(oltp["Customers"], "CustomerID", 10)},
+                    {"Products": oltp["Products"].withColumn("ProductName", named)},
+                    {"Orders": oltp["Orders"].withColumn("OrderDate", later)}):
+        try:
+            full_load.run_full_load(store, {**oltp, **changed}, FIRST_LOAD, w.calendar())
+        except (PySparkException, LoadRefused):
+            continue  # the load has logged it
+        raise AssertionError("a load that has to fail did not")
+    return store.read("ErrorLog").select("ErrorLogID", "ErrorProcedure", "ErrorNumber", F.regexp_replace(
+        "ErrorMessage", "more than one row.*", "more than one row").alias("ErrorMessage"), "ErrorAt")
+
+
+@query
+def merge_refusals(w: Workspace) -> DataFrame:
+    """The keys for which an upsert of unchecked order lines is refused, and how many rows each has."""
+    return checks.check_unique(scenario.unchecked_lines(w.table("OrderDetails")), ["OrderDetailID"],
+                               "merge source").select(F.col("key").cast("long").alias("OrderDetailID"), "detail")
+
+
+@query
+def seeded_categories(w: Workspace) -> DataFrame:
+    """The categories every new shop starts with, beside those of the products at hand that share their first letter."""
+    letter = F.substring("CategoryName", 1, 1)
+    at_hand = (w.table("Products").join(w.table("Categories"), "CategoryID").groupBy(letter.alias("Letter"))
+               .agg(F.count("*").alias("ProductsAtHand")))
+    return seed.categories(w.spark).withColumn("Letter", letter).join(
+        F.broadcast(at_hand), "Letter", "left").select(  # one row per letter
+        "CategoryID", "CategoryName", F.coalesce("ProductsAtHand", F.lit(0)).cast("long").alias("ProductsAtHand"))
+
+
 @query
 def rejected_lines(w: Workspace) -> DataFrame:
     """Unchecked order lines that must not be stored, with the rules they break."""
@@ -295,7 +359,7 @@ def _place(w: Workspace) -> order_jobs.PlacedOrders:
     return w.once("placed orders", lambda: order_jobs.place_orders(
         scenario.order_requests(w.table("OrderDetails"), w.table("Orders")), w.table("Orders"),
         w.table("Inventory"), w.table("Products"), w.table("Customers"), w.table("Employees"),
-        w.table("ShippingAddresses"), w.table("OrderDetails"), FIRST_LOAD))
+        w.table("ShippingAddresses"), w.table("OrderDetails"), FIRST_LOAD, w.table("Payments")))
 
 
 @query
@@ -333,6 +397,31 @@ def place_orders_inventory(w: Workspace) -> DataFrame:
     return _place(w).inventory
 
 
+@query
+def place_orders_stored(w: Workspace) -> DataFrame:
+    """The stored tables after the batch was stored, and stored once more: all rows, in one shape."""
+    store = TableStore(w.spark, scratch_path(w.spark, "shop"))
+    for name in ("Orders", "OrderDetails", "Payments", "Inventory"):
+        store.write(name, w.table(name), FIRST_LOAD)
+    placed = _place(w)
+    for _ in range(2):
+        order_jobs.store_placed(store, "requests-1", placed, FIRST_LOAD)
+    none = F.lit(None)
+    shapes = {
+        "Orders": ("OrderID", "OrderID", none, "TotalAmount", "OrderStatus"),
+        "OrderDetails": ("OrderDetailID", "OrderID", "ProductID", "LineTotal", F.col("Quantity").cast("string")),
+        "Payments": ("PaymentID", "OrderID", none, "Amount", F.concat_ws(" ", "PaymentMethod", "PaymentStatus")),
+        "OrderAuditLog": ("AuditID", "OrderID", none, none, F.concat_ws(": ", "Action", "ActionDetail")),
+        "ErrorLog": ("ErrorLogID", none, none, "ErrorNumber", F.col("ErrorMessage")),
+        "Inventory": ("ProductID", none, "ProductID", "QuantityOnHand", F.col("WarehouseLocation"))}
+    types = ("bigint", "bigint", "bigint", "decimal(28,4)", "string")
+    names = ("RowID", "OrderID", "ProductID", "Amount", "Detail")
+    read = TableStore(w.spark, store.root)  # as another reader sees them
+    return reduce(DataFrame.unionByName, [read.read(table).select(F.lit(table).alias("TableName"), *[
+        (F.col(c) if isinstance(c, str) else c).cast(t).alias(n) for c, t, n in zip(shape, types, names)])
+        for table, shape in shapes.items()])
+
+
 def _process(w: Workspace) -> returns.ProcessedReturns:
     return w.once("processed returns", lambda: returns.process_returns(
         scenario.return_requests(w.order_lines()), w.table("OrderDetails"), w.table("Payments"),
@@ -359,6 +448,20 @@ def replenish_inventory(w: Workspace) -> DataFrame:
     return stock.replenish(w.table("Inventory"), w.table("Products"), FIRST_LOAD.date())
 
 
+@query
+def restock_notice(w: Workspace) -> DataFrame:
+    """How many products a restocking changes, the notice it gives, and both for a second one, which finds none short.
+
+    The first run sets every short product to its reorder level at least; both are written."""
+    runs, inventory = [], w.table("Inventory")
+    for turn in (1, 2):
+        watched = Observation()
+        inventory = materialize(stock.replenish(inventory, w.table("Products"), FIRST_LOAD.date(), restocked=watched),
+                                "restocked")
+        runs.append((turn, watched.get["rows"], stock.restock_notice(watched)))
+    return w.spark.createDataFrame(runs, "Run INT, RowsChanged BIGINT, Notice STRING")
+
+
 @query
 def line_audit(w: Workspace) -> DataFrame:
     return audit.audit_new_lines(w.table("OrderDetails"), FIRST_LOAD)
@@ -393,6 +496,14 @@ def order_history(w: Workspace) -> DataFrame:
     return reports.order_history(w.table("Orders"), w.table("OrderDetails"))
 
 
+@query
+def customer_functions(w: Workspace) -> DataFrame:
+    """Both customer functions called from SQL, for every customer and as many unknown ones."""
+    suffix = f"_{zlib.crc32(w.directory.encode()):08x}"
+    return reports.customer_report(scenario.asked_customers(w.table("Customers")), w.table("Orders"),
+                                   w.table("OrderDetails"), suffix)
+
+
 @query
 def orders_by_status(w: Workspace) -> DataFrame:
     return reports.orders_by_status(w.table("Orders"), "Delivered")
@@ -406,15 +517,10 @@ def load_summary(w: Workspace) -> DataFrame:
     return w.spark.range(1).select(*counts)
 
 
-# Sample tables as large as the tables at hand.
+# Sample rows for the keys of the tables at hand.
 
 def _made_customers(w: Workspace) -> DataFrame:
-    return generator.generate_customers(w.spark, w.table("Customers").count(), FIRST_LOAD)
-
-
-def _made_products(w: Workspace) -> DataFrame:
-    return generator.generate_products(w.spark, w.table("Products").count(), w.table("Categories").count(),
-                                       w.table("Suppliers").count())
+    return generator.customers_for(w.table("Customers").select(F.col("CustomerID").alias("n")), FIRST_LOAD)
 
 
 @query
@@ -429,7 +535,8 @@ def generated_addresses(w: Workspace) -> DataFrame:
 
 @query
 def generated_products(w: Workspace) -> DataFrame:
-    return _made_products(w)
+    return generator.products_for(w.table("Products").select(F.col("ProductID").alias("n")),
+                                  w.table("Categories").count(), w.table("Suppliers").count())
 
 
 @query

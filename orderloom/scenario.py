@@ -121,3 +121,40 @@ def unchecked_lines(lines: DataFrame) -> DataFrame:
         F.when(seq % 59 == 0, -F.col("UnitPrice")).otherwise(F.col("UnitPrice")).cast("decimal(10,2)")
         .alias("UnitPrice"),
         F.when(seq % 53 == 0, F.lit(1.5)).otherwise(F.col("Discount")).cast("decimal(4,2)").alias("Discount"))
+
+
+def asked_customers(customers: DataFrame) -> DataFrame:
+    """Every customer, and as many numbers that no customer has."""
+    known = customers.select("CustomerID")
+    return known.unionByName(known.select((-1 - F.col("CustomerID")).alias("CustomerID")))
+
+
+def twice(rows: DataFrame, key: str, every: int) -> DataFrame:
+    """The rows, those with a key divisible by ``every`` two times."""
+    return rows.unionByName(rows.where(F.col(key) % every == 0))
+
+
+def unchecked_star(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The star schema as a careless load would leave it: unknown keys, missing values, overlong names, and both
+    composite keys given twice under other surrogate keys."""
+    def odd(table: DataFrame, key: str, faults: dict[str, tuple[int, object]]) -> DataFrame:
+        for column, (every, value) in faults.items():
+            table = table.withColumn(column, F.when(F.col(key) % every == 0, F.lit(value).cast(
+                table.schema[column].dataType)).otherwise(F.col(column)))
+        return table
+
+    def again(table: DataFrame, key: str, by: str, every: int) -> DataFrame:
+        copies = table.where(F.col(by) % every == 0).withColumn(key, F.col(key) + 1_000_000_000)
+        return table.unionByName(copies)
+
+    customers = star["DimCustomer"].withColumn("FullName", F.when(F.col("CustomerKey") % 43 == 0, F.repeat(
+        F.col("FullName"), F.lit(20))).otherwise(F.col("FullName")))
+    sales = odd(star["FactSales"], "SalesKey", {
+        "DateKey": (61, 19000101), "CustomerKey": (67, -1), "ProductKey": (71, -1), "EmployeeKey": (73, -1),
+        "GeographyKey": (79, -1), "Quantity": (83, None)})
+    return {**star, "DimCustomer": odd(customers, "CustomerKey", {"EffectiveDate": (41, None)}),
+            "DimGeography": again(star["DimGeography"], "GeographyKey", "GeographyKey", 3),
+            "FactSales": twice(sales, "SalesKey", 89),
+            "FactInventorySnapshot": again(star["FactInventorySnapshot"], "SnapshotKey", "ProductKey", 47),
+            "FactReturns": odd(star["FactReturns"], "ReturnKey", {
+                "OrderDateKey": (53, 19000101), "ReturnDateKey": (59, 19000101), "RefundDateKey": (61, 19000101)})}

@@ -23,10 +23,16 @@ def _days_before(as_of: datetime, days: Column) -> Column:
 
 
 def generate_products(spark: SparkSession, n: int, n_categories: int, n_suppliers: int) -> DataFrame:
+    return products_for(numbers(spark, n), n_categories, n_suppliers)
+
+
+def products_for(keys: DataFrame, n_categories: int, n_suppliers: int) -> DataFrame:
+    """A product for each key ``n``."""
     i = F.col("n")
-    return numbers(spark, n).select(
+    return keys.select(
         i.alias("ProductID"), concat_blank_null("Product ", i).alias("ProductName"),
-        ((i - 1) % n_categories + 1).alias("CategoryID"), ((i - 1) % n_suppliers + 1).alias("SupplierID"),
+        (F.pmod(i - 1, F.lit(n_categories)) + 1).alias("CategoryID"),
+        (F.pmod(i - 1, F.lit(n_suppliers)) + 1).alias("SupplierID"),
         (50 + pick(i, "price", 95000).cast("decimal(10,0)") / 100).cast("decimal(10,2)").alias("UnitPrice"),
         (10 + i % 5 * 5).cast("int").alias("ReorderLevel"), (i % 17 == 0).alias("Discontinued"))
 
@@ -40,8 +46,13 @@ def generate_inventory(products: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def generate_customers(spark: SparkSession, n: int, as_of: datetime) -> DataFrame:
+    return customers_for(numbers(spark, n), as_of)
+
+
+def customers_for(keys: DataFrame, as_of: datetime) -> DataFrame:
+    """A customer for each key ``n``."""
     i = F.col("n")
-    return numbers(spark, n).select(
+    return keys.select(
         i.alias("CustomerID"), concat_blank_null("First", i).alias("FirstName"),
         concat_blank_null("Last", i).alias("LastName"),
         concat_blank_null("customer", i, "@example.com").alias("Email"),

@@ -114,6 +114,9 @@ def test_islands_and_gaps(spark):
         (1, day(1), day(3)), (1, day(70), day(70)), (1, day(200), day(200)), (2, day(5), day(5))], key=repr)
     pairs = [tuple(r) for r in analytics.gaps_all_pairs(o).collect()]
     assert pairs == [(1, day(3), day(200), 197), (1, day(70), day(200), 130), (1, day(3), day(70), 67)]
+    assert rows(analytics.gaps_counted(o)) == sorted([
+        (1, day(3), 2, day(70), 197), (1, day(70), 1, day(200), 130), (1, day(200), 0, None, None),
+        (2, day(5), 0, None, None)], key=repr)
     assert [r["GapDays"] for r in analytics.gaps_adjacent(o).collect()] == [130, 67]
     assert [r["GapDays"] for r in analytics.gaps_adjacent(o, 68).collect()] == [130]
 

@@ -6,6 +6,7 @@ from shop import rows
 from pyspark.sql import functions as F
 
 from orderloom.model import STAR
+from orderloom.operators import checks
 from orderloom.operators.columns import with_line_total
 from orderloom.plans import dimensions, facts
 from orderloom.plans.full_load import load_returns, run_full_load, table_counts
@@ -100,8 +101,8 @@ def test_failed_step_is_logged_and_earlier_steps_stay(spark, shop, store):
         run_full_load(store, shop, DAY1, (date(2024, 2, 1), date(2024, 12, 31)))
     assert store.exists("DimGeography") and not store.exists("FactSales")
     log = store.read("ErrorLog").collect()
-    assert [(r["ErrorLogID"], r["ErrorProcedure"]) for r in log] == [
-        (1, "usp_ETL_RunFullLoad - failed at step: FactSales")]
+    assert [(r["ErrorLogID"], r["ErrorProcedure"], r["ErrorNumber"]) for r in log] == [
+        (1, "usp_ETL_RunFullLoad - failed at step: FactSales", 547)]
     assert "20240105" in log[0]["ErrorMessage"]
     with pytest.raises(facts.DateOutsideCalendar):
         run_full_load(store, shop, DAY1, (date(2024, 2, 1), date(2024, 12, 31)))
@@ -144,3 +145,86 @@ def test_return_facts_accumulate(spark, shop, store):
     load_returns(store, {**shop, "Returns": made}, paid, DAY2)
     assert [tuple(r) for r in store.read("FactReturns").collect()] == [
         (1, 1, 20240105, 20240112, 20240115, 1, 1, 1, D("100.00"), 3)]
+
+
+def test_rows_that_break_a_contract_are_not_published(spark, shop, store):
+    """Each kind of rule has its number; what was published before stays as it was."""
+    run_full_load(store, shop, DAY1, YEAR)
+    before = {name: rows(store.read(name)) for name in STAR if store.exists(name)}
+    extra = spark.createDataFrame([(40, "x" * 151, 1, 1, D("1.00"), 1, False)], shop["Products"].schema)
+    nameless = spark.createDataFrame([(4, None, "Four", "d@x", None, date(2023, 1, 1), "VIP", True)],
+                                     "CustomerID BIGINT, FirstName STRING, LastName STRING, Email STRING, Phone STRING, "
+                                     "SignupDate DATE, CustomerSegment STRING, IsActive BOOLEAN")
+    unsigned = nameless.withColumn("SignupDate", F.lit(None).cast("date"))
+    for changed, step, number, text in (
+            ({"Products": shop["Products"].unionByName(extra)}, "DimProduct", 2628, "DimProduct.ProductName length: 1"),
+            ({"Customers": shop["Customers"].unionByName(unsigned)}, "DimCustomer", 515,
+             "DimCustomer.SignupDate not null: 1"),
+            ({"Customers": shop["Customers"].unionByName(shop["Customers"])}, "DimCustomer", 8672, "more than one row")):
+        with pytest.raises(Exception):
+            run_full_load(store, {**shop, **changed}, DAY2, YEAR)
+        last = store.read("ErrorLog").orderBy(F.desc("ErrorLogID")).first()
+        assert last["ErrorProcedure"].endswith(step) and last["ErrorNumber"] == number and text in last["ErrorMessage"]
+        assert {name: rows(store.read(name)) for name in before if name != "FactInventorySnapshot"} == {
+            name: held for name, held in before.items() if name != "FactInventorySnapshot"}
+
+
+def test_gate_counts_keys_and_references(spark, shop, store):
+    run_full_load(store, shop, DAY1, YEAR)
+    places, sales = store.read("DimGeography"), store.read("FactSales").drop("SalesMonth")
+    parents = {name: store.read(name) for name in STAR}
+    twice = places.unionByName(places.withColumn("GeographyKey", F.col("GeographyKey") + 10))
+    with pytest.raises(checks.ContractBroken) as found:
+        checks.require_contract("DimGeography", STAR["DimGeography"], twice, parents)
+    assert found.value.counts == {"DimGeography.City,State,Country unique": 2} and found.value.number == 2627
+    with pytest.raises(checks.ContractBroken) as found:
+        checks.require_contract("FactSales", STAR["FactSales"], sales.withColumn("CustomerKey", F.lit(99).cast("long")),
+                                parents)
+    assert found.value.counts == {"FactSales.CustomerKey references DimCustomer": 1} and found.value.number == 547
+    checks.require_contract("FactSales", STAR["FactSales"], sales, parents)
+    empty, broken = checks.watched("FactSales", STAR["FactSales"], sales.where("false"))
+    empty.write.format("noop").mode("overwrite").save()
+    assert broken() == {}
+
+
+def test_closed_versions_are_never_written_again(spark, shop, store):
+    def load(segment, day):
+        rows_of = shop["Customers"].withColumn("CustomerSegment", F.when(F.col("CustomerID") == 1, segment).otherwise(
+            F.col("CustomerSegment")))
+        run_full_load(store, {**shop, "Customers": rows_of}, day, YEAR)
+
+    def closed_files():
+        return set(store.read("DimCustomer").where("NOT IsCurrent").select(F.col("_metadata.file_path")).distinct()
+                   .toPandas()["file_path"])
+    load("Standard", DAY1)
+    assert closed_files() == set()
+    load("VIP", DAY2)
+    first = closed_files()
+    load("Premium", datetime(2024, 8, 3))
+    assert len(first) == 1 and first < closed_files()
+    load("Premium", datetime(2024, 8, 4))
+    assert len(closed_files()) == 2
+    history = store.read("DimCustomer").where("CustomerID = 1").orderBy("CustomerKey").collect()
+    assert [(r["CustomerSegment"], r["EffectiveDate"], r["ExpiryDate"], r["IsCurrent"]) for r in history] == [
+        ("Standard", date(2024, 8, 1), date(2024, 8, 2), False), ("VIP", date(2024, 8, 2), date(2024, 8, 3), False),
+        ("Premium", date(2024, 8, 3), None, True)]
+    assert store.read("DimCustomer", "current").count() == 3
+
+
+def test_a_batch_is_stored_once_and_as_a_whole(spark, shop, store):
+    """A batch that dies before its entry is not seen; stored again, it is there once; a rewrite ends its parts."""
+    store.write("Orders", shop["Orders"], DAY1)
+    more = shop["Orders"].withColumn("OrderID", F.col("OrderID") + 10)
+    store.stage("Orders", more)
+    assert store.read("Orders").count() == 5
+    for turn in (True, False):
+        assert store.store_batch("b1", DAY1, {"Orders": more}, {"Inventory": shop["Inventory"]}) is turn
+    other = TableStore(spark, store.root)
+    assert other.read("Orders").count() == 10 and other.read("Inventory").count() == 3
+    assert not other.store_batch("b1", DAY2, {"Orders": more})
+    assert other.store_batch("b2", DAY2, {"Orders": more.withColumn("OrderID", F.col("OrderID") + 10)})
+    assert {r["OrderID"] for r in other.read("Orders").collect()} == {
+        *range(1, 6), *range(11, 16), *range(21, 26)}
+    other.write("Orders", other.read("Orders"), DAY2)
+    assert other.read("Orders").count() == 15 and other.content("Orders").parts == {}
+    assert not other.store_batch("b2", DAY2, {"Orders": more})

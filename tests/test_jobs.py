@@ -201,7 +201,7 @@ def test_inventory_update_is_all_or_nothing(spark, shop):
 
 def test_audit_text(spark, shop):
     got = audit_new_lines(shop["OrderDetails"].where("OrderDetailID = 1"), NOW).collect()[0]
-    assert tuple(got) == (1, "LINE_ADDED", "ProductID=10, Qty=2, LineTotal=180.0000", NOW)
+    assert tuple(got) == (1, 1, "LINE_ADDED", "ProductID=10, Qty=2, LineTotal=180.0000", NOW)
 
 
 def test_lifetime_value(spark, shop):

@@ -51,6 +51,7 @@ def test_sample_takes_first_rows_per_task(spark):
 
 @pytest.mark.parametrize("name", [
     "monthly_sales", "top_customers_by_region", "category_quarter_pivot", "segment_set_ops", "churn_gaps_all_pairs",
+    "churn_gap_counts", "customer_functions",
     "fact_returns_refunded", "rejected_lines", "order_history", "line_audit", "dim_customer_scd2"])
 def test_no_python_and_no_pairs_of_everything(spark, name):
     text = plan(QUERIES[name](spark, DATA))
