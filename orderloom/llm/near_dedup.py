@@ -10,6 +10,8 @@ what is linked is put into one component, and groups that hold one component onl
 groups that still hold several components are then looked at across those components, so that no link between
 components is lost, but not as all pairs: members whose set has too much to itself cannot be linked to any, and
 members far from the middle of their group can only be linked to one that shares some of what they have outside it.
+The others are compared with the smallest member of each size class of their group: two that are both linked to it are
+in one component, and if one of them is not, the two must share something that the smallest lacks.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from orderloom.llm.common import kept_rows, sized, text_key, whole_text
-from orderloom.llm.hashing import mixed, random_words, running_sums, stretch_hashes
+from orderloom.llm.hashing import mixed, polynomials, random_words
 from orderloom.session import materialize
 
 SHINGLE = 5
@@ -62,7 +64,7 @@ def _piece_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data = _LOWER[data]
     edge = np.diff(np.concatenate(([False], ~_SPACE[data], [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    return starts, stretch_hashes(running_sums(data), starts, ends)
+    return starts, polynomials(data, starts, ends)
 
 
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -299,19 +301,69 @@ def _with_leaders(groups: DataFrame, weights: DataFrame, turn: int) -> DataFrame
     return pairs.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
 
 
-def _across(groups: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): members of a group that are in different components and can be linked."""
-    a = groups.select("key", F.col("node").alias("a"), F.col("component").alias("of_a"), F.col("n").alias("n_a"),
-                      F.col("r").alias("r_a"))
-    b = groups.select("key", F.col("node").alias("b"), F.col("component").alias("of_b"), F.col("n").alias("n_b"),
-                      F.col("r").alias("r_b"))
-    able = _can_link(F.col("r_a"), F.col("r_b"), F.col("n_a"), F.col("n_b"), similarity)
-    pairs = a.alias("x").join(b.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("of_a") < F.col("of_b")) & able)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _class_centers(groups: DataFrame, similarity: float) -> DataFrame:
+    """(node, center, center_n): members of groups with the smallest members of their size class and of the one below.
+
+    Classes are so wide that sets similar enough are in one class or in neighbouring ones; of two of them, both are
+    compared with the smallest member of the smaller one's class.
+    """
+    which = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.01 / similarity))).cast("int")
+    classed = groups.select("key", "node", "n", which.alias("size_class"))
+    smallest = classed.groupBy("key", F.col("size_class").alias("of_class")).agg(
+        F.min(F.struct("n", "node")).alias("smallest"))
+    smallest = materialize(smallest, "class-centers")
+    asked = classed.select("key", "node", F.explode(F.array("size_class", F.col("size_class") - 1)).alias("of_class"))
+    return asked.join(smallest, ["key", "of_class"]).where(F.col("node") != F.col("smallest.node")).select(
+        "node", F.col("smallest.node").alias("center"), F.col("smallest.n").alias("center_n")).distinct()
+
+
+def _with_class_centers(groups: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): members of groups with their class centers, as one more round of leaders."""
+    return _class_centers(groups, similarity).select(
+        F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
+
+
+def _near_centers(near: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of members of a group that are in different components and may be linked, for members close to
+    the middle of their group; some pairs that are linked for sure come along.
+
+    Of two members that are similar enough, both are compared with the center of the smaller one's class, which is no
+    larger than either. If both are linked to it, they are in one component through it. One that is not linked to it
+    shares so little with it that it has something in common with the other outside the center: ``lacking`` shingles
+    at least, so one of them is among its rarest shingles outside, if ``lacking`` - 1 of them are left out. Shingles
+    that only members of one component have outside a center are of no use.
+    """
+    least = round(100 * similarity)
+    who = near.select("node", "component", "n", "r").distinct()
+    asked = materialize(_class_centers(near, similarity), "asked-centers")
+    compared = _from_centers(asked, sets).join(asked, ["node", "center"]).join(who, "node")
+    enough = F.lit(100 + least) * F.col("shared") >= least * (F.col("n") + F.col("center_n"))
+    lacking = F.ceil(least * (F.col("n") + F.col("center_n")) / (100 + least)) - F.col("shared")
+    compared = materialize(compared.select("node", "center", "component", "n", "r", "outside", enough.alias("linked"),
+                                           lacking.cast("long").alias("lacking")), "compared")
+    sure = compared.where("linked").select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
+    rows = compared.withColumn("shingle", F.explode("outside")).drop("outside")
+    useful = rows.groupBy("center", "shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("times"),
+        F.bool_and("linked").alias("all_linked")).where("low < high AND NOT all_linked")
+    rows = materialize(rows.join(materialize(useful.select("center", "shingle", "times"), "useful-shingles"),
+                                 ["center", "shingle"]), "outside-centers")
+    own = Window.partitionBy("center", "node")
+    rare = rows.where("NOT linked").withColumn("place", F.row_number().over(own.orderBy("times", "shingle"))).withColumn(
+        "size", F.count("*").over(own)).where(F.col("place") <= F.col("size") - F.col("lacking") + 1)
+    x = rare.select("center", "shingle", F.col("node").alias("x"), F.col("component").alias("of_x"),
+                    F.col("n").alias("n_x"), F.col("r").alias("r_x")).alias("l")
+    y = rows.select("center", "shingle", F.col("node").alias("y"), F.col("component").alias("of_y"),
+                    F.col("n").alias("n_y"), F.col("r").alias("r_y")).alias("o")
+    met = x.join(y, (F.col("l.center") == F.col("o.center")) & (F.col("l.shingle") == F.col("o.shingle"))
+                 & (F.col("of_x") != F.col("of_y"))
+                 & _can_link(F.col("r_x"), F.col("r_y"), F.col("n_x"), F.col("n_y"), similarity))
+    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return pairs.unionByName(sure).distinct()
 
 
 def _from_centers(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, shared, outside) for (node, center): how much the two sets share, and what only the node's has."""
+    """(node, center, shared, outside) for (node, center): how much the two sets share, and what only the node's has."""
     own = sets.select(F.col("node").alias("own"), "shingles")
     middle = sets.select(F.col("node").alias("center"), F.col("shingles").alias("middle"))
 
@@ -319,16 +371,16 @@ def _from_centers(nodes: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             shared, outside = [], []
             for i in range(batch.num_rows):
-                x, c = (np.frombuffer(batch.column(k)[i].as_buffer(), np.uint64) for k in (1, 2))
+                x, c = (np.frombuffer(batch.column(k)[i].as_buffer(), np.uint64) for k in (2, 3))
                 rest = np.setdiff1d(x, c, assume_unique=True)
                 shared.append(len(x) - len(rest))
                 outside.append(rest.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(shared, pa.int64()), pa.array(outside, pa.list_(pa.int64()))],
-                ["node", "shared", "outside"])
+                [batch.column(0), batch.column(1), pa.array(shared, pa.int64()),
+                 pa.array(outside, pa.list_(pa.int64()))], ["node", "center", "shared", "outside"])
     joined = nodes.select("node", "center").join(own, F.col("node") == F.col("own")).join(middle, "center")
-    return joined.select("node", "shingles", "middle").mapInArrow(
-        run, "node bigint, shared bigint, outside array<bigint>")
+    return joined.select("node", "center", "shingles", "middle").mapInArrow(
+        run, "node bigint, center bigint, shared bigint, outside array<bigint>")
 
 
 def _left_over(groups: DataFrame, weights: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -336,7 +388,7 @@ def _left_over(groups: DataFrame, weights: DataFrame, sets: DataFrame, similarit
 
     A node that shares too little with its group's center for a link to any member has to share the rest with that
     member outside the center. Such links are looked up by the shingles outside, the rarest first and only as many as
-    one of them has to be among; the other nodes of a group, close to its center, are paired directly.
+    one of them has to be among; the other nodes of a group, close to its center, by ``_near_centers``.
     """
     least = round(100 * similarity)
     heavy = groups.join(weights, "node")
@@ -346,11 +398,11 @@ def _left_over(groups: DataFrame, weights: DataFrame, sets: DataFrame, similarit
     nodes = materialize(groups.join(lead, "key").groupBy("node", "component", "n", "r").agg(
         F.min(F.when(F.col("lead.node") != F.col("node"), F.col("lead")))["node"].alias("center"),
         F.min("least_n").alias("least_n")), "left-over")
-    compared = _from_centers(nodes.where("center IS NOT NULL"), sets)
+    compared = _from_centers(nodes.where("center IS NOT NULL"), sets).drop("center")
     lacking = F.ceil(least * (F.col("n") + F.col("least_n")) / (100 + least)) - F.col("shared")
     far = materialize(compared.join(nodes, "node").withColumn("lacking", lacking).where("lacking >= 1").select(
         "node", "component", "n", "r", "outside", "lacking"), "far")
-    near = groups.join(far.select("node"), "node", "left_anti")
+    near = materialize(groups.join(far.select("node"), "node", "left_anti"), "near")
     rows = materialize(_shingle_rows(sets.join(nodes.select("node"), "node", "left_semi")), "left-over-shingles")
     outside = far.withColumn("size", F.size("outside")).select(
         F.col("node").alias("x"), F.col("component").alias("of_x"), F.col("n").alias("n_x"), F.col("r").alias("r_x"),
@@ -366,11 +418,11 @@ def _left_over(groups: DataFrame, weights: DataFrame, sets: DataFrame, similarit
             (F.col("of_x") != F.col("of_y"))
             & _can_link(F.col("r_x"), F.col("r_y"), F.col("n_x"), F.col("n_y"), similarity))
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return pairs.unionByName(_across(near, similarity)).distinct()
+    return pairs.unionByName(_near_centers(near, sets, similarity)).distinct()
 
 
 def _linked(docs: DataFrame, size: int, similarity: float, bands: int, width: int) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id, kept."""
+    """doc_id, text_key, n_shingles, component_id, kept, survivor."""
     texts = docs.select("doc_id", text_key().alias("text_key"), whole_text().alias("text"))
     rows = materialize(_signatures(texts, size, bands, width).withColumn("row", F.monotonically_increasing_id()),
                        "signatures")
@@ -389,7 +441,7 @@ def _linked(docs: DataFrame, size: int, similarity: float, bands: int, width: in
     links, labels = None, None
     facts = wanted.select("node", "n", F.col("n").alias("r"))
     weights = materialize(tables.groupBy("node").agg(F.count("*").alias("weight")), "weights")
-    for turn in range(ROUNDS + 1):
+    for turn in range(ROUNDS + 2):
         groups = _split_groups(tables, labels)
         if turn == 1:
             alone = materialize(_shared_parts(groups.select("node").distinct(), sets), "alone")
@@ -401,8 +453,12 @@ def _linked(docs: DataFrame, size: int, similarity: float, bands: int, width: in
                 break
         elif ROUNDS == 0:
             groups = groups.join(facts, "node")
-        pairs = _with_leaders(groups, weights, turn) if turn < ROUNDS else _left_over(
-            groups, weights, sets, similarity)
+        if turn < ROUNDS:
+            pairs = _with_leaders(groups, weights, turn)
+        elif turn == ROUNDS:
+            pairs = _with_class_centers(groups, similarity)
+        else:
+            pairs = _left_over(groups, weights, sets, similarity)
         new = materialize(_confirmed(_fitting(pairs, facts, similarity), sets, similarity), "links")
         if turn and new.isEmpty():
             continue
@@ -419,17 +475,18 @@ def _linked(docs: DataFrame, size: int, similarity: float, bands: int, width: in
             F.col("best.row").alias("best_row")), "best")
     return described.join(best, F.col("component") == F.col("of")).select(
         "doc_id", "text_key", F.col("n").alias("n_shingles"), "component_id",
-        (F.col("row") == F.col("best_row")).alias("kept"))
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        (F.col("row") == F.col("best_row")).alias("survivor"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS,
                     width: int = WIDTH) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept, survivor.
 
     Words are what stands between ASCII white space, with A-Z in lower case. A document's set has its distinct runs
     of ``size`` words, or the whole sequence as one if there are fewer; documents are linked if their sets share at
     least ``similarity`` (in whole hundredths) of their union. component_id is the smallest doc_id that can be
-    reached over links, and the row that has it is kept; of rows that share it, one. Null, empty and blank texts have
+    reached over links, and rows that have it are kept; exactly one of them is the component's survivor. Null, empty and blank texts have
     an empty set and are linked with nothing. A null doc_id names a component only if there is no other. Rows that
     repeat are linked; an empty table gives no rows; other columns are not looked at.
     """
@@ -438,6 +495,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
 
 def without_near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS,
                             width: int = WIDTH) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
+    """The survivor of each group of ``docs`` that ``near_duplicates`` finds, with all its columns.
+
+    Documents without words (null, empty or blank texts) are groups of their own and stay. Of rows that share the
+    smallest doc_id of a group one stays. Long texts are compared as a whole. An empty table gives an empty one, and
+    columns of any name are handed on as they are.
+    """
     decided = _linked(docs, size, similarity, bands, width)
-    return kept_rows(docs, decided.select("doc_id", "text_key", "kept"))
+    return kept_rows(docs, decided.select("doc_id", "text_key", F.col("survivor").alias("kept")))

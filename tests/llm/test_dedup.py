@@ -5,10 +5,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, near_dedup, suffix_dedup
+from orderloom.llm import exact_dedup, hashing, near_dedup, suffix_dedup
 
 
 def brute_groups(rows):
@@ -127,11 +128,65 @@ def test_near_duplicates_with_leaders_alone_or_pairs_alone(docs, monkeypatch):
 def test_near_duplicates_of_rows_that_repeat_and_rows_without_id(docs):
     text = "one two three four five six seven eight nine ten"
     kept = near_dedup.near_duplicates(docs((4, text), (4, text), (None, text), (9, "other words"), (None, None)))
-    assert sorted(map(repr, ((r.doc_id, r.component_id, r.kept) for r in kept.collect()))) == sorted(map(repr, [
-        (4, 4, True), (4, 4, False), (None, 4, False), (9, 9, True), (None, None, True)]))
+    assert sorted(map(repr, ((r.doc_id, r.component_id, r.kept, r.survivor) for r in kept.collect()))) == sorted(map(
+        repr, [(4, 4, True, True), (4, 4, True, False), (None, 4, False, False), (9, 9, True, True),
+               (None, None, True, True)]))
     assert near_dedup.without_near_duplicates(docs((4, text), (4, text), (5, text + " eleven"))).count() == 1
 
 
+def thue_morse(n):
+    """Two strings of n letters that sums modulo a power of two cannot tell apart."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_sums_modulo_a_power_of_two_confuse(docs):
+    one, other = thue_morse(4096)
+    found = near_dedup.near_duplicates(docs((1, f"{one} x"), (2, f"{other} x"), (3, one), (4, other), (5, one)))
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 3)]
+
+
+def test_polynomials_are_those_of_plain_numbers():
+    rng, prime = random.Random(4), 2 ** 61 - 1
+    data = bytes(rng.randrange(256) for _ in range(3000))
+    places = sorted((rng.randrange(3000), rng.randrange(3001)) for _ in range(200))
+    places = [(min(a, b), max(a, b)) for a, b in places]
+    found = hashing.polynomials(np.frombuffer(data, np.uint8), *(np.array(x) for x in zip(*places)))
+    for (a, b), value in zip(places, found):
+        plain = sum((c + 1) * pow(hashing._BASE, i, prime) for i, c in enumerate(data[a:b])) % prime
+        length = np.uint64((b - a) * 0xD6E8FEB86659FD93 % 2 ** 64)
+        with np.errstate(over="ignore"):
+            assert value == hashing.mixed(np.array([plain], np.uint64) + length)[0]
+
+
+def family_corpus(seed):
+    """Families of near copies around centers that resemble each other just too little, in several sizes, so that many
+    members are close to the middle of a group that holds several components."""
+    rng = random.Random(seed)
+
+    def changed(words, n):
+        words = list(words)
+        for _ in range(n):
+            words[rng.randrange(len(words))] = f"n{rng.randrange(10 ** 9)}"
+        return words
+    base, texts = [f"w{rng.randrange(10 ** 6)}" for _ in range(140)], []
+    for turn in range(5):
+        center = changed(base, 6 + turn) + [f"t{turn}-{i}" for i in range(rng.choice((0, 10, 25)))]
+        for _ in range(14):
+            texts.append(" ".join(changed(center, rng.randrange(7))[:rng.choice((120, 135, 200))]))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_near_duplicates_of_families_that_touch(docs, monkeypatch, rounds):
+    monkeypatch.setattr(near_dedup, "ROUNDS", rounds)
+    for seed in (1, 2):
+        rows = family_corpus(seed)
+        found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs(*rows), 2).collect()}
+        assert found == brute_components(rows, 2)
+
+
 def brute_passages(rows, length, keep_first):
     seen = collections.defaultdict(list)
     for n, (doc_id, text) in enumerate(rows):
