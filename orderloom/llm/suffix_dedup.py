@@ -1,15 +1,17 @@
-"""Repeated passages by suffix arrays of truncated suffixes.
+"""Repeated passages by longest previous factors, from suffix arrays of truncated suffixes.
 
 A window is a string of ``length`` bytes. Equal windows have equal smallest hashes among the short strings inside
 them, so that hash deals the windows out: neighbouring windows with the same one form a segment, and windows can be
 equal only if their segments have the same hash. A hash seen in one place only has nothing to compare. Of the others, equal
 segments are counted as one, and the different ones are brought together, a few megabytes at a time, into one suffix
-array. It sorts places by their first ``length`` bytes only, and equal windows get equal ranks. How long the longest
-previous factor of a place is does not matter, only whether it reaches ``length``: it does unless the place is the
-smallest of its rank. So no array of factors and no previous or next smaller positions are worked out.
+array. It sorts places by their first ``length`` bytes, and tells for neighbours in that order how much they have in
+common, in the steps of the sorting. For each place the previous and the next smaller position in suffix order give its
+longest earlier matches: what is in common on the way there is the length of the factor. They are followed only as long
+as that is ``length``; a factor that is shorter does not count, however long it is. Places with a factor are later
+copies; places that are the previous or next smaller position of a later copy are its earlier match.
 
 A hash that very many different segments share, as at the edges of a passage quoted everywhere, is not brought
-together: its windows are compared one by one, dealt out by the hash of the whole window.
+together: its windows are compared one by one, dealt out by a digest of the whole window.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from orderloom.llm.common import sized, whole_text
-from orderloom.llm.hashing import mixed, random_words, running_sums, stretch_hashes
+from orderloom.llm.hashing import running_sums, stretch_hashes
 from orderloom.session import materialize
 
 LENGTH = 400
@@ -34,7 +36,6 @@ _RUN, _PIECE = 4096, 1 << 20
 # Bytes of one suffix array, and of different segments with one hash that may go into one.
 ARRAY_BYTES, SHARED_BYTES = 2 << 20, 1 << 20
 _BATCH_BYTES = 4 << 20
-_SECOND = random_words(41, 1)[0] | np.uint64(1)
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -120,9 +121,10 @@ def _changes(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def suffix_order(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """All places in the order of the strings that start there, by their first ``length`` bytes, and each place's
-    rank, equal for equal strings.
+def suffix_order(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All places in the order of the strings that start there, by their first ``length`` bytes; each place's rank,
+    equal for equal strings; and for each place in that order how many bytes it has in common with the one before, as
+    far as the sorting has compared them: 0, 7, 14, 28 and so on, or ``length``.
 
     A rank is how many strings come before, by the bytes covered so far. Strings that are still equal are told apart
     by the ranks of what follows, which doubles the bytes covered; those already alone keep their rank.
@@ -135,37 +137,73 @@ def suffix_order(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]
     for i in range(covered):  # 9 bits each
         key = (key << np.uint64(9)) | padded[i:i + n]
     rank, active = np.zeros(n, np.int64), np.arange(n)
+    common, known = np.full(n, length, np.int32), 0  # for each rank, with the string before
+    common[:1] = 0
     while len(active):
         order = np.argsort(key)
         at, new = active[order], _changes(key[order])
-        held = rank[at]
-        rank[at] = held + _first(new) - _first(_changes(held))
+        held, apart = rank[at], _changes(rank[at])
+        rank[at] = held + _first(new) - _first(apart)
+        common[rank[at[new & ~apart]]] = known
         active = at[~(new & np.append(new[1:], True))]
+        known = covered
         if covered >= length:
             break
         step = min(covered, length - covered)
         behind = np.where(active + step < n, rank[np.minimum(active + step, n - 1)] + 1, 0)
         key = rank[active] * (n + 1) + behind
         covered += step
-    return np.argsort(rank, kind="stable"), rank
+    order = np.argsort(rank, kind="stable")
+    first = _changes(rank[order])
+    return order, rank, np.where(first, common[rank[order]], length)
+
+
+def smaller_positions(position: np.ndarray, common: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place in suffix order the last place before it with a smaller position, and how much the two have in
+    common; -1 where that is less than ``length``.
+
+    ``common`` is what each place has in common with the one before. A place looks at the one before; if its position
+    is larger, at the one that this one has found so far, which skips places with larger positions only, and so on;
+    each step takes the lesser of what is in common.
+    """
+    previous, held = np.arange(len(position)) - 1, common.astype(np.int64)
+    active = np.arange(1, len(position))
+    if len(position):
+        held[0] = 0
+    while len(active):
+        active = active[held[active] >= length]
+        active = active[position[previous[active]] > position[active]]
+        via = previous[active]
+        held[active] = np.minimum(held[active], held[via])
+        previous[active] = previous[via]
+    return np.where(held >= length, previous, -1), held
 
 
 def longest_factors(data: np.ndarray, position: np.ndarray, counts: np.ndarray,
                     length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each place that counts, whether a string of ``length`` bytes that starts there also starts at a smaller
-    position, and whether it starts at a larger one.
-
-    Places that share so long a prefix have equal ranks and stand together in suffix order, here from the smallest
-    position on. All of a stretch but the first have an earlier match, all but the last a later one.
+    """For each place of the bytes the length of its longest previous factor, the longest string there that also
+    starts at a smaller position, if that is ``length``, which is as far as strings are compared, and 0 otherwise; and
+    whether it is the smaller position of another place with such a factor. Only places that count take part.
     """
-    order, rank = suffix_order(data, length)
-    order = order[counts[order]]
-    order = order[np.lexsort((position[order], rank[order]))]  # each stretch from its smallest position
-    stretch = rank[order]
-    new = np.concatenate(([True], stretch[1:] != stretch[:-1]))[:len(order)]
-    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
-    before[order], after[order] = ~new, ~np.concatenate((new[1:], [True]))[:len(order)]
-    return before, after
+    order, rank, common = suffix_order(data, length)
+    order = order[np.lexsort((position[order], rank[order]))]  # equal as far as compared: the smallest first
+    kept = np.flatnonzero(counts[order])
+    if not len(kept):
+        return np.zeros(len(data), np.int64), np.zeros(len(data), bool)
+    # Between places that count, those in between must have as much in common.
+    starts = np.concatenate(([0], kept[:-1] + 1))
+    common = np.minimum.reduceat(common, starts)[:len(kept)]
+    order = order[kept]
+    at = position[order]
+    before, shared = smaller_positions(at, common, length)
+    after, shared_after = smaller_positions(at[::-1], np.append(0, common[1:][::-1]), length)
+    after = np.where(after >= 0, len(order) - 1 - after, -1)[::-1]
+    factor = np.maximum(np.where(before >= 0, shared, 0), np.where(after >= 0, shared_after[::-1], 0))
+    factors, matched = np.zeros(len(data), np.int64), np.zeros(len(data), bool)
+    factors[order] = factor
+    for found in (before, after):
+        matched[order[found[found >= 0]]] = True
+    return factors, matched
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,11 +238,11 @@ def _by_arrays(contents: DataFrame, length: int, arrays: int) -> DataFrame:
             np.arange(len(data)))
         # Only windows that lie inside their segment count.
         inside = np.concatenate([np.arange(size) < n for size, n in zip(sizes, part["n"])])
-        before, after = longest_factors(data, position, inside, length)
+        factors, matched = longest_factors(data, position, inside, length)
+        later = factors >= length
         out = []
         for anchor, digest, n, at in zip(part["anchor"], part["digest"], part["n"], first_at):
-            b, a = before[at:at + n], after[at:at + n]
-            out += _marks(anchor, digest, a | b, ~b)
+            out += _marks(anchor, digest, later[at:at + n] | matched[at:at + n], ~later[at:at + n])
         return pd.DataFrame(out, columns=names)
     return contents.withColumn("array", F.pmod(F.xxhash64("anchor"), F.lit(arrays))).groupBy("array").applyInPandas(
         run, _MARK)
@@ -212,31 +250,28 @@ def _by_arrays(contents: DataFrame, length: int, arrays: int) -> DataFrame:
 
 def _by_windows(contents: DataFrame, length: int) -> DataFrame:
     """Marks of segments whose windows are compared one by one."""
-    names = ["one", "two", "anchor", "digest", "at", "least_null", "least_id", "least_tid", "place"]
+    names = ["window", "anchor", "digest", "at", "least_null", "least_id", "least_tid", "place"]
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 anchor, digest, n, content, null, least, tid, start = (c[i].as_py() for c in batch.columns)
-                data = np.frombuffer(content, np.uint8)
                 at = np.arange(n)
-                one = stretch_hashes(running_sums(data), at, at + length)
-                two = stretch_hashes(running_sums(data ^ np.uint8(0x5A)), at, at + length) * _SECOND
+                found = [hashlib.blake2b(content[k:k + length], digest_size=16).digest() for k in range(n)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(one.view(np.int64)), pa.array(mixed(two).view(np.int64)),
-                     pa.array(np.full(n, anchor, np.int64)), pa.array([digest] * n, pa.binary()),
-                     pa.array(at.astype(np.int32)), pa.array([null] * n, pa.int32()),
-                     pa.array([least] * n, pa.int64()), pa.array([tid] * n, pa.binary()),
-                     pa.array(at + start)], names)
+                    [pa.array(found, pa.binary()), pa.array(np.full(n, anchor, np.int64)),
+                     pa.array([digest] * n, pa.binary()), pa.array(at.astype(np.int32)),
+                     pa.array([null] * n, pa.int32()), pa.array([least] * n, pa.int64()),
+                     pa.array([tid] * n, pa.binary()), pa.array(at + start)], names)
     rows = contents.select("anchor", "digest", "n", "content", "least_null", "least_id", "least_tid",
                            "least_start").mapInArrow(
-        windows, "one bigint, two bigint, anchor bigint, digest binary, at int, least_null int, least_id bigint, "
+        windows, "window binary, anchor bigint, digest binary, at int, least_null int, least_id bigint, "
                  "least_tid binary, place bigint")
     rows = materialize(rows, "windows")
     order = F.struct("least_null", "least_id", "least_tid", "place", "digest", "at")
-    shared = materialize(rows.groupBy("one", "two").agg(F.count("*").alias("found"), F.min(order).alias("least")).where(
+    shared = materialize(rows.groupBy("window").agg(F.count("*").alias("found"), F.min(order).alias("least")).where(
         "found > 1"), "shared-windows")
-    found = rows.join(shared, ["one", "two"]).select("anchor", "digest", "at", (order == F.col("least")).alias("first"))
+    found = rows.join(shared, "window").select("anchor", "digest", "at", (order == F.col("least")).alias("first"))
 
     def mark(part: pd.DataFrame) -> pd.DataFrame:
         n = int(part["at"].max()) + 1
@@ -392,4 +427,4 @@ def passage_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
     return repeated_passages(docs, length, keep_first=False).select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
-        "kept_sha256")
+        "kept_sha256", (F.size("spans") > 0).alias("repeated"))

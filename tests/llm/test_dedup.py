@@ -243,9 +243,39 @@ def test_passages_of_rows_that_repeat_and_rows_without_id(docs):
 
 def test_suffix_order_is_the_order_of_the_strings():
     rng = random.Random(1)
-    import numpy as np
     data = bytes(rng.choice(b"ab") for _ in range(300))
-    order, rank = suffix_dedup.suffix_order(np.frombuffer(data, np.uint8), 50)
+    order, rank, common = suffix_dedup.suffix_order(np.frombuffer(data, np.uint8), 50)
     heads = [data[i:i + 50] for i in range(300)]
     assert [heads[i] for i in order] == sorted(heads)
     assert all((rank[i] == rank[j]) == (heads[i] == heads[j]) for i in range(300) for j in range(300))
+    for k in range(1, 300):
+        a, b = heads[order[k - 1]], heads[order[k]]
+        shared = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert common[k] in (0, 7, 14, 28, 50) and (common[k] == 50) == (a == b)
+        assert common[k] <= shared or common[k] == 50 and a == b
+
+
+def test_factors_and_smaller_positions_equal_brute_force():
+    """Longest previous factors of strings cut at a length, positions in any order, some places left out."""
+    rng = random.Random(6)
+    for length in (7, 12, 40):
+        data = b"".join(bytes(rng.choice(b"ab") for _ in range(9)) * rng.randrange(1, 9) for _ in range(12))
+        n = len(data)
+        position = np.array(rng.sample(range(5 * n), n))
+        counts = np.array([i + length <= n and rng.random() < 0.9 for i in range(n)])
+        factors, matched = suffix_dedup.longest_factors(np.frombuffer(data, np.uint8), position, counts, length)
+        for i in range(n):
+            same = [j for j in range(n) if j != i and counts[i] and counts[j] and data[j:j + length] == data[i:i + length]]
+            earlier = [j for j in same if position[j] < position[i]]
+            assert factors[i] == (length if earlier else 0)
+            if not earlier:
+                assert matched[i] == bool(same)
+        # Previous smaller positions by looking back one by one.
+        common = np.array([rng.choice((3, length, length, length)) for _ in range(n)])
+        found, _ = suffix_dedup.smaller_positions(position, common, length)
+        for i in range(n):
+            j = i - 1
+            while j >= 0 and position[j] > position[i]:
+                j -= 1
+            whole = j >= 0 and min(common[j + 1:i + 1]) >= length
+            assert found[i] == (j if whole else -1)
