@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from orderloom.operators.skew import fits_broadcast
 from orderloom.session import materialize
 
 # ASCII white space as the operators understand it; all else belongs to words.
 WORD = r"[^\x20\x09-\x0D]+"
-# Up to so many rows of two BIGINT columns (some 16 MB) are sent to every executor; beyond, both sides are shuffled.
-BROADCAST_ROWS = 1_000_000
+# Tables up to this size, by the width of their columns, are sent to every executor; beyond, both sides are shuffled.
+BROADCAST_BYTES = 16 << 20
 
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -33,12 +34,13 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
     return names
 
 
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if its counted rows are few enough, and unchanged otherwise.
+def sized(df: DataFrame, size: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast if its counted rows have at most ``size`` bytes, and unchanged otherwise.
 
-    ``df`` must be a table already written, so that the count reads no column, and narrow.
+    ``df`` must be a table already written, so that the count reads no column, with numbers, digests and other short
+    columns only.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    return F.broadcast(df) if fits_broadcast(df, BROADCAST_BYTES if size is None else size) else df
 
 
 def text_key(column: str = "text") -> Column:
@@ -48,7 +50,8 @@ def text_key(column: str = "text") -> Column:
 def kept_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``decided`` (doc_id, text_key, kept) keeps, with all their columns.
 
-    Rows are told apart by doc_id and text. Where several rows share both and some are kept, one of them stays.
+    Rows are told apart by doc_id and text. Where several rows share both and some are kept, one of them stays; if they
+    differ in other columns, that is the first by the text form of the whole row.
     """
     verdicts = materialize(decided.groupBy("doc_id", "text_key").agg(
         F.max("kept").alias("kept"), F.min("kept").alias("all_kept")), "verdicts")
@@ -58,5 +61,8 @@ def kept_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
     kept = docs.withColumn(key, text_key()).join(
         sized(gone), F.col("doc_id").eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key)), "left_anti")
     if not verdicts.where("kept AND NOT all_kept").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", key])
+        first, = fresh(kept, "first_row")
+        kept = kept.groupBy("doc_id", key).agg(F.min_by(F.struct(*docs.columns), F.to_json(F.struct(
+            *docs.columns))).alias(first)).select(f"{first}.*")
+        return kept
     return kept.drop(key)

@@ -26,7 +26,7 @@ from orderloom.llm.common import whole_text
 
 SPACE = "▁"
 # Characters of text that share a list of units.
-BLOCK_CHARS = 12 << 20
+BLOCK_CHARS = 4 << 20
 # Partitions (as bits) whose places of a unit are listed together.
 _SHARD_BITS = 14
 # Units of more characters than a fold has bits for are encoded one by one.

@@ -6,6 +6,9 @@ any query of a query block is not paired with it at all. Within a pair, the scor
 lengths, is the cosine a query needs here: if none can have it, the query skips the block; if it is low, only the
 lengths are compared; if it is high, the vector's largest coordinates must lie in a narrow range around the query's,
 and only what passes is multiplied. All products are of whole numbers and exact.
+
+Queries are taken out of the blocks and packed again, thousands of one bucket together, so that a block of vectors is
+moved once for so many queries. Each knows the place it was taken from, which is what it is not compared with.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ _FOCUS = 3
 # Lengths in one bucket differ by this factor at most.
 _STEP = 1.25
 _ZERO = -10_000
+# Queries in one block, about.
+QUERY_ROWS = 4096
 _BLOCK_SCHEMA = ("block bigint, bucket int, n int, dim int, most double, ids binary, norms binary, wide boolean, "
                  "data binary")
 
@@ -82,16 +87,73 @@ def _blocks(vectors: DataFrame, label: str) -> DataFrame:
     return materialize(vectors.mapInArrow(pack, _BLOCK_SCHEMA), label)
 
 
+_QUERY_NAMES = ["block", "bucket", "n", "dim", "most", "ids", "norms", "wide", "data", "origins"]
+_QUERY_SCHEMA = _BLOCK_SCHEMA + ", origins binary"
+_QUERY_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.binary(), pa.binary(), pa.bool_(),
+                pa.binary(), pa.binary()]
+
+
+def _query_row(block: int, bucket: int, ids: np.ndarray, norms: np.ndarray, rows: np.ndarray, wide: bool,
+               origins: np.ndarray) -> list:
+    """A block of queries in the order of falling lengths."""
+    order = np.argsort(-norms, kind="stable")
+    data = rows[order].astype(np.int64 if wide else np.int32)
+    return [block, bucket, len(ids), rows.shape[1], float(norms.max(initial=0)), ids[order].tobytes(),
+            norms[order].tobytes(), wide, data.tobytes(), origins[order].tobytes()]
+
+
+def _query_blocks(blocks: DataFrame, every: int) -> DataFrame:
+    """The vectors of the blocks whose id is divisible by ``every``, as blocks of ``QUERY_ROWS`` of one bucket, about;
+    "origins" has the block and the place in it that each was taken from."""
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                held = _Block(row)
+                at = np.flatnonzero(held.ids % every == 0)
+                if len(at):
+                    origins = np.stack([np.full(len(at), row["block"], np.int64), at], 1)
+                    values = _query_row(row["block"], row["bucket"], held.ids[at], held.norms[at], held.rows[at],
+                                        row["wide"], origins)
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _QUERY_TYPES)],
+                                                     _QUERY_NAMES)
+    pieces = materialize(blocks.mapInArrow(take, _QUERY_SCHEMA), "query-pieces")
+    counts = pieces.groupBy("bucket").agg(F.sum("n").alias("total")).select(
+        F.col("bucket").alias("of"), F.ceil(F.col("total") / QUERY_ROWS).alias("slots"))
+    # A row for each bucket, a few hundred at most by their step.
+    dealt = pieces.join(F.broadcast(counts), F.col("bucket") == F.col("of")).withColumn(
+        "slot", F.pmod(F.xxhash64("block"), F.col("slots")))
+
+    def pack(key: tuple, part: pa.Table) -> pa.Table:
+        held = [(_Block(row), np.frombuffer(row["origins"], np.int64).reshape(-1, 2), row["wide"])
+                for row in part.to_pylist()]
+        dim = max(b.rows.shape[1] for b, _, _ in held)
+        rows = np.concatenate([np.pad(b.rows.astype(np.int64), ((0, 0), (0, dim - b.rows.shape[1])))
+                               for b, _, _ in held])
+        values = _query_row(min(part.column("block").to_pylist()), key[0].as_py(),
+                            np.concatenate([b.ids for b, _, _ in held]), np.concatenate([b.norms for b, _, _ in held]),
+                            rows, any(w for _, _, w in held), np.concatenate([o for _, o, _ in held]))
+        return pa.table({n: pa.array([v], t) for n, v, t in zip(_QUERY_NAMES, values, _QUERY_TYPES)})
+    packed = dealt.select("slot", *_QUERY_NAMES).groupBy("bucket", "slot").applyInArrow(pack, _QUERY_SCHEMA)
+    return materialize(packed, "query-blocks")
+
+
 class _Block:
-    """A block as arrays: ids, norms (falling) and rows of whole numbers."""
+    """A block as arrays: ids, norms (falling) and rows of whole numbers; for queries also where they come from."""
 
     def __init__(self, row: dict):
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.norms = np.frombuffer(row["norms"], np.float64)
         self.rows = np.frombuffer(row["data"], np.int64 if row["wide"] else np.int32).reshape(row["n"], row["dim"])
         self.most = float(row["most"])
+        self.number = row.get("block")
+        self.origins = np.frombuffer(row["origins"], np.int64).reshape(-1, 2) if row.get("origins") else None
         self.sorted: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
+    def own_place(self, query: int, block: "_Block") -> int:
+        """The place of a query in the block it comes from, -1 in others."""
+        origin, place = self.origins[query]
+        return int(place) if origin == block.number else -1
+
     def within(self, coordinate: int, low: float, high: float) -> np.ndarray:
         """The rows whose coordinate, over their length, lies in a range."""
         if coordinate not in self.sorted:
@@ -118,10 +180,10 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(exact, -2 ** 63, 2 ** 63 - 1).astype(np.int64)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-    """The k best (score, id), equal scores by smaller id, without the query's own id."""
-    other = ids != own
-    scores, ids = scores[other], ids[other]
+def _best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray | int, k: int) -> list[tuple[int, int]]:
+    """The k best (score, id), equal scores by smaller id, without the query's own place, if any (-1 for none)."""
+    if own >= 0:
+        scores, ids = np.delete(scores, own), np.delete(ids, own)
     if len(scores) > k:
         least = np.partition(scores, len(scores) - k)[len(scores) - k]
         reach = scores >= least
@@ -154,15 +216,17 @@ def _search(queries: _Block, block: _Block, reached: np.ndarray, k: int) -> list
             high = 1.0 if share[c] > cosine else middle + spread
             these = block.within(int(c), low, high)
             keep = these if keep is None else keep[np.isin(keep, these, assume_unique=True)]
+        keep = keep[keep != queries.own_place(q, block)]
         if len(keep):
             scores = _products(queries.rows[q:q + 1], block.rows[keep])[0]
-            found += [(q, i, s) for s, i in _best(scores, block.ids[keep], int(queries.ids[q]), k)]
+            found += [(q, i, s) for s, i in _best(scores, block.ids[keep], -1, k)]
     for first in range(0, len(plain), 256):
         some = plain[first:first + 256]
         reach = max(n for _, n in some)
         scores = _products(queries.rows[[q for q, _ in some]], block.rows[:reach])
         for line, (q, n) in zip(scores, some):
-            found += [(q, i, s) for s, i in _best(line[:n], block.ids[:n], int(queries.ids[q]), k)]
+            own = queries.own_place(q, block)
+            found += [(q, i, s) for s, i in _best(line[:n], block.ids[:n], own if own < n else -1, k)]
     return found
 
 
@@ -182,7 +246,7 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, scale: int = SC
     """Each query's k highest scores: query_id, rank (from 1), vec_id, score.
 
     Queries are the rows of ``embeddings`` (vec_id, embedding) whose vec_id is divisible by ``every``; candidates
-    are all rows with another vec_id. A score is the inner product of the components times ``scale``, rounded down;
+    are all rows but the query's own. A score is the inner product of the components times ``scale``, rounded down;
     equal scores go by smaller vec_id. Vectors that are null or hold null or non-finite components take no part, nor
     do rows without vec_id. Shorter vectors count as filled with zeros, an empty one as all zeros. Rows that repeat
     are candidates each, and a query that repeats is answered each time. Scores beyond 64 bits are clipped. An empty
@@ -191,7 +255,7 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, scale: int = SC
     spark = embeddings.sparkSession
     vectors = quantized(embeddings, scale)
     blocks = _blocks(vectors, "vector-blocks")
-    queries = _blocks(vectors.where(F.col("vec_id") % every == 0), "query-blocks")
+    queries = _query_blocks(blocks, every)
     seed = blocks.orderBy(F.desc("most"), F.desc("n"), "block").limit(1).collect()  # one block, bounded by a batch
     first = spark.sparkContext.broadcast(seed[0].asDict() if seed else None)
 
@@ -217,7 +281,7 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, scale: int = SC
     places = blocks.select("block", "bucket", "most")
     pairs = pairs.join(places, "bucket").where("most >= needed").select("query", "block")
     asked = queries.join(looked, queries["block"] == looked["query"]).select(
-        "query", *[F.col(c).alias(f"q_{c}") for c in ("n", "dim", "most", "ids", "norms", "wide", "data")], "reached")
+        "query", *[F.col(c).alias(f"q_{c}") for c in ("n", "dim", "most", "ids", "norms", "wide", "data", "origins")], "reached")
     work = pairs.join(asked, "query").join(blocks, "block")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,8 +296,8 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, scale: int = SC
                         [pa.array([row["query"]] * len(at), pa.int64()), pa.array(at, pa.int32()),
                          pa.array(own.ids[list(at)], pa.int64()), pa.array(ids, pa.int64()),
                          pa.array(scores, pa.int64())], ["query", "at", "query_id", "vec_id", "score"])
-    columns = ["query", *[f"q_{c}" for c in ("n", "dim", "most", "ids", "norms", "wide", "data")], "reached", "n",
-               "dim", "most", "ids", "norms", "wide", "data"]
+    columns = ["query", *[f"q_{c}" for c in ("n", "dim", "most", "ids", "norms", "wide", "data", "origins")], "reached",
+               "block", "n", "dim", "most", "ids", "norms", "wide", "data"]
     scored = work.select(*columns).mapInArrow(
         verify, "query bigint, at int, query_id bigint, vec_id bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("query", "at").orderBy(F.desc("score"), "vec_id"))
@@ -242,13 +306,13 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, scale: int = SC
 
 ORACLE = """
 WITH whole AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
 SELECT q.vec_id AS query_id, (row_number() OVER best)::INTEGER AS rank, c.vec_id,
        list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
-FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
-WINDOW best AS (PARTITION BY q.vec_id
+FROM whole q JOIN whole c ON q.r <> c.r WHERE q.vec_id % 50 = 0
+WINDOW best AS (PARTITION BY q.r
                 ORDER BY list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[]) DESC, c.vec_id)
 QUALIFY row_number() OVER best <= 5
 """

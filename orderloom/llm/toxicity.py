@@ -266,8 +266,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, thresho
 
 def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
                   threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` with a score below the threshold, with all their columns; all rows if there are not both
-    kinds of label, as then nothing tells the rows apart."""
+    """The rows of ``docs`` with a score below the threshold, with all their columns, whatever they are called.
+
+    All rows stay if there are not both kinds of label, as then nothing tells the rows apart. Null and empty texts are
+    scored like any other, long ones as a whole; rows that repeat stay or go together; an empty table gives an empty
+    one.
+    """
     learned = train(docs, labels, rows)
     if learned.trees is None:
         return docs

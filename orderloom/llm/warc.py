@@ -25,6 +25,8 @@ REVISIT_BYTES = 100
 FILE_BYTES = 256 << 20
 RANGE_BYTES = 8 << 20
 GAP_BYTES = 64 << 10
+# Bytes of records that one task reads.
+TASK_BYTES = 16 << 20
 _ROWS = 512
 _PRINTABLE = "".join(map(chr, range(33, 127)))
 _INDEX = ("file string, offset bigint, length bigint, page_id bigint, url string, payload_digest string, "
@@ -180,7 +182,10 @@ def read_records(index: DataFrame, gap: int = GAP_BYTES, most: int = RANGE_BYTES
                         found = []
                 if found:
                     yield batch(found)
-    return ranges(index, gap, most).mapInArrow(read, _RECORD)
+    # Ranges are dealt out by the bytes to be read, not by those of the index.
+    wanted = index.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
+    return ranges(index, gap, most).repartition(max(1, -(-wanted // TASK_BYTES)), "file", "start").mapInArrow(
+        read, _RECORD)
 
 
 def archive_digest(pages: DataFrame) -> DataFrame:

@@ -106,22 +106,24 @@ def brute_search(rows, k):
     whole = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows
              if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q, v in whole:
+    for at, (q, v) in enumerate(whole):
         if q % 50 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q)[:k]
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for j, (i, w) in enumerate(whole) if j != at)[:k]
             out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("cosine", [0.0, 0.6, 2.0])
-def test_top_k(spark, monkeypatch, cosine):
+@pytest.mark.parametrize("cosine, query_rows", [(0.0, 4096), (0.6, 2), (2.0, 5)])
+def test_top_k(spark, monkeypatch, cosine, query_rows):
     monkeypatch.setattr(topk, "COORDINATE_COSINE", cosine)
+    monkeypatch.setattr(topk, "QUERY_ROWS", query_rows)
     rng = np.random.default_rng(int(cosine * 10))
     rows = []
     for i in range(700):
         v = rng.normal(size=8) * rng.choice([0.01, 0.3, 1, 40])
         rows.append((i, [float(np.float32(x)) for x in v]))
     rows += [(1000 + i, rows[3][1]) for i in range(200)]  # ties
+    rows += [(50, rows[50][1]), (50, rows[50][1]), (7, rows[50][1])]  # rows that repeat
     rows += [(2000, None), (2050, [None] * 8), (2051, [float("nan")] * 8), (2052, [float("inf")] + [0.0] * 7),
              (2100, [0.0] * 8), (2101, []), (2102, [1.0, 2.0]), (None, rows[0][1]), (2150, [-x for x in rows[0][1]])]
     table = spark.createDataFrame([(*r, 1, 2) for r in rows],
@@ -136,7 +138,7 @@ def test_top_k_of_few_and_repeated_and_large_vectors(spark):
     assert [(r.rank, r.vec_id, r.score) for r in topk.top_k(few).orderBy("rank").collect()] == [
         (1, 1, 256 * 512), (2, 2, -256 * 256)]
     again = spark.createDataFrame([(0, [1.0]), (0, [1.0]), (1, [2.0])], schema)
-    assert [r.vec_id for r in topk.top_k(again).collect()] == [1, 1]
+    assert sorted((r.rank, r.vec_id) for r in topk.top_k(again).collect()) == [(1, 1), (1, 1), (2, 0), (2, 0)]
     large = spark.createDataFrame([(0, [1e7, 1e7]), (1, [1e7, 3.0])], schema)
     assert topk.top_k(large).first().score == (2560000000 ** 2) + 2560000000 * 768
     assert topk.top_k(few.where("vec_id = 9")).count() == 0
