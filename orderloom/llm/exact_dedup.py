@@ -75,13 +75,17 @@ def exact_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = F.xxh
 
 
 def without_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns, whatever they are called.
+
+    Of equal texts, of any length, the row with the largest doc_id stays, one if several share it; null counts as the
+    empty text, of which one row stays too. An empty table gives an empty one.
+    """
     decided = _decided(docs, digest)
     return kept_rows(docs, decided.select("doc_id", "text_key", "kept"))
 
 
 ORACLE = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """

@@ -92,7 +92,13 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_REPEATS, seed: str = SEED) -> DataFrame:
-    """The mixture itself: every row of ``docs`` as often as ``mix_plan`` says, with all its columns."""
+    """The mixture itself: every row of ``docs`` as often as ``mix_plan`` says, with all its columns, whatever they are
+    called.
+
+    Null and empty texts have no words and do not count for the targets, but are taken as often as others of their
+    source; a null source is a source like any other, the last one; rows that repeat are drawn each. An empty table
+    gives an empty one.
+    """
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     role = {n: F.col(f"c{i}") for i, n in enumerate(names)}

@@ -169,3 +169,41 @@ def test_pipeline_stages(spark):
     assert counts[0] > 100 and counts[0] >= counts[1] >= counts[2] and counts[4] == counts[3]
     texts = before.select("doc_id", F.sha2("text", 256).alias("sha")).distinct()
     assert docs.join(texts, "doc_id").where("sha <> decoded_sha256").isEmpty()
+
+
+def odd_documents(spark):
+    """Null, empty and very long texts, ties, repeated rows, no doc_id, no source, columns with names used inside."""
+    prose = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    rows = [(1, None, "a"), (2, "", "a"), (3, " \n", None), (4, prose, "a"), (5, prose, "b"), (5, prose, "b"),
+            (6, prose + " fifteen", None), (7, "long " * 60_000 + "tail", "b"), (8, "w" * 200_000, "a"), (None, "no id", "c"),
+            (9, "é🎉 x", "c"), (10, "1 2 3 4", "c")]
+    return spark.createDataFrame([(*r, 7, "x", True, 1.5, None) for r in rows],
+                                 "doc_id bigint, text string, source string, row int, text_key string, kept boolean, "
+                                 "score double, _part string")
+
+
+def test_pipeline_stages_on_odd_rows_and_empty_tables(spark):
+    sys.path.insert(0, str(ROOT))
+    import corpus_pipeline
+    table = odd_documents(spark)
+    texts = {name: sorted(((r.doc_id, (r.text or "")[:90]) for r in stage(spark, table, DATA).collect()), key=repr)
+             for name, stage in corpus_pipeline.STAGES[:-1]}
+    whole = sorted(((r.doc_id, (r.text or "")[:90]) for r in table.collect()), key=repr)
+    assert texts["toxicity"] == whole  # nothing in it is toxic
+    exact = [x for x in whole if x[0] not in (1, 4)]  # null counts as empty; of rows that repeat one stays
+    exact.remove(next(x for x in whole if x[0] == 5))
+    assert texts["exact_dedup"] == exact
+    near = [x for x in whole if x[0] not in (5, 6)]
+    assert texts["near_dedup"] == near
+    times = {x: whole.count(x) for x in whole}
+    assert all(texts["source_mix"].count(x) <= 3 * times[x] for x in texts["source_mix"])
+    for name, stage in corpus_pipeline.STAGES:
+        made, empty = stage(spark, table, DATA), stage(spark, table.where("false"), DATA)
+        assert empty.columns == made.columns and empty.collect() == []
+        if name != "sentencepiece":
+            assert made.columns == table.columns and made.dtypes == table.dtypes
+    import hashlib
+    encoded = corpus_pipeline.encode(spark, table, DATA).collect()
+    assert sorted((repr(r.doc_id), r.decoded_sha256) for r in encoded) == sorted(
+        (repr(r.doc_id), hashlib.sha256((r.text or "").encode()).hexdigest()) for r in table.collect())
+    assert {r.doc_id: r.n_ids for r in encoded if r.doc_id in (1, 2)} == {1: 0, 2: 0}
