@@ -1,4 +1,9 @@
-"""The corpus pipeline: toxic documents go, then copies, then near copies; sources are mixed, and texts encoded."""
+"""The corpus pipeline: toxic documents go, then copies, then near copies; sources are mixed, and texts encoded.
+
+Every stage takes a table with doc_id, text and source and columns of any other names, and all but the last give back
+rows of it as they are. In all of them a null text counts as empty, long texts are taken as a whole, a null doc_id is
+an id like any other, and an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -13,30 +18,36 @@ from orderloom.session import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity stays below the threshold, learned from the labelled ones among them."""
+    """Documents whose toxicity stays below the threshold, learned from the labelled ones among them.
+
+    Rows that repeat stay or go together. Where the labels are all of one kind, or there are none, all rows stay.
+    """
     return toxicity.without_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id."""
+    """Of equal texts the one with the largest doc_id, one row if several share it. Empty and null texts are equal."""
     return exact_dedup.without_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (four fifths of their runs of five words) the one with the smallest doc_id."""
+    """Of each group of near copies (four fifths of their runs of five words) the one with the smallest doc_id, one row
+    if several share it. Documents without words resemble nothing and stay."""
     return near_dedup.without_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the weights of their sources ask for."""
+    """Documents as often as the weights of their sources ask for: rows come up to three times or not at all. A null
+    source is the last one. Rows that repeat are drawn each; documents without words like others of their source."""
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_ids, ids and the digest of the text that the ids decode to, for each document of the mixture."""
+    """doc_id, n_ids, ids and the digest of the text that the ids decode to, for each document of the mixture; a text
+    that is empty has no ids, rows that repeat give rows that repeat."""
     vocabulary = pieces.load_vocabulary(f"{TOKENIZERS}/{PIECES}")
-    return pieces.encode(docs, vocabulary, decoded=True).select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids",
-                          F.sha2("text", 256).alias("decoded_sha256"))
+    return pieces.encode(docs, vocabulary, decoded=True).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
