@@ -10,11 +10,13 @@ from shop import make, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import Observation, functions as F
 
-from orderloom.operators import prefix, skew
+from orderloom.model import TABLES
+from orderloom.operators import checks, prefix, skew
 from orderloom.plans import orders as order_jobs
 from orderloom.plans import reports, returns, stock
 from orderloom.plans.audit import audit_new_lines
-from orderloom.session import materialize
+from orderloom.session import materialize, scratch_path
+from orderloom.sources.tables import TableStore
 
 NOW = datetime(2024, 6, 1)
 REQUEST = ("seq BIGINT, CustomerID BIGINT, EmployeeID BIGINT, AddressID BIGINT, ProductID BIGINT, Quantity INT, "
@@ -137,6 +139,41 @@ def test_no_window_holds_all_requests_of_a_product(spark, shop, monkeypatch):
     assert parts and all(re.match(r"(_unit|_parent)#", names[-1]) and len(names) > 1 for names in parts)
 
 
+def test_served_batches_are_stored_once_with_all_their_keys(spark, shop):
+    """Orders and then returns of them, each batch stored twice; every row fits its table's contract."""
+    store = TableStore(spark, scratch_path(spark, "shop"))
+    paid = order_jobs.derive_payments(shop["Orders"], F.lit("UPI"), F.lit("Success")).withColumn(
+        "Amount", F.col("Amount").cast("decimal(28,2)"))
+    for name, table in (*shop.items(), ("Payments", paid)):
+        store.write(name, table, NOW)
+    requests = [(7, 1, 1, 1, 10, 6, "UPI"), (8, 1, 1, 1, 10, 5, "UPI"), (9, 1, None, 1, 10, 4, "COD")]
+
+    def read(*names):
+        return [store.read(name) for name in names]
+    placed = order_jobs.place_orders(
+        spark.createDataFrame(requests, REQUEST), *read("Orders", "Inventory", "Products", "Customers", "Employees",
+                                                        "ShippingAddresses", "OrderDetails"), NOW,
+        *read("Payments", "OrderAuditLog", "ErrorLog"))
+    assert [order_jobs.store_placed(store, "orders-1", placed, NOW) for _ in range(2)] == [True, False]
+    assert {r["OrderID"] for r in store.read("Orders").collect()} == {1, 2, 3, 4, 5, 6, 8}
+    assert {r["PaymentID"] for r in store.read("Payments").collect()} == {1, 2, 4, 5, 6, 8}
+    assert rows(store.read("OrderAuditLog").select("AuditID", "OrderID", "Action")) == [
+        (1, 6, "LINE_ADDED"), (2, 6, "PLACED"), (5, 8, "LINE_ADDED"), (6, 8, "PLACED")]
+    assert rows(store.read("ErrorLog").select("ErrorLogID", "ErrorNumber")) == [(2, 51001)]
+    assert rows(store.read("Inventory").select("ProductID", "QuantityOnHand")) == [(10, 0), (20, 9), (30, 1)]
+    asked = spark.createDataFrame([(1, 6, 1, "late"), (2, 99, 1, None), (3, 3, 1, None)],
+                                  "seq BIGINT, OrderDetailID BIGINT, QuantityReturned INT, Reason STRING")
+    done = returns.process_returns(asked, *read("OrderDetails", "Payments", "Returns"), NOW, store.read("ErrorLog"))
+    assert [returns.store_processed(store, "returns-1", done, NOW) for _ in range(2)] == [True, False]
+    assert rows(store.read("Returns").select("ReturnID", "OrderDetailID", "RefundAmount")) == [
+        (1, 6, Decimal("100.00")), (3, 3, Decimal("100.00"))]
+    assert {r["OrderID"] for r in store.read("Payments").where("PaymentStatus = 'Refunded'").collect()} == {2, 6}
+    assert rows(store.read("ErrorLog").select("ErrorLogID", "ErrorNumber")) == [(2, 51001), (4, 51002)]
+    again = TableStore(spark, store.root)
+    for name in ("Orders", "OrderDetails", "Payments", "Returns", "OrderAuditLog", "ErrorLog"):
+        assert checks.table_violations(name, TABLES[name], again.read(name), {}).isEmpty()
+
+
 def test_totals_round_and_keep_orders_without_lines(spark, shop):
     got = {r["OrderID"]: r["TotalAmount"]
            for r in order_jobs.recompute_totals(shop["Orders"].withColumn("TotalAmount", F.lit(7).cast(

@@ -1,11 +1,13 @@
 """What the planner makes of the queries that have to hold up on large tables."""
 
 import io
+import re
 from contextlib import redirect_stdout
 
 import pytest
 from shop import DATA
 
+from orderloom.operators import skew
 from orderloom.plans import analytics
 from orderloom.registry import all_queries
 from orderloom.sources.workspace import workspace
@@ -45,6 +47,23 @@ def test_monthly_sales_sums_days_before_the_join(shop_star):
     assert "Keys [1]: [DateKey" in text
 
 
+def test_segments_drop_repeated_buys_before_the_first_exchange(shop_star, monkeypatch):
+    """Where the products are too many to be sent around, a task hands on each product of a customer once."""
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+    frame = analytics.buyer_segments_one_pass(shop_star.star("FactSales"), shop_star.star("DimProduct"), "ECONOMY",
+                                              "PROMO")
+    lines = [line for line in frame._jdf.queryExecution().executedPlan().toString().split("\n") if line.strip()]
+    sales = next(i for i, line in enumerate(lines) if "FileScan" in line and "CustomerKey" in line)
+    above = [re.sub(r"^[^A-Za-z(]*(\(\d+\) )?", "", line).split("(")[0].split(" ")[0] for line in lines[:sales]]
+    last_exchange = max(i for i, name in enumerate(above) if name == "Exchange")
+    assert "HashAggregate" in above[last_exchange + 1:]
+
+
+def test_customer_functions_become_joins(spark):
+    text = plan(QUERIES["customer_functions"](spark, DATA))
+    assert "Join" in text and "CartesianProduct" not in text and "PythonUDF" not in text
+
+
 def test_sample_takes_first_rows_per_task(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["returns_sampled"](spark, DATA))
 
