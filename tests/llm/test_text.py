@@ -12,7 +12,6 @@ from orderloom.llm import chat, pieces, pii, toxicity
 from orderloom.llm.queries import PIECES, TOKENIZERS
 from orderloom.llm.template import TemplateError, compile_template, fold, parse, Text
 
-sentencepiece = pytest.importorskip("sentencepiece")
 MODEL = f"{TOKENIZERS}/{PIECES}"
 TEXTS = [None, "", " ", "a", "  lead and  trail  ", "The 1st, 2nd.\n\tm². x²y 漢字🎉①", "x" * 4000, "aaaa " * 50,
          "▁ odd ▁▁", "<s>[INST]</s>", "é" * 70 + " " + "ab" * 40, "The the the, quick-brown (fox) 'jumps'!"]
@@ -20,12 +19,13 @@ TEXTS = [None, "", " ", "a", "  lead and  trail  ", "The 1st, 2nd.\n\tm². x²y
 
 @pytest.fixture(scope="module")
 def vocabulary():
+    pytest.importorskip("sentencepiece")  # only the tests that read a model need the library
     return pieces.load_vocabulary(MODEL)
 
 
 @pytest.mark.parametrize("block_chars", [1, 100, 1 << 20])
 def test_encoding_is_the_librarys(docs, vocabulary, block_chars):
-    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    model = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=MODEL)
     rows = list(enumerate(TEXTS)) + [(None, "no id"), (3, "a"), (3, "a")]
     encoded = pieces.encode(docs(*rows), vocabulary, block_chars)
     found = sorted((repr(r.doc_id), r.ids, r.text) for r in pieces.decode(encoded, vocabulary).collect())
