@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Folders made for local sessions that name no shared folder, by application.
 _local_dirs: dict[str, str] = {}
+# Where the tables that are still held were written to.
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def build_session(app: str = "orderloom", master: str | None = None, shuffle_partitions: int | None = None,
@@ -59,6 +62,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/orderloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote. Nothing that is still to be computed may read them."""
+    for df in tables:
+        path = _written.pop(df, None)
+        if path is not None:
+            spark = df.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written.
 
@@ -68,4 +81,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _written[table] = path
+    return table
