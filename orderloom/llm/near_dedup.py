@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from orderloom.llm.common import kept_rows, sized, text_key, whole_text
 from orderloom.llm.hashing import mixed, polynomials, random_words
-from orderloom.session import materialize
+from orderloom.session import materialize, release
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -222,7 +222,9 @@ def _tables(values: DataFrame, bands: int) -> DataFrame:
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("two")).where("size > 1")
     chosen = materialize(members.groupBy("low", "size", "one", "two").agg(F.min("key").alias("key")).select("key"),
                          "chosen-keys")
-    return materialize(keys.join(chosen, "key", "left_semi").select("key", "node"), "tables")
+    tables = materialize(keys.join(chosen, "key", "left_semi").select("key", "node"), "tables")
+    release(spread, shared, keys, chosen)
+    return tables
 
 
 def _can_link(r_a: Column, r_b: Column, n_a: Column, n_b: Column, similarity: float) -> Column:
@@ -330,8 +332,9 @@ def _near_centers(near: DataFrame, sets: DataFrame, similarity: float) -> DataFr
     Of two members that are similar enough, both are compared with the center of the smaller one's class, which is no
     larger than either. If both are linked to it, they are in one component through it. One that is not linked to it
     shares so little with it that it has something in common with the other outside the center: ``lacking`` shingles
-    at least, so one of them is among its rarest shingles outside, if ``lacking`` - 1 of them are left out. Shingles
-    that only members of one component have outside a center are of no use.
+    at least. Shingles that only members of one component have outside a center are of no use. Those left are in one
+    order for all members, the rarest first: with the first one that two members have in common, what follows it in
+    either list has to be enough for what the pair lacks.
     """
     least = round(100 * similarity)
     who = near.select("node", "component", "n", "r").distinct()
@@ -339,25 +342,29 @@ def _near_centers(near: DataFrame, sets: DataFrame, similarity: float) -> DataFr
     compared = _from_centers(asked, sets).join(asked, ["node", "center"]).join(who, "node")
     enough = F.lit(100 + least) * F.col("shared") >= least * (F.col("n") + F.col("center_n"))
     lacking = F.ceil(least * (F.col("n") + F.col("center_n")) / (100 + least)) - F.col("shared")
-    compared = materialize(compared.select("node", "center", "component", "n", "r", "outside", enough.alias("linked"),
-                                           lacking.cast("long").alias("lacking")), "compared")
+    compared = materialize(compared.select("node", "center", "component", "n", "r", "shared", "outside",
+                                           enough.alias("linked"), lacking.cast("long").alias("lacking")), "compared")
     sure = compared.where("linked").select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
     rows = compared.withColumn("shingle", F.explode("outside")).drop("outside")
     useful = rows.groupBy("center", "shingle").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("times"),
         F.bool_and("linked").alias("all_linked")).where("low < high AND NOT all_linked")
-    rows = materialize(rows.join(materialize(useful.select("center", "shingle", "times"), "useful-shingles"),
-                                 ["center", "shingle"]), "outside-centers")
+    rows = rows.join(materialize(useful.select("center", "shingle", "times"), "useful-shingles"), ["center", "shingle"])
     own = Window.partitionBy("center", "node")
-    rare = rows.where("NOT linked").withColumn("place", F.row_number().over(own.orderBy("times", "shingle"))).withColumn(
-        "size", F.count("*").over(own)).where(F.col("place") <= F.col("size") - F.col("lacking") + 1)
-    x = rare.select("center", "shingle", F.col("node").alias("x"), F.col("component").alias("of_x"),
-                    F.col("n").alias("n_x"), F.col("r").alias("r_x")).alias("l")
-    y = rows.select("center", "shingle", F.col("node").alias("y"), F.col("component").alias("of_y"),
-                    F.col("n").alias("n_y"), F.col("r").alias("r_y")).alias("o")
+    # "rest": how many shingles of the list there are from this one on.
+    rows = rows.withColumn("place", F.row_number().over(own.orderBy("times", "shingle"))).withColumn(
+        "rest", F.count("*").over(own) - F.col("place") + 1).where(F.col("rest") >= F.greatest("lacking", F.lit(1)))
+    rows = materialize(rows.select("center", "shingle", "node", "component", "n", "r", "shared", "rest", "linked"),
+                       "outside-centers")
+    names = ["node", "component", "n", "r", "shared", "rest"]
+    x = rows.where("NOT linked").select("center", "shingle", *[F.col(c).alias(f"{c}_x") for c in names]).alias("l")
+    y = rows.select("center", "shingle", *[F.col(c).alias(f"{c}_y") for c in names]).alias("o")
+    needed = least * (F.col("n_x") + F.col("n_y"))  # of what both have, in 1 / (100 + least)
     met = x.join(y, (F.col("l.center") == F.col("o.center")) & (F.col("l.shingle") == F.col("o.shingle"))
-                 & (F.col("of_x") != F.col("of_y"))
+                 & (F.col("component_x") != F.col("component_y"))
+                 & ((100 + least) * (F.least("shared_x", "shared_y") + F.least("rest_x", "rest_y")) >= needed)
                  & _can_link(F.col("r_x"), F.col("r_y"), F.col("n_x"), F.col("n_y"), similarity))
+    met = met.select(F.col("node_x").alias("x"), F.col("node_y").alias("y"))
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     return pairs.unionByName(sure).distinct()
 
