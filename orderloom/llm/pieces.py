@@ -16,9 +16,11 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -26,9 +28,15 @@ from orderloom.llm.common import whole_text
 
 SPACE = "▁"
 # Characters of text that share a list of units.
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 8 << 20
+# Of a long text so many characters are cut into words at a time.
+_SLICE = 1 << 16
 # Partitions (as bits) whose places of a unit are listed together.
 _SHARD_BITS = 14
+# Distinct units, and blocks, beyond which a task begins new rows for the units of its next block.
+_LISTED_UNITS, _LISTED_BLOCKS = 500_000, 256
+# A place where a unit is listed: its number in the list of a block.
+_PLACE = np.dtype([("number", "<u4"), ("of", "<i8")])
 # Units of more characters than a fold has bits for are encoded one by one.
 FOLD_CHARS = 60
 _UNKNOWN = (1 << 21) - 1
@@ -49,6 +57,23 @@ class Vocabulary:
     def longest(self) -> int:
         return max(map(len, self.pieces))
 
+    @cached_property
+    def disorderly(self) -> frozenset[str]:
+        """The pieces that may have to be merged after one of a worse place. Where none occurs, one pass over the places
+        finds all merges.
+
+        A piece can be merged once its inside is down to two parts. As nothing that crosses its ends can be merged
+        before, the inside gets there by the same merges wherever the piece occurs, those of the piece alone. If all of
+        them have better places than the piece itself, it has its turn when they are done.
+        """
+        found = set()
+        for piece, (_, score) in self.pieces.items():
+            made: list[float] = []
+            _merged(piece, self, made)
+            if len(made) == len(piece) - 1 and any(m <= score for m in made[:-1]):
+                found.add(piece)
+        return frozenset(found)
+
     def unit_pattern(self) -> str:
         """A pattern that cuts a text where no piece can span.
 
@@ -106,8 +131,11 @@ def encode_unit(unit: str, vocabulary: Vocabulary) -> list[int]:
     return out
 
 
-def _merged(unit: str, vocabulary: Vocabulary) -> list[str]:
-    """Neighbours are merged as long as two of them make a piece, the best scored first, then the leftmost."""
+def _merged(unit: str, vocabulary: Vocabulary, scores: list[float] | None = None) -> list[str]:
+    """Neighbours are merged as long as two of them make a piece, the best scored first, then the leftmost.
+
+    ``scores`` takes up the scores of the merges in their order.
+    """
     parts: list[str | None] = list(unit)
     after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
     queue: list[tuple[float, int, str, int]] = []
@@ -121,9 +149,11 @@ def _merged(unit: str, vocabulary: Vocabulary) -> list[str]:
     for i in range(len(parts)):
         offer(i)
     while queue:
-        _, left, both, right = heapq.heappop(queue)
+        cost, left, both, right = heapq.heappop(queue)
         if parts[left] is None or after[left] != right or parts[right] is None or parts[left] + parts[right] != both:
             continue
+        if scores is not None:
+            scores.append(-cost)
         parts[left], parts[right] = both, None
         after[left] = after[right]
         if after[left] < len(parts):
@@ -149,96 +179,157 @@ def _best_path(unit: str, vocabulary: Vocabulary) -> list[str]:
     return out[::-1]
 
 
-_BLOCKS = "block bigint, row bigint, doc_id bigint, seq binary, units array<string>"
+# One row per block: the ids of its documents, how many words each has and which, how words are made of units, and the
+# units, their sizes apart. ``first`` is the number of its first document.
+_BLOCKS = ("block bigint, first bigint, doc_ids array<bigint>, seq binary, made binary, sizes binary, units binary")
 _BLOCK_NAMES = [c.split()[0] for c in _BLOCKS.split(", ")]
-_BLOCK_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string())]
+_BLOCK_TYPES = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 
 
 def _packed(numbers: np.ndarray) -> bytes:
     """Numbers with their high bytes, mostly zero, apart from the low ones, compressed."""
-    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 2)
+    coder = zlib.compressobj(6, zlib.DEFLATED, 15, 9, zlib.Z_RLE)
+    return coder.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()) + coder.flush()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
-class _Words:
-    """The words of a block's texts, numbered as they come, and in the end the units that each is made of."""
+class _Block:
+    """Texts as numbers of their words, which are numbered as they come, and in the end by how often they do."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.find = vocabulary, re.compile(vocabulary.unit_pattern()).findall
         self.prefix = SPACE if vocabulary.dummy_prefix else ""
         count = itertools.count().__next__
         self.between, self.units = defaultdict(count), defaultdict(count)
-
-    def numbers(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int64)
-        words = text.split(" ")
+        self.doc_ids: list[int | None] = []
+        self.counts: list[int] = []
+        self.numbers: list[np.ndarray] = []
+        self.chars = 0
+
+    def add(self, doc_id: int | None, text: str) -> None:
+        self.doc_ids.append(doc_id)
+        self.counts.append(0)
+        self.chars += len(text) + 16
         # Each single space begins a unit; texts with several in a row, or at an end, are cut by the pattern.
-        if self.prefix and "" not in words and SPACE not in text:
-            found, held = words, self.between
-        else:
-            found, held = self.find((self.prefix + text).replace(" ", SPACE)), self.units
-        return np.fromiter(map(held.__getitem__, found), np.int64, len(found))
-
-    def listed(self) -> tuple[list[str], bytes]:
-        """The distinct units that a fold can take, and packed: how many words, units and longer units there are, for
-        each word how many units it has, the units' numbers, and for each longer unit its ids, counted and listed."""
-        words: list[list[str]] = [[]] * (len(self.between) + len(self.units))
-        for word, n in self.between.items():
-            words[n] = self.find(SPACE + word)
-        for unit, n in self.units.items():
-            words[n] = [unit]
-        numbers, longer = defaultdict(itertools.count().__next__), defaultdict(itertools.count(1).__next__)
-        flat = np.array([numbers[u] if len(u) <= FOLD_CHARS else -longer[u] for w in words for u in w], np.int64)
-        flat[flat < 0] = len(numbers) - 1 - flat[flat < 0]
+        if not (self.prefix and text) or "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
+            if text:
+                self._take(self.find((self.prefix + text).replace(" ", SPACE)), self.units)
+            return
+        at = 0
+        while at < len(text):
+            end = text.find(" ", at + _SLICE)
+            end = len(text) if end < 0 else end
+            self._take(text[at:end].split(" "), self.between)
+            at = end + 1
+
+    def _take(self, words: list[str], held: dict[str, int]) -> None:
+        self.numbers.append(np.fromiter(map(held.__getitem__, words), np.uint32, len(words)))
+        self.counts[-1] += len(words)
+
+    def row(self, block: int, first: int) -> pa.RecordBatch:
+        """``made`` has how many words, units that a fold can take and longer units there are, for each word how many
+        units it has, the units' numbers, and for each longer unit its ids, counted and listed."""
+        flat = np.concatenate([np.zeros(0, np.uint32), *self.numbers])
+        self.numbers = []
+        words: list[str] = [""] * (len(self.between) + len(self.units))
+        for word, n in itertools.chain(self.between.items(), self.units.items()):
+            words[n] = word
+        inner = np.zeros(len(words), bool)
+        inner[np.fromiter(self.between.values(), np.int64, len(self.between))] = True
+        self.between, self.units = {}, {}
+        order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+        rank = np.empty(len(words), np.uint32)
+        rank[order] = np.arange(len(words), dtype=np.uint32)
+        seq = _packed(np.concatenate((np.array(self.counts, np.uint32), rank[flat])))
+
+        units, longer = defaultdict(itertools.count().__next__), defaultdict(itertools.count(1).__next__)
+        sizes, numbers = np.zeros(len(words), np.int64), []
+        for i, n in enumerate(order.tolist()):
+            # Letters and digits alone are not cut.
+            if inner[n]:
+                found = [SPACE + words[n]] if words[n].isalnum() else self.find(SPACE + words[n])
+            else:
+                found = [words[n]]
+            sizes[i] = len(found)
+            numbers += [units[u] if len(u) <= FOLD_CHARS else -longer[u] for u in found]
+        del words
+        made = np.array(numbers, np.int64)
+        made[made < 0] = len(units) - 1 - made[made < 0]
         ids = [encode_unit(u, self.vocabulary) for u in longer]
-        return list(numbers), _packed(np.concatenate((
-            [len(words), len(numbers), len(ids)], np.fromiter(map(len, words), np.int64, len(words)), flat,
-            np.fromiter(map(len, ids), np.int64, len(ids)), np.array([i for x in ids for i in x], np.int64))))
+        head = [len(sizes), len(units), len(ids)]
+        data = [u.encode() for u in units]
+        values = (block, first, self.doc_ids, seq, _packed(np.concatenate((
+            head, sizes, made, np.fromiter(map(len, ids), np.int64, len(ids)), np.array(
+                [i for x in ids for i in x], np.int64)))),
+            _packed(np.fromiter(map(len, data), np.int64, len(data))), zlib.compress(b"".join(data), 1))
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, _BLOCK_TYPES)], _BLOCK_NAMES)
 
 
 def _blocks(docs: DataFrame, vocabulary: Vocabulary, block_chars: int) -> DataFrame:
-    """Per document the numbers of its words, and per block of documents a row with its units and how its words are
-    made of them."""
+    """The documents in blocks, dealt out by block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, first = TaskContext.get().partitionId() << 32, TaskContext.get().partitionId() << 40
+        held = _Block(vocabulary)
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
+                held.add(doc_id.as_py(), text.as_py())
+                if held.chars >= block_chars:
+                    yield held.row(block, first)
+                    block, first, held = block + 1, first + len(held.doc_ids), _Block(vocabulary)
+        if held.doc_ids:
+            yield held.row(block, first)
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+    return source.mapInArrow(run, _BLOCKS).repartition("block")
+
+
+def _listed(blocks: DataFrame) -> DataFrame:
+    """(unit, shard, at): the units of the blocks of a shard, and where they are listed: for each block that has the
+    unit its number and the unit's number in it. Blocks that come in the same task share rows, up to a number of
+    units."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, row = (TaskContext.get().partitionId() << 32), TaskContext.get().partitionId() << 40
-        words, chars = _Words(vocabulary), 0
+        held: dict[str, int] = {}
+        parts: list[tuple[int, np.ndarray]] = []
+        shard = None
 
         def listed() -> pa.RecordBatch:
-            units, made = words.listed()
+            rows = np.concatenate([r for _, r in parts])
+            at = np.empty(len(rows), _PLACE)
+            at["of"] = np.repeat(np.array([b for b, _ in parts], np.int64), [len(r) for _, r in parts])
+            at["number"] = np.concatenate([np.arange(len(r), dtype=np.uint32) for _, r in parts])
+            ends = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(held))))) * _PLACE.itemsize
             return pa.RecordBatch.from_arrays(
-                [pa.array([x], t) for x, t in zip((block, None, None, made, units), _BLOCK_TYPES)], _BLOCK_NAMES)
-
-        def texts(rows: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _BLOCK_TYPES)],
-                                              _BLOCK_NAMES)
+                [pa.array(list(held), pa.string()), pa.array(np.full(len(held), shard, np.int32)),
+                 pa.Array.from_buffers(pa.binary(), len(held), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(
+                     at[np.argsort(rows, kind="stable")].tobytes())])], ["unit", "shard", "at"])
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                text = text.as_py()
-                rows.append((block, row, doc_id.as_py(), _packed(words.numbers(text)), None))
-                row, chars = row + 1, chars + len(text)
-                if chars >= block_chars:
-                    yield texts(rows)
+            for block, sizes, units in zip(*(batch.column(c) for c in ("block", "sizes", "units"))):
+                sizes, block = _unpacked(sizes.as_py()), block.as_py()
+                if not len(sizes):
+                    continue
+                if parts and (len(held) > _LISTED_UNITS or len(parts) >= _LISTED_BLOCKS or shard != block >> 32 + _SHARD_BITS):
                     yield listed()
-                    block, chars, rows, words = block + 1, 0, [], _Words(vocabulary)
-            if rows:
-                yield texts(rows)
-        if chars:
+                    held, parts = {}, []
+                shard = block >> 32 + _SHARD_BITS
+                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                texts = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(
+                    zlib.decompress(units.as_py()))).to_pylist()
+                parts.append((block, np.array([held.setdefault(u, len(held)) for u in texts], np.int64)))
+        if parts:
             yield listed()
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    return source.mapInArrow(run, _BLOCKS)
+    return blocks.mapInArrow(run, "unit string, shard int, at binary")
 
 
 def _piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
-    """(piece, id, place, score): place counts from the best score. As many rows as the vocabulary has."""
+    """(piece, id, place, score, odd): place counts from the best score, and odd pieces are those that are disorderly.
+    As many rows as the vocabulary has."""
+    odd = vocabulary.disorderly if vocabulary.kind == "bpe" else frozenset()
     ordered = sorted(vocabulary.pieces.items(), key=lambda p: (-p[1][1], p[1][0]))
     places: dict[float, int] = {}
-    rows = [(piece, i, places.setdefault(score, len(places)), score) for piece, (i, score) in ordered]
-    return spark.createDataFrame(rows, "piece string, id int, place int, score double")
+    rows = [(piece, i, places.setdefault(score, len(places)), score, piece in odd) for piece, (i, score) in ordered]
+    return spark.createDataFrame(rows, "piece string, id int, place int, score double, odd boolean")
 
 
 def _bit(place: Column) -> Column:
@@ -266,8 +357,8 @@ def _id(edge: Column) -> Column:
 
 
 def _lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(unit, places, edges) for distinct (unit, places): all matches of pieces as numbers, sorted, and characters that
-    are no piece. ``places`` is handed on as it is; units that have a "shard" are distinct with it.
+    """(unit, places, edges, odd) for distinct (unit, places): all matches of pieces as numbers, sorted, characters that
+    are no piece, and whether one of the pieces is disorderly. ``places`` is handed on as it is; units that have a "shard" are distinct with it.
 
     For a unigram model an edge is (number, score). Rows stay with their unit from the distinct on, so grouping the
     edges again moves nothing; a hash leads the grouping key, as numbers are sorted faster than texts.
@@ -276,7 +367,9 @@ def _lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         raise ValueError("the vocabulary has too many pieces")
     n, shard = F.char_length("unit"), [c for c in units.columns if c == "shard"]
     first = F.when((F.col("s") == 0) & (F.col("e") == 1), F.col("places"))
-    starts = units.select("unit", *shard, "places", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
+    # Only the first start carries the places.
+    starts = units.select("unit", *shard, F.explode(F.transform(F.sequence(F.lit(0), n - 1), lambda s: F.struct(
+        s.alias("s"), F.when(s == 0, F.col("places")).alias("places")))).alias("start")).select("unit", *shard, "start.*")
     spans = starts.select("unit", *shard, "places", "s", F.explode(F.sequence(F.col("s") + 1, F.least(
         F.col("s") + vocabulary.longest, n))).alias("e"))
     spans = spans.withColumn("sub", F.substring("unit", F.col("s") + 1, F.col("e") - F.col("s")))
@@ -290,31 +383,40 @@ def _lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         lowest = min(s for _, s in vocabulary.pieces.values()) - 10
         edge = F.struct(edge.alias("edge"), F.coalesce("score", F.lit(float(lowest))).alias("score"))
     keys = [F.xxhash64("unit").alias("hash"), "unit", *shard]
-    edges = found.select(*keys, edge.alias("edge"), first.alias("places"))
+    edges = found.select(*keys, edge.alias("edge"), first.alias("places"), F.coalesce("odd", F.lit(False)).alias("odd"))
     return edges.groupBy("hash", "unit", *shard).agg(
-        F.sort_array(F.collect_list("edge")).alias("edges"), F.first("places", True).alias("places")).drop("hash")
+        F.sort_array(F.collect_list("edge")).alias("edges"), F.first("places", True).alias("places"),
+        F.max("odd").alias("odd")).drop("hash")
 
 
 def _fold_merges(lattice: DataFrame) -> DataFrame:
     """(unit, places, path): the edges that are left when pairs have been merged in the order of their places.
 
     The state is the set of boundaries as bits. In each step, the first edge that spans just two parts takes out the
-    boundary between them. ``ends`` and ``inner`` are the boundaries at and inside an edge.
+    boundary between them. ``ends`` and ``inner`` are the boundaries at and inside an edge. Each edge is looked at once,
+    in the order of the places; where a piece is disorderly, all of them again for each merge.
     """
     def with_bits(x: Column) -> Column:
         return F.struct((_bit(_start(x)) + _bit(_end(x))).alias("ends"),
                         (_bit(_end(x)) - _bit(_start(x) + 1)).alias("inner"), x.alias("edge"))
     n, left = F.char_length("unit"), F.col("left")
-    lattice = lattice.select("unit", "places", F.transform("edges", with_bits).alias("edges"))
-    lattice = lattice.select("unit", "places", "edges", F.filter("edges", lambda x: x["inner"] != 0).alias("longer"))
+    lattice = lattice.select("unit", "places", "odd", F.transform("edges", with_bits).alias("edges"))
+    lattice = lattice.select("unit", "places", "odd", "edges", F.filter("edges", lambda x: x["inner"] != 0).alias("longer"))
 
     def step(state: Column, _: Column) -> Column:
         fits = F.filter("longer", lambda x: (state.bitwiseAND(x["ends"]) == x["ends"])
                         & (F.bit_count(state.bitwiseAND(x["inner"])) == 1))
         return state - state.bitwiseAND(F.coalesce(F.get(fits, F.lit(0))["inner"], F.lit(0).cast("bigint")))
+
+    def take(state: Column, x: Column) -> Column:
+        inside = state.bitwiseAND(x["inner"])
+        return F.when((state.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(inside) == 1),
+                      state - inside).otherwise(state)
     rounds = F.when(F.size("longer") == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), n - 1))
     # Columns of their own, so that no step works them out again for each edge.
-    merged = lattice.select("unit", "places", "edges", F.aggregate(rounds, _bit(n + 1) - 1, step).alias("left"))
+    whole = _bit(n + 1) - 1
+    merges = F.when(F.col("odd"), F.aggregate(rounds, whole, step)).otherwise(F.aggregate("longer", whole, take))
+    merged = lattice.select("unit", "places", "edges", merges.alias("left"))
     chosen = F.filter("edges", lambda x: (left.bitwiseAND(x["ends"]) == x["ends"])
                       & (left.bitwiseAND(x["inner"]) == 0))
     return merged.select("unit", "places", F.transform(chosen, lambda x: x["edge"]).alias("path"))
@@ -347,8 +449,9 @@ def _fold_best_path(lattice: DataFrame) -> DataFrame:
 
 def _folded(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(unit, places, ids) for units that a fold can take."""
-    fold = _fold_best_path if vocabulary.kind == "unigram" else _fold_merges
-    path = fold(_lattice(units, vocabulary)).select("unit", "places", F.array_sort(F.transform(
+    lattice = _lattice(units, vocabulary)
+    folded = _fold_best_path(lattice) if vocabulary.kind == "unigram" else _fold_merges(lattice)
+    path = folded.select("unit", "places", F.array_sort(F.transform(
         "path", lambda x: F.struct(_start(x).alias("s"), _id(x).alias("id")))).alias("path"))
     if len(vocabulary.byte_ids) == 256:
         byte_ids = F.array(*[F.lit(i) for i in vocabulary.byte_ids])
@@ -372,29 +475,32 @@ def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def _list_rows(encoded: DataFrame) -> DataFrame:
-    """(of, packed): for rows (of, number, ids), many of a block together, to be moved in a small form."""
+    """(of, packed): for rows (at, ids), many of a block together, to be moved in a small form: how many there
+    are, the steps from number to number, the sizes of the lists, and the lists."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
 
         def packed() -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
-            of, number = table.column("of").to_numpy(), table.column("number").to_numpy()
-            lists = table.column("ids").chunk(0)
+            texts, lists = table.column("at").chunk(0), table.column("ids").chunk(0)
+            at = np.frombuffer(b"".join(texts.to_pylist()), _PLACE)
+            of, number = at["of"], at["number"]
+            unit = np.repeat(np.arange(len(texts)), pc.binary_length(texts).to_numpy() // _PLACE.itemsize)
             flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-            order = np.argsort(of, kind="stable")
+            order = np.lexsort((number, of))
             cuts = np.flatnonzero(np.diff(of[order])) + 1
             blocks, out = [], []
             for at in np.split(order, cuts):
-                ids, sizes = _gathered(flat, ends, at)
+                ids, sizes = _gathered(flat, ends, unit[at])
                 blocks.append(int(of[at[0]]))
-                out.append(_packed(np.concatenate(([len(at)], number[at], sizes, ids))))
+                out.append(_packed(np.concatenate(([len(at)], np.diff(number[at].astype(np.int64), prepend=0), sizes, ids))))
             return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(out, pa.binary())],
                                               ["of", "packed"])
         for batch in batches:
             if batch.num_rows:
                 held.append(batch)
-                rows += batch.num_rows
-            if rows >= 200_000:
+                rows += batch.column(0).nbytes // _PLACE.itemsize
+            if rows >= 400_000:
                 yield packed()
                 held, rows = [], 0
         if held:
@@ -406,37 +512,36 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_chars: int = BLOCK_CHA
            decoded: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): row, doc_id, ids, and with ``decoded`` the text the ids stand for.
 
-    ``docs`` is gone through twice and has to give the same rows in the same partitions, as stored tables do.
     ``row`` is a number of its own for each row. A null text counts as empty, and an empty text has no ids; rows that
     repeat give rows that repeat; an empty table gives none; other columns are not looked at. Characters that the
     vocabulary lacks become their bytes, or the id for the unknown if it has no bytes either.
     """
-    blocks = _blocks(docs, vocabulary, block_chars)
-    listed = blocks.where("units IS NOT NULL").select(
-        F.col("block").alias("of"), F.posexplode("units").alias("number", "unit"))
+    blocks = _blocks(docs, vocabulary, block_chars)  # one exchange, which both readers below take all columns of
     # One exchange brings a unit's places together; a shard holds so few blocks that the list stays short.
-    shard = F.shiftright("of", 32 + _SHARD_BITS).cast("int")
-    places = listed.withColumn("shard", shard).repartition("unit", "shard").groupBy("unit", "shard").agg(F.collect_list(F.struct("of", "number")).alias("places"))
-    encoded = _folded(places, vocabulary).select("ids", F.explode("places").alias("place")).select(
-        "place.of", "place.number", "ids")
-    texts = blocks.select("block", "row", "doc_id", "seq")
+    places = _listed(blocks).repartition("unit", "shard").groupBy("unit", "shard").agg(
+        F.collect_list("at").alias("places"))
+    encoded = _folded(places, vocabulary).select(F.explode("places").alias("at"), "ids")
     pieces, prefix = vocabulary.texts, vocabulary.dummy_prefix
 
-    def put_together(texts_: pa.Table, lists_: pa.Table) -> pa.Table:
-        rows = texts_.column("row").to_pylist()
-        at = [i for i, r in enumerate(rows) if r is not None]
-        made = [_unpacked(texts_.column("seq")[i].as_py()) for i, r in enumerate(rows) if r is None]
-        flat, ends = _word_lists(made[0], lists_) if made else (np.zeros(0, np.int64), np.zeros(1, np.int64))
-        found = [_gathered(flat, ends, _unpacked(texts_.column("seq")[i].as_py()))[0].astype(np.int32) for i in at]
-        offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
-        out = {"row": pa.array([rows[i] for i in at], pa.int64()),
-               "doc_id": texts_.column("doc_id").take(pa.array(at, pa.int64())),
-               "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(
+    def put_together(blocks_: pa.Table, lists_: pa.Table) -> pa.Table:
+        rows, doc_ids, found, texts = [], [], [], []
+        for block in blocks_.to_pylist():  # one row
+            flat, ends = _word_lists(_unpacked(block["made"]), lists_)
+            n, seq = len(block["doc_ids"]), _unpacked(block["seq"])
+            for at, numbers in enumerate(np.split(seq[n:], np.cumsum(seq[:n].astype(np.int64))[:-1])):
+                rows.append(block["first"] + at)
+                found.append(_gathered(flat, ends, numbers)[0].astype(np.int32))
+                if decoded:
+                    texts.append(_text(found[-1].tolist(), pieces, prefix))
+            doc_ids += block["doc_ids"]
+        ends = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
+        out = {"row": pa.array(rows, pa.int64()), "doc_id": pa.array(doc_ids, pa.int64()),
+               "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(
                    np.concatenate([np.zeros(0, np.int32), *found]), pa.int32()))}
         if decoded:
-            out["text"] = pa.array([_text(f.tolist(), pieces, prefix) for f in found], pa.string())
+            out["text"] = pa.array(texts, pa.string())
         return pa.table(out)
-    return texts.groupBy("block").cogroup(_list_rows(encoded).groupBy("of")).applyInArrow(
+    return blocks.groupBy("block").cogroup(_list_rows(encoded).groupBy("of")).applyInArrow(
         put_together, "row bigint, doc_id bigint, ids array<int>" + (", text string" if decoded else ""))
 
 
@@ -449,8 +554,8 @@ def _word_lists(made: np.ndarray, lists: pa.Table) -> tuple[np.ndarray, np.ndarr
     for packed in lists.column("packed"):
         row = _unpacked(packed.as_py()).astype(np.int64)
         k = int(row[0])
-        order.append(row[1:k + 1])
-        sizes[row[1:k + 1]] = row[k + 1:2 * k + 1]
+        order.append(np.cumsum(row[1:k + 1]))
+        sizes[order[-1]] = row[k + 1:2 * k + 1]
         parts.append(row[2 * k + 1:])
     order.append(np.arange(short, short + long))
     sizes[short:], parts = rest[:long], [*parts, rest[long:]]

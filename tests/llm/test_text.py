@@ -14,7 +14,8 @@ from orderloom.llm.template import TemplateError, compile_template, fold, parse,
 
 MODEL = f"{TOKENIZERS}/{PIECES}"
 TEXTS = [None, "", " ", "a", "  lead and  trail  ", "The 1st, 2nd.\n\tm². x²y 漢字🎉①", "x" * 4000, "aaaa " * 50,
-         "▁ odd ▁▁", "<s>[INST]</s>", "é" * 70 + " " + "ab" * 40, "The the the, quick-brown (fox) 'jumps'!"]
+         "▁ odd ▁▁", "<s>[INST]</s>", "é" * 70 + " " + "ab" * 40, "The the the, quick-brown (fox) 'jumps'!",
+         ("plain w0rds, in slices " * 4000).strip()]
 
 
 @pytest.fixture(scope="module")
@@ -60,6 +61,25 @@ def test_folds_are_the_plain_algorithms(spark, kind, seed):
     assert found == {u: pieces.encode_unit(u, vocabulary) for u in units}
 
 
+def test_one_pass_is_enough_for_orderly_pieces(spark):
+    """Random merges, each of two parts that are there before, are orderly but where a piece has better parts."""
+    rng = random.Random(11)
+    made = list("abcd")
+    while len(made) < 60:
+        whole = rng.choice(made) + rng.choice(made)
+        if whole not in made and len(whole) < 9:
+            made.append(whole)
+    vocabulary = pieces.Vocabulary({w: (i + 1, -float(i)) for i, w in enumerate(made)}, (), 0,
+                                   tuple(w.encode() for w in ["<unk>", *made]), "bpe")
+    assert len(vocabulary.disorderly) < len(made)
+    units = {"".join(rng.choice("abcd") for _ in range(rng.randrange(1, 25))) for _ in range(400)}
+    plain = [u for u in units if not any(p in u for p in vocabulary.disorderly)]
+    assert len(plain) > 20
+    table = spark.createDataFrame([(u,) for u in units], "unit string")
+    found = {r.unit: r.ids for r in pieces.encode_units(table, vocabulary).collect()}
+    assert found == {u: [vocabulary.pieces[x][0] for x in brute_merges(u, vocabulary)] for u in units}
+
+
 def brute_merges(unit, vocabulary):
     parts = list(unit)
     while True:
