@@ -16,7 +16,7 @@ from orderloom.model import PAYMENT_METHODS
 from orderloom.operators.keys import highest, last_key
 from orderloom.operators.merge import update_from
 from orderloom.operators.prefix import crossings
-from orderloom.operators.skew import lookup_join
+from orderloom.operators.skew import lookup_join, with_known
 from orderloom.plans.audit import line_entries
 from orderloom.session import materialize
 from orderloom.sources.tables import TableStore
@@ -135,13 +135,10 @@ def decide(requests: DataFrame, inventory: DataFrame, products: DataFrame, custo
     spread = ["seq"]
     stocked = (inventory.select("ProductID", F.col("QuantityOnHand").cast("long").alias("OnHand"))
                .join(products.select("ProductID", "UnitPrice"), "ProductID"))
-    method = F.substring("PaymentMethod", 1, 20)
-    known = lookup_join(requests.withColumn("PaymentMethod", method), stocked, ["ProductID"], spread, "left",
-                        bound=inventory)
+    known = requests.withColumn("PaymentMethod", F.substring("PaymentMethod", 1, 20))
     for flag, table, column in (("_customer", customers, "CustomerID"), ("_employee", employees, "EmployeeID"),
                                 ("_address", addresses, "AddressID")):
-        known = lookup_join(known, table.select(column, F.lit(True).alias(flag)), [column], spread, "left",
-                            hot_in=requests)
+        known = with_known(known, table, column, spread, flag)
     # The order header is written first, then the line, then the payment.
     fault = (F.when(F.col("CustomerID").isNull() | F.col("AddressID").isNull() | F.col("Quantity").isNull(),
                     F.lit(errors.NULL_VALUE))
@@ -150,16 +147,23 @@ def decide(requests: DataFrame, inventory: DataFrame, products: DataFrame, custo
                    | (F.col("Quantity") <= 0), F.lit(errors.CONSTRAINT))
              .when(F.col("PaymentMethod").isNull(), F.lit(errors.NULL_VALUE))
              .when(~F.col("PaymentMethod").isin(*PAYMENT_METHODS), F.lit(errors.CONSTRAINT)))
-    sound = F.col("OnHand").isNotNull() & F.col("_fault").isNull()
-    checked = materialize(known.withColumn("_fault", fault)
-                          .drop("_customer", "_employee", "_address")
-                          .withColumn("_sound", sound), "requests")
-
-    # Where all requests up to a point together fit the stock, none of them has to wait for its turn.
-    phases = materialize(_served_at_once(checked.where("_sound"), stocked.select("ProductID", "OnHand")), "phases")
+    checked = known.withColumn("_fault", fault).drop("_customer", "_employee", "_address")
+
+    # Where all requests up to a point together fit the stock, none of them has to wait for its turn. Requests for
+    # products without stock meet no bound there.
+    faultless = checked.where("_fault IS NULL").select("ProductID", "seq", "Quantity")
+    repeated = materialize(stocked.groupBy("ProductID").agg(F.count("*").cast("int").alias("_copies"))
+                           .where("_copies > 1"), "repeated-stock")
+    if not repeated.isEmpty():  # a request then comes once for each row of its product
+        copies = F.sequence(F.lit(1), F.coalesce("_copies", F.lit(1)))
+        faultless = (lookup_join(faultless, repeated, ["ProductID"], spread, "left")
+                     .withColumn("_copy", F.explode(copies)).drop("_copies", "_copy"))
+    served = _served_at_once(faultless, stocked.select("ProductID", "OnHand"))
+    stocked = materialize(stocked.join(served, "ProductID", "left"), "phases")
     begun = F.filter("_phases", lambda p: p["since"] <= F.col("seq"))
-    marked = (lookup_join(checked, phases, ["ProductID"], spread, "left")
-              .withColumn("_phase", F.try_element_at(begun, F.lit(-1)))
+    sound = F.col("OnHand").isNotNull() & F.col("_fault").isNull()
+    marked = (lookup_join(checked, stocked, ["ProductID"], spread, "left", hot_in=requests)
+              .withColumn("_sound", sound).withColumn("_phase", F.try_element_at(begun, F.lit(-1)))
               .withColumn("_state", F.when(F.col("_sound"), _state())).withColumn("_left", F.col("_phase.left"))
               .drop("_phases", "_phase"))
     marked = materialize(marked, "contested")

@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -272,3 +273,32 @@ def test_crossings_equal_brute_force(spark, monkeypatch, span, fan):
     found = prefix.crossings(rows_of.repartition(5), ["name"], "place", F.col("v"), asked, span, fan)
     assert found.columns == ["name", "bound", "at", "before"]
     assert rows(found) == sorted(expected, key=repr)
+
+
+def test_crossings_shuffle_the_rows_once(spark, monkeypatch):
+    """Where the keys are too many to be sent around, rows and bounds meet in one exchange."""
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+    rows_of = spark.range(40).select((F.col("id") % 4).alias("k"), "id", F.lit(2).alias("v"))
+    found = prefix.crossings(rows_of, ["k"], "id", F.col("v"), spark.createDataFrame([(1, 3)], "k long, bound long"))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(k#\d+L, _unit#", text)) == 1
+    assert rows(found) == [(1, 3, 5, 2)]
+
+
+def test_crossings_pass_by_large_keys_without_a_bound(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+    rows_of = spark.range(60).select(F.when(F.col("id") % 2 == 0, 1).when(F.col("id") < 40, 2).alias("k"), "id",
+                                     F.lit(1).alias("v"))
+    bounds = spark.createDataFrame([(1, 100), (2, 7), (2, 8), (None, 1)], "k int, bound long")
+    found = prefix.crossings(rows_of, ["k"], "id", F.col("v"), bounds, 4, 3)
+    assert rows(found) == [(2, 7, 15, 7), (2, 8, 17, 8)]
+
+
+@pytest.mark.parametrize("size", [0, 64 << 20])
+def test_known_keys_are_marked_as_by_a_left_join(spark, monkeypatch, size):
+    """Unknown keys, no key, and a key that comes twice."""
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", size)
+    many = spark.createDataFrame([(i, k) for i, k in enumerate([1, 2, 2, 3, None, 9])], "seq long, k long")
+    one = spark.createDataFrame([(1,), (2,), (2,), (4,), (None,)], "k long")
+    joined = many.join(one.withColumn("known", F.lit(True)), "k", "left").select("seq", "k", "known")
+    assert rows(skew.with_known(many, one, "k", ["seq"], "known").select("seq", "k", "known")) == rows(joined)
