@@ -137,12 +137,11 @@ def gaps_counted(orders: DataFrame, min_days: int = 60) -> DataFrame:
     What ``gaps_all_pairs`` lists, counted: islands and questions are ordered by day, the latest first, and each
     question looks at the islands up to its day. So there is one row per island, and no island meets another.
     """
-    islands = order_islands(orders)
-    start = F.unix_date("IslandStart")
-    none = F.lit(None)
-    events = islands.select("CustomerID", "IslandEnd", none.cast("int").alias("_start"),
-                            (F.unix_date("IslandEnd") + max(min_days, 1)).alias("_day")).unionByName(
-        islands.select("CustomerID", none.cast("date").alias("IslandEnd"), start.alias("_start"), start.alias("_day")))
+    start, none = F.unix_date("IslandStart"), F.lit(None)
+    question = F.struct(F.col("IslandEnd"), none.cast("int").alias("_start"),
+                        (F.unix_date("IslandEnd") + max(min_days, 1)).alias("_day"))
+    island = F.struct(none.cast("date").alias("IslandEnd"), start.alias("_start"), start.alias("_day"))
+    events = order_islands(orders).select("CustomerID", F.inline(F.array(question, island)))
     later = Window.partitionBy("CustomerID").orderBy("_falling").rangeBetween(Window.unboundedPreceding, 0)
     end = F.unix_date("IslandEnd")
     return (events.withColumn("_falling", -F.col("_day")).select(
@@ -172,7 +171,8 @@ def _category_buyers(fact: DataFrame, dim_product: DataFrame, categories: list[s
 
 def buyer_segments(fact: DataFrame, dim_product: DataFrame, wanted: str, other: str) -> DataFrame:
     """Buyers of ``wanted`` but never ``other``, and buyers of both, by set operators."""
-    buyers = _category_buyers(fact, dim_product, [wanted, other])
+    # Written, as each of the four sets would join all sales again.
+    buyers = materialize(_category_buyers(fact, dim_product, [wanted, other]), "buyers")
     has_wanted = buyers.where(F.col("CategoryName") == wanted).select("CustomerKey")
     has_other = buyers.where(F.col("CategoryName") == other).select("CustomerKey")
     only, both = F.lit(f"{wanted} only").alias("Segment"), F.lit("Bought both").alias("Segment")
