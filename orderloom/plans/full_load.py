@@ -22,9 +22,24 @@ from orderloom.sources.tables import Entry, TableStore
 Sources = dict[str, DataFrame]
 
 
+# The retail tables that the load of a table reads, and the tables of the star schema that have to be there before it.
+NEEDS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "DimDate": ((), ()),
+    "DimCustomer": (("Customers",), ()),
+    "DimProduct": (("Products", "Categories", "Suppliers"), ()),
+    "DimEmployee": (("Employees",), ()),
+    "DimGeography": (("ShippingAddresses",), ()),
+    "FactSales": (("OrderDetails", "Orders", "ShippingAddresses"),
+                  ("DimDate", "DimCustomer", "DimProduct", "DimEmployee", "DimGeography")),
+    "FactInventorySnapshot": (("Inventory", "Products"), ("DimDate", "DimProduct")),
+    "FactReturns": (("Returns", "OrderDetails", "Orders"), ("DimDate", "DimCustomer", "DimProduct")),
+}
+
+
 @dataclass(frozen=True)
 class LoadStep:
     name: str
+    table: str
     run: Callable[[], None]
 
 
@@ -96,9 +111,10 @@ def _load_sales(store: TableStore, oltp: Sources, as_of: datetime) -> None:
         store.read("DimProduct"), store.read("DimEmployee"), store.read("DimGeography"))
     calendar = store.read("DimDate")
     if not store.exists("FactSales"):
-        fresh = facts.first_sales(source, oltp["OrderDetails"], as_of)
+        # Rows are gathered by month before they get what follows from their other columns.
+        fresh = facts.first_sales(_by_month(source), oltp["OrderDetails"], as_of)
         counted, broken = checks.watched("FactSales", STAR["FactSales"], fresh)
-        version = store.stage("FactSales", _by_month(counted), [facts.SALES_MONTH])
+        version = store.stage("FactSales", counted, [facts.SALES_MONTH])
         written = store.staged("FactSales", version)
         facts.require_dates(written, calendar)  # the other references follow
         parents = {name: df for name, df in _parents(store, "FactSales").items() if name != "DimDate"}
@@ -140,13 +156,13 @@ def _load_snapshot(store: TableStore, oltp: Sources, as_of: datetime) -> None:
 def load_steps(store: TableStore, oltp: Sources, as_of: datetime, calendar: tuple[date, date]) -> list[LoadStep]:
     """The steps in the order their tables depend on each other."""
     return [
-        LoadStep("DimDate", lambda: _load_date(store, as_of, *calendar)),
-        LoadStep("DimCustomer", lambda: _load_customer(store, oltp, as_of)),
-        LoadStep("DimProduct", lambda: _load_product(store, oltp, as_of)),
-        LoadStep("DimEmployee", lambda: _load_employee(store, oltp, as_of)),
-        LoadStep("DimGeography", lambda: _load_geography(store, oltp, as_of)),
-        LoadStep("FactSales", lambda: _load_sales(store, oltp, as_of)),
-        LoadStep("FactInventory", lambda: _load_snapshot(store, oltp, as_of)),
+        LoadStep("DimDate", "DimDate", lambda: _load_date(store, as_of, *calendar)),
+        LoadStep("DimCustomer", "DimCustomer", lambda: _load_customer(store, oltp, as_of)),
+        LoadStep("DimProduct", "DimProduct", lambda: _load_product(store, oltp, as_of)),
+        LoadStep("DimEmployee", "DimEmployee", lambda: _load_employee(store, oltp, as_of)),
+        LoadStep("DimGeography", "DimGeography", lambda: _load_geography(store, oltp, as_of)),
+        LoadStep("FactSales", "FactSales", lambda: _load_sales(store, oltp, as_of)),
+        LoadStep("FactInventory", "FactInventorySnapshot", lambda: _load_snapshot(store, oltp, as_of)),
     ]
 
 
@@ -178,14 +194,25 @@ def run_full_load(store: TableStore, oltp: Sources, as_of: datetime, calendar: t
     their table is not published.
     """
     for step in load_steps(store, oltp, as_of, calendar):
+        _run(store, step, as_of)
+
+
+def run_step(store: TableStore, oltp: Sources, as_of: datetime, calendar: tuple[date, date], table: str) -> None:
+    """The step of a full load that loads ``table``; what it needs (``NEEDS``) has been loaded before."""
+    for step in load_steps(store, oltp, as_of, calendar):
+        if step.table == table:
+            _run(store, step, as_of)
+
+
+def _run(store: TableStore, step: LoadStep, as_of: datetime) -> None:
+    try:
+        step.run()
+    except Exception as error:
         try:
-            step.run()
-        except Exception as error:
-            try:
-                log_failure(store, f"usp_ETL_RunFullLoad - failed at step: {step.name}", error, as_of)
-            except Exception as unlogged:  # the first error is the one to be seen
-                error.add_note(f"not logged: {unlogged}")
-            raise
+            log_failure(store, f"usp_ETL_RunFullLoad - failed at step: {step.name}", error, as_of)
+        except Exception as unlogged:  # the first error is the one to be seen
+            error.add_note(f"not logged: {unlogged}")
+        raise
 
 
 def load_returns(store: TableStore, oltp: Sources, refunds: DataFrame | None, as_of: datetime) -> None:

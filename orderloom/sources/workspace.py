@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from threading import RLock
@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from orderloom.model import OLTP
 from orderloom.plans import orders as order_jobs
 from orderloom.plans import returns as return_jobs
-from orderloom.plans.full_load import load_returns, run_full_load
-from orderloom.session import materialize, scratch_path
+from orderloom.plans.full_load import NEEDS, load_returns, run_step
+from orderloom.session import bound_tasks, materialize, scratch_path
 from orderloom.sources import adapter
 from orderloom.sources.tables import TableStore
 
 # The moments of the first and the second load; both lie after every order and inside the calendar.
 FIRST_LOAD = datetime(2001, 12, 1)
 SECOND_LOAD = datetime(2001, 12, 2)
+SOURCES = ("OrderDetails", "Categories", "Customers", "ShippingAddresses", "Employees", "Suppliers", "Inventory",
+           "Products", "Orders")
 T = TypeVar("T")
 _opened: dict[tuple[str, str], "Workspace"] = {}
 _lock = RLock()
@@ -35,6 +37,7 @@ class Workspace:
         self.store = TableStore(spark, scratch_path(spark, "star"))
         self._made: dict[str, object] = {}
         self._turns: dict[str, RLock] = {}
+        self._loading = RLock()
 
     def once(self, name: str, make: Callable[[], T]) -> T:
         """The result of ``make``, which runs on the first call for ``name`` only."""
@@ -79,10 +82,8 @@ class Workspace:
         columns = [f.name for f in OLTP[name].schema.fields]
         return self.once(name, lambda: materialize(self._make(name).select(*columns), name))
 
-    def oltp(self) -> dict[str, DataFrame]:
-        """The tables the star schema is loaded from. Tables that do not need each other are made side by side."""
-        names = ["OrderDetails", "Categories", "Customers", "ShippingAddresses", "Employees", "Suppliers", "Inventory",
-                 "Products", "Orders"]
+    def oltp(self, names: Sequence[str] = SOURCES) -> dict[str, DataFrame]:
+        """Tables the star schema is loaded from. Tables that do not need each other are made side by side."""
         with ThreadPoolExecutor(4) as pool:
             return dict(zip(names, pool.map(self.table, names)))
 
@@ -93,18 +94,26 @@ class Workspace:
         return date(span["low"], 1, 1), date(max(span["high"], SECOND_LOAD.year), 12, 31)
 
     def star(self, name: str) -> DataFrame:
-        """A table of the star schema after the first full load."""
-        self.once("star", lambda: run_full_load(self.store, self.oltp(), FIRST_LOAD, self.calendar()))
-        if name == "FactReturns":
-            sources = {**self.oltp(), "Returns": self.table("Returns")}
-            self.once("return facts", lambda: load_returns(self.store, sources, None, FIRST_LOAD))
+        """A table of the star schema after the first full load, of which only the steps it needs are run."""
+        with self._loading:
+            self._load(name)
         return self.store.read(name)
 
+    def _load(self, name: str) -> None:
+        reads, before = NEEDS[name]
+        for other in before:
+            self._load(other)
+        if name == "FactReturns":
+            self.once(name + " load", lambda: load_returns(self.store, self.oltp(reads), None, FIRST_LOAD))
+        else:
+            self.once(name + " load", lambda: run_step(self.store, self.oltp(reads), FIRST_LOAD, self.calendar(), name))
+
 
 def workspace(spark: SparkSession, directory: str) -> Workspace:
     """The one workspace of this session for a data directory."""
     key = (spark.sparkContext.applicationId, directory)
     with _lock:
         if key not in _opened:
+            bound_tasks(spark)
             _opened[key] = Workspace(spark, directory)
         return _opened[key]

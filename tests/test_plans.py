@@ -5,12 +5,14 @@ import re
 from contextlib import redirect_stdout
 
 import pytest
-from shop import DATA
+from shop import DATA, rows
 
 from orderloom.operators import skew
-from orderloom.plans import analytics
+from orderloom.plans import analytics, facts, full_load
 from orderloom.registry import all_queries
-from orderloom.sources.workspace import workspace
+from orderloom.session import bound_tasks
+from orderloom.sources.tables import TableStore
+from orderloom.sources.workspace import FIRST_LOAD, SECOND_LOAD, Workspace, workspace
 
 QUERIES = all_queries()
 
@@ -76,3 +78,55 @@ def test_no_python_and_no_pairs_of_everything(spark, name):
     text = plan(QUERIES[name](spark, DATA))
     for word in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "NestedLoop"):
         assert word not in text
+
+
+def test_a_dimension_does_not_load_the_facts(spark):
+    """inventory_snapshot_merge and fact_sales_merge ask for dimensions only."""
+    shop = Workspace(spark, DATA)
+    assert shop.star("DimProduct").count() and shop.star("DimGeography").count()
+    assert not shop.store.exists("FactSales") and "order lines" not in shop._made
+    assert shop.star("FactInventorySnapshot").count() and not shop.store.exists("FactSales")
+
+
+def test_sales_get_their_keys_behind_the_shuffle_by_month(spark, shop_star, monkeypatch):
+    """What follows from other columns is not shuffled with the first load of the sales."""
+    plans = {}
+
+    def seen(store, name, df, *args, **kwargs):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        raise InterruptedError
+    monkeypatch.setattr(TableStore, "stage", seen)
+    monkeypatch.setattr(TableStore, "exists", lambda store, name: name != "FactSales")
+    with pytest.raises(InterruptedError):
+        full_load._load_sales(shop_star.store, shop_star.oltp(), FIRST_LOAD)
+    gathered = plans["FactSales"].split("RebalancePartitions")[1]
+    assert "SalesMonth" in gathered and "SalesKey" not in gathered
+
+
+def test_merged_sales_shuffle_no_key_they_do_not_use(shop_star):
+    fact = shop_star.star("FactSales").drop(facts.SALES_MONTH)
+    source = fact.drop("SalesKey", "LoadedAt")
+    merged = facts.merge_sales(fact, source, shop_star.table("OrderDetails"), SECOND_LOAD)
+    joined = merged._jdf.queryExecution().optimizedPlan().toString().split("Join FullOuter")[1]
+    assert joined.count("AS SalesKey#") == 0
+    assert rows(merged) == rows(fact)
+
+
+def test_set_operators_join_the_sales_once(shop_star):
+    frame = analytics.buyer_segments(shop_star.star("FactSales"), shop_star.star("DimProduct"), "ECONOMY", "PROMO")
+    assert "ProductKey" not in plan(frame)
+
+
+def test_counted_gaps_find_the_islands_once(shop_star):
+    assert plan(analytics.gaps_counted(shop_star.table("Orders"))).count("Scan parquet") == 2  # tree and details
+
+
+def test_tasks_of_a_workspace_are_bounded_unless_the_session_says_otherwise(spark):
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    other = spark.newSession()
+    other.conf.set(sizes[1], "32m")
+    bound_tasks(other)
+    assert [other.conf.get(name) for name in sizes] == ["16m", "32m"]
+    plain = spark.newSession()
+    bound_tasks(plain)
+    assert [plain.conf.get(name) for name in sizes] == ["16m", "8m"]
