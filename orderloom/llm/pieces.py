@@ -25,16 +25,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderloom.llm.common import whole_text
+from orderloom.session import bound_batches
 
 SPACE = "▁"
-# Characters of text that share a list of units.
-BLOCK_CHARS = 8 << 20
+# Characters of text that share a list of units. A task holds a few dozen bytes for each distinct word of a block.
+BLOCK_CHARS = 4 << 20
+# Ids, and bytes that they stand for, of the documents that are put together at a time; one document has its own.
+_JOINED = 1 << 17
 # Of a long text so many characters are cut into words at a time.
 _SLICE = 1 << 16
 # Partitions (as bits) whose places of a unit are listed together.
 _SHARD_BITS = 14
 # Distinct units, and blocks, beyond which a task begins new rows for the units of its next block.
-_LISTED_UNITS, _LISTED_BLOCKS = 500_000, 256
+_LISTED_UNITS, _LISTED_BLOCKS = 250_000, 256
 # A place where a unit is listed: its number in the list of a block.
 _PLACE = np.dtype([("number", "<u4"), ("of", "<i8")])
 # Units of more characters than a fold has bits for are encoded one by one.
@@ -516,31 +519,34 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_chars: int = BLOCK_CHA
     repeat give rows that repeat; an empty table gives none; other columns are not looked at. Characters that the
     vocabulary lacks become their bytes, or the id for the unknown if it has no bytes either.
     """
+    bound_batches(docs.sparkSession)
     blocks = _blocks(docs, vocabulary, block_chars)  # one exchange, which both readers below take all columns of
     # One exchange brings a unit's places together; a shard holds so few blocks that the list stays short.
     places = _listed(blocks).repartition("unit", "shard").groupBy("unit", "shard").agg(
         F.collect_list("at").alias("places"))
     encoded = _folded(places, vocabulary).select(F.explode("places").alias("at"), "ids")
-    pieces, prefix = vocabulary.texts, vocabulary.dummy_prefix
+    prefix = vocabulary.dummy_prefix
+    data = np.frombuffer(b"".join(vocabulary.texts), np.uint8)
+    data_ends = np.concatenate(([0], np.cumsum([len(t) for t in vocabulary.texts])))
 
     def put_together(blocks_: pa.Table, lists_: pa.Table) -> pa.Table:
-        rows, doc_ids, found, texts = [], [], [], []
+        out = []
         for block in blocks_.to_pylist():  # one row
             flat, ends = _word_lists(_unpacked(block["made"]), lists_)
             n, seq = len(block["doc_ids"]), _unpacked(block["seq"])
-            for at, numbers in enumerate(np.split(seq[n:], np.cumsum(seq[:n].astype(np.int64))[:-1])):
-                rows.append(block["first"] + at)
-                found.append(_gathered(flat, ends, numbers)[0].astype(np.int32))
+            cuts = np.concatenate(([0], np.cumsum(seq[:n].astype(np.int64))))
+            seq, first = seq[n:], 0
+            while first < n:
+                last = max(first + 1, int(np.searchsorted(cuts, cuts[first] + _JOINED, "right")) - 1)
+                ids, sizes = _gathered(flat, ends, seq[cuts[first]:cuts[last]])
+                at = np.concatenate(([0], np.cumsum(sizes)))[cuts[first:last + 1] - cuts[first]]
+                found = [pa.array(np.arange(first, last) + block["first"]), pa.array(block["doc_ids"][first:last], pa.int64()),
+                         pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))]
                 if decoded:
-                    texts.append(_text(found[-1].tolist(), pieces, prefix))
-            doc_ids += block["doc_ids"]
-        ends = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
-        out = {"row": pa.array(rows, pa.int64()), "doc_id": pa.array(doc_ids, pa.int64()),
-               "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(
-                   np.concatenate([np.zeros(0, np.int32), *found]), pa.int32()))}
-        if decoded:
-            out["text"] = pa.array(texts, pa.string())
-        return pa.table(out)
+                    found.append(pa.array(_texts(data, data_ends, ids, at, prefix), pa.string()))
+                out.append(pa.RecordBatch.from_arrays(found, ["row", "doc_id", "ids", "text"][:len(found)]))
+                first = last
+        return pa.Table.from_batches(out)
     return blocks.groupBy("block").cogroup(_list_rows(encoded).groupBy("of")).applyInArrow(
         put_together, "row bigint, doc_id bigint, ids array<int>" + (", text string" if decoded else ""))
 
@@ -578,8 +584,25 @@ def _gathered(flat: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[
 
 
 def _text(ids: list[int], pieces: tuple[bytes, ...], prefix: bool) -> str:
-    whole = b"".join([pieces[i] for i in ids if 0 <= i < len(pieces)]).decode("utf-8", "replace").replace(SPACE, " ")
-    return whole[1:] if prefix and whole.startswith(" ") else whole
+    return _shown(b"".join([pieces[i] for i in ids if 0 <= i < len(pieces)]), prefix)
+
+
+def _texts(data: np.ndarray, ends: np.ndarray, ids: np.ndarray, at: np.ndarray, prefix: bool) -> list[str]:
+    """The texts that ids[at[i]:at[i + 1]] stand for, where id i stands for the bytes data[ends[i]:ends[i + 1]]."""
+    out, first = [], 0
+    while first < len(at) - 1:
+        last = max(first + 1, int(np.searchsorted(at, at[first] + _JOINED, "right")) - 1)
+        found, sizes = _gathered(data, ends, ids[at[first]:at[last]])
+        cuts = np.concatenate(([0], np.cumsum(sizes)))[at[first:last + 1] - at[first]].tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            out.append(_shown(found[a:b].tobytes(), prefix))
+        first = last
+    return out
+
+
+def _shown(whole: bytes, prefix: bool) -> str:
+    text = whole.decode("utf-8", "replace").replace(SPACE, " ")
+    return text[1:] if prefix and text.startswith(" ") else text
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "text") -> DataFrame:

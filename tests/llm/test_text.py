@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,6 +36,44 @@ def test_encoding_is_the_librarys(docs, vocabulary, block_chars):
     assert found == sorted((i, x, model.decode(x)) for i, x in ids)
 
 
+def test_texts_are_put_together_some_at_a_time(vocabulary, monkeypatch):
+    rng = random.Random(3)
+    lists = [[rng.randrange(len(vocabulary.texts)) for _ in range(n)] for n in (0, 3, 40, 0, 1, 7, 0)]
+    ends, at = (np.concatenate(([0], np.cumsum([len(x) for x in found]))) for found in (vocabulary.texts, lists))
+    data = np.frombuffer(b"".join(vocabulary.texts), np.uint8)
+    for joined in (1, 5, 1000):
+        monkeypatch.setattr(pieces, "_JOINED", joined)
+        for prefix in (False, True):
+            assert pieces._texts(data, ends, np.array(sum(lists, [])), at, prefix) == [
+                pieces._text(x, vocabulary.texts, prefix) for x in lists]
+
+
+def test_memory_of_a_block_is_bounded(vocabulary):
+    """A task holds two dictionaries of the words of one block, at worst all of them different."""
+    rng = random.Random(5)
+    block = pieces._Block(vocabulary)
+    tracemalloc.start()
+    while block.chars < pieces.BLOCK_CHARS:
+        block.add(1, " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(5000)))
+    block.row(0, 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 180 << 20
+
+
+def test_rows_go_to_python_by_the_thousand(spark, docs, vocabulary):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    try:
+        spark.conf.unset(name)
+        pieces.encode(docs((1, "a")), vocabulary)
+        assert spark.conf.get(name) == "1000"
+        spark.conf.set(name, "77")
+        pieces.encode(docs((1, "a")), vocabulary)
+        assert spark.conf.get(name) == "77"
+    finally:
+        spark.conf.unset(name)
+
+
 def test_encoding_of_an_empty_table(docs, vocabulary):
     assert pieces.encode(docs((1, "a")).where("doc_id = 2"), vocabulary).count() == 0
 
