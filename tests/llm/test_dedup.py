@@ -279,3 +279,16 @@ def test_factors_and_smaller_positions_equal_brute_force():
                 j -= 1
             whole = j >= 0 and min(common[j + 1:i + 1]) >= length
             assert found[i] == (j if whole else -1)
+
+
+def test_the_last_place_in_order_keeps_its_match():
+    """Strings that do not count and come after the last one that does are not between any two."""
+    factors, matched = suffix_dedup.longest_factors(
+        np.frombuffer(b"aab", np.uint8), np.arange(3), np.array([True, True, False]), 1)
+    assert factors.tolist() == [0, 1, 0] and matched.tolist() == [True, False, False]
+
+
+def test_places_needed_are_those_that_later_steps_look_up():
+    counts = np.zeros(40, bool)
+    counts[3] = True
+    assert [np.flatnonzero(x).tolist() for x in suffix_dedup._needed(counts, [7, 6])] == [[3, 9, 10, 16], [3, 9], [3]]
