@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from orderloom.llm.common import kept_rows, sized, text_key, whole_text
 from orderloom.llm.hashing import mixed, polynomials, random_words
-from orderloom.session import materialize, release
+from orderloom.session import bound_batches, materialize, release, shuffles_removed
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -181,7 +181,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
 
 
 def components(links: DataFrame, label: str = "components") -> DataFrame:
-    """(node, component) for all nodes of (a, b) links: the smallest node that can be reached.
+    """(node, component, old) for all nodes of (a, b) links: the smallest node that can be reached, twice.
 
     In each round a node takes the smallest label among its neighbours, and then the label of its label, so the
     number of rounds grows with the logarithm of the longest path. Minima are taken before rows are moved, and a
@@ -197,9 +197,11 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         jump = labels.select(F.col("node").alias("at"), F.col("component").alias("then"))
         after = materialize(lower.join(jump, F.col("new") == F.col("at"), "left").select(
             "node", F.least("new", F.coalesce("then", "new")).alias("component"), "old"), label)
+        release(labels)
+        labels = after
         if after.where("component <> old").isEmpty():
-            return after.select("node", "component")
-        labels = after.select("node", "component")
+            release(both)
+            return after
 
 
 def _tables(values: DataFrame, bands: int) -> DataFrame:
@@ -217,13 +219,14 @@ def _tables(values: DataFrame, bands: int) -> DataFrame:
         F.collect_list(F.when(F.col("place") >= bands, F.col("value"))).alias("second"))
     pairs = F.flatten(F.transform("first", lambda x: F.transform("second", lambda y: F.xxhash64(x, y))))
     keys = materialize(held.select("node", F.explode(pairs).alias("key")), "keys")
+    release(spread, shared)
     members = keys.groupBy("key").agg(
         F.min("node").alias("low"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("one"),
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("two")).where("size > 1")
     chosen = materialize(members.groupBy("low", "size", "one", "two").agg(F.min("key").alias("key")).select("key"),
                          "chosen-keys")
     tables = materialize(keys.join(chosen, "key", "left_semi").select("key", "node"), "tables")
-    release(spread, shared, keys, chosen)
+    release(keys, chosen)
     return tables
 
 
@@ -271,7 +274,10 @@ def _possible(groups: DataFrame, facts: DataFrame, similarity: float) -> DataFra
                         "possible")
     split = alive.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         "low < high").select("key")
-    return materialize(alive.join(materialize(split, "split-keys"), "key", "left_semi"), "possible-groups")
+    split = materialize(split, "split-keys")
+    possible = materialize(alive.join(split, "key", "left_semi"), "possible-groups")
+    release(small, alive, split)
+    return possible
 
 
 def _split_groups(tables: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -283,7 +289,10 @@ def _split_groups(tables: DataFrame, labels: DataFrame | None) -> DataFrame:
         "key", "node", F.coalesce("component", "node").alias("component")), "named")
     split = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         "low < high").select("key")
-    return materialize(named.join(materialize(split, "split-keys"), "key", "left_semi"), "split-groups")
+    split = materialize(split, "split-keys")
+    groups = materialize(named.join(split, "key", "left_semi"), "split-groups")
+    release(named, split)
+    return groups
 
 
 def _with_leaders(groups: DataFrame, weights: DataFrame, turn: int) -> DataFrame:
@@ -408,36 +417,45 @@ def _left_over(groups: DataFrame, weights: DataFrame, sets: DataFrame, similarit
     compared = _from_centers(nodes.where("center IS NOT NULL"), sets).drop("center")
     lacking = F.ceil(least * (F.col("n") + F.col("least_n")) / (100 + least)) - F.col("shared")
     far = materialize(compared.join(nodes, "node").withColumn("lacking", lacking).where("lacking >= 1").select(
-        "node", "component", "n", "r", "outside", "lacking"), "far")
+        "node", "outside", "lacking"), "far")
     near = materialize(groups.join(far.select("node"), "node", "left_anti"), "near")
     rows = materialize(_shingle_rows(sets.join(nodes.select("node"), "node", "left_semi")), "left-over-shingles")
-    outside = far.withColumn("size", F.size("outside")).select(
-        F.col("node").alias("x"), F.col("component").alias("of_x"), F.col("n").alias("n_x"), F.col("r").alias("r_x"),
-        "size", "lacking", F.explode("outside").alias("shingle"))
+    outside = far.select(F.col("node").alias("x"), (F.size("outside") - F.col("lacking") + 1).alias("most"),
+                         F.explode("outside").alias("shingle")).where("most > 0")
     counts = rows.groupBy("shingle").agg(F.count("*").alias("times"))
     place = F.row_number().over(Window.partitionBy("x").orderBy("times", "shingle"))
-    rare = outside.join(counts, "shingle").withColumn("place", place).where(
-        F.col("place") <= F.col("size") - F.col("lacking") + 1)
-    y = nodes.select(F.col("node").alias("y"), F.col("component").alias("of_y"), F.col("n").alias("n_y"),
-                     F.col("r").alias("r_y"))
-    met = rare.select("x", "of_x", "n_x", "r_x", "shingle").join(
-        rows.withColumnRenamed("node", "y"), "shingle").where("x <> y").drop("shingle").distinct().join(y, "y").where(
-            (F.col("of_x") != F.col("of_y"))
-            & _can_link(F.col("r_x"), F.col("r_y"), F.col("n_x"), F.col("n_y"), similarity))
+    # Written before they are looked up, so that the files of their sorting are gone by then.
+    rare = materialize(outside.join(counts, "shingle").withColumn("place", place).where(
+        (F.col("place") <= F.col("most")) & (F.col("times") > 1)).select("x", "shingle"), "rare-shingles")
+    met = materialize(rare.join(rows.withColumnRenamed("node", "y"), "shingle").where("x <> y").select(
+        "x", "y").distinct(), "met")
+    known = nodes.select("node", "component", "n", "r")
+    x, y = (known.select(*[F.col(c).alias(f"{c}_{of}") for c in known.columns]) for of in "xy")
+    met = met.join(x, F.col("x") == F.col("node_x")).join(y, F.col("y") == F.col("node_y")).where(
+        (F.col("component_x") != F.col("component_y"))
+        & _can_link(F.col("r_x"), F.col("r_y"), F.col("n_x"), F.col("n_y"), similarity))
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     return pairs.unionByName(_near_centers(near, sets, similarity)).distinct()
 
 
 def _linked(docs: DataFrame, size: int, similarity: float, bands: int, width: int) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, kept, survivor."""
+    bound_batches(docs.sparkSession)
+    with shuffles_removed(docs.sparkSession):
+        return _found(docs, size, similarity, bands, width)
+
+
+def _found(docs: DataFrame, size: int, similarity: float, bands: int, width: int) -> DataFrame:
     texts = docs.select("doc_id", text_key().alias("text_key"), whole_text().alias("text"))
-    rows = materialize(_signatures(texts, size, bands, width).withColumn("row", F.monotonically_increasing_id()),
-                       "signatures")
+    signed = materialize(_signatures(texts, size, bands, width).withColumn("row", F.monotonically_increasing_id()),
+                         "signatures")
+    rows = materialize(signed.drop("values"), "rows")
     same = ["n", "own", "other"]
     nodes = materialize(rows.where("n > 0").groupBy(*same).agg(
         F.min("row").alias("node"), F.min("doc_id").alias("least_id")), "nodes")
-    values = rows.select("row", "values").join(nodes.select("node"), F.col("row") == F.col("node"))
+    values = signed.select("row", "values").join(nodes.select("node"), F.col("row") == F.col("node"))
     tables = _tables(values.select("node", "values"), bands)
+    release(signed)
     # Full sets of the nodes that have a candidate; one document's text gives a node's set.
     wanted = materialize(nodes.join(tables.select("node").distinct(), "node", "left_semi"), "candidates")
     ids = materialize(wanted.select(F.col("least_id").alias("wanted_id")).distinct(), "candidate-ids")
@@ -445,17 +463,19 @@ def _linked(docs: DataFrame, size: int, similarity: float, bands: int, width: in
     sets = _sets_of(found.select("text"), size).dropDuplicates(["own", "other"])
     sets = materialize(sets.join(wanted.select("node", "own", "other"), ["own", "other"]).select("node", "shingles"),
                        "sets")
+    release(ids)
     links, labels = None, None
     facts = wanted.select("node", "n", F.col("n").alias("r"))
     weights = materialize(tables.groupBy("node").agg(F.count("*").alias("weight")), "weights")
     for turn in range(ROUNDS + 2):
-        groups = _split_groups(tables, labels)
+        split = groups = _split_groups(tables, labels)
         if turn == 1:
             alone = materialize(_shared_parts(groups.select("node").distinct(), sets), "alone")
             facts = materialize(facts.join(alone, "node", "left").select(
                 "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("r")), "facts")
         if turn:
-            groups = _possible(groups, facts, similarity)
+            groups = _possible(split, facts, similarity)
+            release(split)
             if groups.isEmpty():
                 break
         elif ROUNDS == 0:
@@ -467,11 +487,17 @@ def _linked(docs: DataFrame, size: int, similarity: float, bands: int, width: in
         else:
             pairs = _left_over(groups, weights, sets, similarity)
         new = materialize(_confirmed(_fitting(pairs, facts, similarity), sets, similarity), "links")
-        if turn and new.isEmpty():
-            continue
+        if turn:
+            release(groups)
+            if new.isEmpty():
+                continue
         links = new if links is None else links.union(new)
+        if labels is not None:
+            release(labels)
         labels = components(links)
-    marked = nodes.join(labels.withColumnRenamed("node", "labelled"), F.col("node") == F.col("labelled"), "left")
+    release(tables, weights, sets)
+    labels = labels.select(F.col("node").alias("labelled"), "component")
+    marked = nodes.join(labels, F.col("node") == F.col("labelled"), "left")
     marked = materialize(marked.select(*same, F.coalesce("component", "node").alias("component")), "marked")
     described = rows.select("row", "doc_id", "text_key", *same).join(marked, same, "left").select(
         "row", "doc_id", "text_key", "n", F.coalesce("component", F.col("row")).alias("component"))

@@ -4,12 +4,14 @@ import collections
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from orderloom.llm import exact_dedup, hashing, near_dedup, suffix_dedup
+from orderloom.session import shared_dir
 
 
 def brute_groups(rows):
@@ -292,3 +294,16 @@ def test_places_needed_are_those_that_later_steps_look_up():
     counts = np.zeros(40, bool)
     counts[3] = True
     assert [np.flatnonzero(x).tolist() for x in suffix_dedup._needed(counts, [7, 6])] == [[3, 9, 10, 16], [3, 9], [3]]
+
+
+def test_near_duplicates_leave_little_behind(spark, docs):
+    """Tables and shuffle files of the steps before go while the job runs, and the session's setting stays."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    folder = Path(shared_dir(spark), "orderloom", spark.sparkContext.applicationId)
+    before, setting = set(folder.glob("*")), spark.conf.get(name, None)
+    text = "one two three four five six seven eight nine ten"
+    assert near_dedup.near_duplicates(docs((1, text), (2, text + " x"), (3, "else")), 2).count() == 3
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before}
+    assert not left & {"signatures", "bands", "shared-bands", "keys", "chosen-keys", "tables", "sets", "named",
+                       "split-groups", "possible", "components-links"}
+    assert spark.conf.get(name, None) == setting
