@@ -37,7 +37,8 @@ ROUNDS, LEADERS = 3, 4
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _MASK = (1 << 64) - 1
-_SLICE = 1 << 20
+# Bytes worked on at a time; what a Python worker keeps of the memory afterwards grows with it.
+_SLICE = 1 << 18
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -70,7 +71,7 @@ def _piece_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     """For each text the sorted distinct hashes of its runs of ``size`` words, or of all its words if they are fewer.
 
-    Texts are laid one after the other with a space between them and worked on a megabyte at a time.
+    Texts are laid one after the other with a space between them and worked on a quarter of a megabyte at a time.
     """
     out: list[np.ndarray] = []
     held: list[bytes] = []

@@ -296,6 +296,17 @@ def test_places_needed_are_those_that_later_steps_look_up():
     assert [np.flatnonzero(x).tolist() for x in suffix_dedup._needed(counts, [7, 6])] == [[3, 9, 10, 16], [3, 9], [3]]
 
 
+def test_sets_do_not_depend_on_how_much_is_worked_on_at_a_time(monkeypatch):
+    """A quarter of a megabyte, as workers keep what they took."""
+    assert near_dedup._SLICE <= 1 << 18
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices("abcdefg", k=rng.randrange(60))).encode() for _ in range(30)] + [b"x" * 300, b""]
+    whole = near_dedup.shingle_sets(texts, 2)
+    for size in (1, 7, 100):
+        monkeypatch.setattr(near_dedup, "_SLICE", size)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, near_dedup.shingle_sets(texts, 2), strict=True))
+
+
 def test_near_duplicates_leave_little_behind(spark, docs):
     """Tables and shuffle files of the steps before go while the job runs, and the session's setting stays."""
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
