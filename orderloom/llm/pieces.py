@@ -34,12 +34,15 @@ BLOCK_CHARS = 4 << 20
 _JOINED = 1 << 17
 # Of a long text so many characters are cut into words at a time.
 _SLICE = 1 << 16
-# Partitions (as bits) whose places of a unit are listed together.
-_SHARD_BITS = 14
-# Distinct units, and blocks, beyond which a task begins new rows for the units of its next block.
-_LISTED_UNITS, _LISTED_BLOCKS = 250_000, 256
-# A place where a unit is listed: its number in the list of a block.
-_PLACE = np.dtype([("number", "<u4"), ("of", "<i8")])
+# Blocks of a task, and units of a block, as bits. A place where a unit is listed is one number: the block from the high
+# bits on, and the unit's number in it.
+_BLOCK_BITS, _NUMBER_BITS = 16, 28
+# Partitions whose places of a unit are listed together, and the buckets that they deal their units to, as bits.
+_SHARD_BITS, _BUCKET_BITS = 14, 10
+# Places that are packed together, to be moved back to their blocks.
+_PACKED_PLACES = 400_000
+# The characters of a piece that tell how long those that begin with them are at most.
+_HEAD = 3
 # Units of more characters than a fold has bits for are encoded one by one.
 FOLD_CHARS = 60
 _UNKNOWN = (1 << 21) - 1
@@ -182,11 +185,13 @@ def _best_path(unit: str, vocabulary: Vocabulary) -> list[str]:
     return out[::-1]
 
 
-# One row per block: the ids of its documents, how many words each has and which, how words are made of units, and the
-# units, their sizes apart. ``first`` is the number of its first document.
-_BLOCKS = ("block bigint, first bigint, doc_ids array<bigint>, seq binary, made binary, sizes binary, units binary")
-_BLOCK_NAMES = [c.split()[0] for c in _BLOCKS.split(", ")]
-_BLOCK_TYPES = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+# Rows of blocks, whose key is the block and not negative, and rows of the units that a block has in a bucket, with the
+# place of the first one and the units with spaces between, which none of them holds.
+_BLOCKS = "key bigint, at bigint, data binary"
+_BLOCK_NAMES = ["key", "at", "data"]
+# A block: the number of its first document, the ids of its documents, how many words each has and which, and how words
+# are made of units.
+_BLOCK = pa.schema([("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("seq", pa.binary()), ("made", pa.binary())])
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -233,8 +238,11 @@ class _Block:
         self.counts[-1] += len(words)
 
     def row(self, block: int, first: int) -> pa.RecordBatch:
-        """``made`` has how many words, units that a fold can take and longer units there are, for each word how many
-        units it has, the units' numbers, and for each longer unit its ids, counted and listed."""
+        """The row of the block and those of its units, which are numbered bucket by bucket.
+
+        ``made`` has how many words, units that a fold can take and longer units there are, for each word how many
+        units it has, the units' numbers, and for each longer unit its ids, counted and listed.
+        """
         flat = np.concatenate([np.zeros(0, np.uint32), *self.numbers])
         self.numbers = []
         words: list[str] = [""] * (len(self.between) + len(self.units))
@@ -260,21 +268,38 @@ class _Block:
             numbers += [units[u] if len(u) <= FOLD_CHARS else -longer[u] for u in found]
         del words
         made = np.array(numbers, np.int64)
-        made[made < 0] = len(units) - 1 - made[made < 0]
+        del numbers
+        bucket = np.fromiter((zlib.crc32(u.encode()) for u in units), np.int64, len(units)) & (1 << _BUCKET_BITS) - 1
+        order = np.argsort(bucket, kind="stable")
+        number = np.empty(len(units), np.int64)
+        number[order] = np.arange(len(units))
+        long = made < 0
+        made[~long] = number[made[~long]]
+        made[long] = len(units) - 1 - made[long]
         ids = [encode_unit(u, self.vocabulary) for u in longer]
         head = [len(sizes), len(units), len(ids)]
-        data = [u.encode() for u in units]
-        values = (block, first, self.doc_ids, seq, _packed(np.concatenate((
-            head, sizes, made, np.fromiter(map(len, ids), np.int64, len(ids)), np.array(
-                [i for x in ids for i in x], np.int64)))),
-            _packed(np.fromiter(map(len, data), np.int64, len(data))), zlib.compress(b"".join(data), 1))
-        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, _BLOCK_TYPES)], _BLOCK_NAMES)
+        made = _packed(np.concatenate((head, sizes, made, np.fromiter(map(len, ids), np.int64, len(ids)), np.array(
+            [i for x in ids for i in x], np.int64))))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, _BLOCK) as out:
+            out.write_batch(pa.RecordBatch.from_arrays(
+                [pa.array([x], t) for x, t in zip((first, self.doc_ids, seq, made), _BLOCK.types)], schema=_BLOCK))
+
+        names, bucket = list(units), bucket[order]
+        names = [names[i] for i in order.tolist()]
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        data = [" ".join(names[a:b]).encode() for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(names)])]
+        shard = block >> _BLOCK_BITS + _SHARD_BITS
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.append(block, -1 - (shard << _BUCKET_BITS | bucket[cuts]))),
+             pa.array(np.append(block, block << _NUMBER_BITS | cuts)),
+             pa.array([sink.getvalue().to_pybytes(), *data], pa.binary())], _BLOCK_NAMES)
 
 
 def _blocks(docs: DataFrame, vocabulary: Vocabulary, block_chars: int) -> DataFrame:
-    """The documents in blocks, dealt out by block."""
+    """The documents in blocks, dealt out by block, and the units of the blocks, dealt out by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, first = TaskContext.get().partitionId() << 32, TaskContext.get().partitionId() << 40
+        block, first = TaskContext.get().partitionId() << _BLOCK_BITS, TaskContext.get().partitionId() << 40
         held = _Block(vocabulary)
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
@@ -285,44 +310,28 @@ def _blocks(docs: DataFrame, vocabulary: Vocabulary, block_chars: int) -> DataFr
         if held.doc_ids:
             yield held.row(block, first)
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    return source.mapInArrow(run, _BLOCKS).repartition("block")
+    return source.mapInArrow(run, _BLOCKS).repartition("key")
 
 
 def _listed(blocks: DataFrame) -> DataFrame:
-    """(unit, shard, at): the units of the blocks of a shard, and where they are listed: for each block that has the
-    unit its number and the unit's number in it. Blocks that come in the same task share rows, up to a number of
-    units."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, int] = {}
-        parts: list[tuple[int, np.ndarray]] = []
-        shard = None
-
-        def listed() -> pa.RecordBatch:
-            rows = np.concatenate([r for _, r in parts])
-            at = np.empty(len(rows), _PLACE)
-            at["of"] = np.repeat(np.array([b for b, _ in parts], np.int64), [len(r) for _, r in parts])
-            at["number"] = np.concatenate([np.arange(len(r), dtype=np.uint32) for _, r in parts])
-            ends = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(held))))) * _PLACE.itemsize
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.string()), pa.array(np.full(len(held), shard, np.int32)),
-                 pa.Array.from_buffers(pa.binary(), len(held), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(
-                     at[np.argsort(rows, kind="stable")].tobytes())])], ["unit", "shard", "at"])
-        for batch in batches:
-            for block, sizes, units in zip(*(batch.column(c) for c in ("block", "sizes", "units"))):
-                sizes, block = _unpacked(sizes.as_py()), block.as_py()
-                if not len(sizes):
-                    continue
-                if parts and (len(held) > _LISTED_UNITS or len(parts) >= _LISTED_BLOCKS or shard != block >> 32 + _SHARD_BITS):
-                    yield listed()
-                    held, parts = {}, []
-                shard = block >> 32 + _SHARD_BITS
-                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                texts = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(
-                    zlib.decompress(units.as_py()))).to_pylist()
-                parts.append((block, np.array([held.setdefault(u, len(held)) for u in texts], np.int64)))
-        if parts:
-            yield listed()
-    return blocks.mapInArrow(run, "unit string, shard int, at binary")
+    """(unit, key, places): the units of the blocks of a shard, and where they are listed.
+
+    Rows stay with their bucket, so grouping them moves nothing. Rows of blocks have no units; a condition on the key
+    instead would be worked out ahead of the exchange, which could then not be shared.
+    """
+    units = F.when(F.col("key") < 0, F.split(F.col("data").cast("string"), " "))
+    rows = blocks.select("key", "at", F.posexplode_outer(units).alias("number", "unit")).where("unit IS NOT NULL")
+    return rows.groupBy(F.xxhash64("unit").alias("hash"), "unit", "key").agg(
+        F.collect_list(F.col("at") + F.col("number")).alias("places")).drop("hash")
+
+
+def _head_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
+    """(head, reach): the length of the longest piece with these first characters; shorter pieces are left out."""
+    reach: dict[str, int] = {}
+    for piece in vocabulary.pieces:
+        if len(piece) >= _HEAD:
+            reach[piece[:_HEAD]] = max(len(piece), reach.get(piece[:_HEAD], 0))
+    return spark.createDataFrame(sorted(reach.items()), "head string, reach int")
 
 
 def _piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
@@ -360,21 +369,24 @@ def _id(edge: Column) -> Column:
 
 
 def _lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(unit, places, edges, odd) for distinct (unit, places): all matches of pieces as numbers, sorted, characters that
-    are no piece, and whether one of the pieces is disorderly. ``places`` is handed on as it is; units that have a "shard" are distinct with it.
+    """(unit, places, edges, odd) for rows (key, unit, places) that lie together by key: all matches of pieces as numbers,
+    sorted, characters that are no piece, and whether one of the pieces is disorderly. ``places`` is handed on as it is.
+    No match is looked for beyond the longest piece that begins with the same characters.
 
-    For a unigram model an edge is (number, score). Rows stay with their unit from the distinct on, so grouping the
-    edges again moves nothing; a hash leads the grouping key, as numbers are sorted faster than texts.
+    For a unigram model an edge is (number, score). Rows stay with their key, so grouping the edges again moves nothing,
+    and as the rows are numbered they come in the order of the groups.
     """
     if len(vocabulary.texts) >= _UNKNOWN:
         raise ValueError("the vocabulary has too many pieces")
-    n, shard = F.char_length("unit"), [c for c in units.columns if c == "shard"]
-    first = F.when((F.col("s") == 0) & (F.col("e") == 1), F.col("places"))
+    n, begins = F.char_length("unit"), (F.col("s") == 0) & (F.col("e") == 1)
+    units = units.select("key", "unit", "places", F.monotonically_increasing_id().alias("row"))
     # Only the first start carries the places.
-    starts = units.select("unit", *shard, F.explode(F.transform(F.sequence(F.lit(0), n - 1), lambda s: F.struct(
-        s.alias("s"), F.when(s == 0, F.col("places")).alias("places")))).alias("start")).select("unit", *shard, "start.*")
-    spans = starts.select("unit", *shard, "places", "s", F.explode(F.sequence(F.col("s") + 1, F.least(
-        F.col("s") + vocabulary.longest, n))).alias("e"))
+    starts = units.select("row", "key", "unit", "places", F.explode(F.sequence(F.lit(0), n - 1)).alias("s")).withColumn(
+        "places", F.when(F.col("s") == 0, F.col("places")))
+    heads = F.broadcast(_head_table(units.sparkSession, vocabulary))  # bounded by the vocabulary
+    starts = starts.join(heads, F.substring("unit", F.col("s") + 1, F.lit(_HEAD)) == F.col("head"), "left")
+    spans = starts.select("row", "key", "unit", "places", "s", F.explode(F.sequence(F.col("s") + 1, F.least(
+        F.col("s") + F.coalesce("reach", F.lit(_HEAD - 1)), n))).alias("e"))
     spans = spans.withColumn("sub", F.substring("unit", F.col("s") + 1, F.col("e") - F.col("s")))
     table = F.broadcast(_piece_table(units.sparkSession, vocabulary))  # bounded by the vocabulary
     found = spans.join(table, F.col("sub") == F.col("piece"), "left").where("id IS NOT NULL OR e = s + 1")
@@ -385,11 +397,11 @@ def _lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     if vocabulary.kind == "unigram":
         lowest = min(s for _, s in vocabulary.pieces.values()) - 10
         edge = F.struct(edge.alias("edge"), F.coalesce("score", F.lit(float(lowest))).alias("score"))
-    keys = [F.xxhash64("unit").alias("hash"), "unit", *shard]
-    edges = found.select(*keys, edge.alias("edge"), first.alias("places"), F.coalesce("odd", F.lit(False)).alias("odd"))
-    return edges.groupBy("hash", "unit", *shard).agg(
-        F.sort_array(F.collect_list("edge")).alias("edges"), F.first("places", True).alias("places"),
-        F.max("odd").alias("odd")).drop("hash")
+    edges = found.select("row", "key", edge.alias("edge"), F.when(begins, F.col("unit")).alias("unit"),
+                         F.when(begins, F.col("places")).alias("places"), F.coalesce("odd", F.lit(False)).alias("odd"))
+    return edges.groupBy("row", "key").agg(
+        F.first("unit", True).alias("unit"), F.sort_array(F.collect_list("edge")).alias("edges"),
+        F.first("places", True).alias("places"), F.max("odd").alias("odd")).drop("row", "key")
 
 
 def _fold_merges(lattice: DataFrame) -> DataFrame:
@@ -454,8 +466,9 @@ def _folded(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(unit, places, ids) for units that a fold can take."""
     lattice = _lattice(units, vocabulary)
     folded = _fold_best_path(lattice) if vocabulary.kind == "unigram" else _fold_merges(lattice)
-    path = folded.select("unit", "places", F.array_sort(F.transform(
-        "path", lambda x: F.struct(_start(x).alias("s"), _id(x).alias("id")))).alias("path"))
+    # Start and id as one number.
+    path = folded.select("unit", "places", F.sort_array(F.transform(
+        "path", lambda x: _field(x, _ID + _AT, _AT) * (1 << _ID) + _field(x, 0, _ID))).alias("path"))
     if len(vocabulary.byte_ids) == 256:
         byte_ids = F.array(*[F.lit(i) for i in vocabulary.byte_ids])
 
@@ -467,43 +480,44 @@ def _folded(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         def missing(s: Column) -> Column:
             return F.array(F.lit(vocabulary.unknown_id))
     return path.select("unit", "places", F.when(
-        F.exists("path", lambda x: x["id"] == _UNKNOWN), F.flatten(F.transform("path", lambda x: F.when(
-            x["id"] == _UNKNOWN, missing(x["s"])).otherwise(F.array(x["id"]))))).otherwise(
-                F.transform("path", lambda x: x["id"])).alias("ids"))
+        F.exists("path", lambda x: _id(x) == _UNKNOWN), F.flatten(F.transform("path", lambda x: F.when(
+            _id(x) == _UNKNOWN, missing(_field(x, _ID, _AT).cast("int"))).otherwise(F.array(_id(x)))))).otherwise(
+                F.transform("path", _id)).alias("ids"))
 
 
 def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(unit, ids) for a table of distinct units of at most ``FOLD_CHARS`` characters."""
-    return _folded(units.select("unit", F.lit(0).alias("places")), vocabulary).select("unit", "ids")
+    dealt = units.select("unit", F.lit(0).alias("places"), F.xxhash64("unit").alias("key")).repartition("key")
+    return _folded(dealt, vocabulary).select("unit", "ids")
 
 
 def _list_rows(encoded: DataFrame) -> DataFrame:
-    """(of, packed): for rows (at, ids), many of a block together, to be moved in a small form: how many there
+    """(of, packed): for rows (places, ids), many of a block together, to be moved in a small form: how many there
     are, the steps from number to number, the sizes of the lists, and the lists."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
 
         def packed() -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
-            texts, lists = table.column("at").chunk(0), table.column("ids").chunk(0)
-            at = np.frombuffer(b"".join(texts.to_pylist()), _PLACE)
-            of, number = at["of"], at["number"]
-            unit = np.repeat(np.arange(len(texts)), pc.binary_length(texts).to_numpy() // _PLACE.itemsize)
+            places, lists = table.column("places").chunk(0), table.column("ids").chunk(0)
+            at, starts = places.values.to_numpy(), places.offsets.to_numpy()
+            order = np.argsort(at)
+            unit = np.repeat(np.arange(len(places)), np.diff(starts))[order]
+            of, number = at[order] >> _NUMBER_BITS, at[order] & (1 << _NUMBER_BITS) - 1
             flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-            order = np.lexsort((number, of))
-            cuts = np.flatnonzero(np.diff(of[order])) + 1
+            cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
             blocks, out = [], []
-            for at in np.split(order, cuts):
-                ids, sizes = _gathered(flat, ends, unit[at])
-                blocks.append(int(of[at[0]]))
-                out.append(_packed(np.concatenate(([len(at)], np.diff(number[at].astype(np.int64), prepend=0), sizes, ids))))
+            for a, b in zip(cuts, cuts[1:]):
+                ids, sizes = _gathered(flat, ends, unit[a:b])
+                blocks.append(int(of[a]))
+                out.append(_packed(np.concatenate(([b - a], np.diff(number[a:b], prepend=0), sizes, ids))))
             return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(out, pa.binary())],
                                               ["of", "packed"])
         for batch in batches:
             if batch.num_rows:
                 held.append(batch)
-                rows += batch.column(0).nbytes // _PLACE.itemsize
-            if rows >= 400_000:
+                rows += len(batch.column(0).values)
+            if rows >= _PACKED_PLACES:
                 yield packed()
                 held, rows = [], 0
         if held:
@@ -520,18 +534,23 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_chars: int = BLOCK_CHA
     vocabulary lacks become their bytes, or the id for the unknown if it has no bytes either.
     """
     bound_batches(docs.sparkSession)
-    blocks = _blocks(docs, vocabulary, block_chars)  # one exchange, which both readers below take all columns of
-    # One exchange brings a unit's places together; a shard holds so few blocks that the list stays short.
-    places = _listed(blocks).repartition("unit", "shard").groupBy("unit", "shard").agg(
-        F.collect_list("at").alias("places"))
-    encoded = _folded(places, vocabulary).select(F.explode("places").alias("at"), "ids")
+    # One exchange, which both readers below take all columns of; it brings a unit's places together, too. A shard holds
+    # so few blocks that the list stays short.
+    blocks = _blocks(docs, vocabulary, block_chars)
+    encoded = _folded(_listed(blocks), vocabulary).select("places", "ids")
     prefix = vocabulary.dummy_prefix
     data = np.frombuffer(b"".join(vocabulary.texts), np.uint8)
     data_ends = np.concatenate(([0], np.cumsum([len(t) for t in vocabulary.texts])))
 
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.string()]
+
     def put_together(blocks_: pa.Table, lists_: pa.Table) -> pa.Table:
         out = []
-        for block in blocks_.to_pylist():  # one row
+        names = ["row", "doc_id", "ids", "text"][:4 if decoded else 3]
+        for key, packed in zip(blocks_["key"].to_pylist(), blocks_["data"]):  # one row, or those of a bucket, which have no texts
+            if key < 0:
+                break
+            block, = pa.ipc.open_stream(packed.as_buffer()).read_all().to_pylist()
             flat, ends = _word_lists(_unpacked(block["made"]), lists_)
             n, seq = len(block["doc_ids"]), _unpacked(block["seq"])
             cuts = np.concatenate(([0], np.cumsum(seq[:n].astype(np.int64))))
@@ -540,14 +559,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_chars: int = BLOCK_CHA
                 last = max(first + 1, int(np.searchsorted(cuts, cuts[first] + _JOINED, "right")) - 1)
                 ids, sizes = _gathered(flat, ends, seq[cuts[first]:cuts[last]])
                 at = np.concatenate(([0], np.cumsum(sizes)))[cuts[first:last + 1] - cuts[first]]
-                found = [pa.array(np.arange(first, last) + block["first"]), pa.array(block["doc_ids"][first:last], pa.int64()),
+                found = [pa.array(np.arange(first, last) + block["first"], pa.int64()), pa.array(block["doc_ids"][first:last], pa.int64()),
                          pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))]
                 if decoded:
                     found.append(pa.array(_texts(data, data_ends, ids, at, prefix), pa.string()))
-                out.append(pa.RecordBatch.from_arrays(found, ["row", "doc_id", "ids", "text"][:len(found)]))
+                out.append(pa.RecordBatch.from_arrays(found, names))
                 first = last
-        return pa.Table.from_batches(out)
-    return blocks.groupBy("block").cogroup(_list_rows(encoded).groupBy("of")).applyInArrow(
+        return pa.Table.from_batches(out, pa.schema(list(zip(names, kinds))))
+    return blocks.groupBy("key").cogroup(_list_rows(encoded).groupBy("of")).applyInArrow(
         put_together, "row bigint, doc_id bigint, ids array<int>" + (", text string" if decoded else ""))
 
 
@@ -620,5 +639,5 @@ def encoding_digest(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Per document the number of its ids, a digest of them, and a digest of the text they decode to."""
     return encode(docs, vocabulary, decoded=True).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_ids"),
-        F.sha2(F.concat_ws(" ", F.transform("ids", lambda i: i.cast("string"))), 256).alias("ids_sha256"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"))

@@ -74,6 +74,26 @@ def test_rows_go_to_python_by_the_thousand(spark, docs, vocabulary):
         spark.conf.unset(name)
 
 
+def test_units_are_listed_once_per_block(spark, docs, vocabulary):
+    """A bucket of a block is one row, whose units need no numbers; spaces part them, and blocks are rows beside them."""
+    rng = random.Random(7)
+    text = " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(3000))
+    rows = pieces._blocks(docs((1, text), (2, text)).coalesce(1), vocabulary, 1 << 20).collect()
+    blocks, buckets = [r for r in rows if r.key >= 0], [r for r in rows if r.key < 0]
+    assert len(blocks) == 1 and len(buckets) == len({r.key for r in buckets}) <= 1 << pieces._BUCKET_BITS
+    units = [u for r in sorted(buckets, key=lambda r: r.at) for u in bytes(r.data).decode().split(" ")]
+    assert len(units) == len(set(units)) == len(set(text.split()))
+    assert sum(len(r.data) for r in buckets) == sum(len(u.encode()) + 1 for u in units) - len(buckets)
+    listed = pieces._listed(pieces._blocks(docs((1, text), (2, text)).coalesce(1), vocabulary, 1 << 14)).collect()
+    assert {r.unit for r in listed} == set(units) and sum(len(r.places) for r in listed) > 1.9 * len(units)
+
+
+def test_blocks_are_cut_and_dealt_out_once(docs, vocabulary):
+    plan = pieces.encode(docs((1, "a b")), vocabulary)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [key") == 2  # the same exchange twice, all columns of it, nothing filtered
+    assert plan.count("RepartitionByExpression [key") == len(re.findall(r"RepartitionByExpression \[key#\d+L\].*\n[\s:+-]*MapInArrow", plan))
+
+
 def test_encoding_of_an_empty_table(docs, vocabulary):
     assert pieces.encode(docs((1, "a")).where("doc_id = 2"), vocabulary).count() == 0
 
