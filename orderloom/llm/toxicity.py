@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.llm.common import sized, whole_text
@@ -197,14 +197,18 @@ def _split(texts: DataFrame) -> DataFrame:
     return texts.withColumns({"fit": fit, "calibrate": calibrate}).drop("turn", "last")
 
 
+def _raw() -> Column:
+    """The value of the trees."""
+    return vector_to_array("rawPrediction")[1]
+
+
 @dataclass(frozen=True)
 class Toxicity:
     """What training gives: the lexicon, the trees, and the steps that turn their raw value into a probability."""
 
     lexicon: Lexicon
     trees: GBTClassificationModel | None
-    bounds: list[float]
-    values: list[float]
+    calibration: IsotonicRegressionModel | None
     rate: float
 
     def scored(self, docs: DataFrame) -> DataFrame:
@@ -212,13 +216,10 @@ class Toxicity:
         rows = docs.select(F.struct(*docs.columns).alias("all"), whole_text().alias("text"))
         if self.trees is None:
             return rows.select("all", F.lit(self.rate).alias("score"))
-        bounds, values = np.array(self.bounds), np.array(self.values)
-
-        @F.arrow_udf("double")
-        def calibrated(raw: pa.Array) -> pa.Array:  # straight lines between the steps, as few as they are
-            return pa.array(np.interp(raw.to_numpy(zero_copy_only=False), bounds, values))
         rows = rows.select("all", feature_column(self.lexicon, F.col("text")).alias("features"))
-        return self.trees.transform(rows).select("all", calibrated(vector_to_array("rawPrediction")[1]).alias("score"))
+        raw = self.trees.transform(rows).select("all", _raw().alias("raw"))
+        # Outside Python: a second function there would give each task another worker, which stays for later stages.
+        return self.calibration.transform(raw).select("all", F.col("score"))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Toxicity:
@@ -239,17 +240,15 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Toxicit
     seen = {r["toxic"]: r["weight"] for r in drawn.groupBy("toxic").agg(F.sum("weight").alias("weight")).collect()}
     rate = seen.get(1.0, 0.0) / (sum(seen.values()) or 1.0)
     if len(seen) < 2:
-        return Toxicity(Lexicon(frozenset(), frozenset()), None, [], [], rate)
+        return Toxicity(Lexicon(frozenset(), frozenset()), None, None, rate)
     lexicon = learn_lexicon(texts.join(sized(usable), F.col("doc_id") == F.col("label_id")).select("text", "toxic"))
     table = materialize(_split(drawn).select(
         feature_column(lexicon, F.col("text")).alias("features"), "toxic", "weight", "fit", "calibrate"), "toxic-features")
     trees = GBTClassifier(labelCol="toxic", featuresCol="features", weightCol="weight", maxIter=20, maxDepth=4,
                           stepSize=0.2, seed=7, subsamplingRate=1.0).fit(table.where("fit"))
-    raw = trees.transform(table.where("calibrate")).select(
-        vector_to_array("rawPrediction")[1].alias("raw"), "toxic", "weight")
-    fitted = IsotonicRegression(featuresCol="raw", labelCol="toxic", weightCol="weight").fit(raw)
-    bounds, values = fitted.boundaries.toArray().tolist(), fitted.predictions.toArray().tolist()
-    return Toxicity(lexicon, trees, bounds, values, rate)
+    raw = trees.transform(table.where("calibrate")).select(_raw().alias("raw"), "toxic", "weight")
+    calibration = IsotonicRegression(featuresCol="raw", labelCol="toxic", weightCol="weight", predictionCol="score").fit(raw)
+    return Toxicity(lexicon, trees, calibration, rate)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:

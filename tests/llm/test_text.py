@@ -393,6 +393,20 @@ def test_toxicity_on_held_out_rows(spark, docs, marked):
     assert kept.columns == table.columns and kept.where("doc_id = 10001").isEmpty()
 
 
+def test_scores_take_one_function_in_python(spark, docs, marked):
+    """Each such function of a task has a worker of its own, which stays in memory for the stages after it."""
+    table = docs(*[(i, t) for i, t, _ in marked])
+    labels = spark.createDataFrame([(i, y) for i, _, y in marked], "doc_id bigint, toxic int")
+    learned = toxicity.train(table, labels)
+    scored = learned.scored(table)
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("EvalPython") == 1
+    raw = learned.trees.transform(table.select("doc_id", toxicity.feature_column(
+        learned.lexicon, F.col("text")).alias("features"))).select("doc_id", toxicity._raw().alias("raw")).collect()
+    steps = learned.calibration.boundaries.toArray(), learned.calibration.predictions.toArray()
+    expected = dict(zip([r.doc_id for r in raw], np.interp([r.raw for r in raw], *steps).tolist()))
+    assert {r.doc_id: r.score for r in scored.select("all.doc_id", "score").collect()} == pytest.approx(expected, abs=1e-12)
+
+
 def test_toxic_words_are_counted_in_all_labelled_rows(spark, docs, marked):
     # Only the calm rows are many; each of 60 further words is in seven toxic rows, some of them outside any sample.
     rows = [(i, t, y) for i, t, y in marked if not y]
