@@ -6,10 +6,13 @@ collections while the hashing grows with their sum. Documents that share a key a
 confirmed on the full shingle sets.
 
 In a table, members are not paired with each other. Each is compared with leaders of its groups, in several rounds;
-what is linked is put into one component, and groups that hold one component only need no more looking at. Members of
-groups that still hold several components are then looked at across those components, so that no link between
-components is lost, but not as all pairs: members whose set has too much to itself cannot be linked to any, and
-members far from the middle of their group can only be linked to one that shares some of what they have outside it.
+what is linked is put into one component, and groups that hold one component only need no more looking at. The tables
+serve the first round only. What shares a key shares a value of either collection, so later rounds group by the values
+of one collection the documents that have values of both in common with other components: a document is in some dozen
+groups at most, however many keys it has. Members of groups that still hold several components are then looked at
+across those components, so that no link between components is lost, but not as all pairs: members whose set has too
+much to itself cannot be linked to any, and members far from the middle of their group can only be linked to one that
+shares some of what they have outside it.
 The others are compared with the smallest member of each size class of their group: two that are both linked to it are
 in one component, and if one of them is not, the two must share something that the smallest lacks.
 """
@@ -205,8 +208,9 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
             return after
 
 
-def _tables(values: DataFrame, bands: int) -> DataFrame:
-    """(key, node) for all tables, but only groups of two nodes or more, and one table's group of each membership.
+def _tables(values: DataFrame, bands: int) -> tuple[DataFrame, DataFrame]:
+    """(key, node) for all tables, but only groups of two nodes or more, and one table's group of each membership; and
+    (key, node, front) for the single values of these nodes that others have too, those of the first collection in front.
 
     A key is a pair of values, one of either collection. Values that one node has alone are left out before pairs are
     formed, so nodes that resemble nothing make few keys or none.
@@ -220,7 +224,6 @@ def _tables(values: DataFrame, bands: int) -> DataFrame:
         F.collect_list(F.when(F.col("place") >= bands, F.col("value"))).alias("second"))
     pairs = F.flatten(F.transform("first", lambda x: F.transform("second", lambda y: F.xxhash64(x, y))))
     keys = materialize(held.select("node", F.explode(pairs).alias("key")), "keys")
-    release(spread, shared)
     members = keys.groupBy("key").agg(
         F.min("node").alias("low"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("one"),
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("two")).where("size > 1")
@@ -228,7 +231,11 @@ def _tables(values: DataFrame, bands: int) -> DataFrame:
                          "chosen-keys")
     tables = materialize(keys.join(chosen, "key", "left_semi").select("key", "node"), "tables")
     release(keys, chosen)
-    return tables
+    single = materialize(spread.join(shared, "value", "left_semi").join(
+        tables.select("node").distinct(), "node", "left_semi").select(
+            F.col("value").alias("key"), "node", (F.col("place") < bands).alias("front")), "single-values")
+    release(spread, shared)
+    return tables, single
 
 
 def _can_link(r_a: Column, r_b: Column, n_a: Column, n_b: Column, similarity: float) -> Column:
@@ -268,9 +275,10 @@ def _shared_parts(nodes: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _possible(groups: DataFrame, facts: DataFrame, similarity: float) -> DataFrame:
     """Members of groups that could be linked with a member of their group at all, where several components are left."""
-    known = groups.join(facts, "node")
-    small = materialize(known.groupBy("key").agg(F.min("n").alias("least_n")), "least-sizes")
     n, r = F.col("n"), F.col("r")
+    # With the best of partners, one whose set is what the two have in common.
+    known = groups.join(facts.where(_can_link(r, r, n, r, similarity)), "node")
+    small = materialize(known.groupBy("key").agg(F.min("n").alias("least_n")), "least-sizes")
     alive = materialize(known.join(small, "key").where(_can_link(r, r, n, F.col("least_n"), similarity)).drop("least_n"),
                         "possible")
     split = alive.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
@@ -281,19 +289,29 @@ def _possible(groups: DataFrame, facts: DataFrame, similarity: float) -> DataFra
     return possible
 
 
-def _split_groups(tables: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(key, node, component) of the groups that hold more than one component."""
-    if labels is None:
-        return tables.withColumn("component", F.col("node"))
+def _split_groups(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows (key, node) of the groups that hold more than one component, with component."""
     known = labels.select(F.col("node").alias("known"), "component")
-    named = materialize(tables.join(known, F.col("node") == F.col("known"), "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")), "named")
+    named = materialize(groups.join(known, F.col("node") == F.col("known"), "left").select(
+        *groups.columns, F.coalesce("component", "node").alias("component")), "named")
     split = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         "low < high").select("key")
     split = materialize(split, "split-keys")
-    groups = materialize(named.join(split, "key", "left_semi"), "split-groups")
+    found = materialize(named.join(split, "key", "left_semi"), "split-groups")
     release(named, split)
-    return groups
+    return found
+
+
+def _split_values(single: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, component) by the values in front, for nodes that have values of both collections in common with
+    other components: all that share a key of some table with another component do."""
+    split = _split_groups(single, labels)
+    both = materialize(split.groupBy("node").agg(F.min("front").alias("low"), F.max("front").alias("high")).where(
+        "low < high").select("node"), "both-values")
+    found = materialize(split.where("front").join(both, "node", "left_semi").select("key", "node", "component"),
+                        "split-values")
+    release(split, both)
+    return found
 
 
 def _with_leaders(groups: DataFrame, weights: DataFrame, turn: int) -> DataFrame:
@@ -455,7 +473,7 @@ def _found(docs: DataFrame, size: int, similarity: float, bands: int, width: int
     nodes = materialize(rows.where("n > 0").groupBy(*same).agg(
         F.min("row").alias("node"), F.min("doc_id").alias("least_id")), "nodes")
     values = signed.select("row", "values").join(nodes.select("node"), F.col("row") == F.col("node"))
-    tables = _tables(values.select("node", "values"), bands)
+    tables, single = _tables(values.select("node", "values"), bands)
     release(signed)
     # Full sets of the nodes that have a candidate; one document's text gives a node's set.
     wanted = materialize(nodes.join(tables.select("node").distinct(), "node", "left_semi"), "candidates")
@@ -469,18 +487,22 @@ def _found(docs: DataFrame, size: int, similarity: float, bands: int, width: int
     facts = wanted.select("node", "n", F.col("n").alias("r"))
     weights = materialize(tables.groupBy("node").agg(F.count("*").alias("weight")), "weights")
     for turn in range(ROUNDS + 2):
-        split = groups = _split_groups(tables, labels)
-        if turn == 1:
-            alone = materialize(_shared_parts(groups.select("node").distinct(), sets), "alone")
+        if turn == 0:
+            groups = tables.withColumn("component", F.col("node"))
+            if ROUNDS == 0:
+                groups = groups.join(facts, "node")
+        elif turn == 1:
+            split = _split_values(single, labels)
+            alone = materialize(_shared_parts(split.select("node").distinct(), sets), "alone")
             facts = materialize(facts.join(alone, "node", "left").select(
                 "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("r")), "facts")
-        if turn:
             groups = _possible(split, facts, similarity)
-            release(split)
-            if groups.isEmpty():
-                break
-        elif ROUNDS == 0:
-            groups = groups.join(facts, "node")
+            release(tables, single, split)
+        elif not new.isEmpty():
+            before, groups = groups, _split_groups(groups.drop("component"), labels)
+            release(before)
+        if turn and groups.isEmpty():
+            break
         if turn < ROUNDS:
             pairs = _with_leaders(groups, weights, turn)
         elif turn == ROUNDS:
@@ -488,15 +510,13 @@ def _found(docs: DataFrame, size: int, similarity: float, bands: int, width: int
         else:
             pairs = _left_over(groups, weights, sets, similarity)
         new = materialize(_confirmed(_fitting(pairs, facts, similarity), sets, similarity), "links")
-        if turn:
-            release(groups)
-            if new.isEmpty():
-                continue
+        if turn and new.isEmpty():
+            continue
         links = new if links is None else links.union(new)
         if labels is not None:
             release(labels)
         labels = components(links)
-    release(tables, weights, sets)
+    release(groups, weights, sets)
     labels = labels.select(F.col("node").alias("labelled"), "component")
     marked = nodes.join(labels, F.col("node") == F.col("labelled"), "left")
     marked = materialize(marked.select(*same, F.coalesce("component", "node").alias("component")), "marked")

@@ -189,6 +189,21 @@ def test_near_duplicates_of_families_that_touch(docs, monkeypatch, rounds):
         assert found == brute_components(rows, 2)
 
 
+def test_later_rounds_read_few_rows_of_a_node(docs, monkeypatch):
+    """Near copies share most of the 256 keys of their tables; later rounds go by the values of one collection, and
+    what cannot be linked is looked for once."""
+    most, possible = [], near_dedup._possible
+
+    def watched(groups, facts, similarity):
+        most.append(groups.groupBy("node").count().agg(F.max("count")).first()[0])
+        return possible(groups, facts, similarity)
+    monkeypatch.setattr(near_dedup, "_possible", watched)
+    rows = family_corpus(1)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs(*rows), 2).collect()}
+    assert found == brute_components(rows, 2)
+    assert len(most) == 1 and 0 < most[0] <= near_dedup.BANDS
+
+
 def brute_passages(rows, length, keep_first):
     seen = collections.defaultdict(list)
     for n, (doc_id, text) in enumerate(rows):
