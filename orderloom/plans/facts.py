@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -60,18 +61,19 @@ def first_sales(source: DataFrame, lines: DataFrame, as_of: datetime, start: Col
 
 
 def merge_sales(fact: DataFrame, source: DataFrame, lines: DataFrame, as_of: datetime,
-                start: Column | None = None) -> DataFrame:
+                start: Column | None = None, within: Sequence[str] = ()) -> DataFrame:
     """The sales fact after an upsert by order line.
 
     Known lines take quantity, price, discount and total, and keep all their keys: a sale stays with the
     customer version it was first loaded for. ``fact`` may be cut to the months that hold or get lines of
-    ``source``, ``start`` is then the highest key of the whole table.
+    ``source``, ``start`` is then the highest key of the whole table. Both may be partitioned by columns ``within``,
+    in which the rows of a line are alike.
     """
     first = highest(fact, "SalesKey") if start is None else start
     least = lines.agg(F.min("OrderDetailID").alias("least")).scalar()
     # As in ``first_sales``; only new lines need them, so they are worked out behind the join.
     new = {"SalesKey": first + 1 + F.col("s.OrderDetailID") - least, "LoadedAt": moment(as_of)}
-    return merge_upsert(fact, source, ["OrderDetailID"], ["Quantity", "UnitPrice", "Discount", "LineTotal"],
+    return merge_upsert(fact, source, [*within, "OrderDetailID"], ["Quantity", "UnitPrice", "Discount", "LineTotal"],
                         inserted=new)
 
 

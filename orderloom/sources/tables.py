@@ -119,11 +119,14 @@ class TableStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[self.path(name, version) for version in found])
 
-    def stage(self, name: str, df: DataFrame, partition_by: Sequence[str] = (), ahead: int = 1) -> int:
-        """Write a version that nobody sees yet, and return its number, ``ahead`` of the newest one."""
-        version = self.versions().get(name, 0) + ahead
+    def stage(self, name: str, df: DataFrame, partition_by: Sequence[str] = (), ahead: int = 1,
+              onto: int | None = None) -> int:
+        """Write a version that nobody sees yet, and return its number, ``ahead`` of the newest one; or add to the one
+        numbered ``onto``, which was staged before."""
+        version = self.versions().get(name, 0) + ahead if onto is None else onto
         columns = [f.name for f in TABLES[name].schema.fields]
-        writer = df.select(*columns, *[c for c in partition_by if c not in columns]).write.mode("overwrite")
+        writer = df.select(*columns, *[c for c in partition_by if c not in columns]).write.mode(
+            "overwrite" if onto is None else "append")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(name, version))

@@ -14,7 +14,7 @@ from orderloom.model import OLTP
 from orderloom.plans import orders as order_jobs
 from orderloom.plans import returns as return_jobs
 from orderloom.plans.full_load import NEEDS, load_returns, run_step
-from orderloom.session import bound_tasks, materialize, scratch_path
+from orderloom.session import bound_tasks, materialize, scratch_path, shuffles_removed
 from orderloom.sources import adapter
 from orderloom.sources.tables import TableStore
 
@@ -55,7 +55,10 @@ class Workspace:
 
     def order_lines(self) -> DataFrame:
         """Order lines with their return flag."""
-        return self.once("order lines", lambda: adapter.order_lines(self.spark, self.directory))
+        def make() -> DataFrame:
+            with shuffles_removed(self.spark):
+                return adapter.order_lines(self.spark, self.directory)
+        return self.once("order lines", make)
 
     def _make(self, name: str) -> DataFrame:
         spark, directory = self.spark, self.directory
@@ -80,7 +83,11 @@ class Workspace:
         if name == "OrderDetails":
             return self.order_lines().drop("ReturnFlag")
         columns = [f.name for f in OLTP[name].schema.fields]
-        return self.once(name, lambda: materialize(self._make(name).select(*columns), name))
+
+        def make() -> DataFrame:
+            with shuffles_removed(self.spark):
+                return materialize(self._make(name).select(*columns), name)
+        return self.once(name, make)
 
     def oltp(self, names: Sequence[str] = SOURCES) -> dict[str, DataFrame]:
         """Tables the star schema is loaded from. Tables that do not need each other are made side by side."""

@@ -1,5 +1,7 @@
+import time
 from datetime import date, datetime
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 from shop import rows
@@ -8,9 +10,10 @@ from pyspark.sql import functions as F
 from orderloom.model import STAR
 from orderloom.operators import checks
 from orderloom.operators.columns import with_line_total
-from orderloom.plans import dimensions, facts
+from orderloom.operators.merge import merge_upsert
+from orderloom.plans import dimensions, facts, full_load
 from orderloom.plans.full_load import load_returns, run_full_load, table_counts
-from orderloom.session import scratch_path
+from orderloom.session import scratch_path, shared_dir, shuffles_removed
 from orderloom.sources.tables import TableStore
 
 DAY1, DAY2 = datetime(2024, 8, 1), datetime(2024, 8, 2)
@@ -228,3 +231,88 @@ def test_a_batch_is_stored_once_and_as_a_whole(spark, shop, store):
     other.write("Orders", other.read("Orders"), DAY2)
     assert other.read("Orders").count() == 15 and other.content("Orders").parts == {}
     assert not other.store_batch("b2", DAY2, {"Orders": more})
+
+
+def later_shop(spark, shop):
+    """Every order a month later, line 1 with more pieces, line 3 gone, two lines more."""
+    lines = shop["OrderDetails"].where("OrderDetailID <> 3")
+    more = lines.where("OrderDetailID IN (2, 5)").withColumn("OrderDetailID", F.col("OrderDetailID") + 10)
+    grown = lines.withColumn("Quantity", F.when(F.col("OrderDetailID") == 1, 7).otherwise(F.col("Quantity")))
+    return {**shop, "OrderDetails": with_line_total(grown.unionByName(more).drop("LineTotal")),
+            "Orders": shop["Orders"].withColumn("OrderDate", F.expr("OrderDate + INTERVAL 1 MONTH"))}
+
+
+def test_full_loads_leave_no_temporary_files(spark, shop, store, monkeypatch):
+    """Neither shuffle files nor the rows that were kept apart; what is swapped in is not shuffled again."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = Path(shared_dir(spark), "orderloom", spark.sparkContext.applicationId)
+
+    def shuffle_files():
+        return {path for folder in disk.localDirsString() for path in Path(folder).rglob("shuffle_*.data")}
+
+    def kept_rows():
+        return {path for name in ("sales-source", "FactSales", "moved-lines", "DimCustomer", "FactInventorySnapshot")
+                for path in held.glob(f"{name}-*")}
+    plans, swap = [], TableStore.replace_partitions
+
+    def seen(store, name, df, partition_by):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        swap(store, name, df, partition_by)
+    monkeypatch.setattr(TableStore, "replace_partitions", seen)
+    before, kept = shuffle_files(), kept_rows()
+    run_full_load(store, shop, DAY1, YEAR)
+    run_full_load(store, later_shop(spark, shop), DAY2, YEAR)
+    for _ in range(50):  # they are deleted in the background
+        if shuffle_files() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffle_files() <= before and kept_rows() <= kept
+    assert plans and not any("Repartition" in text for text in plans)
+
+
+def test_sales_loaded_in_shares_are_the_same(spark, shop, store, monkeypatch):
+    whole = TableStore(spark, scratch_path(spark, "test"))
+    for tables, day in ((shop, DAY1), (later_shop(spark, shop), DAY2)):
+        run_full_load(whole, tables, day, YEAR)
+    got = {r["OrderDetailID"]: (r["SalesMonth"], r["Quantity"]) for r in whole.read("FactSales").collect()}
+    assert got == {1: (202401, 7), 2: (202401, 1), 3: (202402, 1), 4: (202403, 5), 5: (202407, 3), 12: (202402, 1),
+                   15: (202408, 3)}
+    monkeypatch.setattr(full_load, "SHARED_LINES", 0)
+    monkeypatch.setattr(full_load, "MERGED_ROWS", 2)
+    counted, place = {}, full_load._placed
+    monkeypatch.setattr(full_load, "_placed", lambda df, months: counted.update(months) or place(df, months))
+    for tables, day in ((shop, DAY1), (later_shop(spark, shop), DAY2)):
+        run_full_load(store, tables, day, YEAR)
+    assert rows(store.read("FactSales")) == rows(whole.read("FactSales"))
+    # Rows of a month that are read are counted, whether the batch has them or not.
+    assert counted == {202401: 2, 202402: 4, 202403: 1, 202404: 1, 202407: 1, 202408: 2}
+
+
+def test_a_large_month_has_several_tasks_and_small_ones_share_one(spark, monkeypatch):
+    monkeypatch.setattr(full_load, "MERGED_ROWS", 100)
+    months = {202401: 40, 202402: 50, 202403: 950, 202404: 30}
+    lines = spark.createDataFrame([(m,) for m, n in months.items() for _ in range(n)], "_at INT").select(
+        "_at", F.monotonically_increasing_id().alias("OrderDetailID"), F.col("_at").alias("month"))
+    placed = full_load._placed(lines, months).withColumn("at", F.spark_partition_id())
+    assert placed.where("at <> _task").isEmpty() and placed.count() == 1070
+    tasks = {r["month"]: set(r["tasks"]) for r in placed.groupBy("month").agg(
+        F.collect_set("_task").alias("tasks")).collect()}
+    assert tasks == {202401: {0}, 202402: {0}, 202403: set(range(1, 11)), 202404: {11}}
+    both = merge_upsert(full_load._placed(lines, months), full_load._placed(lines, months),
+                        ["_task", "OrderDetailID"], ["month"])
+    both.collect()
+    assert both._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange") == 4
+    assert full_load._dealt(months, 2) == [[202403], [202401, 202402, 202404]]
+
+
+def test_threads_share_the_removal_of_shuffle_files(spark):
+    """The setting comes back when the last one is done, in whatever order they end."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    first, second = shuffles_removed(spark), shuffles_removed(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(name) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(name, None) == before
